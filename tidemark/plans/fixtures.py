@@ -52,3 +52,63 @@ def orders_revised(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate_utc"),
         F.col("o_orderpriority"),
         F.concat(F.lit("Clerk#"), F.lpad((k % 1000).cast("string"), 9, "0")).alias("o_clerk")))
+
+
+# --------------------------------------------------------------------------
+# Delimited lines built from part / customer rows
+# --------------------------------------------------------------------------
+def _lines(spark: SparkSession, file: str, header: str, rows: DataFrame) -> DataFrame:
+    """(file, line_no, line): header literal at line 0, data rows after."""
+    head = spark.range(1).select(F.lit(file).alias("file"), F.lit(0).cast("long").alias("line_no"),
+                                 F.lit(header).alias("line"))
+    return head.unionByName(rows.select(F.lit(file).alias("file"), "line_no", "line"))
+
+
+def part_lines(spark: SparkSession, sf_dir: str, revised: bool = False) -> DataFrame:
+    """``part.csv``: comma delimited. Every 11th name quoted around an
+    embedded delimiter, every 7th single-quoted, every 131st with an
+    unbalanced double quote; every 19th brand ``none``, every 13th type
+    ``n/a``, every 23rd ``NA``, every 29th ``Na``; every 101st row lacks
+    its size cell. ``revised`` renames ``p_type`` and adds a comment."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    name = (F.when(k % 131 == 0, F.concat(F.lit('"'), "p_name"))
+             .when(k % 11 == 0, F.concat(F.lit('"'), "p_name", F.lit(", "), "p_brand", F.lit('"')))
+             .when(k % 7 == 0, F.concat(F.lit("'"), "p_name", F.lit("'")))
+             .otherwise(F.col("p_name")))
+    brand = F.when(k % 19 == 0, F.lit("none")).otherwise(F.col("p_brand"))
+    ptype = (F.when(k % 13 == 0, F.lit("n/a")).when(k % 23 == 0, F.lit("NA"))
+              .when(k % 29 == 0, F.lit("Na")).otherwise(F.col("p_type")))
+    size = F.when(k % 101 == 0, F.lit(None)).otherwise(F.col("p_size").cast("string"))
+    cells = [k.cast("string"), name, brand, ptype, size, money(F.col("p_retailprice"))]
+    header = "p_partkey,p_name,p_brand,p_type,p_size,p_retailprice"
+    file = "part.csv"
+    if revised:
+        cells.append(F.concat(F.lit("c"), k.cast("string")))
+        header = "p_partkey,p_name,p_brand,p_kind,p_size,p_retailprice,p_comment"
+        file = "part_redo.csv"
+    rows = p.select((k + 1).alias("line_no"), F.concat_ws(",", *cells).alias("line"))
+    return _lines(spark, file, header, rows)
+
+
+def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer.txt``: pipe delimited, one header label with a space.
+    Every 11th name double-quoted around an embedded pipe, every 7th
+    single-quoted, every 131st with an unbalanced single quote, every
+    101st row lacks its segment, every 17th balance has a comma."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    name = (F.when(k % 131 == 0, F.concat(F.lit("'"), "c_name"))
+             .when(k % 11 == 0, F.concat(F.lit('"'), "c_name", F.lit("|"), "c_mktsegment", F.lit('"')))
+             .when(k % 7 == 0, F.concat(F.lit("'"), "c_name", F.lit("'")))
+             .otherwise(F.col("c_name")))
+    bal = F.when(k % 17 == 0, F.replace(money(F.col("c_acctbal")), F.lit("."), F.lit(","))) \
+        .otherwise(money(F.col("c_acctbal")))
+    seg = F.when(k % 101 == 0, F.lit(None)).otherwise(F.col("c_mktsegment"))
+    cells = [k.cast("string"), name, F.col("c_nationkey").cast("string"), bal, seg]
+    rows = c.select((k + 1).alias("line_no"), F.concat_ws("|", *cells).alias("line"))
+    return _lines(spark, "customer.txt", "c_custkey|c_name|c_nationkey|c acctbal|c_mktsegment", rows)
+
+
+def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_lines(spark, sf_dir).unionByName(customer_lines(spark, sf_dir))

@@ -145,4 +145,8 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: f() for k, f in ORACLES.items()}
+    from tidemark.plans import oracles_lines
+    allq = dict(ORACLES)
+    for mod in (oracles_lines,):
+        allq.update(mod.ORACLES)
+    return {k: f() for k, f in allq.items()}

@@ -8,8 +8,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from tidemark.functions.text import clean_label
+from tidemark.operators import structure as st
 from tidemark.operators.compare import reconcile
+from tidemark.operators.labels import check_labels, header_match
 from tidemark.plans import fixtures as fx
+from tidemark.sources.lines import data_rows, header_labels, sniff_header
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,10 +48,72 @@ def top_errors(spark, sf_dir):
     return orders_reconciliation(spark, sf_dir).errors(50)
 
 
+# --------------------------------------------------------------------------
+# Wave 2: structure of delimited lines
+# --------------------------------------------------------------------------
+# The post-filter map on whole lines.
+LINE_TOKENS = {",n/a,": ",NA,", ",none,": ",NA,", ",na,": ",NA,"}
+
+
+def delimiter_sniff(spark, sf_dir):
+    h = sniff_header(fx.all_lines(spark, sf_dir))
+    return (h.select("file", "delim", F.posexplode("labels").alias("pos", "label"))
+             .select("file", "delim", F.col("pos").cast("int").alias("pos"), "label",
+                     clean_label("label").alias("clean")))
+
+
+def label_guard(spark, sf_dir):
+    return check_labels(header_labels(fx.all_lines(spark, sf_dir)), key=["file"])
+
+
+def header_match_lines(spark, sf_dir):
+    left = header_labels(fx.part_lines(spark, sf_dir)).drop("file")
+    right = header_labels(fx.part_lines(spark, sf_dir, revised=True)).drop("file")
+    return header_match(left, right)
+
+
+def quote_majority(spark, sf_dir):
+    return st.quote_majority(fx.all_lines(spark, sf_dir))
+
+
+def running_quote_style(spark, sf_dir):
+    return (st.running_quote_style(fx.all_lines(spark, sf_dir))
+              .select("file", "row_idx", "balance", "quote"))
+
+
+def row_width_qc(spark, sf_dir):
+    return st.check_widths(fx.all_lines(spark, sf_dir))
+
+
+def cell_split(spark, sf_dir):
+    r = st.parsed_rows(fx.all_lines(spark, sf_dir))
+    return r.select("file", "row_idx", F.posexplode("cells").alias("pos", "cell")) \
+        .withColumn("pos", F.col("pos").cast("int"))
+
+
+def token_replace(spark, sf_dir):
+    d = data_rows(fx.part_lines(spark, sf_dir))
+    return d.select("file", "row_idx",
+                    st.replace_tokens_line("line", LINE_TOKENS, ignore_case=True).alias("line"))
+
+
+def normalize_delimiter(spark, sf_dir):
+    return st.normalize_delimiter(fx.customer_lines(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
     "discrepancy_reduction": discrepancy_reduction,
     "reconcile_by_column": reconcile_by_column,
     "top_errors": top_errors,
+    "delimiter_sniff": delimiter_sniff,
+    "label_guard": label_guard,
+    "header_match": header_match_lines,
+    "quote_majority": quote_majority,
+    "running_quote_style": running_quote_style,
+    "row_width_qc": row_width_qc,
+    "cell_split": cell_split,
+    "token_replace": token_replace,
+    "normalize_delimiter": normalize_delimiter,
 }
