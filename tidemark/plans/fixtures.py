@@ -112,3 +112,58 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_lines(spark, sf_dir).unionByName(customer_lines(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Text tables for profiling and coercion
+# --------------------------------------------------------------------------
+def customer_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer rows as delimited-source text: balance ``NA`` every 13th
+    key, '' every 37th, ' ' every 59th; comment numeric except every
+    211th; an always-empty notes column; two position axes (latitude
+    written with 2 or 4 decimals, garbage every 71st; longitude with 3)."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    bal = (F.when(k % 13 == 0, F.lit("NA")).when(k % 37 == 0, F.lit(""))
+            .when(k % 59 == 0, F.lit(" ")).otherwise(money(F.col("c_acctbal"))))
+    lat0 = (k * 37 % 18000) / F.lit(100.0) - F.lit(90.0)
+    lat = (F.when(k % 71 == 70, F.lit("?"))
+            .when(k % 9 == 0, money(lat0))
+            .otherwise(money(lat0 + F.lit(0.0011) * (k % 9), 4)))
+    lon = money((k * 53 % 36000) / F.lit(100.0) - F.lit(180.0) + F.lit(0.001) * (k % 7), 3)
+    return c.select(
+        k.alias("row_idx"), k.cast("string").alias("c_custkey"), "c_name",
+        F.col("c_nationkey").cast("string").alias("c_nationkey"), bal.alias("c_acctbal"),
+        "c_mktsegment",
+        F.when(k % 211 == 0, F.lit("see note")).otherwise((k * 7).cast("string")).alias("c_comment"),
+        F.lit("").alias("c_notes"), lat.alias("decimalLatitude"), lon.alias("decimalLongitude"))
+
+
+def lineitem_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem rows as text: quantity integral except for orders with
+    key % 10007 = 10006 (written with one decimal), tax ``NA`` every 41st
+    order, a boolean return flag and a key too large for 32 bits."""
+    li = table(spark, sf_dir, "lineitem")
+    k = F.col("l_orderkey")
+    qty = F.when(k % 10007 == 10006, money(F.col("l_quantity"), 1)) \
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
+    return li.select(
+        k.cast("string").alias("l_orderkey"), F.col("l_partkey").cast("string").alias("l_partkey"),
+        F.col("l_suppkey").cast("string").alias("l_suppkey"),
+        F.col("l_linenumber").cast("string").alias("l_linenumber"), qty.alias("l_quantity"),
+        money(F.col("l_extendedprice")).alias("l_extendedprice"),
+        money(F.col("l_discount")).alias("l_discount"),
+        F.when(k % 41 == 0, F.lit("NA")).otherwise(money(F.col("l_tax"))).alias("l_tax"),
+        "l_returnflag", "l_linestatus",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("l_shipdate"),
+        F.when(F.col("l_returnflag") == "R", F.lit("True")).otherwise(F.lit("False")).alias("l_isreturn"),
+        (k * 1000003).cast("string").alias("l_bigkey"))
+
+
+def events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times as text with microseconds; every 97th unparsable."""
+    e = table(spark, sf_dir, "events")
+    k = F.col("event_id")
+    ts = F.when(k % 97 == 0, F.lit("unknown")) \
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return e.select(k.alias("row_idx"), k.alias("event_id"), ts.alias("eventDate"))

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import clean_label
 from tidemark.operators import structure as st
+from tidemark.functions.text import to_ascii
+from tidemark.functions.time import OUT_FORMAT
+from tidemark.operators import coerce as co
+from tidemark.operators import profile as pr
 from tidemark.operators.compare import reconcile
 from tidemark.operators.labels import check_labels, header_match
 from tidemark.plans import fixtures as fx
@@ -101,6 +105,78 @@ def normalize_delimiter(spark, sf_dir):
     return st.normalize_delimiter(fx.customer_lines(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------
+# Wave 3: profiling and cell coercion
+# --------------------------------------------------------------------------
+CHUNK_ELEMENTS = 1e5  # elements per chunk for the chunked profile
+
+
+def column_profile(spark, sf_dir):
+    return pr.profile(fx.lineitem_text(spark, sf_dir)).drop("chunk")
+
+
+def type_reconcile(spark, sf_dir):
+    li = fx.lineitem_text(spark, sf_dir)
+    rows = pr.chunk_rows(CHUNK_ELEMENTS, len(li.columns))
+    prof = pr.profile(li, chunk=pr.chunk_id(F.col("l_orderkey").cast("long"), rows))
+    t = pr.reconcile_types(prof)
+    return t.select("column", "pos", "family", "max_len", "max_int", "non_null", "chunks_disagree",
+                    pr.spark_type("family").alias("spark_type"),
+                    pr.storage_type("family").alias("storage"),
+                    F.when(F.col("family") == "object", pr.string_width("max_len")).alias("width"))
+
+
+def numeric_accept(spark, sf_dir):
+    df = fx.customer_text(spark, sf_dir)
+    return co.acceptance(df, [c for c in df.columns if c != "row_idx"])
+
+
+def numeric_coerce(spark, sf_dir):
+    return co.coerce_numeric(fx.customer_text(spark, sf_dir))
+
+
+def round_precision(spark, sf_dir):
+    df = fx.customer_text(spark, sf_dir)
+    return co.coerce_position(df, ["decimalLatitude", "decimalLongitude"]) \
+        .select("row_idx", "decimalLatitude", "decimalLongitude")
+
+
+def time_to_utc(spark, sf_dir):
+    e = fx.events_text(spark, sf_dir)
+    return e.select("event_id", co.normalize_time("eventDate", "string", OUT_FORMAT).alias("eventDate"))
+
+
+def days_since_epoch(spark, sf_dir):
+    e = fx.events_text(spark, sf_dir)
+    return e.select("event_id", co.normalize_time("eventDate", "integer").alias("eventDate"))
+
+
+def ascii_replace(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return d.select("doc_id", to_ascii("text", "replace").alias("text"),
+                    to_ascii("text", "ignore").alias("text_ignore"))
+
+
+def page_number(spark, sf_dir):
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("row_idx"))
+    rows_per_file = 1000
+    total = o.select(F.count("*")).scalar()
+    pages = o.groupBy(pr.page_number("row_idx", rows_per_file).alias("page")).agg(
+        F.count("*").alias("n_rows"), F.min("row_idx").alias("first_row"),
+        F.max("row_idx").alias("last_row"))
+    name = F.when(total > rows_per_file, F.concat(F.lit("orders_part"), F.col("page").cast("string"))) \
+        .otherwise(F.lit("orders"))
+    return pages.withColumn("part_name", name)
+
+
+def empty_columns(spark, sf_dir):
+    return pr.value_counts(fx.customer_text(spark, sf_dir))
+
+
+def sampled_types(spark, sf_dir):
+    return pr.guess_types(fx.customer_text(spark, sf_dir), window=500)
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -116,4 +192,15 @@ QUERIES: dict[str, Query] = {
     "cell_split": cell_split,
     "token_replace": token_replace,
     "normalize_delimiter": normalize_delimiter,
+    "column_profile": column_profile,
+    "type_reconcile": type_reconcile,
+    "numeric_accept": numeric_accept,
+    "numeric_coerce": numeric_coerce,
+    "round_precision": round_precision,
+    "time_to_utc": time_to_utc,
+    "days_since_epoch": days_since_epoch,
+    "ascii_replace": ascii_replace,
+    "page_number": page_number,
+    "empty_columns": empty_columns,
+    "sampled_types": sampled_types,
 }
