@@ -167,3 +167,93 @@ def events_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.when(k % 97 == 0, F.lit("unknown")) \
         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
     return e.select(k.alias("row_idx"), k.alias("event_id"), ts.alias("eventDate"))
+
+
+# --------------------------------------------------------------------------
+# Vocabulary fixtures: term pages, graph triples, dataset variables
+# --------------------------------------------------------------------------
+GRAPH_BASE = "http://example.org/ont/ioos"
+
+
+def term_name(c: Column) -> Column:
+    """``red widget`` -> ``redwidget``."""
+    return F.regexp_replace(c, " ", "")
+
+
+def term_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML term tables built from the even part keys, 50 terms per page."""
+    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 2 == 0)
+    k = F.col("p_partkey")
+    t = term_name(F.col("p_name"))
+    row = F.concat(
+        F.lit('<tr><td colspan="2"><a name="'), t, F.lit('">Term Name: dwc:'), t, F.lit("</a></td></tr>"),
+        F.lit("<tr><td>Definition:</td><td>"), F.col("p_type"), F.lit(" "), F.col("p_brand"),
+        F.lit(" part</td></tr>"),
+        F.lit("<tr><td>Comments:</td><td>size "), F.col("p_size").cast("string"), F.lit("</td></tr>"),
+        F.lit('<tr><td>Details:</td><td><a href="./index.htm#'), t, F.lit('">'), t, F.lit("</a></td></tr>"))
+    pages = (p.groupBy(F.floor(k / 100).alias("page_id"))
+               .agg(F.array_sort(F.collect_list(F.struct(k.alias("k"), row.alias("r")))).alias("rows")))
+    return pages.select(
+        "page_id",
+        F.concat(F.lit("<html><body><table><tbody>"),
+                 F.array_join(F.transform("rows", lambda x: x["r"]), ""),
+                 F.lit("</tbody></table></body></html>")).alias("html"))
+
+
+def graph_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triples (s, p, o): one subject per distinct part name (its smallest
+    key k), four predicates each; no section when k % 5 = 1, a second
+    definition when k % 7 = 2. Supplier subjects add labels that are not
+    local terms (section missing when key % 4 = 3). One rdfs:label triple
+    names the definition predicate."""
+    p = table(spark, sf_dir, "part")
+    first = p.groupBy("p_name").agg(F.min_by(F.struct("p_partkey", "p_type"), "p_partkey").alias("f"))
+    k = F.col("f.p_partkey")
+    s = F.concat(F.lit(GRAPH_BASE + "/term/p"), k.cast("string"))
+    label = term_name(F.col("p_name"))
+
+    def tri(df, subj, pred, obj):
+        return df.select(subj.alias("s"), F.lit(GRAPH_BASE + pred).alias("p"), obj.alias("o"))
+
+    parts = [
+        tri(first, s, "/Term", label),
+        tri(first, s, "/Defintion", F.concat(F.lit("Definition of "), F.col("p_name"))),
+        tri(first.where(k % 7 == 2), s, "/Defintion", F.concat(F.lit("Other definition of "), F.col("p_name"))),
+        tri(first, s, "/Reference", F.concat(F.lit("http://example.org/terms/"), label)),
+        tri(first.where(k % 5 != 1), s, "/Section", F.col("f.p_type")),
+    ]
+    sup = table(spark, sf_dir, "supplier")
+    sk = F.col("s_suppkey")
+    ss = F.concat(F.lit(GRAPH_BASE + "/term/s"), sk.cast("string"))
+    slabel = F.lower(F.regexp_replace("s_name", "#", ""))
+    parts += [
+        tri(sup, ss, "/Term", slabel),
+        tri(sup, ss, "/Defintion", F.concat(F.lit("Supplier in nation "), F.col("s_nationkey").cast("string"))),
+        tri(sup, ss, "/Reference", F.concat(F.lit("http://example.org/suppliers/"), sk.cast("string"))),
+        tri(sup.where(sk % 4 != 3), ss, "/Section", F.lit("Supplier")),
+        sup.where(sk == 0).select(F.lit(GRAPH_BASE + "/Defintion").alias("s"), F.lit("rdfs:label").alias("p"),
+                                  F.lit("Definition").alias("o")),
+    ]
+    out = parts[0]
+    for d in parts[1:]:
+        out = out.unionByName(d)
+    return out
+
+
+def variables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dataset variables (dataset, pos, name) derived from part rows:
+    by key % 6 the exact term, its upper case, ``Red_Widget``,
+    ``widget_red``, the noun alone, or a foreign word."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    words = F.split("p_name", " ")
+    t = term_name(F.col("p_name"))
+    name = (F.when(k % 6 == 0, t)
+             .when(k % 6 == 1, F.upper(t))
+             .when(k % 6 == 2, F.regexp_replace(F.initcap("p_name"), " ", "_"))
+             .when(k % 6 == 3, F.concat(F.element_at(words, 2), F.lit("_"), F.element_at(words, 1)))
+             .when(k % 6 == 4, F.element_at(words, 2))
+             .otherwise(F.concat(F.lit("x"), k.cast("string"))))
+    ds = F.concat(F.lit("dataset_"), F.lpad((k % 25).cast("string"), 2, "0"))
+    return (p.select(ds.alias("dataset"), name.alias("name"), k)
+             .groupBy("dataset", "name").agg(F.min("p_partkey").alias("pos")))

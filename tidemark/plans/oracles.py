@@ -145,8 +145,8 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from tidemark.plans import oracles_lines, oracles_profile
+    from tidemark.plans import oracles_lines, oracles_profile, oracles_vocab
     allq = dict(ORACLES)
-    for mod in (oracles_lines, oracles_profile):
+    for mod in (oracles_lines, oracles_profile, oracles_vocab):
         allq.update(mod.ORACLES)
     return {k: f() for k, f in allq.items()}

@@ -16,9 +16,11 @@ from tidemark.functions.text import to_ascii
 from tidemark.functions.time import OUT_FORMAT
 from tidemark.operators import coerce as co
 from tidemark.operators import profile as pr
+from tidemark.operators import vocab as vc
 from tidemark.operators.compare import reconcile
 from tidemark.operators.labels import check_labels, header_match
 from tidemark.plans import fixtures as fx
+from tidemark.sources.html_terms import extract_terms
 from tidemark.sources.lines import data_rows, header_labels, sniff_header
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -177,6 +179,57 @@ def sampled_types(spark, sf_dir):
     return pr.guess_types(fx.customer_text(spark, sf_dir), window=500)
 
 
+# --------------------------------------------------------------------------
+# Wave 4: vocabularies and name matching
+# --------------------------------------------------------------------------
+def _local_vocab(spark, sf_dir):
+    return vc.vocab_from_attrs(extract_terms(fx.term_pages(spark, sf_dir)))
+
+
+def _candidates(spark, sf_dir):
+    return vc.triple_pattern(fx.graph_triples(spark, sf_dir), require_predicate_label=True)
+
+
+def _matches(spark, sf_dir):
+    return vc.match_variables(fx.variables(spark, sf_dir), _local_vocab(spark, sf_dir),
+                              _candidates(spark, sf_dir))
+
+
+def html_terms(spark, sf_dir):
+    return extract_terms(fx.term_pages(spark, sf_dir))
+
+
+def vocab_terms(spark, sf_dir):
+    v = _local_vocab(spark, sf_dir)
+    return v.select("term", "ord", F.posexplode("attrs").alias("apos", "attr", "value")) \
+        .withColumn("apos", F.col("apos").cast("int"))
+
+
+def triple_pattern(spark, sf_dir):
+    return vc.triple_pattern(fx.graph_triples(spark, sf_dir))
+
+
+def vocab_merge(spark, sf_dir):
+    m = vc.merge_vocab(_local_vocab(spark, sf_dir), vc.triple_pattern(fx.graph_triples(spark, sf_dir)))
+    return m.select("term", "source", F.posexplode("attrs").alias("apos", "attr", "value")) \
+        .withColumn("apos", F.col("apos").cast("int"))
+
+
+def match_cascade(spark, sf_dir):
+    m = _matches(spark, sf_dir)
+    return m.select("dataset", "name", "pos", "kind", "term", "stage",
+                    F.size("candidates").alias("n_candidates"),
+                    F.array_join("candidates", "|").alias("candidates"))
+
+
+def match_counts(spark, sf_dir):
+    return vc.match_counts(_matches(spark, sf_dir))
+
+
+def missing_labels(spark, sf_dir):
+    return vc.missing_labels(_matches(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -203,4 +256,11 @@ QUERIES: dict[str, Query] = {
     "page_number": page_number,
     "empty_columns": empty_columns,
     "sampled_types": sampled_types,
+    "html_terms": html_terms,
+    "vocab_terms": vocab_terms,
+    "triple_pattern": triple_pattern,
+    "vocab_merge": vocab_merge,
+    "match_cascade": match_cascade,
+    "match_counts": match_counts,
+    "missing_labels": missing_labels,
 }

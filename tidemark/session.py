@@ -61,6 +61,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def ship_by_value(module) -> None:
+    """Pickle the functions of ``module`` by value, so Python workers run
+    them without the package being installed on the executors."""
+    from pyspark import cloudpickle
+    try:
+        cloudpickle.register_pickle_by_value(module)
+    except ValueError:
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one of the parquet tables of a scale-factor folder."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
