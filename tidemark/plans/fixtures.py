@@ -257,3 +257,66 @@ def variables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ds = F.concat(F.lit("dataset_"), F.lpad((k % 25).cast("string"), 2, "0"))
     return (p.select(ds.alias("dataset"), name.alias("name"), k)
              .groupBy("dataset", "name").agg(F.min("p_partkey").alias("pos")))
+
+
+# --------------------------------------------------------------------------
+# Manifest fixtures: items = orders, files = lineitem rows
+# --------------------------------------------------------------------------
+def manifest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    title = (F.when(k % 4 == 0, F.concat(F.lit("Survey "), k.cast("string"), F.lit(" occurrence data")))
+              .otherwise(F.concat(F.lit("Survey "), k.cast("string"))))
+    body = F.concat(F.lit("<p>Orders of customer "), F.col("o_custkey").cast("string"),
+                    F.lit(" with status \""), F.col("o_orderstatus"), F.lit("\" and priority "),
+                    F.col("o_orderpriority"), F.lit(". "), F.repeat(F.lit("Collected at sea station. "), k % 9),
+                    F.lit("</p>"))
+    return o.select(F.concat(F.lit("item_"), k.cast("string")).alias("id"), title.alias("title"),
+                    body.alias("body"),
+                    F.when(k % 3 == 0, F.concat(F.lit("Report "), k.cast("string"))).alias("citation"),
+                    F.concat(F.lit("http://example.org/items/"), k.cast("string")).alias("link_url"))
+
+
+def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files listed in the items: stems ``occurrence_<order>_<line % 3>``
+    with ``.csv`` on even and ``.zip`` on odd line numbers (so stems
+    repeat), line 7 a ``notes`` text file; a file title naming an
+    occurrence extension when part key % 10 = 0; upload time = ship date,
+    with a fraction on line 5 and unparsable on line 6 of every 11th order."""
+    li = table(spark, sf_dir, "lineitem")
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    stem = F.concat(F.lit("occurrence_"), k.cast("string"), F.lit("_"), (ln % 3).cast("string"))
+    name = (F.when(ln == 7, F.concat(F.lit("notes_"), k.cast("string"), F.lit(".txt")))
+             .when(ln % 2 == 0, F.concat(stem, F.lit(".csv")))
+             .otherwise(F.concat(stem, F.lit(".zip"))))
+    up = (F.when((ln == 6) & (k % 11 == 0), F.lit("n/a"))
+           .when(ln == 5, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'.123456Z'"))
+           .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    return li.select(
+        F.concat(F.lit("item_"), k.cast("string")).alias("item_id"),
+        F.struct(ln.alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
+                 F.col("l_extendedprice").alias("price")).alias("file_pos"),
+        name.alias("name"),
+        F.when(F.col("l_partkey") % 10 == 0, F.lit("DarwinCore:Occurrence extension")).alias("title"),
+        F.concat(F.lit("http://example.org/files/"), name).alias("url"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("size"),
+        up.alias("dateUploaded"))
+
+
+def local_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Local copies: the csv of every file of orders with key % 3 != 0,
+    modified (part key % 37 - 24) hours around its upload time, plus a
+    legacy file for every 50th order (from another request)."""
+    li = table(spark, sf_dir, "lineitem")
+    k, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    stem = F.concat(F.lit("occurrence_"), k.cast("string"), F.lit("_"), (ln % 3).cast("string"))
+    copies = (li.where((k % 3 != 0) & (ln != 7))
+                .select(F.concat(stem, F.lit(".csv")).alias("file"),
+                        (F.col("l_shipdate").cast("timestamp")
+                         + F.make_interval(hours=(F.col("l_partkey") % 37 - 24).cast("int"))).alias("modified")))
+    # one modification time per local file: the newest copy
+    copies = copies.groupBy("file").agg(F.max("modified").alias("modified"))
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 0)
+    legacy = o.select(F.concat(F.lit("legacy_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file"),
+                      F.col("o_orderdate").cast("timestamp").alias("modified"))
+    return copies.unionByName(legacy)

@@ -16,6 +16,7 @@ from tidemark.functions.text import to_ascii
 from tidemark.functions.time import OUT_FORMAT
 from tidemark.operators import coerce as co
 from tidemark.operators import profile as pr
+from tidemark.operators import manifest as mf
 from tidemark.operators import vocab as vc
 from tidemark.operators.compare import reconcile
 from tidemark.operators.labels import check_labels, header_match
@@ -230,6 +231,46 @@ def missing_labels(spark, sf_dir):
     return vc.missing_labels(_matches(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------
+# Wave 6: file manifests
+# --------------------------------------------------------------------------
+def _tagged(spark, sf_dir):
+    return mf.tag_files(fx.manifest_files(spark, sf_dir))
+
+
+def _fresh(spark, sf_dir):
+    return mf.freshness(_tagged(spark, sf_dir).where("candidate"), fx.local_listing(spark, sf_dir))
+
+
+def candidate_files(spark, sf_dir):
+    return _tagged(spark, sf_dir).where("candidate").select("item_id", "name", "stem", "dftype", "size")
+
+
+def manifest_summary(spark, sf_dir):
+    return mf.manifest_summary(fx.manifest_items(spark, sf_dir), _tagged(spark, sf_dir), _fresh(spark, sf_dir))
+
+
+def freshness(spark, sf_dir):
+    return _fresh(spark, sf_dir).select("item_id", "name", "src_file", "reason", "fetch")
+
+
+def items_without_files(spark, sf_dir):
+    return mf.items_without_candidates(fx.manifest_items(spark, sf_dir), _tagged(spark, sf_dir)) \
+        .select("id", "title")
+
+
+def request_status(spark, sf_dir):
+    return mf.request_status(_tagged(spark, sf_dir).where("candidate"), fx.local_listing(spark, sf_dir))
+
+
+def item_dates(spark, sf_dir):
+    return mf.item_dates(fx.manifest_files(spark, sf_dir))
+
+
+def file_dates(spark, sf_dir):
+    return mf.file_start_dates(fx.manifest_files(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -263,4 +304,11 @@ QUERIES: dict[str, Query] = {
     "match_cascade": match_cascade,
     "match_counts": match_counts,
     "missing_labels": missing_labels,
+    "candidate_files": candidate_files,
+    "manifest_summary": manifest_summary,
+    "freshness": freshness,
+    "items_without_files": items_without_files,
+    "request_status": request_status,
+    "item_dates": item_dates,
+    "file_dates": file_dates,
 }
