@@ -38,10 +38,12 @@ def wrap_text(col, width: int = 80) -> Column:
     """Wrap at ``width`` (FN-1): words longer than ``width`` stay whole,
     every piece is stripped, pieces are joined with a newline.
 
-    ``[^\\n]`` stands for "any character but newline"; Java's ``.`` also
-    stops at carriage returns and Unicode line separators.
+    White space is the explicit class Python uses; ``[^\\n]`` stands for
+    "any character but newline" (Java's ``.`` also stops at carriage
+    returns and Unicode line separators).
     """
-    rx = rf"((?:(?U)\S{{{width + 1},}}|[^\n]{{1,{width}}})(?:(?U)\s+|$))"
+    nws = "[^" + _WS[1:]
+    rx = f"((?:{nws}{{{width + 1},}}|[^\\n]{{1,{width}}})(?:{_WS}+|$))"
     pieces = F.regexp_extract_all(_c(col), F.lit(rx), 1)
     return F.array_join(F.transform(pieces, lambda p: ustrip(p)), "\n")
 

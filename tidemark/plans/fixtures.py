@@ -320,3 +320,29 @@ def local_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     legacy = o.select(F.concat(F.lit("legacy_"), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("file"),
                       F.col("o_orderdate").cast("timestamp").alias("modified"))
     return copies.unionByName(legacy)
+
+
+# --------------------------------------------------------------------------
+# Catalogue fixture: dataset columns named like occurrence tables
+# --------------------------------------------------------------------------
+# Fixture constants: column labels and their storage codes.
+DATASET_LABELS = [
+    ("decimalLatitude", "f8"), ("decimalLongitude", "f8"), ("depth", "f8"), ("altitude", "f8"),
+    ("eventDate", "S1"), ("scientificName", "S1"), ("individualCount", "i4"),
+    ("minimumDepthInMeters", "f8"), ("sampleSizeValue", "f8"), ("bodyWeightInKg", "f8"),
+    ("occurrenceID", "S1"), ("latitude", "f8"), ("Depth", "f8"), ("collection_code", "S1"),
+    ("event_date", "S1"), ("time", "i8"),
+]
+
+
+def dataset_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(dataset, pos, name, dtype): part key k gives dataset k % 25 a column
+    labelled by k % 16 (first key = position)."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    names = F.array(*[F.lit(n) for n, _ in DATASET_LABELS])
+    types = F.array(*[F.lit(t) for _, t in DATASET_LABELS])
+    idx = (k % len(DATASET_LABELS) + 1).cast("int")
+    return (p.select(F.concat(F.lit("dataset_"), F.lpad((k % 25).cast("string"), 2, "0")).alias("dataset"),
+                     F.element_at(names, idx).alias("name"), F.element_at(types, idx).alias("dtype"), k)
+             .groupBy("dataset", "name", "dtype").agg(F.min("p_partkey").alias("pos")))

@@ -145,8 +145,9 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from tidemark.plans import oracles_lines, oracles_manifest, oracles_profile, oracles_vocab
+    from tidemark.plans import (oracles_lines, oracles_manifest, oracles_meta, oracles_profile,
+                                oracles_vocab)
     allq = dict(ORACLES)
-    for mod in (oracles_lines, oracles_profile, oracles_vocab, oracles_manifest):
+    for mod in (oracles_lines, oracles_profile, oracles_vocab, oracles_manifest, oracles_meta):
         allq.update(mod.ORACLES)
     return {k: f() for k, f in allq.items()}

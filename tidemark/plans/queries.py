@@ -16,7 +16,10 @@ from tidemark.functions.text import to_ascii
 from tidemark.functions.time import OUT_FORMAT
 from tidemark.operators import coerce as co
 from tidemark.operators import profile as pr
+from tidemark.functions.text import strip_tags, wrap_text
+from tidemark.operators import catalog as ct
 from tidemark.operators import manifest as mf
+from tidemark.operators import metadata as md
 from tidemark.operators import vocab as vc
 from tidemark.operators.compare import reconcile
 from tidemark.operators.labels import check_labels, header_match
@@ -271,6 +274,52 @@ def file_dates(spark, sf_dir):
     return mf.file_start_dates(fx.manifest_files(spark, sf_dir))
 
 
+# --------------------------------------------------------------------------
+# Wave 5: metadata and catalogue
+# --------------------------------------------------------------------------
+RUN_TIME = "2000-01-01T00:00:00Z"  # fixed processing time for reproducible history text
+
+
+def variable_units(spark, sf_dir):
+    return md.variable_metadata(fx.dataset_vars(spark, sf_dir), _local_vocab(spark, sf_dir))
+
+
+def destination_names(spark, sf_dir):
+    return ct.catalog_variables(fx.dataset_vars(spark, sf_dir))
+
+
+def axis_conflicts(spark, sf_dir):
+    return ct.catalog_variables(fx.dataset_vars(spark, sf_dir)).where("conflict") \
+        .select("dataset", "pos", "name", "destination")
+
+
+def keywords(spark, sf_dir):
+    return ct.keywords(ct.catalog_variables(fx.dataset_vars(spark, sf_dir)))
+
+
+def wrap_documents(spark, sf_dir):
+    d = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return d.select("doc_id", wrap_text("text").alias("text"))
+
+
+def strip_html(spark, sf_dir):
+    p = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return p.select("page_id", strip_tags("html").alias("text"))
+
+
+def dataset_metadata(spark, sf_dir):
+    tagged = _tagged(spark, sf_dir)
+    files = fx.manifest_files(spark, sf_dir)
+    cands = tagged.where("candidate").select("item_id", F.col("stem").alias("dataset"), "dftype",
+                                              mf.source_name(F.col("name")).alias("src_file"))
+    items = fx.manifest_items(spark, sf_dir)
+    ds = (mf.attach_items(cands, items)
+            .join(mf.item_dates(files).select("item_id", F.col("start_date").alias("item_start")), "item_id")
+            .join(mf.file_start_dates(files).withColumnRenamed("file_start_date", "file_start"),
+                  ["item_id", "src_file"], "left"))
+    return md.dataset_metadata(ds, now=F.lit(RUN_TIME))
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -311,4 +360,11 @@ QUERIES: dict[str, Query] = {
     "request_status": request_status,
     "item_dates": item_dates,
     "file_dates": file_dates,
+    "variable_units": variable_units,
+    "destination_names": destination_names,
+    "axis_conflicts": axis_conflicts,
+    "keywords": keywords,
+    "wrap_text": wrap_documents,
+    "strip_html": strip_html,
+    "dataset_metadata": dataset_metadata,
 }
