@@ -167,7 +167,19 @@ SELECT file, row_idx, array_to_string(list_transform(cells, lambda c:
 FROM parsed"""
 
 
+def standardize_qc() -> str:
+    return f"""WITH lines AS ({part_lines()}), {SNIFF}, {RUNNING}, {PARSED}
+SELECT file, 'CRITICAL' AS severity, 'row_width' AS code, row_idx, CAST(NULL AS VARCHAR) AS "column",
+       'source file read in row ' || CAST(row_idx AS VARCHAR) || ': ' || CAST(len(cells) AS VARCHAR)
+       || ' cells for ' || CAST(n_labels AS VARCHAR) || ' labels' AS message
+FROM parsed WHERE len(cells) <> n_labels
+UNION ALL
+SELECT file, 'CRITICAL', 'label_space', NULL, label, 'variable names must be single string: ' || label
+FROM labs WHERE contains(label, ' ')"""
+
+
 ORACLES = {
+    "standardize_qc": standardize_qc,
     "delimiter_sniff": delimiter_sniff,
     "label_guard": label_guard,
     "header_match": header_match,

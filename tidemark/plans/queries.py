@@ -320,6 +320,42 @@ def dataset_metadata(spark, sf_dir):
     return md.dataset_metadata(ds, now=F.lit(RUN_TIME))
 
 
+# --------------------------------------------------------------------------
+# Wave 7: composite operators, sinks and incremental runs
+# --------------------------------------------------------------------------
+def round_trip(spark, sf_dir):
+    from tidemark.plans.standardize import round_trip as rt
+    return rt(fx.orders_source(spark, sf_dir), postfilter=True, equivalence=True).entries()
+
+
+def standardize_table(spark, sf_dir):
+    from tidemark.plans.standardize import standardize
+    return standardize(fx.part_lines(spark, sf_dir)).table
+
+
+def standardize_qc(spark, sf_dir):
+    from tidemark.plans.standardize import standardize
+    return standardize(fx.part_lines(spark, sf_dir)).qc
+
+
+def standardize_sampled(spark, sf_dir):
+    from tidemark.plans.standardize import standardize_sampled as ss
+    return ss(fx.customer_text(spark, sf_dir).drop("file"), window=500)[0]
+
+
+def incremental_profile(spark, sf_dir):
+    import os
+    import uuid
+
+    from tidemark.session import checkpoint_dir
+    from tidemark.streaming.incremental import incremental_profile as ip
+    base = os.path.join(checkpoint_dir(spark), f"incremental-{uuid.uuid4().hex}")
+    li = fx.lineitem_text(spark, sf_dir)
+    li.repartitionByRange(4, F.col("l_orderkey").cast("long")).write.parquet(f"{base}/source")
+    prof = ip(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint", schema=li.schema)
+    return prof.select("column", "pos", "family", "max_len", "max_int", "non_null")
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -367,4 +403,9 @@ QUERIES: dict[str, Query] = {
     "wrap_text": wrap_documents,
     "strip_html": strip_html,
     "dataset_metadata": dataset_metadata,
+    "round_trip": round_trip,
+    "standardize": standardize_table,
+    "standardize_qc": standardize_qc,
+    "standardize_sampled": standardize_sampled,
+    "incremental_profile": incremental_profile,
 }

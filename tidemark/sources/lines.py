@@ -15,16 +15,20 @@ from tidemark.functions.text import strip_quotes, ustrip
 DELIMITERS = [",", "|", ";", "\t"]
 
 
-def read_lines(spark: SparkSession, path, encoding: str | None = None) -> DataFrame:
-    """Physical lines of text files with a 0-based line number per file.
+def read_lines(spark: SparkSession, path, encoding: str | None = None,
+               across_files: bool = False) -> DataFrame:
+    """Physical lines of text files with a 0-based line number.
 
     Numbering is two-phase (S1): each file split is read by one task in
     order, so a line's position inside its split is its id minus the
-    smallest id of the split; splits are ordered by their start offset
+    smallest id of the split; splits are ordered by (file, start offset)
     and their line counts give the offsets (a table with one row per
-    split). Undecodable bytes become U+FFFD (``errors='replace'``).
+    split, the only place a window runs over everything). With
+    ``across_files`` the numbering continues over the files of ``path``
+    in name order (a multi-part export is one table), ``file`` = ``path``.
+    Undecodable bytes become U+FFFD (``errors='replace'``).
     """
-    reader = spark.read.format("text")
+    reader = spark.read.format("text").option("recursiveFileLookup", across_files)
     if encoding:
         reader = reader.option("encoding", encoding)
     paths = [path] if isinstance(path, str) else list(path)
@@ -34,12 +38,21 @@ def read_lines(spark: SparkSession, path, encoding: str | None = None) -> DataFr
                    F.monotonically_increasing_id().alias("_id"),
                    F.col("value").alias("line")))
     splits = raw.groupBy("file", "split").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    if across_files:
+        w = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
+    else:
+        w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("file", "split", "_first",
                          F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (raw.join(offs, on=["file", "split"])
-               .select("file", (F.col("_off") + F.col("_id") - F.col("_first")).alias("line_no"),
-                       "line", "split"))
+    # ``split`` becomes the first line number of the split: a bounded
+    # block key that orders like the lines themselves
+    out = (raw.join(offs, on=["file", "split"])
+              .select("file", (F.col("_off") + F.col("_id") - F.col("_first")).alias("line_no"),
+                      "line", F.col("_off").alias("split")))
+    if across_files:
+        name = paths[0] if len(paths) == 1 else ",".join(paths)
+        out = out.withColumn("file", F.lit(name))
+    return out
 
 
 def data_rows(lines: DataFrame) -> DataFrame:
