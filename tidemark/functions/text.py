@@ -84,14 +84,20 @@ def part_base(col) -> Column:
 
 
 def contains_any(col, terms: list[str]) -> Column:
-    """True when the lower-cased text contains any of ``terms``."""
+    """True when the lower-cased text contains any of ``terms`` (a short
+    fixed list: an OR chain keeps the test inside generated code)."""
     low = F.lower(_c(col))
-    return F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.instr(low, t) > 0) \
-        if terms else F.lit(False)
+    out = F.lit(False)
+    for t in terms:
+        out = out | (F.instr(low, F.lit(t)) > 0)
+    return out
 
 
 def first_contained(col, terms: list[str]) -> Column:
-    """First of ``terms`` (in list order) contained in the lower-cased text, else NULL."""
+    """First of ``terms`` (in list order) contained in the lower-cased
+    text, else NULL (a CASE chain over the short fixed list)."""
     low = F.lower(_c(col))
-    hits = F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.instr(low, t) > 0)
-    return F.element_at(hits, 1) if terms else F.lit(None).cast("string")
+    out = F.lit(None).cast("string")
+    for t in reversed(terms):
+        out = F.when(F.instr(low, F.lit(t)) > 0, F.lit(t)).otherwise(out)
+    return out

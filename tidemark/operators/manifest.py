@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import file_stem
+from tidemark.functions.text import contains_any, first_contained
 from tidemark.functions.time import format_iso, parse_iso
 
 # Default search terms (lower-cased when used).
@@ -27,34 +27,38 @@ FRESHNESS_MARGIN_HOURS = 12
 
 
 def _first_term(text: Column, terms: list[str]) -> Column:
-    low = F.lower(text)
-    hits = F.filter(F.array(*[F.lit(t.lower()) for t in terms]), lambda t: F.instr(low, t) > 0)
-    return F.element_at(hits, 1)
+    return first_contained(text, [t.lower() for t in terms])
 
 
 def tag_files(files: DataFrame, search: dict | None = None) -> DataFrame:
     """PRJ-6 / S4: a file passes when its lower-cased title contains a
     title term, or its name contains a name term and a required
-    extension; its tag is ``<first matching term> data``. Only the first
-    passing file per (item, stem) is a candidate (``a.csv`` hides ``a.zip``).
-    Adds ``stem``, ``dftype``, ``passes``, ``candidate``."""
+    extension; its tag is ``<first matching term> data``. Adds ``stem``,
+    ``dftype`` and ``passes``; :func:`candidates` keeps the first passing
+    file per (item, stem) (``a.csv`` hides ``a.zip``)."""
     s = search or FILE_SEARCH
     t_title = _first_term(F.col("title"), s["title"])
     t_name = _first_term(F.col("name"), s["name"])
-    ext_ok = F.exists(F.array(*[F.lit(e.lower()) for e in s["ftype_req"]]),
-                      lambda e: F.instr(F.lower("name"), e) > 0)
+    ext_ok = contains_any(F.col("name"), [e.lower() for e in s["ftype_req"]])
     tag = (F.when(t_title.isNotNull(), F.concat(t_title, F.lit(" data")))
             .when(t_name.isNotNull() & ext_ok, F.concat(t_name, F.lit(" data"))))
-    stem = F.element_at(F.split("name", r"\."), 1)
-    f = files.withColumn("stem", stem).withColumn("dftype", tag) \
+    stem = F.substring_index("name", ".", 1)
+    return files.withColumn("stem", stem).withColumn("dftype", tag) \
         .withColumn("passes", F.col("dftype").isNotNull())
-    w = Window.partitionBy("item_id", "stem", "passes").orderBy("file_pos")
-    return f.withColumn("candidate", F.col("passes") & (F.row_number().over(w) == 1))
+
+
+def candidates(tagged: DataFrame) -> DataFrame:
+    """S4: first passing file per (item, stem) by list position. A hash
+    aggregate (partial on the map side) instead of a sorted window."""
+    cols = [c for c in tagged.columns if c not in ("item_id", "stem", "file_pos")]
+    return (tagged.where("passes").groupBy("item_id", "stem")
+                  .agg(F.min_by(F.struct(*cols), "file_pos").alias("_f"), F.min("file_pos").alias("file_pos"))
+                  .select("item_id", "stem", "file_pos", "_f.*"))
 
 
 def source_name(name: Column) -> Column:
     """Local source file of a candidate: a zip stands for ``<stem>.csv``."""
-    return F.when(F.instr(name, ".zip") > 0, F.concat(F.element_at(F.split(name, r"\."), 1), F.lit(".csv"))) \
+    return F.when(F.instr(name, ".zip") > 0, F.concat(F.substring_index(name, ".", 1), F.lit(".csv"))) \
         .otherwise(name)
 
 
@@ -78,12 +82,11 @@ def freshness(candidates: DataFrame, local: DataFrame, overwrite: bool = False,
 
 def manifest_summary(items: DataFrame, tagged: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
     """AGG-4: items, files, candidates, downloads and sizes in MB (/1e6)."""
-    f = tagged.agg(F.count("*").alias("total_files"),
-                   F.sum(F.when(F.col("candidate"), 1).otherwise(0)).cast("long").alias("candidate_files"),
-                   (F.sum(F.when(F.col("candidate"), F.col("size")).otherwise(0)) / F.lit(1e6))
-                   .alias("candidate_mb"))
-    cols = [items.select(F.count("*")).scalar().alias("items"), "total_files", "candidate_files",
-            "candidate_mb"]
+    cand = candidates(tagged)
+    f = tagged.agg(F.count("*").alias("total_files"))
+    cols = [items.select(F.count("*")).scalar().alias("items"), "total_files",
+            cand.select(F.count("*")).scalar().alias("candidate_files"),
+            cand.select(F.sum("size") / F.lit(1e6)).scalar().alias("candidate_mb")]
     if fresh is not None:
         cols += [fresh.select(F.sum(F.when(F.col("fetch"), 1).otherwise(0)).cast("long")).scalar()
                  .alias("downloads"),
@@ -105,7 +108,7 @@ def request_status(candidates: DataFrame, local: DataFrame, ext: str = ".csv") -
 
 def items_without_candidates(items: DataFrame, tagged: DataFrame) -> DataFrame:
     """JOIN-12."""
-    return items.join(tagged.where("candidate").select(F.col("item_id").alias("id")), on="id",
+    return items.join(tagged.where("passes").select(F.col("item_id").alias("id")), on="id",
                       how="left_anti")
 
 

@@ -242,11 +242,11 @@ def _tagged(spark, sf_dir):
 
 
 def _fresh(spark, sf_dir):
-    return mf.freshness(_tagged(spark, sf_dir).where("candidate"), fx.local_listing(spark, sf_dir))
+    return mf.freshness(mf.candidates(_tagged(spark, sf_dir)), fx.local_listing(spark, sf_dir))
 
 
 def candidate_files(spark, sf_dir):
-    return _tagged(spark, sf_dir).where("candidate").select("item_id", "name", "stem", "dftype", "size")
+    return mf.candidates(_tagged(spark, sf_dir)).select("item_id", "name", "stem", "dftype", "size")
 
 
 def manifest_summary(spark, sf_dir):
@@ -263,7 +263,7 @@ def items_without_files(spark, sf_dir):
 
 
 def request_status(spark, sf_dir):
-    return mf.request_status(_tagged(spark, sf_dir).where("candidate"), fx.local_listing(spark, sf_dir))
+    return mf.request_status(mf.candidates(_tagged(spark, sf_dir)), fx.local_listing(spark, sf_dir))
 
 
 def item_dates(spark, sf_dir):
@@ -310,7 +310,7 @@ def strip_html(spark, sf_dir):
 def dataset_metadata(spark, sf_dir):
     tagged = _tagged(spark, sf_dir)
     files = fx.manifest_files(spark, sf_dir)
-    cands = tagged.where("candidate").select("item_id", F.col("stem").alias("dataset"), "dftype",
+    cands = mf.candidates(tagged).select("item_id", F.col("stem").alias("dataset"), "dftype",
                                               mf.source_name(F.col("name")).alias("src_file"))
     items = fx.manifest_items(spark, sf_dir)
     ds = (mf.attach_items(cands, items)

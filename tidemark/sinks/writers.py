@@ -103,7 +103,7 @@ def size_compare(spark: SparkSession, left: str, right: str) -> DataFrame:
     """AGG-13: total bytes of two file sets (content is never read) and
     the percent difference of the second from the first."""
     def total(p):
-        return spark.read.format("binaryFile").load(p).select("length").agg(F.sum("length").alias("b"))
+        return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p).select("length").agg(F.sum("length").alias("b"))
     a, b = total(left).select(F.col("b").alias("left_bytes")), total(right).select(F.col("b").alias("right_bytes"))
     return a.select("left_bytes", b.select("right_bytes").scalar().alias("right_bytes")) \
         .withColumn("equal", F.col("left_bytes") == F.col("right_bytes")) \
