@@ -136,3 +136,22 @@ def normalize_delimiter(lines: DataFrame, to: str = ",", block_col: str | None =
 
     cells = F.transform("cells", lambda c: fix(ustrip(c), F.col("quote")))
     return r.select("file", "row_idx", F.array_join(cells, to).alias("line"))
+
+
+def infer_quoting(lines: DataFrame, text_columns: DataFrame, threshold: float = 0.99) -> DataFrame:
+    """AGG-3 per file: observed quoted cells = quote balance / 2; over all
+    cells > threshold -> ``all``; else over text cells > threshold ->
+    ``nonnumeric``; else ``minimal``. ``text_columns`` gives (file,
+    n_text) from the profile; the header width comes from the lines."""
+    d = data_rows(lines)
+    per = d.groupBy("file").agg(F.sum(quote_diff("line")).alias("balance"), F.count("*").alias("rows"))
+    h = sniff_header(lines).select("file", F.size("labels").alias("columns"))
+    j = per.join(h, on="file").join(text_columns, on="file", how="left")
+    observed = F.col("balance") / F.lit(2.0)
+    all_frac = F.try_divide(observed, (F.col("columns") * F.col("rows")).cast("double"))
+    text_frac = F.try_divide(observed, (F.coalesce(F.col("n_text"), F.lit(0)) * F.col("rows")).cast("double"))
+    style = (F.when(all_frac > threshold, F.lit("all"))
+              .when(text_frac > threshold, F.lit("nonnumeric"))
+              .otherwise(F.lit("minimal")))
+    return j.select("file", "rows", "columns", F.coalesce("n_text", F.lit(0)).alias("n_text"),
+                    "balance", style.alias("quoting"))

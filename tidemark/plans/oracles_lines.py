@@ -178,7 +178,39 @@ SELECT file, 'CRITICAL', 'label_space', NULL, label, 'variable names must be sin
 FROM labs WHERE contains(label, ' ')"""
 
 
+NUM_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+SPECIAL_RX = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+INT_RX = r"^\s*[+-]?\d+\s*$"
+BOOL_RX = r"^(True|False|TRUE|FALSE|true|false)$"
+
+
+def quote_style() -> str:
+    uq = ("CASE WHEN length(c) >= 2 AND starts_with(c, '\"') AND ends_with(c, '\"') "
+          "THEN substr(c, 2, length(c) - 2) ELSE c END")
+    return f"""WITH {all_lines()}, {SNIFF}, {RUNNING}, {PARSED},
+cp AS (SELECT file, n_labels, CAST(unnest(range(len(cells))) AS INTEGER) AS pos, unnest(cells) AS c FROM parsed),
+cv AS (SELECT file, pos, {uq} AS v FROM cp WHERE pos < n_labels),
+g AS (SELECT file, pos, count(*) AS n,
+             sum(CASE WHEN regexp_matches(v, '{BOOL_RX}') THEN 1 ELSE 0 END) AS b,
+             sum(CASE WHEN regexp_matches(v, '{INT_RX}') THEN 1 ELSE 0 END) AS i,
+             sum(CASE WHEN regexp_matches(v, '{NUM_RX}') OR regexp_matches(v, '{SPECIAL_RX}') THEN 1 ELSE 0 END) AS f
+      FROM cv GROUP BY file, pos),
+nt AS (SELECT l.file, CAST(sum(CASE WHEN g.n IS NULL OR NOT (g.b = g.n OR g.i = g.n OR g.f = g.n)
+                                    THEN 1 ELSE 0 END) AS INTEGER) AS n_text
+       FROM labs l LEFT JOIN g ON g.file = l.file AND g.pos = l.pos GROUP BY l.file),
+per AS (SELECT file, sum({QDIFF}) AS balance, count(*) AS rows FROM lines WHERE line_no > 0 GROUP BY file),
+j AS (SELECT per.file, per.rows, CAST(len(lab.labels) AS INTEGER) AS columns, coalesce(nt.n_text, 0) AS n_text,
+             CAST(per.balance AS BIGINT) AS balance
+      FROM per JOIN lab ON lab.file = per.file LEFT JOIN nt ON nt.file = per.file)
+SELECT file, rows, columns, n_text, balance,
+       CASE WHEN columns * rows > 0 AND balance / 2.0 / (columns * rows) > 0.99 THEN 'all'
+            WHEN n_text * rows > 0 AND balance / 2.0 / (n_text * rows) > 0.99 THEN 'nonnumeric'
+            ELSE 'minimal' END AS quoting
+FROM j"""
+
+
 ORACLES = {
+    "quote_style": quote_style,
     "standardize_qc": standardize_qc,
     "delimiter_sniff": delimiter_sniff,
     "label_guard": label_guard,

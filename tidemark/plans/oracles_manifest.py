@@ -114,7 +114,13 @@ SELECT item_id, src_file,
 FROM mf GROUP BY item_id, src_file"""
 
 
+def first_files() -> str:
+    return f"""WITH {FILES}
+SELECT DISTINCT src_file AS name FROM tagged WHERE candidate ORDER BY name LIMIT 10"""
+
+
 ORACLES = {
+    "first_files": first_files,
     "candidate_files": candidate_files,
     "manifest_summary": manifest_summary,
     "freshness": freshness,

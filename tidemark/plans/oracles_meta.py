@@ -141,7 +141,20 @@ SELECT dataset,
 FROM ds"""
 
 
+def column_directives() -> str:
+    nums = ["_meters", "minimum_", "maximum_", "_minimum_", "_maximum", "decimal", "in_meters", "inmeters"]
+    strs = ["_id", "_code"]
+    num = " OR ".join(f"contains(lower(name), '{t}')" for t in nums)
+    st = " OR ".join(f"contains(lower(name), '{t}')" for t in strs)
+    return f"""WITH {DVARS}
+SELECT dataset, pos, name AS label,
+       CASE WHEN lower(name) IN ('decimallongitude', 'decimallatitude', 'altitude', 'depth') THEN 'position'
+            WHEN {num} THEN 'numeric' WHEN {st} THEN 'string' ELSE 'none' END AS directive
+FROM dv"""
+
+
 ORACLES = {
+    "column_directives": column_directives,
     "variable_units": variable_units,
     "destination_names": destination_names,
     "axis_conflicts": axis_conflicts,

@@ -356,6 +356,30 @@ def incremental_profile(spark, sf_dir):
     return prof.select("column", "pos", "family", "max_len", "max_int", "non_null")
 
 
+def quote_style(spark, sf_dir):
+    from tidemark.plans.standardize import text_column_counts
+    lines = fx.all_lines(spark, sf_dir)
+    return st.infer_quoting(lines, text_column_counts(lines))
+
+
+def first_files(spark, sf_dir):
+    from tidemark.plans.standardize import first_files as ff
+    c = mf.candidates(_tagged(spark, sf_dir)).select(mf.source_name(F.col("name")).alias("name"))
+    return ff(c, 10)
+
+
+def column_directives(spark, sf_dir):
+    labels = fx.dataset_vars(spark, sf_dir).select("dataset", "pos", F.col("name").alias("label"))
+    return co.column_directives(labels)
+
+
+def catalog(spark, sf_dir):
+    cv = ct.catalog_variables(fx.dataset_vars(spark, sf_dir))
+    datasets = cv.select("dataset").distinct().withColumn(
+        "title", F.concat(F.lit("Occurrence table "), F.col("dataset")))
+    return ct.build_catalog(datasets, cv)
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -408,4 +432,8 @@ QUERIES: dict[str, Query] = {
     "standardize_qc": standardize_qc,
     "standardize_sampled": standardize_sampled,
     "incremental_profile": incremental_profile,
+    "quote_style": quote_style,
+    "first_files": first_files,
+    "column_directives": column_directives,
+    "catalog": catalog,
 }

@@ -153,3 +153,43 @@ def round_trip(df: DataFrame, row_idx: str = "row_idx", quoting: str = "minimal"
                                     for c in back.columns if c not in ("file", "row_idx")])
     src = df.select(row_idx, *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c != row_idx])
     return reconcile(src, back, on=row_idx, **opts)
+
+
+def apply_chain(df: DataFrame, steps) -> DataFrame:
+    """UDF-3 / UDF-1: an ordered chain of ``DataFrame -> DataFrame`` steps."""
+    for step in steps:
+        df = df.transform(step)
+    return df
+
+
+def first_files(files: DataFrame, n: int, name: str = "name") -> DataFrame:
+    """LIM-2: the first ``n`` distinct files by name (a distributed top-k;
+    ``n`` <= 0 keeps all)."""
+    names = files.select(name).distinct()
+    return names if n <= 0 else names.orderBy(name).limit(n)
+
+
+def text_column_counts(lines: DataFrame, block_col: str | None = None) -> DataFrame:
+    """(file, n_text): per file, the number of columns whose profile
+    family is ``object``. Works for any number of files and header
+    layouts at once: cells are profiled in long form (file, pos, cell)
+    with a partial aggregate per partition, so the shuffle carries one
+    row per (file, column) and partition, never the cells themselves."""
+    from tidemark.operators.profile import BOOL_RX as B, INT_RX as I
+    from tidemark.operators.structure import parsed_rows
+    r = parsed_rows(lines, block_col)
+    cells = (r.select("file", "n_labels", "quote", F.posexplode("cells").alias("pos", "cell"))
+              .where(F.col("pos") < F.col("n_labels"))
+              .select("file", "pos", unquote(F.col("cell")).alias("v")))
+    v = F.col("v")
+    g = cells.groupBy("file", "pos").agg(
+        F.count("*").alias("n"),
+        F.sum(F.when(v.rlike(B), 1).otherwise(0)).alias("b"),
+        F.sum(F.when(v.rlike(I), 1).otherwise(0)).alias("i"),
+        F.sum(F.when(v.rlike(NUMBER_RX) | v.rlike(SPECIAL_RX), 1).otherwise(0)).alias("f"))
+    obj = ~((F.col("b") == F.col("n")) | (F.col("i") == F.col("n")) | (F.col("f") == F.col("n")))
+    labels = header_labels(lines).select("file", "pos")
+    per_col = labels.join(g, on=["file", "pos"], how="left") \
+        .withColumn("is_text", F.col("n").isNull() | obj)
+    return per_col.groupBy("file").agg(F.sum(F.when(F.col("is_text"), 1).otherwise(0)).cast("int")
+                                       .alias("n_text"))
