@@ -162,3 +162,24 @@ def test_incremental_run_skips_seen_files(spark):
         f.write("b\n")
     incremental_run(spark, d, ck, process)
     assert seen == ["a", "b"]
+
+
+def test_dataset_attributes_report_and_catalog_sinks(spark):
+    from tidemark.operators.catalog import build_catalog, catalog_variables, write_catalog
+    from tidemark.sinks.writers import write_dataset, write_report
+    d = _scratch()
+    df = spark.createDataFrame([(1.0, "a")], "depth double, name string")
+    write_dataset(df, os.path.join(d, "ds"), {"depth": {"units": "m", "positive": "down"}}, {"title": "T"})
+    back = spark.read.parquet(os.path.join(d, "ds", "data"))
+    assert back.schema["depth"].metadata == {"units": "m", "positive": "down"}
+    attrs = json.loads(spark.read.json(os.path.join(d, "ds", "_attributes")).first()["attributes"])
+    assert attrs == {"title": "T"}
+    write_report(df, os.path.join(d, "report"))
+    assert spark.read.json(os.path.join(d, "report")).count() == 1
+    vars_ = spark.createDataFrame([("x", 0, "depth", "f8"), ("x", 1, "altitude", "f8")],
+                                  "dataset string, pos long, name string, dtype string")
+    cat = build_catalog(spark.createDataFrame([("x", "T")], "dataset string, title string"),
+                        catalog_variables(vars_))
+    write_catalog(cat, os.path.join(d, "catalog.xml"), fmt="xml")
+    text = "".join(r["value"] for r in spark.read.text(os.path.join(d, "catalog.xml")).collect())
+    assert "<dataset>" in text and "source_altitude" in text
