@@ -40,15 +40,43 @@ def page_number(row_idx, rows_per_file: int) -> Column:
     return (chunk_id(row_idx, rows_per_file) + 1).cast("int")
 
 
+BOOL_WORDS = ["True", "False", "TRUE", "FALSE", "true", "false"]
+
+
+def text_flags(df: DataFrame, cols: list[str], keep: list[Column] | None = None) -> DataFrame:
+    """Per-value classification of text columns, each regex evaluated
+    ONCE per value: a first projection holds the text and its strict
+    number test, a second derives the flags from those columns (an
+    integer is a number without '.', 'e' or 'E'; the special-number regex
+    only runs on values that are not numbers)."""
+    keep = keep or []
+    first = df.select(*keep, *[x for c in cols for x in (
+        F.col(f"`{c}`").cast("string").alias(f"v__{c}"),
+        F.coalesce(F.col(f"`{c}`").cast("string").rlike(NUMBER_RX), F.lit(False)).alias(f"fn__{c}"))])
+    out = []
+    for c in cols:
+        v, num = F.col(f"v__{c}"), F.col(f"fn__{c}")
+        out += [v, num,
+                (num & (F.instr(v, ".") == 0) & (F.instr(v, "e") == 0) & (F.instr(v, "E") == 0))
+                .alias(f"fi__{c}"),
+                F.when(num, F.lit(False)).otherwise(F.coalesce(v.rlike(SPECIAL_RX), F.lit(False)))
+                .alias(f"fs__{c}"),
+                F.coalesce(v.isin(*BOOL_WORDS), F.lit(False)).alias(f"fb__{c}")]
+    return first.select(*[F.col(k) if isinstance(k, str) else k for k in
+                          [c for c in first.columns if not (c.startswith("v__") or c.startswith("fn__"))]],
+                        *out)
+
+
 def _stats(c: str) -> list[Column]:
-    v = F.col(f"`{c}`").cast("string")
+    v = F.col(f"v__{c}")
+    num, is_int, special, is_bool = (F.col(f"{p}__{c}") for p in ("fn", "fi", "fs", "fb"))
     return [
         F.count(v).alias(f"n__{c}"),
-        F.sum(F.when(v.rlike(BOOL_RX), 1).otherwise(0)).alias(f"b__{c}"),
-        F.sum(F.when(v.rlike(INT_RX), 1).otherwise(0)).alias(f"i__{c}"),
-        F.sum(F.when(v.rlike(NUMBER_RX) | v.rlike(SPECIAL_RX), 1).otherwise(0)).alias(f"f__{c}"),
+        F.sum(is_bool.cast("long")).alias(f"b__{c}"),
+        F.sum(is_int.cast("long")).alias(f"i__{c}"),
+        F.sum((num | special).cast("long")).alias(f"f__{c}"),
         F.max(F.length(v)).alias(f"l__{c}"),
-        F.max(F.when(v.rlike(INT_RX), F.trim(v).cast("decimal(38,0)"))).alias(f"m__{c}"),
+        F.max(F.when(is_int, F.trim(v).cast("decimal(38,0)"))).alias(f"m__{c}"),
     ]
 
 
@@ -71,10 +99,10 @@ def profile(df: DataFrame, columns: list[str] | None = None, chunk: Column | Non
     ``int_overflow='string'`` (otherwise it stays ``int``, stored as long).
     """
     cols = columns or [c for c in df.columns if c != "row_idx"]
-    keyed = df.select(*([chunk.alias("chunk")] if chunk is not None else [F.lit(0).cast("long").alias("chunk")]),
-                      *[F.col(f"`{c}`") for c in cols])
+    ck = chunk.alias("chunk") if chunk is not None else F.lit(0).cast("long").alias("chunk")
+    flagged = text_flags(df, cols, keep=[ck])
     aggs = [a for c in cols for a in _stats(c)]
-    wide = keyed.groupBy("chunk").agg(*aggs)
+    wide = flagged.groupBy("chunk").agg(*aggs)
     rows = []
     for pos, c in enumerate(cols):
         n, b, i, f = (F.col(f"{p}__{c}") for p in "nbif")

@@ -85,9 +85,28 @@ def with_header(rows: DataFrame, lines: DataFrame) -> DataFrame:
     return rows.join(h, on="file", how="inner")
 
 
-def parsed_rows(lines: DataFrame, block_col: str | None = None) -> DataFrame:
-    """Data rows with running quote style, cells and width."""
-    r = with_header(running_quote_style(lines, block_col), lines)
+def styled_rows(lines: DataFrame, block_col: str | None = None) -> DataFrame:
+    """Data rows with the quote style needed to split them. A row without
+    any quote character splits the same way under either style and adds
+    nothing to the balance, so only rows that contain a quote go through
+    the running sum (and its shuffle); the others pass straight through
+    with ``balance`` NULL. Typical data has few quoted rows, so almost no
+    line text is shuffled."""
+    d = data_rows(lines)
+    hasq = (F.instr("line", '"') > 0) | (F.instr("line", "'") > 0)
+    q = running_sum(d.where(hasq), ["file"], "line_no", {"balance": quote_diff("line")},
+                    block_col=block_col)
+    q = q.withColumn("quote", F.when(F.col("balance") >= 0, F.lit('"')).otherwise(F.lit("'")))
+    nq = d.where(~hasq).withColumn("balance", F.lit(None).cast("long")).withColumn("quote", F.lit('"'))
+    return q.unionByName(nq)
+
+
+def parsed_rows(lines: DataFrame, block_col: str | None = None, full_style: bool = False) -> DataFrame:
+    """Data rows with quote style, cells and width. ``full_style`` gives
+    every row its running style (needed when the style is written out,
+    as in delimiter normalisation); otherwise only quoted rows need it."""
+    styled = running_quote_style(lines, block_col) if full_style else styled_rows(lines, block_col)
+    r = with_header(styled, lines)
     return (r.withColumn("cells", split_cells("line", F.col("delim"), F.col("quote")))
              .withColumn("width", F.size("cells")))
 
@@ -128,7 +147,7 @@ def normalize_delimiter(lines: DataFrame, to: str = ",", block_col: str | None =
     """PRJ-4: rewrite data rows with ``to`` as delimiter. Cells are split
     quote-aware, stripped, and a cell that contains ``to`` and is not
     already quoted is wrapped in the file's running quote character."""
-    r = parsed_rows(lines, block_col)
+    r = parsed_rows(lines, block_col, full_style=True)
 
     def fix(c, q):
         quoted = (F.length(c) >= 2) & F.startswith(c, q) & F.endswith(c, q)
