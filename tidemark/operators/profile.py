@@ -76,7 +76,10 @@ def _stats(c: str) -> list[Column]:
         F.sum(is_int.cast("long")).alias(f"i__{c}"),
         F.sum((num | special).cast("long")).alias(f"f__{c}"),
         F.max(F.length(v)).alias(f"l__{c}"),
-        F.max(F.when(is_int, F.trim(v).cast("decimal(38,0)"))).alias(f"m__{c}"),
+        # integers of up to 18 digits fit a long; longer ones count as
+        # the largest long (they exceed every storage limit anyway)
+        F.max(F.when(is_int, F.when(F.length(F.trim(v)) <= 18, F.trim(v).cast("long"))
+                     .otherwise(F.lit(9223372036854775807)))).alias(f"m__{c}"),
     ]
 
 

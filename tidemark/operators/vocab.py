@@ -150,17 +150,20 @@ def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
     ``vocab``: (term, ord, ...); ``candidates``: graph results (label, ...),
     one row per result (a label bound twice counts as two hits).
     Matching uses the fixed vocabulary; fuzzy hits are returned, not
-    added to it (order-independent)."""
+    added to it (order-independent). Exact and ignore-case matches come
+    from ONE join on the lower-cased name against the terms grouped by
+    their lower-cased form (the spellings of one term, and the last one
+    for the dictionary semantics of the ignore-case lookup)."""
     n = names.select("name").distinct()
-    terms = vocab.select("term", "ord")
-    verb = n.join(terms.select(F.col("term").alias("name")), on="name", how="left_semi") \
-        .select("name", F.lit("verbatim").alias("kind"), F.col("name").alias("term"))
-    rest = n.join(verb.select("name"), on="name", how="left_anti")
-    low_terms = (terms.groupBy(F.lower("term").alias("low"))
-                      .agg(F.max_by("term", "ord").alias("term")))  # last term wins
-    ic = rest.join(low_terms, F.lower(rest["name"]) == low_terms["low"], "inner") \
-        .select("name", F.lit("ignore_case").alias("kind"), "term")
-    rest = rest.join(ic.select("name"), on="name", how="left_anti")
+    lt = (vocab.groupBy(F.lower("term").alias("low"))
+               .agg(F.collect_set("term").alias("spellings"), F.max_by("term", "ord").alias("last")))
+    a = n.join(lt, F.lower(n["name"]) == lt["low"], "left")
+    exact = F.coalesce(F.array_contains("spellings", F.col("name")), F.lit(False))
+    a = a.select("name",
+                 F.when(exact, F.lit("verbatim")).when(F.col("low").isNotNull(), F.lit("ignore_case"))
+                 .alias("kind_a"),
+                 F.when(exact, F.col("name")).when(F.col("low").isNotNull(), F.col("last")).alias("term_a"))
+    rest = a.where(F.col("kind_a").isNull()).select("name")
 
     labels = candidates.groupBy("label").agg(F.count("*").alias("mult"))
     key1 = F.lower(F.regexp_replace("name", "[^A-Za-z0-9]+", ""))
@@ -175,18 +178,16 @@ def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
     best = per_stage.groupBy("name").agg(F.max_by(
         F.struct("stage", "hits", "labels"),
         F.struct((F.col("hits") == 1).alias("u"), F.col("hits"), (-F.col("stage")).alias("s"))).alias("b"))
-    fz = best.select("name", F.when(F.col("b.hits") == 1, F.lit("fuzzy")).otherwise(F.lit("nonunique"))
-                     .alias("kind"),
-                     F.when(F.col("b.hits") == 1, F.element_at("b.labels", 1)).alias("term"),
-                     F.col("b.labels").alias("candidates"), F.col("b.stage").alias("stage"))
-    none = rest.join(fz.select("name"), on="name", how="left_anti") \
-        .select("name", F.lit("no_match").alias("kind"), F.lit(None).cast("string").alias("term"))
-    empty = F.array().cast("array<string>")
-    return (verb.select("name", "kind", "term", empty.alias("candidates"), F.lit(0).alias("stage"))
-            .unionByName(ic.select("name", "kind", "term", empty.alias("candidates"), F.lit(0).alias("stage")))
-            .unionByName(fz)
-            .unionByName(none.select("name", "kind", "term", empty.alias("candidates"),
-                                     F.lit(0).alias("stage"))))
+    j = a.join(best, on="name", how="left")
+    unique = F.col("b.hits") == 1
+    kind = (F.when(F.col("kind_a").isNotNull(), F.col("kind_a"))
+             .when(unique, F.lit("fuzzy")).when(F.col("b").isNotNull(), F.lit("nonunique"))
+             .otherwise(F.lit("no_match")))
+    term = F.when(F.col("kind_a").isNotNull(), F.col("term_a")).when(unique, F.element_at("b.labels", 1))
+    fuzzy = F.col("kind_a").isNull() & F.col("b").isNotNull()
+    return j.select("name", kind.alias("kind"), term.alias("term"),
+                    F.when(fuzzy, F.col("b.labels")).otherwise(F.array().cast("array<string>")).alias("candidates"),
+                    F.when(fuzzy, F.col("b.stage")).otherwise(F.lit(0)).alias("stage"))
 
 
 def match_variables(variables: DataFrame, vocab: DataFrame, candidates: DataFrame,

@@ -23,7 +23,7 @@ from tidemark.functions.text import to_ascii
 from tidemark.operators import coerce as co
 from tidemark.operators.compare import reconcile
 from tidemark.operators.labels import check_labels
-from tidemark.operators.profile import BOOL_RX, INT32_MAX, INT_RX
+from tidemark.operators.profile import INT32_MAX, text_flags
 from tidemark.operators.structure import check_widths
 from tidemark.session import checkpoint_dir
 from tidemark.sinks.writers import write_csv
@@ -39,19 +39,17 @@ class Standardized:
 
 
 def _stats(cols: list[str], absent: str, positions: list[str]):
+    """Aggregates over :func:`text_flags` columns: the profile, the
+    numeric acceptance counts and the first value of each position axis."""
+    from tidemark.operators.profile import _stats as profile_stats
     aggs = []
     for c in cols:
-        v = F.col(f"`{c}`")
+        v, num = F.col(f"v__{c}"), F.col(f"fn__{c}")
         ok = v.isNotNull() & (v != "") & (v != " ")
-        aggs += [F.count(v).alias(f"n__{c}"),
-                 F.sum(F.when(v.rlike(BOOL_RX), 1).otherwise(0)).alias(f"b__{c}"),
-                 F.sum(F.when(v.rlike(INT_RX), 1).otherwise(0)).alias(f"i__{c}"),
-                 F.sum(F.when(v.rlike(NUMBER_RX) | v.rlike(SPECIAL_RX), 1).otherwise(0)).alias(f"f__{c}"),
-                 F.max(F.when(v.rlike(INT_RX), F.trim(v).cast("decimal(38,0)"))).alias(f"m__{c}"),
-                 F.max(F.length(v)).alias(f"l__{c}"),
-                 F.sum(F.when(ok, 1).otherwise(0)).alias(f"e__{c}"),
+        aggs += profile_stats(c)
+        aggs += [F.sum(F.when(ok, 1).otherwise(0)).alias(f"e__{c}"),
                  F.sum(F.when(v == F.lit(absent), 1).otherwise(0)).alias(f"a__{c}"),
-                 F.sum(F.when(ok & v.rlike(NUMBER_RX), 1).otherwise(0)).alias(f"p__{c}")]
+                 F.sum(F.when(ok & num, 1).otherwise(0)).alias(f"p__{c}")]
         if c in positions:
             aggs.append(F.min_by(v, F.when(v.isNotNull(), F.col("row_idx"))).alias(f"v__{c}"))
     return aggs
@@ -70,7 +68,8 @@ def standardize(lines: DataFrame, absent: str = "NA", time_cols: list[str] | Non
     # quote characters around cells are removed like a CSV reader does
     cells = raw.select("file", "row_idx", *[unquote(F.col(f"`{c}`")).alias(c) for c in cols])
     positions = [c for c in cols if c.lower() in axis]
-    row = cells.agg(*_stats(cols, absent, positions)).first().asDict()
+    flags = text_flags(cells, cols, keep=[F.col("row_idx")])
+    row = flags.agg(*_stats(cols, absent, positions)).first().asDict()
 
     types, out = {}, []
     for c in cols:
