@@ -204,7 +204,14 @@ def match_counts(matches: DataFrame) -> DataFrame:
 
 
 def missing_labels(matches: DataFrame) -> DataFrame:
-    """AGG-11: each unmatched name once, with the datasets lacking it."""
+    """AGG-11: each unmatched name once, with how many datasets lack it
+    and the first of them (a name can be missing from millions of
+    datasets, so the full list stays long-form: :func:`missing_label_datasets`)."""
     return (matches.where(F.col("kind") == "no_match").groupBy("name")
                    .agg(F.count_distinct("dataset").alias("n_datasets"),
-                        F.array_join(F.array_sort(F.collect_set("dataset")), ",").alias("datasets")))
+                        F.min("dataset").alias("first_dataset")))
+
+
+def missing_label_datasets(matches: DataFrame) -> DataFrame:
+    """(name, dataset) for every unmatched variable (long form)."""
+    return matches.where(F.col("kind") == "no_match").select("name", "dataset").distinct()

@@ -148,8 +148,7 @@ FROM mv GROUP BY dataset"""
 
 def missing_labels() -> str:
     return f"""{_with_matches()}
-SELECT name, count(DISTINCT dataset) AS n_datasets,
-       array_to_string(list_sort(list(DISTINCT dataset)), ',') AS datasets
+SELECT name, count(DISTINCT dataset) AS n_datasets, min(dataset) AS first_dataset
 FROM mv WHERE kind = 'no_match' GROUP BY name"""
 
 
