@@ -22,7 +22,7 @@ CATALOG_TYPES = {
 def catalog_type(dtype) -> Column:
     d = F.col(dtype) if isinstance(dtype, str) else dtype
     m = F.create_map(*[x for k, v in CATALOG_TYPES.items() for x in (F.lit(k), F.lit(v))])
-    return F.element_at(m, d)
+    return F.try_element_at(m, d)
 
 
 def axis_conflicts(variables: DataFrame) -> DataFrame:

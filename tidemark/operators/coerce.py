@@ -72,7 +72,7 @@ def position_precision(df: DataFrame, columns: list[str]) -> DataFrame:
     rows = []
     for i, c in enumerate(columns):
         parts = F.split(F.coalesce(F.col(f"`{c}`"), F.lit("")), r"\.", -1)
-        prec = F.when(F.size(parts) == 2, F.length(F.element_at(parts, 2))).otherwise(F.lit(0))
+        prec = F.when(F.size(parts) == 2, F.length(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(0))
         rows.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"),
                              F.col(f"`{c}`").alias("first_value"), prec.cast("int").alias("precision")))
     return first.select(F.inline(F.array(*rows)))

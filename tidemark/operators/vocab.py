@@ -93,7 +93,7 @@ def merge_vocab(a: DataFrame, b_results: DataFrame, ignore_case: bool = False,
             .select("term", "r.*"))
     bmap = F.map_from_arrays(F.array(*[F.lit(c) for c in other]),
                              F.array(*[F.lower(F.col(c)) for c in other]))
-    head = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.coalesce(F.element_at(bmap, k),
+    head = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.coalesce(F.try_element_at(bmap, k),
                                                                                   F.lit("")))))
     rest = F.map_filter(bmap, lambda k, v: ~F.array_contains(keys, k))
     added = new.select("term", F.lit(None).cast("long").alias("ord"),
@@ -183,7 +183,7 @@ def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
     kind = (F.when(F.col("kind_a").isNotNull(), F.col("kind_a"))
              .when(unique, F.lit("fuzzy")).when(F.col("b").isNotNull(), F.lit("nonunique"))
              .otherwise(F.lit("no_match")))
-    term = F.when(F.col("kind_a").isNotNull(), F.col("term_a")).when(unique, F.element_at("b.labels", 1))
+    term = F.when(F.col("kind_a").isNotNull(), F.col("term_a")).when(unique, F.try_element_at(F.col("b.labels"), F.lit(1)))
     fuzzy = F.col("kind_a").isNull() & F.col("b").isNotNull()
     return j.select("name", kind.alias("kind"), term.alias("term"),
                     F.when(fuzzy, F.col("b.labels")).otherwise(F.array().cast("array<string>")).alias("candidates"),

@@ -251,8 +251,8 @@ def variables(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = (F.when(k % 6 == 0, t)
              .when(k % 6 == 1, F.upper(t))
              .when(k % 6 == 2, F.regexp_replace(F.initcap("p_name"), " ", "_"))
-             .when(k % 6 == 3, F.concat(F.element_at(words, 2), F.lit("_"), F.element_at(words, 1)))
-             .when(k % 6 == 4, F.element_at(words, 2))
+             .when(k % 6 == 3, F.concat(F.try_element_at(words, F.lit(2)), F.lit("_"), F.try_element_at(words, F.lit(1))))
+             .when(k % 6 == 4, F.try_element_at(words, F.lit(2)))
              .otherwise(F.concat(F.lit("x"), k.cast("string"))))
     ds = F.concat(F.lit("dataset_"), F.lpad((k % 25).cast("string"), 2, "0"))
     return (p.select(ds.alias("dataset"), name.alias("name"), k)
@@ -344,5 +344,5 @@ def dataset_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = F.array(*[F.lit(t) for _, t in DATASET_LABELS])
     idx = (k % len(DATASET_LABELS) + 1).cast("int")
     return (p.select(F.concat(F.lit("dataset_"), F.lpad((k % 25).cast("string"), 2, "0")).alias("dataset"),
-                     F.element_at(names, idx).alias("name"), F.element_at(types, idx).alias("dtype"), k)
+                     F.try_element_at(names, idx).alias("name"), F.try_element_at(types, idx).alias("dtype"), k)
              .groupBy("dataset", "name", "dtype").agg(F.min("p_partkey").alias("pos")))

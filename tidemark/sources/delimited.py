@@ -37,7 +37,7 @@ def cells_table(lines: DataFrame, labels: list[str] | None = None, clean: bool =
         labels = list(first["labels"]) if first else []
     names = [_clean(x) for x in labels] if clean else labels
     r = parsed_rows(lines, block_col)
-    cols = [F.element_at("cells", i + 1).alias(n) for i, n in enumerate(names)]
+    cols = [F.try_element_at(F.col("cells"), F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
     return r.select("file", "row_idx", *cols)
 
 

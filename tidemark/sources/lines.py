@@ -72,7 +72,7 @@ def sniff_header(lines: DataFrame) -> DataFrame:
     counts = F.array(*[F.length("line") - F.length(F.replace("line", F.lit(d), F.lit("")))
                        for d in DELIMITERS])
     idx = F.array_position(counts, F.array_max(counts))
-    delim = F.element_at(F.array(*[F.lit(d) for d in DELIMITERS]), idx.cast("int"))
+    delim = F.try_element_at(F.array(*[F.lit(d) for d in DELIMITERS]), idx.cast("int"))
     h = h.select("file", "line", delim.alias("delim"))
     labels = F.transform(F.split(strip_quotes("line"), F.concat(F.lit("\\Q"), "delim", F.lit("\\E")), -1),
                          lambda x: ustrip(x))
