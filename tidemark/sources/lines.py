@@ -15,8 +15,11 @@ from tidemark.functions.text import strip_quotes, ustrip
 DELIMITERS = [",", "|", ";", "\t"]
 
 
+SPLIT_BROADCAST_LIMIT = 1_000_000  # split rows (about 120 TB of 128 MB splits)
+
+
 def read_lines(spark: SparkSession, path, encoding: str | None = None,
-               across_files: bool = False) -> DataFrame:
+               across_files: bool = False, broadcast_limit: int = SPLIT_BROADCAST_LIMIT) -> DataFrame:
     """Physical lines of text files with a 0-based line number.
 
     Numbering is two-phase (S1): each file split is read by one task in
@@ -44,6 +47,14 @@ def read_lines(spark: SparkSession, path, encoding: str | None = None,
         w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     offs = splits.select("file", "split", "_first",
                          F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
+    # The split table has one row per split; its size is bounded before
+    # any job runs (file count and total bytes from the file listing, the
+    # split size Spark will use), and within the limit it is broadcast, so
+    # the lines themselves are never shuffled to get their numbers. The
+    # ids stay consistent because both sides come from the same scan of
+    # the same query.
+    if _split_bound(spark, raw) <= broadcast_limit:
+        offs = F.broadcast(offs)
     # ``split`` becomes the first line number of the split: a bounded
     # block key that orders like the lines themselves
     out = (raw.join(offs, on=["file", "split"])
@@ -55,6 +66,30 @@ def read_lines(spark: SparkSession, path, encoding: str | None = None,
     return out
 
 
+def _split_bound(spark: SparkSession, df: DataFrame) -> int:
+    """Upper bound of the number of file splits of ``df``'s scan, computed
+    like Spark's file-partition planning from the listing alone."""
+    files = len(df.inputFiles())
+    total = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    conf = spark.conf
+    max_bytes = _bytes(conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    open_cost = _bytes(conf.get("spark.sql.files.openCostInBytes", "4m"))
+    par = max(1, spark.sparkContext.defaultParallelism)
+    per_core = (total + files * open_cost) // par
+    split = max(1, min(max_bytes, max(open_cost, per_core)))
+    return files + total // split + 1
+
+
+def _bytes(v: str) -> int:
+    v = str(v).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb", "b"):
+        if v.endswith(suffix):
+            v = v[: -len(suffix)] + (suffix[0] if suffix != "b" else "")
+            break
+    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+
+
 def data_rows(lines: DataFrame) -> DataFrame:
     """Data lines with their 0-based ``row_idx``."""
     return lines.where(F.col("line_no") > 0).withColumn("row_idx", F.col("line_no") - 1)
