@@ -51,3 +51,18 @@ def test_profile_is_mergeable(spark):
     merged = {r["column"]: (r["family"], r["max_len"], r["non_null"])
               for r in reconcile_types(pa.unionByName(pb)).collect()}
     assert merged == whole
+
+
+def test_stage2_ngram_path_equals_broadcast_path(spark):
+    from tidemark.operators.vocab import _stage2_pairs
+    names = spark.createDataFrame([(n,) for n in ["widget_red", "gizmo", "Old_Ring", "_", "x5", "ring_old",
+                                                  "a_b_c", "hot"]], "name string")
+    labels = spark.createDataFrame([(lab, 1 + i % 2) for i, lab in enumerate(
+        ["redwidget", "bluegizmo", "coldring", "oldring", "hotplate", "shotgun", "abc"])], "label string, mult long")
+    small = {(r["name"], r["label"], r["mult"]) for r in _stage2_pairs(names, labels, 10 ** 6).collect()}
+    big = {(r["name"], r["label"], r["mult"]) for r in _stage2_pairs(names, labels, 0).collect()
+           if r["label"] != "*"}
+    # the n-gram path reports a name without real tokens once, as '*'
+    assert {x for x in small if x[0] != "_"} == big
+    assert {x for x in small if x[0] == "_"} == {("_", lab, m) for _, lab, m in
+                                                  {(None, r["label"], r["mult"]) for r in labels.collect()}}

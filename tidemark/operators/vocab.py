@@ -23,7 +23,8 @@ PREDICATES = {"definition": "/Defintion", "label": "/Term", "details": "/Referen
 RDFS_LABEL = "rdfs:label"
 KINDS = ["verbatim", "ignore_case", "fuzzy", "nonunique", "no_match"]
 
-BROADCAST_LIMIT = 200_000
+BROADCAST_LIMIT = 200_000      # distinct labels that may be broadcast
+PAIR_LIMIT = 2_000_000_000     # name x label tests the nested-loop path may run
 
 
 def triple_pattern(triples: DataFrame, identifier_rx: str = "(?i)ioos",
@@ -106,13 +107,18 @@ def _tokens(name: Column) -> Column:
     return F.split(F.regexp_replace(name, "[^A-Za-z0-9]+", "_"), "_", -1)
 
 
-def _stage2_pairs(names: DataFrame, labels: DataFrame, broadcast_limit: int) -> DataFrame:
+def _stage2_pairs(names: DataFrame, labels: DataFrame, broadcast_limit: int,
+                  pair_limit: int = PAIR_LIMIT) -> DataFrame:
     """(name, label, mult) where every token of the name is contained
     (case-insensitive) in the label; ``labels`` holds distinct labels with
-    their multiplicity. An empty token is contained in every label (S7)."""
+    their multiplicity. An empty token is contained in every label (S7).
+
+    The broadcast nested loop is used only when the label table is small
+    enough to broadcast AND names x labels stays within ``pair_limit``
+    tests; otherwise the exact n-gram equi-join does the work."""
     n_labels = labels.count()
     toks = names.select("name", _tokens(F.col("name")).alias("toks"))
-    if n_labels <= broadcast_limit:
+    if n_labels <= broadcast_limit and n_labels * names.count() <= pair_limit:
         small = F.broadcast(labels.select("label", "mult", F.lower("label").alias("low")))
         j = toks.join(small, on=F.forall("toks", lambda t: F.instr(F.col("low"), F.lower(t)) > 0),
                       how="inner")
