@@ -183,3 +183,12 @@ def test_dataset_attributes_report_and_catalog_sinks(spark):
     write_catalog(cat, os.path.join(d, "catalog.xml"), fmt="xml")
     text = "".join(r["value"] for r in spark.read.text(os.path.join(d, "catalog.xml")).collect())
     assert "<dataset>" in text and "source_altitude" in text
+
+
+def test_header_offset_guess(spark):
+    rows = [("f", 0, "exported by tool"), ("f", 1, ""), ("f", 2, "a,b,c"), ("f", 3, "1,2,3"), ("f", 4, "4,,6"),
+            ("g", 0, "x|y"), ("g", 1, "1|2")]
+    from tidemark.sources.delimited import guess_header_offset
+    lines = spark.createDataFrame(rows, "file string, line_no long, line string")
+    got = {r["file"]: (r["header_line"], r["n_cells"]) for r in guess_header_offset(lines).collect()}
+    assert got == {"f": (2, 3), "g": (0, 2)}

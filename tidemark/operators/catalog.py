@@ -73,9 +73,21 @@ def dataset_of_file(stem, virtual: bool = True) -> Column:
     return part_base(s) if virtual else s
 
 
+# Catalogue attribute fallbacks.
+NO_INFO_URL = "Local source"
+NO_CATALOG_SUMMARY = "No summary info available"
+
+
 def build_catalog(datasets: DataFrame, cat_vars: DataFrame) -> DataFrame:
-    """CAT-1: one record per dataset with its global attributes and the
-    nested, ordered variable list."""
+    """CAT-1: one record per dataset with its global attributes (an info
+    URL and a summary fall back to fixed texts) and the nested, ordered
+    variable list."""
+    cols = set(datasets.columns)
+    datasets = datasets.withColumn(
+        "info_url", F.coalesce(F.col("link_url"), F.lit(NO_INFO_URL)) if "link_url" in cols else F.lit(NO_INFO_URL))
+    datasets = datasets.withColumn(
+        "summary", F.coalesce(F.col("summary"), F.lit(NO_CATALOG_SUMMARY)) if "summary" in cols
+        else F.lit(NO_CATALOG_SUMMARY))
     nested = (cat_vars.groupBy("dataset")
                       .agg(F.array_sort(F.collect_list(F.struct("pos", "name", "destination", "data_type",
                                                                 "category"))).alias("variables")))
