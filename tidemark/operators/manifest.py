@@ -48,11 +48,16 @@ def tag_files(files: DataFrame, search: dict | None = None) -> DataFrame:
 
 
 def candidates(tagged: DataFrame) -> DataFrame:
-    """S4: first passing file per (item, stem) by list position. A hash
-    aggregate (partial on the map side) instead of a sorted window."""
+    """S4: first passing file per (item, stem) by list position: a
+    grouped ``min_by`` (map-side partial aggregation; an item holding a
+    third of all files still spreads over its stems). The pass test is an
+    aggregate input, not a filter, so the optimizer cannot copy the tag
+    expressions into a pushed-down predicate."""
     cols = [c for c in tagged.columns if c not in ("item_id", "stem", "file_pos")]
-    return (tagged.where("passes").groupBy("item_id", "stem")
-                  .agg(F.min_by(F.struct(*cols), "file_pos").alias("_f"), F.min("file_pos").alias("file_pos"))
+    pos = F.when(F.col("passes"), F.col("file_pos"))
+    return (tagged.groupBy("item_id", "stem")
+                  .agg(F.min_by(F.struct(*cols), pos).alias("_f"), F.min(pos).alias("file_pos"))
+                  .where(F.col("file_pos").isNotNull())
                   .select("item_id", "stem", "file_pos", "_f.*"))
 
 
