@@ -278,7 +278,8 @@ def manifest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files listed in the items: stems ``occurrence_<order>_<line % 3>``
+    """Files listed in the items (``file_pos`` orders them within an
+    item): stems ``occurrence_<order>_<line % 3>``
     with ``.csv`` on even and ``.zip`` on odd line numbers (so stems
     repeat), line 7 a ``notes`` text file; a file title naming an
     occurrence extension when part key % 10 = 0; upload time = ship date,
@@ -294,8 +295,13 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
            .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")))
     return li.select(
         F.concat(F.lit("item_"), k.cast("string")).alias("item_id"),
-        F.struct(ln.alias("line"), F.col("l_partkey").alias("part"), F.col("l_suppkey").alias("supp"),
-                 F.col("l_extendedprice").alias("price")).alias("file_pos"),
+        # list position: line number first, then a fixed mix of the row's
+        # other fields (rows repeating an (order, line) pair stay ordered)
+        (ln.cast("long") * F.lit(10 ** 12)
+         + (F.col("l_partkey") * 1000003 + F.col("l_suppkey") * 10007
+            + F.round(F.col("l_extendedprice") * 100).cast("long") * 101
+            + F.datediff(F.col("l_shipdate").cast("date"), F.lit("1970-01-01").cast("date")))
+         % F.lit(10 ** 12)).alias("file_pos"),
         name.alias("name"),
         F.when(F.col("l_partkey") % 10 == 0, F.lit("DarwinCore:Occurrence extension")).alias("title"),
         F.concat(F.lit("http://example.org/files/"), name).alias("url"),

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 FILES = """
 mfiles AS (
-  SELECT 'item_' || CAST(l_orderkey AS VARCHAR) AS item_id, l_linenumber AS ln, l_partkey AS part,
-         l_suppkey AS supp, l_extendedprice AS price,
+  SELECT 'item_' || CAST(l_orderkey AS VARCHAR) AS item_id, l_linenumber AS ln,
+         CAST(l_linenumber AS BIGINT) * 1000000000000
+           + (l_partkey * 1000003 + l_suppkey * 10007 + CAST(round(l_extendedprice * 100) AS BIGINT) * 101
+              + datediff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) % 1000000000000 AS file_pos,
          CASE WHEN l_linenumber = 7 THEN 'notes_' || CAST(l_orderkey AS VARCHAR) || '.txt'
               WHEN l_linenumber % 2 = 0 THEN 'occurrence_' || CAST(l_orderkey AS VARCHAR) || '_'
                                              || CAST(l_linenumber % 3 AS VARCHAR) || '.csv'
@@ -35,7 +37,7 @@ mf AS (
 tagged AS (
   SELECT *, dftype IS NOT NULL AS passes,
          dftype IS NOT NULL AND row_number() OVER (PARTITION BY item_id, stem, dftype IS NOT NULL
-                                                   ORDER BY ln, part, supp, price) = 1 AS candidate
+                                                   ORDER BY file_pos) = 1 AS candidate
   FROM mf)"""
 
 ITEMS = """
@@ -109,7 +111,7 @@ FROM mf GROUP BY item_id"""
 def file_dates() -> str:
     return f"""WITH {FILES}
 SELECT item_id, src_file,
-       coalesce(strftime(arg_max_null(uploaded, struct_pack(a := ln, b := part, c := supp, d := price)),
+       coalesce(strftime(arg_max_null(uploaded, file_pos),
                          '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *') AS file_start_date
 FROM mf GROUP BY item_id, src_file"""
 

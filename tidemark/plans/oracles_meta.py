@@ -122,7 +122,7 @@ it AS (
 idate AS (SELECT item_id, coalesce(strftime(min(uploaded), '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *')
           AS item_start FROM mf GROUP BY item_id),
 fdate AS (SELECT item_id, src_file,
-                 coalesce(strftime(arg_max_null(uploaded, struct_pack(a := ln, b := part, c := supp, d := price)),
+                 coalesce(strftime(arg_max_null(uploaded, file_pos),
                                    '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *') AS file_start
           FROM mf GROUP BY item_id, src_file),
 ds AS (
