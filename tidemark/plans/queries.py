@@ -351,8 +351,10 @@ def incremental_profile(spark, sf_dir):
     from tidemark.streaming.incremental import incremental_profile as ip
     base = os.path.join(checkpoint_dir(spark), f"incremental-{uuid.uuid4().hex}")
     li = fx.lineitem_text(spark, sf_dir)
-    li.repartitionByRange(4, F.col("l_orderkey").cast("long")).write.parquet(f"{base}/source")
-    prof = ip(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint", schema=li.schema)
+    # the source arrives as four files, two per micro-batch
+    li.repartition(4, F.col("l_orderkey")).write.parquet(f"{base}/source")
+    prof = ip(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint", schema=li.schema,
+              max_files_per_trigger=2)
     return prof.select("column", "pos", "family", "max_len", "max_int", "non_null")
 
 
