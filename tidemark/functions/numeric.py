@@ -11,23 +11,42 @@ NUMBER_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 SPECIAL_RX = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
 
 
+# first characters a number text (NUMBER_RX) or a special word
+# (SPECIAL_RX) can start with; other text is rejected without a regex
+_NUM_START = list("0123456789+-. \t\n\x0b\f\r")
+_SPECIAL_START = list("nNiI+- \t\n\x0b\f\r")
+
+
+def number_like(col) -> Column:
+    """``rlike(NUMBER_RX)`` with a regex-free first-character screen."""
+    c = _c(col)
+    return F.when(F.substring(c, 1, 1).isin(*_NUM_START), c.rlike(NUMBER_RX)).otherwise(F.lit(False))
+
+
+def special_like(col) -> Column:
+    """``rlike(SPECIAL_RX)`` with a regex-free first-character screen."""
+    c = _c(col)
+    return F.when(F.substring(c, 1, 1).isin(*_SPECIAL_START), c.rlike(SPECIAL_RX)).otherwise(F.lit(False))
+
+
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def is_number_text(col) -> Column:
     c = _c(col)
-    return c.rlike(NUMBER_RX) | c.rlike(SPECIAL_RX)
+    return number_like(c) | special_like(c)
 
 
 def parse_number(col) -> Column:
     """Text -> double; NULL when the text is not a number."""
     c = _c(col)
     low = F.lower(F.trim(c))
-    return (F.when(c.rlike(NUMBER_RX), F.trim(c).cast("double"))
-             .when(c.rlike(SPECIAL_RX) & low.contains("nan"), F.lit(float("nan")))
-             .when(c.rlike(SPECIAL_RX) & low.startswith("-"), F.lit(float("-inf")))
-             .when(c.rlike(SPECIAL_RX), F.lit(float("inf"))))
+    special = special_like(c)
+    return (F.when(number_like(c), F.trim(c).cast("double"))
+             .when(special & low.contains("nan"), F.lit(float("nan")))
+             .when(special & low.startswith("-"), F.lit(float("-inf")))
+             .when(special, F.lit(float("inf"))))
 
 
 def equivalent(a, b) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import NUMBER_RX, parse_number
+from tidemark.functions.numeric import NUMBER_RX, number_like, parse_number
 from tidemark.functions.text import ustrip
 from tidemark.functions.time import OUT_FORMAT, days_since_epoch
 
@@ -41,7 +41,7 @@ def acceptance(df: DataFrame, columns: list[str], absent: str = "NA") -> DataFra
         ok = v.isNotNull() & (v != "") & (v != " ")
         aggs += [F.sum(F.when(ok, 1).otherwise(0)).alias(f"e__{c}"),
                  F.sum(F.when(v == F.lit(absent), 1).otherwise(0)).alias(f"a__{c}"),
-                 F.sum(F.when(ok & v.rlike(NUMBER_RX), 1).otherwise(0)).alias(f"p__{c}")]
+                 F.sum(F.when(ok & number_like(v), 1).otherwise(0)).alias(f"p__{c}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"),
                      F.col(f"e__{c}").cast("long").alias("entries"),

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.numeric import NUMBER_RX, SPECIAL_RX
+from tidemark.functions.numeric import NUMBER_RX, SPECIAL_RX, number_like, special_like
 
 INT_RX = r"^\s*[+-]?\d+\s*$"
 BOOL_RX = r"^(True|False|TRUE|FALSE|true|false)$"
@@ -52,14 +52,14 @@ def text_flags(df: DataFrame, cols: list[str], keep: list[Column] | None = None)
     keep = keep or []
     first = df.select(*keep, *[x for c in cols for x in (
         F.col(f"`{c}`").cast("string").alias(f"v__{c}"),
-        F.coalesce(F.col(f"`{c}`").cast("string").rlike(NUMBER_RX), F.lit(False)).alias(f"fn__{c}"))])
+        F.coalesce(number_like(F.col(f"`{c}`").cast("string")), F.lit(False)).alias(f"fn__{c}"))])
     out = []
     for c in cols:
         v, num = F.col(f"v__{c}"), F.col(f"fn__{c}")
         out += [v, num,
                 (num & (F.instr(v, ".") == 0) & (F.instr(v, "e") == 0) & (F.instr(v, "E") == 0))
                 .alias(f"fi__{c}"),
-                F.when(num, F.lit(False)).otherwise(F.coalesce(v.rlike(SPECIAL_RX), F.lit(False)))
+                F.when(num, F.lit(False)).otherwise(F.coalesce(special_like(v), F.lit(False)))
                 .alias(f"fs__{c}"),
                 F.coalesce(v.isin(*BOOL_WORDS), F.lit(False)).alias(f"fb__{c}")]
     return first.select(*[F.col(k) if isinstance(k, str) else k for k in
