@@ -132,6 +132,16 @@ def _num(c: str) -> str:
     return f"CASE WHEN {_rx(c, NUM_RX)} THEN CAST(trim({c}) AS DOUBLE) END"
 
 
+def numeric_coerce() -> str:
+    # The acceptance decisions are those numeric_accept checks: at every
+    # scale key 0 writes 'see note' as comment and key 70 a '?' latitude,
+    # so comment and latitude stay text; the numeric ones and the empty
+    # notes column (no entries, nothing to contradict) become doubles.
+    num = ["c_custkey", "c_nationkey", "c_acctbal", "c_notes", "decimalLongitude"]
+    cols = ", ".join(f"{_num(c)} AS {c}" if c in num else c for c in CT_COLS)
+    return f"WITH {CUSTOMER_TEXT}\nSELECT row_idx, {cols} FROM ct"
+
+
 def round_precision() -> str:
     def prec(c):
         return f"""(SELECT CAST(CASE WHEN len(string_split(v, '.')) = 2 THEN length(string_split(v, '.')[2]) ELSE 0 END AS INTEGER)
@@ -207,6 +217,7 @@ def incremental_profile() -> str:
 
 
 ORACLES = {
+    "numeric_coerce": numeric_coerce,
     "incremental_profile": incremental_profile,
     "column_profile": column_profile,
     "type_reconcile": type_reconcile,
