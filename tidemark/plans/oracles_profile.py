@@ -142,6 +142,21 @@ def numeric_coerce() -> str:
     return f"WITH {CUSTOMER_TEXT}\nSELECT row_idx, {cols} FROM ct"
 
 
+def standardize_sampled() -> str:
+    # Types are those sampled_types checks (the first 500 rows hold 'NA'
+    # balances, key 0's comment and key 70's '?' latitude at every scale);
+    # the all-empty notes column has no value left and is dropped.
+    def txt(c):
+        return f"CASE WHEN {c} = 'NA' THEN '' ELSE trim({c}) END AS {c}"
+
+    def integer(c):
+        return (f"CASE WHEN {_rx(c, NUM_RX)} THEN CAST(CAST(CAST(trim({c}) AS DOUBLE) AS BIGINT) AS INTEGER) "
+                f"END AS {c}")
+    cols = [integer("c_custkey"), txt("c_name"), integer("c_nationkey"), txt("c_acctbal"), txt("c_mktsegment"),
+            txt("c_comment"), txt("decimalLatitude"), f"{_num('decimalLongitude')} AS decimalLongitude"]
+    return f"WITH {CUSTOMER_TEXT}\nSELECT row_idx, {', '.join(cols)} FROM ct"
+
+
 def round_precision() -> str:
     def prec(c):
         return f"""(SELECT CAST(CASE WHEN len(string_split(v, '.')) = 2 THEN length(string_split(v, '.')[2]) ELSE 0 END AS INTEGER)
@@ -217,6 +232,7 @@ def incremental_profile() -> str:
 
 
 ORACLES = {
+    "standardize_sampled": standardize_sampled,
     "numeric_coerce": numeric_coerce,
     "incremental_profile": incremental_profile,
     "column_profile": column_profile,
