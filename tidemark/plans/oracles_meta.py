@@ -153,7 +153,18 @@ SELECT dataset, pos, name AS label,
 FROM dv"""
 
 
+def catalog() -> str:
+    return f"""WITH {DVARS}
+SELECT dataset, 'Occurrence table ' || dataset AS title, 'Local source' AS info_url,
+       'No summary info available' AS summary,
+       string_agg(destination, ',' ORDER BY pos) AS keywords, CAST(count(*) AS INTEGER) AS n_variables,
+       string_agg(CAST(pos AS VARCHAR) || ':' || name || ':' || destination || ':' || data_type || ':' || category,
+                  ';' ORDER BY pos) AS variables
+FROM cat GROUP BY dataset"""
+
+
 ORACLES = {
+    "catalog": catalog,
     "column_directives": column_directives,
     "variable_units": variable_units,
     "destination_names": destination_names,

@@ -379,7 +379,12 @@ def catalog(spark, sf_dir):
     cv = ct.catalog_variables(fx.dataset_vars(spark, sf_dir))
     datasets = cv.select("dataset").distinct().withColumn(
         "title", F.concat(F.lit("Occurrence table "), F.col("dataset")))
-    return ct.build_catalog(datasets, cv)
+    cat = ct.build_catalog(datasets, cv)
+    # the nested variable list, flattened to text for comparison
+    var_text = F.array_join(F.transform("variables", lambda v: F.concat_ws(
+        ":", v["pos"].cast("string"), v["name"], v["destination"], v["data_type"], v["category"])), ";")
+    return cat.select("dataset", "title", "info_url", "summary", "keywords", "n_variables",
+                      var_text.alias("variables"))
 
 
 QUERIES: dict[str, Query] = {
