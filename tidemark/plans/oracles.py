@@ -146,7 +146,43 @@ UNION ALL SELECT 'missing entries', 0, 0.0 FROM t
 UNION ALL SELECT 'extra entries', 0, 0.0 FROM t"""
 
 
+def reconcile_messages() -> str:
+    # the label facts of the two fixture schemas, then the verdict from the counters
+    return f"""{_orders_counts()}
+SELECT 'WARNING' AS severity, 'labels_differ' AS code,
+       'column labels do not match in sequence, processing by matches' AS message
+UNION ALL SELECT 'CRITICAL', 'extra_columns', 'extra data columns were identified: o_orderdate_utc, o_clerk'
+UNION ALL SELECT 'CRITICAL', 'missing_columns', 'missing data columns were identified: o_orderdate'
+UNION ALL SELECT CASE WHEN no_fltr_typ = 0 THEN 'INFO' ELSE 'WARNING' END, 'entry_agreement',
+       CASE WHEN no_share = 0 THEN 'PASSED entry-by-entry values in agreement'
+            WHEN no_fltr_typ = 0 THEN 'PASSED after filtering and equivalence removed errors'
+            ELSE 'CAUTION errors remain after post-filter and equivalence allowances' END FROM t"""
+
+
+def key_duplicates() -> str:
+    return """WITH d AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+           GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)
+SELECT 'source' AS side, l_orderkey, l_linenumber, n FROM d
+UNION ALL SELECT 'reconstructed', l_orderkey, l_linenumber, n FROM d"""
+
+
+def export_sizes() -> str:
+    line = ("length(concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), "
+            "CASE WHEN o_orderkey % 83 = 0 THEN 'NA' ELSE o_orderstatus END, "
+            "CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'), "
+            "o_orderpriority)) + 1")
+    header = len("o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority") + 1
+    return f"""WITH s AS (SELECT sum({line}) + {header} AS l, count(*) AS n FROM orders),
+b AS (SELECT CAST(l AS BIGINT) AS left_bytes, CAST(l + 12 * n AS BIGINT) AS right_bytes FROM s)
+SELECT left_bytes, right_bytes, left_bytes = right_bytes AS equal,
+       CAST(right_bytes - left_bytes AS DOUBLE) / (CAST(left_bytes AS DOUBLE) * 0.01) AS percent_difference
+FROM b"""
+
+
 ORACLES = {
+    "reconcile_messages": reconcile_messages,
+    "key_duplicates": key_duplicates,
+    "export_sizes": export_sizes,
     "round_trip": round_trip,
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,

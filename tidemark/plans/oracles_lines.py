@@ -209,7 +209,32 @@ SELECT file, rows, columns, n_text, balance,
 FROM j"""
 
 
+def header_offset() -> str:
+    dq = chr(39) + chr(34) + chr(39)
+    return f"""WITH {all_lines()},
+w AS (SELECT * FROM lines WHERE line_no < 500),
+dc AS (SELECT file,
+         sum(length(line) - length(replace(line, ',', ''))) AS c1,
+         sum(length(line) - length(replace(line, '|', ''))) AS c2,
+         sum(length(line) - length(replace(line, ';', ''))) AS c3,
+         sum(length(line) - length(replace(line, chr(9), ''))) AS c4
+       FROM w GROUP BY file),
+dl AS (SELECT file, CASE WHEN c1 >= c2 AND c1 >= c3 AND c1 >= c4 THEN ','
+                         WHEN c2 >= c3 AND c2 >= c4 THEN '|' WHEN c3 >= c4 THEN ';' ELSE chr(9) END AS delim
+       FROM dc),
+sp AS (SELECT w.file, w.line_no,
+         string_split(array_to_string(list_transform(string_split(w.line, {dq}),
+           lambda s, i: CASE WHEN (len(string_split(w.line, {dq})) - i) % 2 = 0
+                             THEN replace(s, dl.delim, chr(1)) ELSE s END), {dq}), chr(1)) AS cells
+       FROM w JOIN dl ON dl.file = w.file),
+nc AS (SELECT file, line_no, len(list_filter(cells, lambda c: length(trim(c)) > 0)) AS n FROM sp)
+SELECT file, arg_max(line_no, struct_pack(a := n, b := -line_no)) AS header_line,
+       CAST(arg_max(n, struct_pack(a := n, b := -line_no)) AS INTEGER) AS n_cells
+FROM nc GROUP BY file"""
+
+
 ORACLES = {
+    "header_offset": header_offset,
     "quote_style": quote_style,
     "standardize_qc": standardize_qc,
     "delimiter_sniff": delimiter_sniff,

@@ -387,6 +387,34 @@ def catalog(spark, sf_dir):
                       var_text.alias("variables"))
 
 
+def reconcile_messages(spark, sf_dir):
+    return orders_reconciliation(spark, sf_dir).messages()
+
+
+def key_duplicates(spark, sf_dir):
+    li = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        "l_orderkey", "l_linenumber", F.col("l_quantity").cast("string").alias("l_quantity"))
+    return reconcile(li, li, on=["l_orderkey", "l_linenumber"]).duplicate_keys()
+
+
+def header_offset(spark, sf_dir):
+    from tidemark.sources.delimited import guess_header_offset
+    return guess_header_offset(fx.all_lines(spark, sf_dir), window=500)
+
+
+def export_sizes(spark, sf_dir):
+    import os
+    import uuid
+
+    from tidemark.session import checkpoint_dir
+    from tidemark.sinks.writers import size_compare, write_csv
+    base = os.path.join(checkpoint_dir(spark), f"export-{uuid.uuid4().hex}")
+    src = fx.orders_source(spark, sf_dir)
+    write_csv(src, f"{base}/minimal", quoting="minimal")
+    write_csv(src, f"{base}/all", quoting="all")
+    return size_compare(spark, f"{base}/minimal", f"{base}/all")
+
+
 QUERIES: dict[str, Query] = {
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
@@ -443,4 +471,8 @@ QUERIES: dict[str, Query] = {
     "first_files": first_files,
     "column_directives": column_directives,
     "catalog": catalog,
+    "reconcile_messages": reconcile_messages,
+    "key_duplicates": key_duplicates,
+    "header_offset": header_offset,
+    "export_sizes": export_sizes,
 }

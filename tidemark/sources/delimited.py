@@ -80,8 +80,8 @@ def clean_header_labels(lines: DataFrame) -> DataFrame:
 def guess_header_offset(lines: DataFrame, window: int = 500) -> DataFrame:
     """SRC-5: per file, the header is the first line among the first
     ``window`` lines with the most non-empty cells (lines before it are a
-    preamble). Cells are split on the delimiter sniffed from that window's
-    lines; returns (file, header_line, n_cells)."""
+    preamble). Cells are split quote-aware on the delimiter sniffed from
+    that window's lines; returns (file, header_line, n_cells)."""
     from tidemark.sources.lines import DELIMITERS
     w = lines.where(F.col("line_no") < window)
     counts = F.array(*[F.length("line") - F.length(F.replace("line", F.lit(d), F.lit(""))) for d in DELIMITERS])
@@ -90,7 +90,9 @@ def guess_header_offset(lines: DataFrame, window: int = 500) -> DataFrame:
     delim = F.try_element_at(F.array(*[F.lit(d) for d in DELIMITERS]),
                              F.array_position(tot, F.array_max(tot)).cast("int"))
     d = w.join(per_file.select("file", delim.alias("delim")), on="file")
-    cells = F.split("line", F.concat(F.lit("\\Q"), F.col("delim"), F.lit("\\E")), -1)
+    # rows are read like a CSV reader reads them: quote-aware (double quote)
+    from tidemark.operators.structure import split_cells
+    cells = split_cells("line", F.col("delim"), '"')
     n = F.size(F.filter(cells, lambda c: F.length(F.trim(c)) > 0))
     return (d.select("file", "line_no", n.alias("n"))
              .groupBy("file").agg(F.max_by(F.struct(F.col("line_no").alias("header_line"), F.col("n").alias("n_cells")),
