@@ -19,14 +19,18 @@ _SPECIAL_START = list("nNiI+- \t\n\x0b\f\r")
 
 def number_like(col) -> Column:
     """``rlike(NUMBER_RX)`` with a regex-free first-character screen."""
+    from tidemark.functions.text import char_literals
     c = _c(col)
-    return F.when(F.substring(c, 1, 1).isin(*_NUM_START), c.rlike(NUMBER_RX)).otherwise(F.lit(False))
+    return F.when(F.substring(c, 1, 1).isin(*char_literals(_NUM_START)), c.rlike(NUMBER_RX)) \
+        .otherwise(F.lit(False))
 
 
 def special_like(col) -> Column:
     """``rlike(SPECIAL_RX)`` with a regex-free first-character screen."""
+    from tidemark.functions.text import char_literals
     c = _c(col)
-    return F.when(F.substring(c, 1, 1).isin(*_SPECIAL_START), c.rlike(SPECIAL_RX)).otherwise(F.lit(False))
+    return F.when(F.substring(c, 1, 1).isin(*char_literals(_SPECIAL_START)), c.rlike(SPECIAL_RX)) \
+        .otherwise(F.lit(False))
 
 
 def _c(col) -> Column:
@@ -54,8 +58,8 @@ def equivalent(a, b) -> Column:
     (``1.00`` = ``1``, NaN never equals), a number never equals text,
     two texts compare as text."""
     a, b = _c(a), _c(b)
-    na, nb = is_number_text(a), is_number_text(b)
     va, vb = parse_number(a), parse_number(b)
+    na, nb = va.isNotNull(), vb.isNotNull()   # NaN words parse to NaN, not NULL
     return (F.when(na & nb, (va == vb) & ~F.isnan(va))
              .when(~na & ~nb, a == b)
              .otherwise(F.lit(False)))

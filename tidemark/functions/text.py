@@ -19,12 +19,27 @@ _WS_CHARS = ([chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0
              + [chr(c) for c in (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
 
 
+_LIT_CACHE: dict = {}
+
+
+def char_literals(chars) -> list[Column]:
+    """Literal Columns for a fixed character set, built once per Spark
+    context (an ``isin`` over them becomes a hash-set test)."""
+    from pyspark import SparkContext
+    sc = SparkContext._active_spark_context
+    key = (id(sc), tuple(chars))
+    if key not in _LIT_CACHE:
+        _LIT_CACHE[key] = [F.lit(ch) for ch in chars]
+    return _LIT_CACHE[key]
+
+
 def ustrip(col) -> Column:
     """Unicode-aware strip (FN-13); Spark's ``trim`` only removes spaces.
     The regex runs only when the first or last character is white space
     (a set lookup), so clean cells cost no regex."""
     c = _c(col)
-    edge = F.substring(c, 1, 1).isin(*_WS_CHARS) | F.substring(c, -1, 1).isin(*_WS_CHARS)
+    ws = char_literals(_WS_CHARS)
+    edge = F.substring(c, 1, 1).isin(*ws) | F.substring(c, -1, 1).isin(*ws)
     return F.when(edge, F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")).otherwise(c)
 
 
