@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import cut_lineage
+
 # Predicate patterns of the vocabulary graph (the
 # definition predicate is spelled "Defintion" in the source graph).
 PREDICATES = {"definition": "/Defintion", "label": "/Term", "details": "/Reference",
@@ -81,6 +83,8 @@ def merge_vocab(a: DataFrame, b_results: DataFrame, ignore_case: bool = False,
     key order of ``a``'s first term ('' when the result lacks one), then
     the result's other keys; values lower-cased."""
     # key order of the first local term: one small array, fetched once
+    # (the vocabulary is cut from its lineage first, so it is built once)
+    a = cut_lineage(a)
     first = a.select(F.min_by(F.map_keys("attrs"), "ord")).first()[0] or []
     keys = F.array(*[F.lit(k.lower()) for k in first]).cast("array<string>")
     other = [c for c in ("identifier", "section", "definition", "details") if c in b_results.columns]
@@ -169,9 +173,13 @@ def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
                  F.when(exact, F.lit("verbatim")).when(F.col("low").isNotNull(), F.lit("ignore_case"))
                  .alias("kind_a"),
                  F.when(exact, F.col("name")).when(F.col("low").isNotNull(), F.col("last")).alias("term_a"))
+    # The distinct names and the distinct labels are written once to the
+    # shared checkpoint folder: their sizes decide the stage-2 strategy,
+    # and the later stages read them back instead of recomputing them.
+    a = cut_lineage(a)
     rest = a.where(F.col("kind_a").isNull()).select("name")
 
-    labels = candidates.groupBy("label").agg(F.count("*").alias("mult"))
+    labels = cut_lineage(candidates.groupBy("label").agg(F.count("*").alias("mult")))
     key1 = F.lower(F.regexp_replace("name", "[^A-Za-z0-9]+", ""))
     s1 = rest.withColumn("k", key1).join(labels.withColumn("k", F.lower("label")), on="k") \
         .select("name", "label", "mult", F.lit(1).alias("stage"))
