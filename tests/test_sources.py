@@ -192,3 +192,22 @@ def test_header_offset_guess(spark):
     lines = spark.createDataFrame(rows, "file string, line_no long, line string")
     got = {r["file"]: (r["header_line"], r["n_cells"]) for r in guess_header_offset(lines).collect()}
     assert got == {"f": (2, 3), "g": (0, 2)}
+
+
+def test_compare_files_end_to_end(spark):
+    from tidemark.plans.standardize import compare_files
+    d = _scratch()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write('id,name,value\n1,"x, y",1.0\n2,b,2\n3,c,NA\n')
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write('id,name,value,extra\n1,"x, y",1,e\n2,b,2.5,e\n')
+    r, sizes = compare_files(spark, os.path.join(d, "a.csv"), os.path.join(d, "b.csv"),
+                             postfilter=True, equivalence=True)
+    e = {x["measure"]: x["count"] for x in r.entries().collect()}
+    assert e["total source entries"] == 9 and e["shared (common) entries"] == 6
+    assert e["non-matching of shared entries"] == 2 and e["extra entries"] == 2
+    disc = {x["stage"]: x["count"] for x in r.discrepancies().collect()}
+    assert disc == {"non-matching": 2, "filtering": 2, "filtering + equivalence": 1}
+    errs = [(x["row_idx"], x["column"], x["original"], x["reproduced"]) for x in r.errors().collect()]
+    assert errs == [(1, "value", "2", "2.5")]
+    assert sizes.first()["equal"] is False

@@ -192,3 +192,18 @@ def text_column_counts(lines: DataFrame, block_col: str | None = None) -> DataFr
         .withColumn("is_text", F.col("n").isNull() | obj)
     return per_col.groupBy("file").agg(F.sum(F.when(F.col("is_text"), 1).otherwise(0)).cast("int")
                                        .alias("n_text"))
+
+
+def compare_files(spark, source_path: str, other_path: str, across_files: bool = False, **opts):
+    """PIPE-3 on two delimited files (or folders of parts): both are read
+    as lines (SRC-1), split quote-aware under their own headers (labels
+    cleaned on both sides), paired by row number and reconciled; the byte
+    sizes are compared too (AGG-13). Returns (Reconciliation, sizes)."""
+    from tidemark.sinks.writers import size_compare
+
+    def cells(path):
+        c = cells_table(read_lines(spark, path, across_files=across_files), block_col="split")
+        return c.drop("file")
+
+    r = reconcile(cells(source_path), cells(other_path), on="row_idx", **opts)
+    return r, size_compare(spark, source_path, other_path)
