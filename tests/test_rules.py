@@ -76,3 +76,19 @@ def test_reconcile_duplicate_labels_flagged(spark):
     r = reconcile(left, right)
     codes = [m["code"] for m in r.messages().collect()]
     assert "duplicate_labels" in codes
+
+
+def test_token_replace_equals_list_form_on_random_lines(spark):
+    rnd = random.Random(3)
+    toks = ["na", "NA", "n/a", "N/A", "none", "None", "x", "", "nan", "1"]
+    lines = [",".join(rnd.choice(toks) for _ in range(rnd.randint(1, 8))) for _ in range(3000)]
+
+    def list_form(line):
+        cells = line.split(",")
+        return ",".join("NA" if 0 < i < len(cells) - 1 and c.lower() in ("n/a", "none", "na") else c
+                        for i, c in enumerate(cells))
+
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, v string")
+    col = st.replace_tokens_line("v", {",n/a,": ",NA,", ",none,": ",NA,", ",na,": ",NA,"}, ignore_case=True)
+    got = [r[1] for r in df.select("i", col).orderBy("i").collect()]
+    assert got == [list_form(x) for x in lines]

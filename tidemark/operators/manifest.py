@@ -137,6 +137,22 @@ def file_start_dates(files: DataFrame) -> DataFrame:
                     F.coalesce(format_iso(F.col("u")), F.lit("timestamp unavailable *")).alias("file_start_date"))
 
 
+def dates_by_file(files: DataFrame) -> DataFrame:
+    """AGG-10 in one pass: per (item, source csv) the earliest upload time
+    and the upload time of the last listed file; per-item start dates are
+    the minimum over this (much smaller) table (:func:`item_start_dates`)."""
+    t = files.withColumn("uploaded", parse_iso(F.col("dateUploaded"))) \
+        .withColumn("src_file", source_name(F.col("name")))
+    return t.groupBy("item_id", "src_file").agg(F.min("uploaded").alias("first_uploaded"),
+                                                F.max_by("uploaded", "file_pos").alias("file_uploaded"))
+
+
+def item_start_dates(by_file: DataFrame) -> DataFrame:
+    return (by_file.groupBy("item_id").agg(F.min("first_uploaded").alias("u"))
+                   .select("item_id", F.coalesce(format_iso(F.col("u")), F.lit("timestamp unavailable *"))
+                           .alias("item_start")))
+
+
 def attach_items(datasets: DataFrame, items: DataFrame, on_item: str = "item_id") -> DataFrame:
     """JOIN-9: item metadata on each dataset (left join)."""
     return datasets.join(items.withColumnRenamed("id", on_item), on=on_item, how="left")

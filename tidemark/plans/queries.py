@@ -313,10 +313,13 @@ def dataset_metadata(spark, sf_dir):
     cands = mf.candidates(tagged).select("item_id", F.col("stem").alias("dataset"), "dftype",
                                               mf.source_name(F.col("name")).alias("src_file"))
     items = fx.manifest_items(spark, sf_dir)
+    by_file = mf.dates_by_file(files)   # one pass over the files for both dates
+    file_start = by_file.select("item_id", "src_file", F.coalesce(
+        F.date_format("file_uploaded", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("timestamp unavailable *"))
+        .alias("file_start"))
     ds = (mf.attach_items(cands, items)
-            .join(mf.item_dates(files).select("item_id", F.col("start_date").alias("item_start")), "item_id")
-            .join(mf.file_start_dates(files).withColumnRenamed("file_start_date", "file_start"),
-                  ["item_id", "src_file"], "left"))
+            .join(mf.item_start_dates(by_file), "item_id")
+            .join(file_start, ["item_id", "src_file"], "left"))
     return md.dataset_metadata(ds, now=F.lit(RUN_TIME))
 
 
