@@ -103,12 +103,14 @@ def manifest_summary(items: DataFrame, tagged: DataFrame, fresh: DataFrame | Non
 def request_status(candidates: DataFrame, local: DataFrame, ext: str = ".csv") -> DataFrame:
     """JOIN-10: local files of another request (``ignored``), requested
     files missing locally (``missing``) and the work list (``ok``)."""
-    req = candidates.select(source_name(F.col("name")).alias("file")).distinct()
-    loc = local.where(F.col("file").endswith(ext)).select("file").distinct()
-    ok = loc.join(req, on="file", how="left_semi").withColumn("status", F.lit("ok"))
-    ignored = loc.join(req, on="file", how="left_anti").withColumn("status", F.lit("ignored"))
-    missing = req.join(loc, on="file", how="left_anti").withColumn("status", F.lit("missing"))
-    return ok.unionByName(ignored).unionByName(missing)
+    # one full outer join of the two distinct name sets decides all three
+    req = candidates.select(source_name(F.col("name")).alias("file")).distinct() \
+        .withColumn("requested", F.lit(True))
+    loc = local.where(F.col("file").endswith(ext)).select("file").distinct().withColumn("present", F.lit(True))
+    j = req.join(loc, on="file", how="full_outer")
+    status = (F.when(F.col("requested") & F.col("present"), F.lit("ok"))
+               .when(F.col("present"), F.lit("ignored")).otherwise(F.lit("missing")))
+    return j.select("file", status.alias("status"))
 
 
 def items_without_candidates(items: DataFrame, tagged: DataFrame) -> DataFrame:
