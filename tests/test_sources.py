@@ -211,3 +211,15 @@ def test_compare_files_end_to_end(spark):
     errs = [(x["row_idx"], x["column"], x["original"], x["reproduced"]) for x in r.errors().collect()]
     assert errs == [(1, "value", "2", "2.5")]
     assert sizes.first()["equal"] is False
+
+
+def test_standardize_to_routes_failed_runs(spark):
+    from tidemark.plans.standardize import standardize_to
+    d = _scratch()
+    std = standardize_to(fx.part_lines(spark, SF_SMALL), os.path.join(d, "out"), "part",
+                         {"title": "parts"}, quarantine=os.path.join(d, "bad"))
+    assert os.path.isdir(os.path.join(d, "bad", "part", "data"))   # width errors are CRITICAL
+    assert not os.path.isdir(os.path.join(d, "out", "part"))
+    back = spark.read.parquet(os.path.join(d, "bad", "part", "data"))
+    assert back.count() == 200 and back.schema["p_retailprice"].metadata["units"] == "unspecified"
+    assert spark.read.json(os.path.join(d, "out", "_qc")).count() == std.qc.count()

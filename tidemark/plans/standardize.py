@@ -207,3 +207,27 @@ def compare_files(spark, source_path: str, other_path: str, across_files: bool =
 
     r = reconcile(cells(source_path), cells(other_path), on="row_idx", **opts)
     return r, size_compare(spark, source_path, other_path)
+
+
+def standardize_to(lines: DataFrame, path: str, dataset: str, global_meta: dict | None = None,
+                   quarantine: str | None = None, **opts) -> Standardized:
+    """PIPE-1 end to end: standardise, write the QC messages as a report
+    (SNK-4), and write the typed table with its variable attributes
+    (SNK-1) to ``path`` when the run has no CRITICAL message, otherwise to
+    ``quarantine`` (SNK-6). Variable attributes (long name, units,
+    positive, encoding) come from META-2 over the decided storage types."""
+    from tidemark.operators.metadata import variable_metadata
+    from tidemark.sinks.writers import write_dataset, write_report
+    std = standardize(lines, **opts)
+    spark = lines.sparkSession
+    write_report(std.qc, f"{path}/_qc")
+    failed = std.qc.where(F.col("severity") == "CRITICAL").limit(1).count() > 0
+    codes = {c: ("i4" if t.startswith("int") else "f8" if t.startswith(("float", "numeric", "position"))
+                 else "S1") for c, t in std.types.items()}
+    vars_ = spark.createDataFrame([(dataset, i, c, codes[c]) for i, c in enumerate(std.types)],
+                                  "dataset string, pos long, name string, dtype string")
+    meta = {r["name"]: {k: r[k] for k in ("long_name", "units", "positive", "encoding") if r[k] is not None}
+            for r in variable_metadata(vars_).collect()}
+    target = quarantine if (failed and quarantine) else path
+    write_dataset(std.table, f"{target}/{dataset}", meta, global_meta)
+    return std
