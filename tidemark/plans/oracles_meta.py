@@ -106,9 +106,9 @@ def strip_html() -> str:
 
 
 def dataset_metadata() -> str:
-    p = ["Phase I - Initial upload of data file(s) to ScienceBase item.",
+    p = ["Phase I - Initial upload of data file(s) to the repository item.",
          "Phase II - Initial QA/QC reprocessing to vocabulary Standards.",
-         "Phase III - Conversion to netCDF, report diagnostics."]
+         "Phase III - Conversion to columnar storage, report diagnostics."]
     return f"""WITH {FILES},
 it AS (
   SELECT 'item_' || CAST(o_orderkey AS VARCHAR) AS id,
