@@ -66,3 +66,16 @@ def test_stage2_ngram_path_equals_broadcast_path(spark):
     assert {x for x in small if x[0] != "_"} == big
     assert {x for x in small if x[0] == "_"} == {("_", lab, m) for _, lab, m in
                                                   {(None, r["label"], r["mult"]) for r in labels.collect()}}
+
+
+def test_wide_table_profile_and_reconcile(spark):
+    # 150 columns: beyond the whole-stage codegen field limit, still one aggregate
+    from tidemark.operators.compare import reconcile
+    n = 150
+    base = spark.range(0, 300).select(F.col("id").alias("row_idx"),
+                                      *[(F.col("id") * (i + 1)).cast("string").alias(f"c{i}") for i in range(n)])
+    prof = {r["column"]: r["family"] for r in profile(base, [f"c{i}" for i in range(n)]).collect()}
+    assert len(prof) == n and set(prof.values()) == {"int"}
+    other = base.withColumn("c7", F.when(F.col("row_idx") == 5, F.lit("x")).otherwise(F.col("c7")))
+    e = {r["measure"]: r["count"] for r in reconcile(base, other).entries().collect()}
+    assert e["non-matching of shared entries"] == 1 and e["shared (common) entries"] == 300 * n
