@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,3 +51,17 @@ def worker_cache() -> dict:
     if name not in sys.modules:
         sys.modules[name] = types.ModuleType(name)
     return sys.modules[name].__dict__
+
+
+def send(spark: SparkSession, value) -> Broadcast:
+    """Broadcast an object of a class that is shipped by value."""
+    return spark.sparkContext.broadcast((uuid.uuid4().hex, cloudpickle.dumps(value)))
+
+
+def received(sent: Broadcast):
+    """The object of ``send``, unpacked once per worker process."""
+    token, data = sent.value
+    cache = worker_cache()
+    if cache.get("received_token") != token:
+        cache["received_token"], cache["received"] = token, pickle.loads(data)
+    return cache["received"]
