@@ -57,7 +57,7 @@ def test_titles_categories_destinations(spark):
     df = spark.createDataFrame([("Survey occurrence data", "occurrence data"), ("Survey", "event data"),
                                 (None, "x")], "t string, g string")
     assert _vals(df, compose_title("t", "g")) == ["Survey occurrence data", "Survey event data",
-                                                  "Title not yet available"]
+                                                  "Untitled dataset"]
     names = spark.createDataFrame([("depth", False), ("Latitude", False), ("decimalLatitude", False),
                                    ("altitude", True), ("speed", False)], "n string, c boolean")
     assert _vals(names, destination_name("n", "c")) == ["depth", "source_Latitude", "latitude",

@@ -24,10 +24,15 @@ def test_no_single_partition_exchange_on_lines(spark):
         assert "SinglePartition" not in p
 
 
-def test_stage2_fuzzy_join_is_broadcast_not_cartesian(spark):
+def test_fuzzy_join_is_an_equi_join(spark):
     p = _plan(q.match_cascade(spark, SF_MID))
-    assert "CartesianProduct" not in p
-    assert "BroadcastNestedLoopJoin" in p
+    assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
+
+
+def test_single_layout_is_parsed_without_a_header_join(spark):
+    from tidemark.sources.delimited import cells_table
+    p = _plan(cells_table(fx.part_lines(spark, SF_MID)))
+    assert "Join" not in p.replace("JoinType", "") or p.count("Scan parquet") <= 4
 
 
 def test_running_sum_independent_of_partitioning(spark):
@@ -53,19 +58,19 @@ def test_profile_is_mergeable(spark):
     assert merged == whole
 
 
-def test_stage2_ngram_path_equals_broadcast_path(spark):
-    from tidemark.operators.vocab import _stage2_pairs
-    names = spark.createDataFrame([(n,) for n in ["widget_red", "gizmo", "Old_Ring", "_", "x5", "ring_old",
-                                                  "a_b_c", "hot"]], "name string")
-    labels = spark.createDataFrame([(lab, 1 + i % 2) for i, lab in enumerate(
-        ["redwidget", "bluegizmo", "coldring", "oldring", "hotplate", "shotgun", "abc"])], "label string, mult long")
-    small = {(r["name"], r["label"], r["mult"]) for r in _stage2_pairs(names, labels, 10 ** 6).collect()}
-    big = {(r["name"], r["label"], r["mult"]) for r in _stage2_pairs(names, labels, 0).collect()
-           if r["label"] != "*"}
-    # the n-gram path reports a name without real tokens once, as '*'
-    assert {x for x in small if x[0] != "_"} == big
-    assert {x for x in small if x[0] == "_"} == {("_", lab, m) for _, lab, m in
-                                                  {(None, r["label"], r["mult"]) for r in labels.collect()}}
+def test_stage2_pairs_equal_brute_force(spark):
+    import re
+
+    from tidemark.operators.vocab import _all_labels, _stage2_pairs
+    names = ["widget_red", "gizmo", "Old_Ring", "_", "**", "x5", "ring_old", "a_b_c", "hot", "o", "_d__r"]
+    labels = [(lab, 1 + i % 2) for i, lab in enumerate(["redwidget", "bluegizmo", "coldring", "OldRing", "hotplate", "shotgun", "abc"])]
+    n = spark.createDataFrame([(x,) for x in names], "name string")
+    lab = spark.createDataFrame(labels, "label string, mult long")
+    tokens = {x: [t.lower() for t in re.split("[^A-Za-z0-9]+", x) if t] for x in names}
+    want = {(x, y, m) for x in names for y, m in labels if tokens[x] and all(t in y.lower() for t in tokens[x])}
+    assert {(r["name"], r["label"], r["mult"]) for r in _stage2_pairs(n, lab).collect()} == want
+    every = {(r["name"], r["mult"], r["only"]) for r in _all_labels(n, lab).collect()}
+    assert {(x, m) for x, m, _ in every} == {("_", sum(m for _, m in labels)), ("**", sum(m for _, m in labels))}
 
 
 def test_wide_table_profile_and_reconcile(spark):

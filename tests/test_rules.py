@@ -92,3 +92,71 @@ def test_token_replace_equals_list_form_on_random_lines(spark):
     col = st.replace_tokens_line("v", {",n/a,": ",NA,", ",none,": ",NA,", ",na,": ",NA,"}, ignore_case=True)
     got = [r[1] for r in df.select("i", col).orderBy("i").collect()]
     assert got == [list_form(x) for x in lines]
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    from tidemark.functions.time import format_iso, parse_iso
+    from tidemark.operators.coerce import normalize_time
+    text = ["2020-01-01T00:00:00Z", "2020-07-01 12:30:00", "2020-07-01T12:30:00+02:00", "2020-03-08 02:30:00", "1969-12-31 23:59:59.5",
+            "2020-01-01T00:00:00.123456Z", "2020-01-01", "no time", None]
+    want = ["2020-01-01T00:00:00Z", "2020-07-01T12:30:00Z", "2020-07-01T10:30:00Z", "2020-03-08T02:30:00Z", "1969-12-31T23:59:59Z",
+            "2020-01-01T00:00:00Z", "2020-01-01T00:00:00Z", None, None]
+    days = [18262, 18444, 18444, 18329, -1, 18262, 18262, None, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(text)], "i int, v string")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            got = df.select("i", normalize_time("v", "string").alias("s"), normalize_time("v", "integer").alias("d"),
+                            format_iso(parse_iso("v")).alias("iso")).orderBy("i").collect()
+            assert [r["s"] for r in got] == want, z
+            assert [r["d"] for r in got] == days, z
+            assert got[0]["iso"] == want[0] and got[5]["iso"] == want[5] and got[7]["iso"] is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    kolkata = df.where("i = 1").select(normalize_time("v", "string", source_tz="Asia/Kolkata")).first()[0]
+    assert kolkata == "2020-07-01T07:00:00Z"
+
+
+def test_null_is_not_the_empty_text(spark):
+    left = spark.createDataFrame([(0, None), (1, ""), (2, None)], "row_idx long, x string")
+    right = spark.createDataFrame([(0, ""), (1, ""), (2, None)], "row_idx long, x string")
+    r = reconcile(left, right, equivalence=True)
+    assert [(x["shared"], x["raw_mismatch"], x["equivalent_mismatch"]) for x in r.by_column().collect()] == [(3, 1, 1)]
+
+
+def test_repeated_keys_are_not_paired(spark):
+    t = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, x string")
+    r = reconcile(t, t, on="k")
+    assert [m["severity"] for m in r.messages().where("code = 'repeated_keys'").collect()] == ["CRITICAL"]
+    assert {x["column"]: x["shared"] for x in r.by_column().collect()} == {"k": 1, "x": 1}
+    assert [d["rows"] for d in r.dims().collect()] == [4, 4, 0]
+
+
+def test_dotted_names_and_long_integers(spark):
+    from tidemark.operators.profile import profile
+    df = spark.createDataFrame([("00000000000000000000005", "99999999999999999999", "1")], "`a.b` string, big string, `c d` string")
+    got = {r["column"]: (r["family"], r["max_int"]) for r in profile(df, int_overflow="long").collect()}
+    assert got == {"a.b": ("int", 5), "big": ("object", None), "c d": ("int", 1)}
+
+
+def test_cells_keep_control_characters_and_inner_quotes(spark):
+    from tidemark.sources.delimited import cells_table
+    lines = spark.createDataFrame([("f", 0, "a,b"), ("f", 1, "x\u0001y,'it''s'"), ("f", 2, "'5','6'")], "file string, line_no long, line string")
+    got = [tuple(r) for r in cells_table(lines, unwrap=True).select("a", "b").orderBy("row_idx").collect()]
+    assert got == [("x\u0001y", "it's"), ("5", "6")]
+    import pytest
+    with pytest.raises(ValueError):
+        cells_table(lines.unionByName(spark.createDataFrame([("g", 0, "a,b,c")], lines.schema)))
+
+
+def test_standardize_single_quotes_strings_tokens_and_times(spark):
+    from tidemark.plans.standardize import standardize
+    rows = ["obs_id|n|when|note|bad_time"] + [f"{i}|'{i}'|2020-01-0{1 + i % 9} 01:00:00|n/a|never" for i in range(20)]
+    lines = spark.createDataFrame([("f", i, x) for i, x in enumerate(rows)], "file string, line_no long, line string")
+    std = standardize(lines, time_cols=["when", "bad_time"], time_mode="string", chunk_elements=10)
+    assert std.types == {"obs_id": "string", "n": "int", "when": "time(string)", "note": "numeric", "bad_time": "text"}
+    row = std.table.where("row_idx = 3").first()
+    assert (row["obs_id"], row["n"], row["when"], row["bad_time"]) == ("3", 3, "2020-01-04T01:00:00Z", "never")
+    assert {r["code"] for r in std.qc.collect()} == {"time_unparsed"}
+    assert std.quoting.first()["quoting"] in ("all", "nonnumeric", "minimal")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import NUMBER_RX, number_like, parse_number
 from tidemark.functions.text import ustrip
-from tidemark.functions.time import OUT_FORMAT, days_since_epoch
+from tidemark.functions.time import OUT_FORMAT, days_since_epoch, format_iso, to_utc
 
 # Name rules. Axis specs are keyed by lower-case label.
 AXIS_SPECS = {
@@ -44,10 +44,10 @@ def acceptance(df: DataFrame, columns: list[str], absent: str = "NA") -> DataFra
                  F.sum(F.when(ok & number_like(v), 1).otherwise(0)).alias(f"p__{c}")]
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"),
-                     F.col(f"e__{c}").cast("long").alias("entries"),
-                     F.col(f"a__{c}").cast("long").alias("absent"),
-                     F.col(f"p__{c}").cast("long").alias("parsable"),
-                     ((F.col(f"e__{c}") - F.col(f"a__{c}")) == F.col(f"p__{c}")).alias("accepted"))
+                     F.col(f"`e__{c}`").cast("long").alias("entries"),
+                     F.col(f"`a__{c}`").cast("long").alias("absent"),
+                     F.col(f"`p__{c}`").cast("long").alias("parsable"),
+                     ((F.col(f"`e__{c}`") - F.col(f"`a__{c}`")) == F.col(f"`p__{c}`")).alias("accepted"))
             for i, c in enumerate(columns)]
     return wide.select(F.inline(F.array(*rows)))
 
@@ -89,15 +89,16 @@ def coerce_position(df: DataFrame, columns: list[str], precision: dict[str, int]
                         if c in precision else _col(c)) for c in df.columns])
 
 
-def normalize_time(col, mode: str = "datetime", fmt: str = OUT_FORMAT) -> Column:
+def normalize_time(col, mode: str = "datetime", fmt: str = OUT_FORMAT, source_tz: str | None = None) -> Column:
     """COE-3: ``datetime`` -> UTC timestamp, ``string`` -> formatted UTC
-    text, ``integer`` -> whole days since 1970-01-01. Unparsable -> NULL."""
+    text, ``integer`` -> whole days since 1970-01-01. Unparsable -> NULL.
+    The session zone plays no part; ``source_tz`` is the zone of wall-clock text."""
     c = F.col(col) if isinstance(col, str) else col
-    ts = F.try_to_timestamp(c.cast("string"))
+    ts = to_utc(c, source_tz)
     if mode == "datetime":
         return ts
     if mode == "string":
-        return F.date_format(ts, fmt)
+        return format_iso(ts, fmt)
     if mode == "integer":
         return days_since_epoch(c)
     raise ValueError(f"unknown time mode {mode}")
@@ -127,8 +128,11 @@ def normalize_cell(col, type_name: str, absent: str = "NA") -> Column:
         return F.date_format(F.try_to_date(c), "yyyy-MM-dd")
     if type_name == "String":
         return F.when(c == F.lit(absent), F.lit("")).otherwise(ustrip(c))
-    if type_name == "Integer":
-        return F.when(c.rlike(NUMBER_RX), F.trim(c).cast("double").cast("long")).cast("int")
+    if type_name == "Integer":  # whole numbers keep all their digits; 64 bits, beyond that NULL
+        whole = F.trim(c).try_cast("bigint")
+        return F.when(c.rlike(NUMBER_RX), F.coalesce(F.when(c.rlike(r"^\s*[+-]?\d+\s*$"), whole),
+                                                     F.when(~c.rlike(r"^\s*[+-]?\d+\s*$"),
+                                                            F.trim(c).cast("double").try_cast("bigint"))))
     if type_name == "Decimal":
         return F.when(c.rlike(NUMBER_RX), F.trim(c).cast("double"))
     return c

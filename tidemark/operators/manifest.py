@@ -121,12 +121,12 @@ def items_without_candidates(items: DataFrame, tagged: DataFrame) -> DataFrame:
 
 def item_dates(files: DataFrame) -> DataFrame:
     """AGG-10 per item: start date = earliest parsable upload time, as
-    ``yyyy-MM-ddTHH:mm:ssZ`` text ('timestamp unavailable *' when none)."""
+    ``yyyy-MM-ddTHH:mm:ssZ`` text ('time not known' when none)."""
     t = files.withColumn("uploaded", parse_iso(F.col("dateUploaded")))
     g = t.groupBy("item_id").agg(F.min("uploaded").alias("first"), F.count("*").alias("files"),
                                  F.count("uploaded").alias("dated"))
     return g.select("item_id", "files", "dated",
-                    F.coalesce(format_iso(F.col("first")), F.lit("timestamp unavailable *")).alias("start_date"))
+                    F.coalesce(format_iso(F.col("first")), F.lit("time not known")).alias("start_date"))
 
 
 def file_start_dates(files: DataFrame) -> DataFrame:
@@ -136,7 +136,7 @@ def file_start_dates(files: DataFrame) -> DataFrame:
         .withColumn("src_file", source_name(F.col("name")))
     g = t.groupBy("item_id", "src_file").agg(F.max_by("uploaded", "file_pos").alias("u"))
     return g.select("item_id", "src_file",
-                    F.coalesce(format_iso(F.col("u")), F.lit("timestamp unavailable *")).alias("file_start_date"))
+                    F.coalesce(format_iso(F.col("u")), F.lit("time not known")).alias("file_start_date"))
 
 
 def dates_by_file(files: DataFrame) -> DataFrame:
@@ -151,7 +151,7 @@ def dates_by_file(files: DataFrame) -> DataFrame:
 
 def item_start_dates(by_file: DataFrame) -> DataFrame:
     return (by_file.groupBy("item_id").agg(F.min("first_uploaded").alias("u"))
-                   .select("item_id", F.coalesce(format_iso(F.col("u")), F.lit("timestamp unavailable *"))
+                   .select("item_id", F.coalesce(format_iso(F.col("u")), F.lit("time not known"))
                            .alias("item_start")))
 
 

@@ -18,6 +18,7 @@ INT_RX = r"^\s*[+-]?\d+\s*$"
 BOOL_RX = r"^(True|False|TRUE|FALSE|true|false)$"
 DATE_RX = r"^\d{4}-\d{2}-\d{2}$"
 INT32_MAX = 2147483647
+INT64_MAX = 9223372036854775807
 
 # family ranks of the reconciliation lattice: int < float < object
 _RANK = {"int": 1, "float": 2, "object": 3}
@@ -55,31 +56,30 @@ def text_flags(df: DataFrame, cols: list[str], keep: list[Column] | None = None)
         F.coalesce(number_like(F.col(f"`{c}`").cast("string")), F.lit(False)).alias(f"fn__{c}"))])
     out = []
     for c in cols:
-        v, num = F.col(f"v__{c}"), F.col(f"fn__{c}")
+        v, num = F.col(f"`v__{c}`"), F.col(f"`fn__{c}`")
         out += [v, num,
                 (num & (F.instr(v, ".") == 0) & (F.instr(v, "e") == 0) & (F.instr(v, "E") == 0))
                 .alias(f"fi__{c}"),
                 F.when(num, F.lit(False)).otherwise(F.coalesce(special_like(v), F.lit(False)))
                 .alias(f"fs__{c}"),
                 F.coalesce(v.isin(*BOOL_WORDS), F.lit(False)).alias(f"fb__{c}")]
-    return first.select(*[F.col(k) if isinstance(k, str) else k for k in
+    return first.select(*[F.col(f"`{k}`") if isinstance(k, str) else k for k in
                           [c for c in first.columns if not (c.startswith("v__") or c.startswith("fn__"))]],
                         *out)
 
 
 def _stats(c: str) -> list[Column]:
-    v = F.col(f"v__{c}")
-    num, is_int, special, is_bool = (F.col(f"{p}__{c}") for p in ("fn", "fi", "fs", "fb"))
+    v = F.col(f"`v__{c}`")
+    num, is_int, special, is_bool = (F.col(f"`{p}__{c}`") for p in ("fn", "fi", "fs", "fb"))
     return [
         F.count(v).alias(f"n__{c}"),
         F.sum(is_bool.cast("long")).alias(f"b__{c}"),
         F.sum(is_int.cast("long")).alias(f"i__{c}"),
         F.sum((num | special).cast("long")).alias(f"f__{c}"),
         F.max(F.length(v)).alias(f"l__{c}"),
-        # integers of up to 18 digits fit a long; longer ones count as
-        # the largest long (they exceed every storage limit anyway)
-        F.max(F.when(is_int, F.when(F.length(F.trim(v)) <= 18, F.trim(v).cast("long"))
-                     .otherwise(F.lit(9223372036854775807)))).alias(f"m__{c}"),
+        # any 38 digits are exact; a longer number counts as the largest of them
+        F.max(F.when(is_int, F.coalesce(F.trim(v).try_cast("decimal(38,0)"), F.lit("9" * 38).cast("decimal(38,0)"))))
+         .alias(f"m__{c}"),
     ]
 
 
@@ -99,7 +99,8 @@ def profile(df: DataFrame, columns: list[str] | None = None, chunk: Column | Non
     boolean word, ``int`` when every value is an integer, ``float`` when
     every value is a number, else ``object``. An ``int`` column whose
     maximum exceeds the 32-bit range becomes ``object`` when
-    ``int_overflow='string'`` (otherwise it stays ``int``, stored as long).
+    ``int_overflow='string'`` (otherwise it stays ``int``, stored as long, up to
+    the 64-bit range).
     """
     cols = columns or [c for c in df.columns if c != "row_idx"]
     ck = chunk.alias("chunk") if chunk is not None else F.lit(0).cast("long").alias("chunk")
@@ -108,13 +109,13 @@ def profile(df: DataFrame, columns: list[str] | None = None, chunk: Column | Non
     wide = flagged.groupBy("chunk").agg(*aggs)
     rows = []
     for pos, c in enumerate(cols):
-        n, b, i, f = (F.col(f"{p}__{c}") for p in "nbif")
+        n, b, i, f = (F.col(f"`{p}__{c}`") for p in "nbif")
         fam = _family(n, b, i, f)
-        mx = F.col(f"m__{c}")
-        if int_overflow == "string":
-            fam = F.when((fam == "int") & (mx > F.lit(INT32_MAX)), F.lit("object")).otherwise(fam)
+        mx = F.col(f"`m__{c}`")
+        limit = INT32_MAX if int_overflow == "string" else INT64_MAX  # beyond 64 bits only text keeps the digits
+        fam = F.when((fam == "int") & (mx > F.lit(limit)), F.lit("object")).otherwise(fam)
         rows.append(F.struct(F.lit(c).alias("column"), F.lit(pos).alias("pos"), fam.alias("family"),
-                             F.coalesce(F.col(f"l__{c}"), F.lit(0)).alias("max_len"),
+                             F.coalesce(F.col(f"`l__{c}`"), F.lit(0)).alias("max_len"),
                              F.when(fam == "int", mx.cast("long")).alias("max_int"),
                              n.alias("non_null")))
     return wide.select("chunk", F.inline(F.array(*rows)))
@@ -165,11 +166,11 @@ def string_width(max_len_col, pad: int = 2) -> Column:
     return F.greatest(c + F.lit(pad), F.lit(1))
 
 
-def guess_types(df: DataFrame, window: int = 500, columns: list[str] | None = None) -> DataFrame:
+def guess_types(df: DataFrame, window: int | None = 500, columns: list[str] | None = None) -> DataFrame:
     """SRC-5: guess (Integer, Decimal, Date, Bool, String) per column from
-    the first ``window`` rows; empty cells fit every type."""
+    the first ``window`` rows (None: all); empty cells fit every type."""
     cols = columns or [c for c in df.columns if c != "row_idx"]
-    s = df.where(F.col("row_idx") < window)
+    s = df if window is None else df.where(F.col("row_idx") < window)
     aggs = []
     for c in cols:
         v = F.col(f"`{c}`").cast("string")
@@ -183,12 +184,12 @@ def guess_types(df: DataFrame, window: int = 500, columns: list[str] | None = No
     wide = s.agg(*aggs)
     rows = []
     for pos, c in enumerate(cols):
-        n = F.col(f"n__{c}")
+        n = F.col(f"`n__{c}`")
         t = (F.when(n == 0, F.lit("String"))
-              .when(F.col(f"i__{c}") == n, F.lit("Integer"))
-              .when(F.col(f"f__{c}") == n, F.lit("Decimal"))
-              .when(F.col(f"d__{c}") == n, F.lit("Date"))
-              .when(F.col(f"b__{c}") == n, F.lit("Bool"))
+              .when(F.col(f"`i__{c}`") == n, F.lit("Integer"))
+              .when(F.col(f"`f__{c}`") == n, F.lit("Decimal"))
+              .when(F.col(f"`d__{c}`") == n, F.lit("Date"))
+              .when(F.col(f"`b__{c}`") == n, F.lit("Bool"))
               .otherwise(F.lit("String")))
         if c.lower() in ("altitude", "depth"):  # COE-7
             t = F.lit("Decimal")
@@ -207,7 +208,7 @@ def value_counts(df: DataFrame, columns: list[str] | None = None, absent: str =
         aggs.append(F.sum(F.when(real, 1).otherwise(0)).alias(f"v__{c}"))
     wide = df.agg(*aggs)
     rows = [F.struct(F.lit(c).alias("column"), F.lit(p).alias("pos"),
-                     F.col(f"v__{c}").cast("long").alias("n_values"))
+                     F.col(f"`v__{c}`").cast("long").alias("n_values"))
             for p, c in enumerate(cols)]
     return wide.select(F.inline(F.array(*rows))).withColumn("kept", F.col("n_values") > 0)
 

@@ -17,7 +17,7 @@ from tidemark.functions.text import ustrip
 from tidemark.operators.prefix import running_sum
 from tidemark.sources.lines import data_rows, sniff_header
 
-_SENTINEL = "\u0001"
+_SENTINEL = "\n"  # a physical line never holds a line feed
 
 
 def _c(col) -> Column:
@@ -78,9 +78,15 @@ def running_quote_style(lines: DataFrame, block_col: str | None = None) -> DataF
     return d.withColumn("quote", F.when(F.col("balance") >= 0, F.lit('"')).otherwise(F.lit("'")))
 
 
-def with_header(rows: DataFrame, lines: DataFrame) -> DataFrame:
+def with_header(rows: DataFrame, lines: DataFrame, header: tuple[str, list[str]] | None = None) -> DataFrame:
     """Attach (delim, labels, n_labels) of each file's header. The header
-    table has one row per file; AQE broadcasts it when it is small."""
+    table has one row per file; AQE broadcasts it when it is small. With a
+    known ``header`` (delimiter, labels) that all files share they are
+    literals, and the lines are not read for it again."""
+    if header is not None:
+        return (rows.withColumn("delim", F.lit(header[0]))
+                .withColumn("labels", F.array(*[F.lit(x) for x in header[1]]).cast("array<string>"))
+                .withColumn("n_labels", F.lit(len(header[1]))))
     h = sniff_header(lines).withColumn("n_labels", F.size("labels"))
     return rows.join(h, on="file", how="inner")
 
@@ -101,20 +107,22 @@ def styled_rows(lines: DataFrame, block_col: str | None = None) -> DataFrame:
     return q.unionByName(nq)
 
 
-def parsed_rows(lines: DataFrame, block_col: str | None = None, full_style: bool = False) -> DataFrame:
+def parsed_rows(lines: DataFrame, block_col: str | None = None, full_style: bool = False,
+                header: tuple[str, list[str]] | None = None) -> DataFrame:
     """Data rows with quote style, cells and width. ``full_style`` gives
     every row its running style (needed when the style is written out,
     as in delimiter normalisation); otherwise only quoted rows need it."""
     styled = running_quote_style(lines, block_col) if full_style else styled_rows(lines, block_col)
-    r = with_header(styled, lines)
+    r = with_header(styled, lines, header)
     return (r.withColumn("cells", split_cells("line", F.col("delim"), F.col("quote")))
              .withColumn("width", F.size("cells")))
 
 
-def check_widths(lines: DataFrame, block_col: str | None = None) -> DataFrame:
+def check_widths(lines: DataFrame, block_col: str | None = None,
+                 header: tuple[str, list[str]] | None = None) -> DataFrame:
     """AGG-1: every data row whose width differs from its header (all of
     them, not only the first) as CRITICAL qc rows."""
-    r = parsed_rows(lines, block_col)
+    r = parsed_rows(lines, block_col, header=header)
     return (r.where(F.col("width") != F.col("n_labels"))
              .select("file", "row_idx", "width", F.col("n_labels").alias("expected"),
                      F.lit("CRITICAL").alias("severity")))
@@ -146,12 +154,14 @@ def replace_tokens_line(line, mapping: dict[str, str], ignore_case: bool = False
 def normalize_delimiter(lines: DataFrame, to: str = ",", block_col: str | None = None) -> DataFrame:
     """PRJ-4: rewrite data rows with ``to`` as delimiter. Cells are split
     quote-aware, stripped, and a cell that contains ``to`` and is not
-    already quoted is wrapped in the file's running quote character."""
+    already quoted is wrapped in the file's running quote character, its
+    inner quote characters doubled."""
     r = parsed_rows(lines, block_col, full_style=True)
 
     def fix(c, q):
         quoted = (F.length(c) >= 2) & F.startswith(c, q) & F.endswith(c, q)
-        return F.when(~quoted & (F.instr(c, to) > 0), F.concat(q, c, q)).otherwise(c)
+        return F.when(~quoted & (F.instr(c, to) > 0),
+                      F.concat(q, F.replace(c, q, F.concat(q, q)), q)).otherwise(c)
 
     cells = F.transform("cells", lambda c: fix(ustrip(c), F.col("quote")))
     return r.select("file", "row_idx", F.array_join(cells, to).alias("line"))

@@ -5,10 +5,8 @@ WIN-6, AGG-9, AGG-11).
 Matching runs once per DISTINCT variable name and is joined back to the
 datasets. Exact and ignore-case stages are equi-joins. Fuzzy stage 1 is an
 equi-join on a computed key; fuzzy stage 2 (every token contained in the
-label) is a theta join: the candidate table is broadcast only after its
-row count was checked against ``broadcast_limit``; beyond it an exact
-n-gram equi-join finds the pairs instead (a label containing a token
-contains the token's first (up to three) characters as a substring).
+label) is an equi-join on the first characters of a name's longest token
+against the labels' substrings, and a test of the whole rule.
 """
 
 from __future__ import annotations
@@ -25,9 +23,6 @@ PREDICATES = {"definition": "/Defintion", "label": "/Term", "details": "/Referen
 RDFS_LABEL = "rdfs:label"
 KINDS = ["verbatim", "ignore_case", "fuzzy", "nonunique", "no_match"]
 
-BROADCAST_LIMIT = 200_000      # distinct labels that may be broadcast
-PAIR_LIMIT = 2_000_000_000     # name x label tests the nested-loop path may run
-
 
 def triple_pattern(triples: DataFrame, identifier_rx: str = "(?i)ioos",
                    require_predicate_label: bool = False,
@@ -53,14 +48,21 @@ def triple_pattern(triples: DataFrame, identifier_rx: str = "(?i)ioos",
     return out
 
 
+PAGE_STEP = 10 ** 18  # above any term number; page and number share one decimal(38)
+
+
 def vocab_from_attrs(attrs: DataFrame) -> DataFrame:
-    """(term, seq, ord, attr, value) rows -> vocab(term, ord, attrs map).
+    """(page_id, seq, ord, term, attr, value) rows -> vocab(term, ord, attrs
+    map). ``ord`` is page_id * ``PAGE_STEP`` + seq, a decimal that no page
+    size makes overlap.
 
     A term defined more than once keeps the attributes of its LAST
     definition (``seq``) and the position of its first (``ord``); the
     last definition per term is found with a partial aggregate before
     any attribute is collected, so a hot term never gathers all of its
     occurrences in one task."""
+    attrs = attrs.withColumn("seq", (F.col("page_id").cast("decimal(19,0)") * F.lit(PAGE_STEP).cast("decimal(19,0)")
+                                     + F.col("seq")).cast("decimal(38,0)"))
     last = attrs.groupBy("term").agg(F.max("seq").alias("seq"), F.min("seq").alias("first_seq"))
     keep = attrs.join(last, on=["term", "seq"], how="inner")
     # a repeated attribute keeps its first position and its last value
@@ -101,9 +103,9 @@ def merge_vocab(a: DataFrame, b_results: DataFrame, ignore_case: bool = False,
     head = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.coalesce(F.try_element_at(bmap, k),
                                                                                   F.lit("")))))
     rest = F.map_filter(bmap, lambda k, v: ~F.array_contains(keys, k))
-    added = new.select("term", F.lit(None).cast("long").alias("ord"),
+    added = new.select("term", F.lit(None).cast("decimal(38,0)").alias("ord"),
                        F.map_concat(head, rest).alias("attrs"), F.lit("graph").alias("source"))
-    return a.select("term", F.col("ord").cast("long").alias("ord"), "attrs",
+    return a.select("term", F.col("ord").cast("decimal(38,0)").alias("ord"), "attrs",
                     F.lit("local").alias("source")).unionByName(added)
 
 
@@ -111,51 +113,48 @@ def _tokens(name: Column) -> Column:
     return F.split(F.regexp_replace(name, "[^A-Za-z0-9]+", "_"), "_", -1)
 
 
-def _stage2_pairs(names: DataFrame, labels: DataFrame, broadcast_limit: int,
-                  pair_limit: int = PAIR_LIMIT) -> DataFrame:
+def _stage2_pairs(names: DataFrame, labels: DataFrame) -> DataFrame:
     """(name, label, mult) where every token of the name is contained
     (case-insensitive) in the label; ``labels`` holds distinct labels with
-    their multiplicity. An empty token is contained in every label (S7).
-
-    The broadcast nested loop is used only when the label table is small
-    enough to broadcast AND names x labels stays within ``pair_limit``
-    tests; otherwise the exact n-gram equi-join does the work."""
-    n_labels = labels.count()
-    toks = names.select("name", _tokens(F.col("name")).alias("toks"))
-    if n_labels <= broadcast_limit and n_labels * names.count() <= pair_limit:
-        small = F.broadcast(labels.select("label", "mult", F.lower("label").alias("low")))
-        j = toks.join(small, on=F.forall("toks", lambda t: F.instr(F.col("low"), F.lower(t)) > 0),
-                      how="inner")
-        return j.select("name", "label", "mult")
-    # exact n-gram equi-join for a large label table
-    tk = (toks.select("name", F.explode("toks").alias("tok")).withColumn("tok", F.lower("tok"))
-              .where(F.length("tok") > 0).distinct())
-    need = tk.groupBy("name").agg(F.count("*").alias("need"))
-    low = labels.select("label", "mult", F.lower("label").alias("low"))
-    pos = low.select("label", "mult", "low",
-                     F.explode(F.sequence(F.lit(1), F.greatest(F.length("low"), F.lit(1)))).alias("i"))
+    their multiplicity. Empty tokens are contained in every label (S7) and
+    so need no test; names without any other token are left to
+    :func:`_all_labels`.
+
+    One plan for every size: a label that contains a name's longest token
+    contains that token's first (up to three) characters, so an equi-join on
+    these finds all pairs, and the whole rule is tested on each."""
+    real = F.filter(F.transform(_tokens(F.col("name")), lambda t: F.lower(t)), lambda t: F.length(t) > 0)
+    longest = F.array_max(F.transform(F.col("toks"), lambda t, i: F.struct(F.length(t).alias("n"), (-i).alias("i"), t.alias("t"))))
+    tested = (names.select("name", real.alias("toks")).where(F.size("toks") > 0)
+              .withColumn("g", F.substring(longest["t"], 1, 3)))
+    low = labels.select("label", "mult", F.lower("label").alias("low")).where(F.length("low") > 0)
+    pos = low.select("label", "mult", "low", F.explode(F.sequence(F.lit(1), F.length("low"))).alias("i"))
     grams = pos.select("label", "mult", "low",
-                       F.explode(F.array(*[F.substring("low", F.col("i"), n) for n in (1, 2, 3)])).alias("g")) \
-        .distinct()
-    hit = (tk.withColumn("g", F.substring("tok", 1, 3)).join(grams, on="g")
-             .where(F.instr("low", F.col("tok")) > 0)
-             .groupBy("name", "label", "mult").agg(F.count_distinct("tok").alias("got")))
-    full = hit.join(need, on="name").where(F.col("got") == F.col("need")).select("name", "label", "mult")
-    # A name without any real token contains nothing to test, so every
-    # label matches; instead of emitting name x label pairs it gets one
-    # row standing for all labels ('*') with their total multiplicity.
-    anyname = names.join(need, on="name", how="left_anti").withColumn("_k", F.lit(1))
-    total = F.broadcast(labels.agg(F.sum("mult").alias("mult")).withColumn("_k", F.lit(1)))
-    every = anyname.join(total, on="_k").select("name", F.lit("*").alias("label"), "mult")
-    return full.unionByName(every)
-
-
-def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
-                broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+                       F.explode(F.array(*[F.substring("low", F.col("i"), n) for n in (1, 2, 3)])).alias("g")).distinct()
+    return (tested.join(grams, "g").where(F.forall("toks", lambda t: F.instr(F.col("low"), t) > 0))
+            .select("name", "label", "mult"))
+
+
+def _all_labels(names: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row (name, label ``*``, mult, only) for each name of special
+    characters alone: every label matches (S7), so it gets their total
+    number instead of name x label pairs; ``only`` is the label if there is
+    a single one."""
+    bare = names.where(F.length(F.regexp_replace("name", "[^A-Za-z0-9]+", "")) == 0)
+    total = labels.agg(F.coalesce(F.sum("mult"), F.lit(0)).alias("mult"), F.min("label").alias("only"))
+    one = total.first()  # two values
+    return (bare.select("name", F.lit("*").alias("label"), F.lit(one["mult"]).cast("long").alias("mult"),
+                        F.lit(one["only"]).cast("string").alias("only")).where(F.col("mult") > 0))
+
+
+def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame) -> DataFrame:
     """VOC-1 for distinct ``names`` (column ``name``): kind, matched term
     and candidate labels, following verbatim -> ignore_case -> fuzzy
     stage 1 (special characters removed, lower-case equality) -> stage 2
     (all tokens contained) with unique / nonunique / no_match (S7).
+    ``hits`` counts the candidate results. A name of special characters
+    alone matches every label: its ``candidates`` is the one entry ``*``
+    and ``hits`` their number.
 
     ``vocab``: (term, ord, ...); ``candidates``: graph results (label, ...),
     one row per result (a label bound twice counts as two hits).
@@ -174,8 +173,8 @@ def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
                  .alias("kind_a"),
                  F.when(exact, F.col("name")).when(F.col("low").isNotNull(), F.col("last")).alias("term_a"))
     # The distinct names and the distinct labels are written once to the
-    # shared checkpoint folder: their sizes decide the stage-2 strategy,
-    # and the later stages read them back instead of recomputing them.
+    # shared checkpoint folder; the later stages read them back instead of
+    # recomputing them.
     a = cut_lineage(a)
     rest = a.where(F.col("kind_a").isNull()).select("name")
 
@@ -183,31 +182,35 @@ def match_names(names: DataFrame, vocab: DataFrame, candidates: DataFrame,
     key1 = F.lower(F.regexp_replace("name", "[^A-Za-z0-9]+", ""))
     s1 = rest.withColumn("k", key1).join(labels.withColumn("k", F.lower("label")), on="k") \
         .select("name", "label", "mult", F.lit(1).alias("stage"))
-    s2 = _stage2_pairs(rest, labels, broadcast_limit).withColumn("stage", F.lit(2))
-    per_stage = s1.unionByName(s2).groupBy("name", "stage").agg(
-        F.sum("mult").alias("hits"),
-        F.array_sort(F.flatten(F.collect_list(F.array_repeat("label", F.col("mult").cast("int")))))
-        .alias("labels"))
+    s2 = _stage2_pairs(rest, labels).withColumn("stage", F.lit(2)).withColumn("only", F.lit(None).cast("string"))
+    every = _all_labels(rest, labels).withColumn("stage", F.lit(2))
+    per_stage = (s1.withColumn("only", F.lit(None).cast("string")).unionByName(s2).unionByName(every)
+                 .groupBy("name", "stage").agg(
+                     F.sum("mult").alias("hits"), F.max("only").alias("only"),
+                     F.array_sort(F.flatten(F.collect_list(F.when(F.col("label") == "*", F.array("label")).otherwise(
+                         F.transform(F.sequence(F.lit(1).cast("long"), F.col("mult")), lambda i: F.col("label"))))))
+                     .alias("labels")))
     # WIN-6: stop at a unique hit, otherwise the stage with most hits (earlier on ties)
     best = per_stage.groupBy("name").agg(F.max_by(
-        F.struct("stage", "hits", "labels"),
+        F.struct("stage", "hits", "labels", "only"),
         F.struct((F.col("hits") == 1).alias("u"), F.col("hits"), (-F.col("stage")).alias("s"))).alias("b"))
     j = a.join(best, on="name", how="left")
     unique = F.col("b.hits") == 1
     kind = (F.when(F.col("kind_a").isNotNull(), F.col("kind_a"))
              .when(unique, F.lit("fuzzy")).when(F.col("b").isNotNull(), F.lit("nonunique"))
              .otherwise(F.lit("no_match")))
-    term = F.when(F.col("kind_a").isNotNull(), F.col("term_a")).when(unique, F.try_element_at(F.col("b.labels"), F.lit(1)))
+    term = F.when(F.col("kind_a").isNotNull(), F.col("term_a")).when(
+        unique, F.coalesce(F.col("b.only"), F.try_element_at(F.col("b.labels"), F.lit(1))))
     fuzzy = F.col("kind_a").isNull() & F.col("b").isNotNull()
     return j.select("name", kind.alias("kind"), term.alias("term"),
                     F.when(fuzzy, F.col("b.labels")).otherwise(F.array().cast("array<string>")).alias("candidates"),
+                    F.when(fuzzy, F.col("b.hits")).otherwise(F.lit(0)).cast("long").alias("hits"),
                     F.when(fuzzy, F.col("b.stage")).otherwise(F.lit(0)).alias("stage"))
 
 
-def match_variables(variables: DataFrame, vocab: DataFrame, candidates: DataFrame,
-                    broadcast_limit: int = BROADCAST_LIMIT) -> DataFrame:
+def match_variables(variables: DataFrame, vocab: DataFrame, candidates: DataFrame) -> DataFrame:
     """Match distinct names once, join the result back to (dataset, name)."""
-    m = match_names(variables.select("name"), vocab, candidates, broadcast_limit)
+    m = match_names(variables.select("name"), vocab, candidates)
     return variables.join(m, on="name", how="left")
 
 

@@ -110,6 +110,18 @@ def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lines(spark, "customer.txt", "c_custkey|c_name|c_nationkey|c acctbal|c_mktsegment", rows)
 
 
+def preamble_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``part.csv`` with two lines above its header and two cells too many
+    in every 17th row."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    cells = [k.cast("string"), F.col("p_name"), F.col("p_brand"), F.col("p_size").cast("string")]
+    line = F.when(k % 17 == 0, F.concat_ws(",", *cells, F.lit("more"), F.lit("cells"))).otherwise(F.concat_ws(",", *cells))
+    rows = p.select((k + 3).alias("line_no"), line.alias("line"))
+    top = spark.createDataFrame([(1, "draft"), (2, "p_partkey,p_name,p_brand,p_size")], "line_no long, line string")
+    return _lines(spark, "part.csv", "exported by the parts office", rows.unionByName(top))
+
+
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_lines(spark, sf_dir).unionByName(customer_lines(spark, sf_dir))
 
@@ -181,8 +193,9 @@ def term_name(c: Column) -> Column:
 
 
 def term_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """HTML term tables built from the even part keys, 50 terms per page."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") % 2 == 0)
+    """HTML term tables built from all parts, 100 terms per page. (Labels
+    that are no local term come from the suppliers.)"""
+    p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     t = term_name(F.col("p_name"))
     row = F.concat(
@@ -342,13 +355,16 @@ DATASET_LABELS = [
 
 
 def dataset_vars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(dataset, pos, name, dtype): part key k gives dataset k % 25 a column
-    labelled by k % 16 (first key = position)."""
+    """(dataset, pos, name, dtype): each 40 part keys are a dataset; key k
+    gives it a column labelled by k % 16 (first key = position), every
+    40th a column named like the part's vocabulary term."""
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     names = F.array(*[F.lit(n) for n, _ in DATASET_LABELS])
     types = F.array(*[F.lit(t) for _, t in DATASET_LABELS])
     idx = (k % len(DATASET_LABELS) + 1).cast("int")
-    return (p.select(F.concat(F.lit("dataset_"), F.lpad((k % 25).cast("string"), 2, "0")).alias("dataset"),
-                     F.try_element_at(names, idx).alias("name"), F.try_element_at(types, idx).alias("dtype"), k)
+    own = k % 40 == 39
+    return (p.select(F.concat(F.lit("dataset_"), F.lpad(F.floor(k / 40).cast("string"), 9, "0")).alias("dataset"),
+                     F.when(own, term_name(F.col("p_name"))).otherwise(F.try_element_at(names, idx)).alias("name"),
+                     F.when(own, F.lit("S1")).otherwise(F.try_element_at(types, idx)).alias("dtype"), k)
              .groupBy("dataset", "name", "dtype").agg(F.min("p_partkey").alias("pos")))

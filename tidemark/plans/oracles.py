@@ -150,13 +150,13 @@ def reconcile_messages() -> str:
     # the label facts of the two fixture schemas, then the verdict from the counters
     return f"""{_orders_counts()}
 SELECT 'WARNING' AS severity, 'labels_differ' AS code,
-       'column labels do not match in sequence, processing by matches' AS message
-UNION ALL SELECT 'CRITICAL', 'extra_columns', 'extra data columns were identified: o_orderdate_utc, o_clerk'
-UNION ALL SELECT 'CRITICAL', 'missing_columns', 'missing data columns were identified: o_orderdate'
+       'label lists differ; columns are compared where names agree' AS message
+UNION ALL SELECT 'CRITICAL', 'extra_columns', 'only in the second table: o_orderdate_utc, o_clerk'
+UNION ALL SELECT 'CRITICAL', 'missing_columns', 'only in the first table: o_orderdate'
 UNION ALL SELECT CASE WHEN no_fltr_typ = 0 THEN 'INFO' ELSE 'WARNING' END, 'entry_agreement',
-       CASE WHEN no_share = 0 THEN 'PASSED entry-by-entry values in agreement'
-            WHEN no_fltr_typ = 0 THEN 'PASSED after filtering and equivalence removed errors'
-            ELSE 'CAUTION errors remain after post-filter and equivalence allowances' END FROM t"""
+       CASE WHEN no_share = 0 THEN 'all shared cells agree'
+            WHEN no_fltr_typ = 0 THEN 'shared cells agree once tokens and number formats are allowed for'
+            ELSE 'some shared cells differ even with all allowances' END FROM t"""
 
 
 def key_duplicates() -> str:
@@ -193,9 +193,9 @@ ORACLES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    from tidemark.plans import (oracles_lines, oracles_manifest, oracles_meta, oracles_profile,
+    from tidemark.plans import (oracles_io, oracles_lines, oracles_manifest, oracles_meta, oracles_profile,
                                 oracles_vocab)
     allq = dict(ORACLES)
-    for mod in (oracles_lines, oracles_profile, oracles_vocab, oracles_manifest, oracles_meta):
+    for mod in (oracles_io, oracles_lines, oracles_profile, oracles_vocab, oracles_manifest, oracles_meta):
         allq.update(mod.ORACLES)
     return {k: f() for k, f in allq.items()}

@@ -163,15 +163,15 @@ def normalize_delimiter() -> str:
     return f"""WITH lines AS ({CUST_LINES}), {SNIFF}, {RUNNING}, {PARSED}
 SELECT file, row_idx, array_to_string(list_transform(cells, lambda c:
     CASE WHEN NOT (length(trim(c)) >= 2 AND starts_with(trim(c), quote) AND ends_with(trim(c), quote))
-              AND contains(trim(c), ',') THEN quote || trim(c) || quote ELSE trim(c) END), ',') AS line
+              AND contains(trim(c), ',') THEN quote || replace(trim(c), quote, quote || quote) || quote ELSE trim(c) END), ',') AS line
 FROM parsed"""
 
 
 def standardize_qc() -> str:
     return f"""WITH lines AS ({part_lines()}), {SNIFF}, {RUNNING}, {PARSED}
 SELECT file, 'CRITICAL' AS severity, 'row_width' AS code, row_idx, CAST(NULL AS VARCHAR) AS "column",
-       'source file read in row ' || CAST(row_idx AS VARCHAR) || ': ' || CAST(len(cells) AS VARCHAR)
-       || ' cells for ' || CAST(n_labels AS VARCHAR) || ' labels' AS message
+       'row ' || CAST(row_idx AS VARCHAR) || ' has ' || CAST(len(cells) AS VARCHAR)
+       || ' cells under ' || CAST(n_labels AS VARCHAR) || ' labels' AS message
 FROM parsed WHERE len(cells) <> n_labels
 UNION ALL
 SELECT file, 'CRITICAL', 'label_space', NULL, label, 'variable names must be single string: ' || label
@@ -210,8 +210,12 @@ FROM j"""
 
 
 def header_offset() -> str:
+    return _header_rule(all_lines())
+
+
+def _header_rule(lines: str) -> str:
     dq = chr(39) + chr(34) + chr(39)
-    return f"""WITH {all_lines()},
+    return f"""WITH {lines},
 w AS (SELECT * FROM lines WHERE line_no < 500),
 dc AS (SELECT file,
          sum(length(line) - length(replace(line, ',', ''))) AS c1,
@@ -227,10 +231,11 @@ sp AS (SELECT w.file, w.line_no,
            lambda s, i: CASE WHEN (len(string_split(w.line, {dq})) - i) % 2 = 0
                              THEN replace(s, dl.delim, chr(1)) ELSE s END), {dq}), chr(1)) AS cells
        FROM w JOIN dl ON dl.file = w.file),
-nc AS (SELECT file, line_no, len(list_filter(cells, lambda c: length(trim(c)) > 0)) AS n FROM sp)
-SELECT file, arg_max(line_no, struct_pack(a := n, b := -line_no)) AS header_line,
-       CAST(arg_max(n, struct_pack(a := n, b := -line_no)) AS INTEGER) AS n_cells
-FROM nc GROUP BY file"""
+nc AS (SELECT file, line_no, len(list_filter(cells, lambda c: length(trim(c)) > 0)) AS n FROM sp),
+usual AS (SELECT file, n AS usual FROM (
+  SELECT file, n, row_number() OVER (PARTITION BY file ORDER BY count(*) DESC, n DESC) AS r FROM nc GROUP BY file, n) WHERE r = 1)
+SELECT nc.file, min(line_no) AS header_line, CAST(arg_min(n, line_no) AS INTEGER) AS n_cells
+FROM nc JOIN usual USING (file) WHERE n >= usual - 1 GROUP BY nc.file"""
 
 
 ORACLES = {

@@ -104,7 +104,7 @@ UNION ALL SELECT file, 'missing' FROM req WHERE file NOT IN (SELECT file FROM l)
 def item_dates() -> str:
     return f"""WITH {FILES}
 SELECT item_id, count(*) AS files, count(uploaded) AS dated,
-       coalesce(strftime(min(uploaded), '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *') AS start_date
+       coalesce(strftime(min(uploaded), '%Y-%m-%dT%H:%M:%SZ'), 'time not known') AS start_date
 FROM mf GROUP BY item_id"""
 
 
@@ -112,7 +112,7 @@ def file_dates() -> str:
     return f"""WITH {FILES}
 SELECT item_id, src_file,
        coalesce(strftime(arg_max_null(uploaded, file_pos),
-                         '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *') AS file_start_date
+                         '%Y-%m-%dT%H:%M:%SZ'), 'time not known') AS file_start_date
 FROM mf GROUP BY item_id, src_file"""
 
 

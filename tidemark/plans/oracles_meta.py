@@ -26,9 +26,9 @@ def wrap(expr: str) -> str:
 
 DVARS = f"""
 dv0 AS (
-  SELECT 'dataset_' || lpad(CAST(p_partkey % 25 AS VARCHAR), 2, '0') AS dataset,
-         {'[' + ', '.join(f"'{n}'" for n, _ in LABELS) + ']'}[CAST(p_partkey % 16 AS INTEGER) + 1] AS name,
-         {'[' + ', '.join(f"'{t}'" for _, t in LABELS) + ']'}[CAST(p_partkey % 16 AS INTEGER) + 1] AS dtype,
+  SELECT 'dataset_' || lpad(CAST(p_partkey // 40 AS VARCHAR), 9, '0') AS dataset,
+         CASE WHEN p_partkey % 40 = 39 THEN replace(p_name, ' ', '') ELSE {'[' + ', '.join(f"'{n}'" for n, _ in LABELS) + ']'}[CAST(p_partkey % 16 AS INTEGER) + 1] END AS name,
+         CASE WHEN p_partkey % 40 = 39 THEN 'S1' ELSE {'[' + ', '.join(f"'{t}'" for _, t in LABELS) + ']'}[CAST(p_partkey % 16 AS INTEGER) + 1] END AS dtype,
          p_partkey
   FROM part),
 dv AS (SELECT dataset, name, dtype, min(p_partkey) AS pos FROM dv0 GROUP BY dataset, name, dtype),
@@ -77,7 +77,8 @@ def variable_units() -> str:
     # axis labels here are letters only, so Python's title() is upper(first) || lower(rest)
     date_like = "(contains(lower(name), '_date') OR contains(name, 'Date'))"
     return f"""WITH {DVARS}, {LOCAL_VOCAB},
-vdef AS (SELECT term, value FROM lv WHERE attr = 'definition')
+vdef AS (SELECT term, max(value) FILTER (WHERE attr = 'definition') AS value,
+                string_agg(attr || '=' || value, ';' ORDER BY apos) AS vocab FROM lv GROUP BY term)
 SELECT c.dataset, c.pos, c.name, c.dtype,
        CASE WHEN c.dest IS NOT NULL THEN upper(substr(c.name, 1, 1)) || lower(substr(c.name, 2)) ELSE c.name END
          AS long_name,
@@ -92,8 +93,8 @@ SELECT c.dataset, c.pos, c.name, c.dtype,
             WHEN {date_like} OR contains(lower(c.name), '_time') THEN 'datetime (unspecified)' END AS units,
        c.positive,
        CASE WHEN c.dtype NOT IN ('i4', 'f8', 'i8') AND c.dest IS NULL THEN 'UTF-8' END AS encoding,
-       replace(replace({wrap('vdef.value')}, '"', ''), chr(39), '') AS definition,
-       CASE WHEN vdef.value IS NULL THEN 'could not identify verbatim match to vocabulary' END AS comment
+       replace(replace({wrap('vdef.value')}, '"', ''), chr(39), '') AS definition, vdef.vocab,
+       CASE WHEN vdef.vocab IS NULL THEN 'no term of vocabulary has this name' END AS comment
 FROM cat c LEFT JOIN vdef ON vdef.term = c.name"""
 
 
@@ -106,9 +107,7 @@ def strip_html() -> str:
 
 
 def dataset_metadata() -> str:
-    p = ["Phase I - Initial upload of data file(s) to the repository item.",
-         "Phase II - Initial QA/QC reprocessing to vocabulary Standards.",
-         "Phase III - Conversion to columnar storage, report diagnostics."]
+    p = ["source files deposited", "labels and cells standardised and checked", "written as typed columns with its reports"]
     return f"""WITH {FILES},
 it AS (
   SELECT 'item_' || CAST(o_orderkey AS VARCHAR) AS id,
@@ -117,27 +116,29 @@ it AS (
          '<p>Orders of customer ' || CAST(o_custkey AS VARCHAR) || ' with status "' || o_orderstatus
            || '" and priority ' || o_orderpriority || '. ' || repeat('Collected at sea station. ',
            CAST(o_orderkey % 9 AS INTEGER)) || '</p>' AS body,
-         CASE WHEN o_orderkey % 3 = 0 THEN 'Report ' || CAST(o_orderkey AS VARCHAR) END AS citation
+         CASE WHEN o_orderkey % 3 = 0 THEN 'Report ' || CAST(o_orderkey AS VARCHAR) END AS citation,
+         'http://example.org/items/' || CAST(o_orderkey AS VARCHAR) AS link_url
   FROM orders),
-idate AS (SELECT item_id, coalesce(strftime(min(uploaded), '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *')
+idate AS (SELECT item_id, coalesce(strftime(min(uploaded), '%Y-%m-%dT%H:%M:%SZ'), 'time not known')
           AS item_start FROM mf GROUP BY item_id),
 fdate AS (SELECT item_id, src_file,
                  coalesce(strftime(arg_max_null(uploaded, file_pos),
-                                   '%Y-%m-%dT%H:%M:%SZ'), 'timestamp unavailable *') AS file_start
+                                   '%Y-%m-%dT%H:%M:%SZ'), 'time not known') AS file_start
           FROM mf GROUP BY item_id, src_file),
 ds AS (
-  SELECT t.stem AS dataset, t.dftype, it.title, it.body, it.citation, idate.item_start, fdate.file_start
+  SELECT t.stem AS dataset, t.dftype, it.title, it.body, it.citation, it.link_url, idate.item_start, fdate.file_start
   FROM tagged t JOIN it ON it.id = t.item_id JOIN idate ON idate.item_id = t.item_id
   LEFT JOIN fdate ON fdate.item_id = t.item_id AND fdate.src_file = t.src_file
   WHERE t.candidate)
 SELECT dataset,
-       CASE WHEN title IS NULL THEN 'Title not yet available'
+       CASE WHEN title IS NULL THEN 'Untitled dataset'
             WHEN dftype IS NULL OR contains(title, dftype) THEN title ELSE title || ' ' || dftype END AS title,
        regexp_replace({wrap('body')}, '<[^>]*>|"', '', 'g') AS summary,
-       coalesce(citation, 'Journal/report publication not yet available') AS citation,
-       coalesce(item_start, 'timestamp unavailable *') || ': {p[0]}' || chr(10)
-         || coalesce(file_start, 'timestamp unavailable *') || ': {p[1]}' || chr(10)
-         || '2000-01-01T00:00:00Z: {p[2]}' AS history
+       coalesce(citation, 'No publication was cited') AS citation,
+       coalesce(item_start, 'time not known') || ': {p[0]}' || chr(10)
+         || coalesce(file_start, 'time not known') || ': {p[1]}' || chr(10)
+         || '2000-01-01T00:00:00Z: {p[2]}' AS history,
+       'item page: ' || link_url AS reference
 FROM ds"""
 
 

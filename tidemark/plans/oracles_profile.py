@@ -85,7 +85,7 @@ FROM fam"""
 
 
 def type_reconcile() -> str:
-    rows = int(1e5 / len(LT_COLS))
+    rows = int(1e6 / len(LT_COLS))
     return f"""WITH {LINEITEM_TEXT},
 s AS ({_profile_rows('lt', LT_COLS, f'CAST(floor(_key / {rows}) AS BIGINT)')}),
 fam AS (SELECT *, {_FAMILY} AS family FROM s),
@@ -150,8 +150,8 @@ def standardize_sampled() -> str:
         return f"CASE WHEN {c} = 'NA' THEN '' ELSE trim({c}) END AS {c}"
 
     def integer(c):
-        return (f"CASE WHEN {_rx(c, NUM_RX)} THEN CAST(CAST(CAST(trim({c}) AS DOUBLE) AS BIGINT) AS INTEGER) "
-                f"END AS {c}")
+        return (f"CASE WHEN {_rx(c, INT_RX)} THEN TRY_CAST(trim({c}) AS BIGINT) "
+                f"WHEN {_rx(c, NUM_RX)} THEN TRY_CAST(trunc(CAST(trim({c}) AS DOUBLE)) AS BIGINT) END AS {c}")
     cols = [integer("c_custkey"), txt("c_name"), integer("c_nationkey"), txt("c_acctbal"), txt("c_mktsegment"),
             txt("c_comment"), txt("decimalLatitude"), f"{_num('decimalLongitude')} AS decimalLongitude"]
     return f"WITH {CUSTOMER_TEXT}\nSELECT row_idx, {', '.join(cols)} FROM ct"

@@ -7,18 +7,18 @@ BASE = "http://example.org/ont/ioos"
 HTML_ROWS = """
 hr AS (
   SELECT CAST(floor(p_partkey / 100) AS BIGINT) AS page_id,
-         CAST(floor(p_partkey / 100) AS BIGINT) * 1000000 + CAST((p_partkey % 100) / 2 AS BIGINT) AS seq,
+         p_partkey % 100 AS seq, p_partkey AS gseq,
          replace(p_name, ' ', '') AS term, p_partkey AS k, p_type, p_brand, p_size
-  FROM part WHERE p_partkey % 2 = 0),
+  FROM part),
 attrs AS (
-  SELECT page_id, seq, 0 AS ord, term, 'definition' AS attr, p_type || ' ' || p_brand || ' part ' AS value FROM hr
-  UNION ALL SELECT page_id, seq, 1, term, 'comments', 'size ' || CAST(p_size AS VARCHAR) || ' ' FROM hr
-  UNION ALL SELECT page_id, seq, 2, term, 'details', 'index.htm#' || term FROM hr)"""
+  SELECT page_id, seq, gseq, 0 AS ord, term, 'definition' AS attr, p_type || ' ' || p_brand || ' part ' AS value FROM hr
+  UNION ALL SELECT page_id, seq, gseq, 1, term, 'comments', 'size ' || CAST(p_size AS VARCHAR) || ' ' FROM hr
+  UNION ALL SELECT page_id, seq, gseq, 2, term, 'details', 'index.htm#' || term FROM hr)"""
 
 LOCAL_VOCAB = HTML_ROWS + """,
-tl AS (SELECT term, max(seq) AS last_seq, min(seq) AS first_seq FROM attrs GROUP BY term),
+tl AS (SELECT term, max(gseq) AS last_seq, min(gseq) AS first_seq FROM attrs GROUP BY term),
 lv AS (SELECT a.term, tl.first_seq AS ord, a.ord AS apos, a.attr, a.value
-       FROM attrs a JOIN tl ON a.term = tl.term AND a.seq = tl.last_seq)"""
+       FROM attrs a JOIN tl ON a.term = tl.term AND a.gseq = tl.last_seq)"""
 
 TRIPLES = f"""
 fp AS (SELECT p_name, min(p_partkey) AS k FROM part GROUP BY p_name),
@@ -71,7 +71,7 @@ def html_terms() -> str:
 
 
 def vocab_terms() -> str:
-    return f"WITH {LOCAL_VOCAB}\nSELECT term, ord, CAST(apos AS INTEGER) AS apos, attr, value FROM lv"
+    return f"WITH {LOCAL_VOCAB}\nSELECT term, CAST(floor(ord / 100) AS BIGINT) AS page_id, ord % 100 AS seq, CAST(apos AS INTEGER) AS apos, attr, value FROM lv"
 
 
 def triple_pattern() -> str:
@@ -112,15 +112,15 @@ best AS (SELECT name, arg_max(struct_pack(stage := stage, hits := hits, labels :
                              struct_pack(u := hits = 1, h := hits, s := -stage)) AS b
          FROM ps GROUP BY name),
 fz AS (SELECT name, CASE WHEN b.hits = 1 THEN 'fuzzy' ELSE 'nonunique' END AS kind,
-              CASE WHEN b.hits = 1 THEN b.labels[1] END AS term, b.labels AS candidates, b.stage AS stage
+              CASE WHEN b.hits = 1 THEN b.labels[1] END AS term, b.labels AS candidates, b.stage AS stage, b.hits AS hits
        FROM best),
 m AS (
-  SELECT name, kind, term, CAST([] AS VARCHAR[]) AS candidates, 0 AS stage FROM verb
-  UNION ALL SELECT name, kind, term, CAST([] AS VARCHAR[]), 0 FROM ic
-  UNION ALL SELECT name, kind, term, candidates, stage FROM fz
-  UNION ALL SELECT name, 'no_match', NULL, CAST([] AS VARCHAR[]), 0 FROM r2
+  SELECT name, kind, term, CAST([] AS VARCHAR[]) AS candidates, 0 AS stage, 0 AS hits FROM verb
+  UNION ALL SELECT name, kind, term, CAST([] AS VARCHAR[]), 0, 0 FROM ic
+  UNION ALL SELECT name, kind, term, candidates, stage, hits FROM fz
+  UNION ALL SELECT name, 'no_match', NULL, CAST([] AS VARCHAR[]), 0, 0 FROM r2
             WHERE name NOT IN (SELECT name FROM fz)),
-mv AS (SELECT vars.dataset, vars.name, vars.pos, m.kind, m.term, m.stage, m.candidates
+mv AS (SELECT vars.dataset, vars.name, vars.pos, m.kind, m.term, m.stage, m.hits, m.candidates
        FROM vars LEFT JOIN m ON vars.name = m.name)"""
 
 
@@ -130,7 +130,7 @@ def _with_matches() -> str:
 
 def match_cascade() -> str:
     return f"""{_with_matches()}
-SELECT dataset, name, pos, kind, term, CAST(stage AS INTEGER) AS stage,
+SELECT dataset, name, pos, kind, term, CAST(stage AS INTEGER) AS stage, hits,
        CAST(len(candidates) AS INTEGER) AS n_candidates, array_to_string(candidates, '|') AS candidates
 FROM mv"""
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import clean_label
 from tidemark.operators import structure as st
 from tidemark.functions.text import to_ascii
-from tidemark.functions.time import OUT_FORMAT
+from tidemark.functions.time import OUT_FORMAT, format_iso
 from tidemark.operators import coerce as co
 from tidemark.operators import profile as pr
 from tidemark.functions.text import strip_tags, wrap_text
@@ -24,6 +24,7 @@ from tidemark.operators import vocab as vc
 from tidemark.operators.compare import reconcile
 from tidemark.operators.labels import check_labels, header_match
 from tidemark.plans import fixtures as fx
+from tidemark.plans.queries_io import IO_QUERIES
 from tidemark.sources.html_terms import extract_terms
 from tidemark.sources.lines import data_rows, header_labels, sniff_header
 
@@ -114,7 +115,7 @@ def normalize_delimiter(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Wave 3: profiling and cell coercion
 # --------------------------------------------------------------------------
-CHUNK_ELEMENTS = 1e5  # elements per chunk for the chunked profile
+CHUNK_ELEMENTS = 1e6  # elements per chunk for the chunked profile
 
 
 def column_profile(spark, sf_dir):
@@ -205,8 +206,10 @@ def html_terms(spark, sf_dir):
 
 def vocab_terms(spark, sf_dir):
     v = _local_vocab(spark, sf_dir)
-    return v.select("term", "ord", F.posexplode("attrs").alias("apos", "attr", "value")) \
-        .withColumn("apos", F.col("apos").cast("int"))
+    page = F.floor(F.col("ord") / vc.PAGE_STEP).cast("long")
+    return (v.select("term", page.alias("page_id"), (F.col("ord") % vc.PAGE_STEP).cast("long").alias("seq"),
+                     F.posexplode("attrs").alias("apos", "attr", "value"))
+            .withColumn("apos", F.col("apos").cast("int")))
 
 
 def triple_pattern(spark, sf_dir):
@@ -221,7 +224,7 @@ def vocab_merge(spark, sf_dir):
 
 def match_cascade(spark, sf_dir):
     m = _matches(spark, sf_dir)
-    return m.select("dataset", "name", "pos", "kind", "term", "stage",
+    return m.select("dataset", "name", "pos", "kind", "term", "stage", "hits",
                     F.size("candidates").alias("n_candidates"),
                     F.array_join("candidates", "|").alias("candidates"))
 
@@ -281,7 +284,9 @@ RUN_TIME = "2000-01-01T00:00:00Z"  # fixed processing time for reproducible hist
 
 
 def variable_units(spark, sf_dir):
-    return md.variable_metadata(fx.dataset_vars(spark, sf_dir), _local_vocab(spark, sf_dir))
+    m = md.variable_metadata(fx.dataset_vars(spark, sf_dir), _local_vocab(spark, sf_dir))
+    attrs = F.array_join(F.transform(F.map_entries("vocab"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ";")
+    return m.withColumn("vocab", attrs)
 
 
 def destination_names(spark, sf_dir):
@@ -315,7 +320,7 @@ def dataset_metadata(spark, sf_dir):
     items = fx.manifest_items(spark, sf_dir)
     by_file = mf.dates_by_file(files)   # one pass over the files for both dates
     file_start = by_file.select("item_id", "src_file", F.coalesce(
-        F.date_format("file_uploaded", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit("timestamp unavailable *"))
+        format_iso("file_uploaded"), F.lit(md.NO_TIME))
         .alias("file_start"))
     ds = (mf.attach_items(cands, items)
             .join(mf.item_start_dates(by_file), "item_id")
@@ -346,6 +351,9 @@ def standardize_sampled(spark, sf_dir):
     return ss(fx.customer_text(spark, sf_dir).drop("file"), window=500)[0]
 
 
+SOURCE_FILE_ROWS, SOURCE_FILES_PER_BATCH = 50_000, 8
+
+
 def incremental_profile(spark, sf_dir):
     import os
     import uuid
@@ -354,10 +362,10 @@ def incremental_profile(spark, sf_dir):
     from tidemark.streaming.incremental import incremental_profile as ip
     base = os.path.join(checkpoint_dir(spark), f"incremental-{uuid.uuid4().hex}")
     li = fx.lineitem_text(spark, sf_dir)
-    # the source arrives as four files, two per micro-batch
-    li.repartition(4, F.col("l_orderkey")).write.parquet(f"{base}/source")
+    # the source arrives in files of bounded size, several per micro-batch
+    li.write.option("maxRecordsPerFile", SOURCE_FILE_ROWS).parquet(f"{base}/source")
     prof = ip(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint", schema=li.schema,
-              max_files_per_trigger=2)
+              max_files_per_trigger=SOURCE_FILES_PER_BATCH)
     return prof.select("column", "pos", "family", "max_len", "max_int", "non_null")
 
 
@@ -419,6 +427,7 @@ def export_sizes(spark, sf_dir):
 
 
 QUERIES: dict[str, Query] = {
+    **IO_QUERIES,
     "reconcile_entries": reconcile_entries,
     "reconcile_dims": reconcile_dims,
     "discrepancy_reduction": discrepancy_reduction,

@@ -43,12 +43,14 @@ def get_spark(master: str | None = None, app: str = "tidemark",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the setting is absent (local tests) a scratch folder is
-    created and registered, so lineage cuts never land on a machine-local
-    path on a real cluster.
+    Where the setting is absent a local session (tests) gets a scratch
+    folder; on any other master that is an error, since executors would
+    not see each other's files.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -10,6 +10,7 @@ routed to quarantine.
 from __future__ import annotations
 
 import io
+import itertools
 import sys
 import zipfile
 
@@ -34,26 +35,55 @@ def _archive_lines(path: str, content: bytes, exts: tuple[str, ...], encoding: s
         yield path, None, None, None, f"{type(e).__name__}: {e}"
 
 
-def read_zip_lines(spark: SparkSession, path: str, exts=(".csv",), encoding: str = "utf-8",
-                   glob: str = "*.zip") -> DataFrame:
-    """(archive, file, line_no, line, error) for every wanted member line;
-    a row with ``error`` set (and no line) marks a bad archive."""
+BATCH_LINES = 10_000  # lines handed back at once
+
+
+def archive_lines(files: DataFrame, exts=(".csv",), encoding: str = "utf-8") -> DataFrame:
+    """``files(path, content)`` -> (archive, file, line_no, line, error), in
+    batches of bounded size; an archive that turns out to be unreadable gives a
+    row with ``error`` after the lines read so far."""
     wanted = tuple(e.lower() for e in exts)
+    columns = ["archive", "file", "line_no", "line", "error"]
 
     def run(batches):
         for pdf in batches:
-            rows = []
             for p, c in zip(pdf["path"], pdf["content"]):
-                rows.extend(_archive_lines(p, bytes(c), wanted, encoding))
-            yield pd.DataFrame(rows, columns=["archive", "file", "line_no", "line", "error"]) \
-                .astype({"line_no": "Int64"})
+                found = _archive_lines(p, bytes(c), wanted, encoding)
+                while rows := list(itertools.islice(found, BATCH_LINES)):
+                    yield pd.DataFrame(rows, columns=columns).astype({"line_no": "Int64"})
 
     from tidemark.session import ship_by_value
     ship_by_value(sys.modules[__name__])
+    return files.select("path", "content").mapInPandas(run, LINES_SCHEMA)
+
+
+def pack_zip(texts: DataFrame, member: str) -> DataFrame:
+    """``texts(path, text)`` -> (path, content): an archive of each text as
+    ``member``, next to a member of another kind."""
+    def run(batches):
+        for pdf in batches:
+            packed = []
+            for text in pdf["text"]:
+                held = io.BytesIO()
+                with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr("readme.txt", "not wanted")
+                    z.writestr(member, text)
+                packed.append(held.getvalue())
+            yield pd.DataFrame({"path": pdf["path"], "content": packed})
+
+    from tidemark.session import ship_by_value
+    ship_by_value(sys.modules[__name__])
+    return texts.select("path", "text").mapInPandas(run, "path string, content binary")
+
+
+def read_zip_lines(spark: SparkSession, path: str, exts=(".csv",), encoding: str = "utf-8",
+                   glob: str = "*.zip") -> DataFrame:
+    """(archive, file, line_no, line, error) for every wanted member line;
+    a row with ``error`` set (and no line) marks a bad archive."""
     # the file source packs archives into partitions of at most
     # maxPartitionBytes (a larger archive gets a partition of its own)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select("path", "content").mapInPandas(run, LINES_SCHEMA)
+    return archive_lines(files, exts, encoding)
 
 
 def zip_lines(zl: DataFrame) -> DataFrame:

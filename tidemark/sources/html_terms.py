@@ -17,7 +17,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 SCHEMA = "page_id long, seq long, ord int, term string, attr string, value string"
-TERMS_PER_PAGE = 1_000_000  # seq = page_id * TERMS_PER_PAGE + term number in page
 
 
 class _Rows(HTMLParser):
@@ -81,14 +80,15 @@ def parse_page(page_id: int, html: str, details_base: str = "") -> list[tuple]:
         if href is not None and t0 == "Details:":
             detail = href.rsplit("./")[-1]
             value = f"{details_base.rstrip('/')}/{detail}" if details_base else detail
-        out.append((page_id, page_id * TERMS_PER_PAGE + n_terms, ord_, term, label, value))
+        out.append((page_id, n_terms, ord_, term, label, value))
         ord_ += 1
     return out
 
 
 def extract_terms(pages: DataFrame, details_base: str = "", id_col: str = "page_id",
                   html_col: str = "html") -> DataFrame:
-    """(page_id, seq, ord, term, attr, value) for every page."""
+    """(page_id, seq, ord, term, attr, value) for every page; ``seq`` is the
+    number of the term in its page."""
     cols = ["page_id", "seq", "ord", "term", "attr", "value"]
 
     def run(batches):

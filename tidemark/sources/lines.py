@@ -15,7 +15,7 @@ from tidemark.functions.text import strip_quotes, ustrip
 DELIMITERS = [",", "|", ";", "\t"]
 
 
-SPLIT_BROADCAST_LIMIT = 1_000_000  # split rows (about 120 TB of 128 MB splits)
+SPLIT_BROADCAST_LIMIT = 100_000  # split rows that may be broadcast (about 20 MB)
 
 
 def read_lines(spark: SparkSession, path, encoding: str | None = None,
@@ -59,7 +59,7 @@ def read_lines(spark: SparkSession, path, encoding: str | None = None,
     # block key that orders like the lines themselves
     out = (raw.join(offs, on=["file", "split"])
               .select("file", (F.col("_off") + F.col("_id") - F.col("_first")).alias("line_no"),
-                      "line", F.col("_off").alias("split")))
+                      F.make_valid_utf8("line").alias("line"), F.col("_off").alias("split")))
     if across_files:
         name = paths[0] if len(paths) == 1 else ",".join(paths)
         out = out.withColumn("file", F.lit(name))
