@@ -266,15 +266,23 @@ def rooted(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFram
     return found, links
 
 
+def shared_roots(found: DataFrame, *what: Column) -> DataFrame:
+    """Roots of more than one row, with ``what`` and class_size; broadcast
+    below ``BROADCAST_NODES``, so a class that holds much of the corpus is not
+    gathered in one task of the join (beyond, skew joins split it)."""
+    roots = staged(found.where(F.col("root").isNotNull()).groupBy("root")
+                   .agg(F.count(F.lit(1)).alias("class_size"), *what).where("class_size > 1"), "classes")
+    return F.broadcast(roots) if roots.count() <= BROADCAST_NODES else roots
+
+
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, class_size, kept (its class's smallest doc_id)."""
     found = staged(rooted(docs, doc_id, text)[0].drop("text_key"), "rooted")
-    classes = found.where(F.col("root").isNotNull()).groupBy("root").agg(
-        F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    alone = F.col("root").isNull()
+    classes = shared_roots(found, F.min("doc_id").alias("class_id"))
+    alone = F.col("class_size").isNull()
     return (found.join(classes, "root", "left")
             .select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                    F.when(alone, F.lit(1).cast("long")).otherwise(F.col("class_size")).alias("class_size"))
+                    F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))))
 
 
@@ -282,7 +290,7 @@ def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """``docs`` (all its columns) with one document of each class: that of the smallest doc_id."""
     found = staged(rooted(docs, doc_id, text)[0].where(F.col("root").isNotNull()), "rooted")
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    classes = found.groupBy("root").agg(F.min(name).alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    classes = shared_roots(found, F.min(name).alias("stays"))
     own, key = free_name(docs, "near_id"), free_name(docs, "near_text_key")
     gone = staged(found.join(classes, "root").where(name != F.col("stays"))
                   .select(F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct(), "gone")
