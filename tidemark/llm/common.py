@@ -16,10 +16,13 @@ from tidemark.session import checkpoint_dir
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder of ``spark.checkpoint.dir``
-    and read it back: lineage ends there, and the files outlive executors."""
+    and read it back: lineage ends there, and the files outlive executors.
+    They go when the driver's JVM ends."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -45,11 +45,11 @@ SCOPE = frozenset("article aside body div html main nav ol section table td th u
 SKIPPED = frozenset("head script style noscript template svg math iframe object embed canvas audio video textarea "
                     "select button form nav footer aside menu dialog noembed noframes xmp title".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs byline comment "
+NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
                   "comments commentlist consent cookie cookies copyright disqus footer gdpr header masthead menu modal "
-                  "nav navbar navigation newsletter notice notification pagination pager paywall popup promo promotion "
+                  "nav navbar navigation newsletter notice notices notification pagination pager paywall popup promo promotion "
                   "recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored "
-                  "subscribe tags teaser toc toolbar widget widgets".split())
+                  "subscribe teaser toolbar widget widgets".split())
 # --- parameters ---
 SMOOTH = 1.0          # nodes, deviation of the smoothing window
 SPREAD = 0.3          # the threshold is the mean plus this part of the deviation, at most the mean of long nodes
@@ -71,18 +71,21 @@ class Element:
         self.depth = parent.depth + 1 if parent else 0
 
 
-def is_noise(tag: str, attributes: str, parent_tag: str) -> tuple[bool, str]:
-    """Is an element boilerplate by itself, and its class names for the path."""
+def is_noise(tag: str, attributes: str, path: str) -> tuple[bool, str]:
+    """Is an element boilerplate by itself, and its class names for the path.
+    A header inside an article is the article's own."""
     if tag in SKIPPED:
         return True, ""
-    label, noise = "", tag == "header" and parent_tag not in ("article", "section", "main")
+    within = re.search(r"/(article|main)\b", path) is not None
+    label, noise = "", tag == "header" and not within
     if attributes:
         for name, *values in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), "".join(values).lower()
             if name == "class":
                 label = ".".join(sorted(value.split()))
             if name in ("class", "id"):
-                noise = noise or not NOISE.isdisjoint(WORD.findall(value)) and tag not in ("body", "html", "main", "article")
+                words = NOISE.intersection(WORD.findall(value)) - ({"header"} if within else set())
+                noise = noise or bool(words) and tag not in ("body", "html", "main", "article")
             elif name == "role":
                 noise = noise or value in ROLES
             elif name == "aria-hidden":
@@ -108,7 +111,7 @@ def text_nodes(page: str) -> list[tuple[Element, str, int, bool]]:
                 nodes.append((top, html_entities.unescape(piece), block, links > 0))
             continue
         closing, attributes, tag = m.group(1) or m.group(4), m.group(3) or m.group(6) or "", tag.lower()
-        if tag not in INLINE:
+        if tag not in INLINE and (tag not in VOID or tag in ("br", "hr")):
             block += 1
         if closing:
             for i in range(len(stack) - 1, 0, -1):
@@ -132,7 +135,7 @@ def text_nodes(page: str) -> list[tuple[Element, str, int, bool]]:
                 if stack[i].tag in SCOPE:
                     break
         parent = stack[-1]
-        noise, label = is_noise(tag, attributes, parent.tag)
+        noise, label = is_noise(tag, attributes, parent.path)
         made += 1
         stack.append(Element(tag, f"{parent.path}/{tag}" + (f".{label}" if label else ""), parent, parent.noise or noise, made))
         links += tag == "a"

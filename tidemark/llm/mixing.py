@@ -62,11 +62,11 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None,
     else:
         given = F.create_map(*[F.lit(x) for k, v in weights.items() for x in (k, float(v))])
         weighed = sizes.withColumn("weight", F.coalesce(F.try_element_at(given, "source"), F.lit(0.0)))
-    totals = weighed.agg(F.sum("size").cast("double").alias("all_size"), F.sum("weight").alias("all_weight"))
-    return (weighed.join(F.broadcast(totals))  # one row
-            .select("source", "size",
-                    F.when(F.col("all_weight") > 0, F.col("weight") / F.col("all_weight") * F.col("all_size")
-                           / F.col("size")).otherwise(0.0).alias("rate")))
+    weighed = staged(weighed, "sources")
+    all_size, all_weight = weighed.agg(F.sum("size").cast("double"), F.sum("weight")).first()
+    if not all_weight:
+        return weighed.select("source", "size", F.lit(0.0).alias("rate"))
+    return weighed.select("source", "size", (F.col("weight") / all_weight * all_size / F.col("size")).alias("rate"))
 
 
 def replicate(docs: DataFrame, weights: Mapping[str, float] | None = None, seed: int = 17,
@@ -75,7 +75,7 @@ def replicate(docs: DataFrame, weights: Mapping[str, float] | None = None, seed:
     """Each document as often as its draw says, globally shuffled. With
     ``extras`` the columns rate, copies, copy (from 1) and shuffle_key (hex)
     follow those of ``docs``."""
-    rates = staged(source_rates(docs, weights, source, text), "rates")
+    rates = source_rates(docs, weights, source, text)
     names = {n: free_name(docs, n) for n in ("rate", "copies", "copy", "shuffle_key", "mix_source", "mix_cdf", "mix_parts")}
     rate, copies, copy, key, src, cdf, parts = (names[n] for n in (
         "rate", "copies", "copy", "shuffle_key", "mix_source", "mix_cdf", "mix_parts"))
