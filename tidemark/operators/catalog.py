@@ -73,6 +73,14 @@ def dataset_of_file(stem, virtual: bool = True) -> Column:
     return part_base(s) if virtual else s
 
 
+def group_parts(variables: DataFrame) -> DataFrame:
+    """CAT-1: the files of a paged dataset (``x_part1``, ``x_part2``, ...)
+    are one dataset ``x``; each of its columns stands once, at its first
+    position and with the type it has there."""
+    return (variables.withColumn("dataset", dataset_of_file("dataset")).groupBy("dataset", "name")
+            .agg(F.min("pos").alias("pos"), F.min_by("dtype", "pos").alias("dtype")))
+
+
 # Catalogue attribute fallbacks.
 NO_INFO_URL = "Local source"
 NO_CATALOG_SUMMARY = "No summary info available"

@@ -87,17 +87,18 @@ def freshness(candidates: DataFrame, local: DataFrame, overwrite: bool = False,
 
 def manifest_summary(items: DataFrame, tagged: DataFrame, fresh: DataFrame | None = None) -> DataFrame:
     """AGG-4: items, files, candidates, downloads and sizes in MB (/1e6)."""
-    cand = candidates(tagged)
-    f = tagged.agg(F.count("*").alias("total_files"))
-    cols = [items.select(F.count("*")).scalar().alias("items"), "total_files",
-            cand.select(F.count("*")).scalar().alias("candidate_files"),
-            cand.select(F.sum("size") / F.lit(1e6)).scalar().alias("candidate_mb")]
-    if fresh is not None:
-        cols += [fresh.select(F.sum(F.when(F.col("fetch"), 1).otherwise(0)).cast("long")).scalar()
-                 .alias("downloads"),
-                 fresh.select(F.sum(F.when(F.col("fetch"), F.col("size")).otherwise(0)) / F.lit(1e6)).scalar()
-                 .alias("download_mb")]
-    return f.select(*cols)
+    # ``fresh`` has one row per candidate, so one aggregate of it gives the
+    # candidate and the download figures
+    chosen = fresh if fresh is not None else candidates(tagged).withColumn("fetch", F.lit(False))
+    figures = chosen.agg(
+        F.count("*").alias("candidate_files"), (F.sum("size") / F.lit(1e6)).alias("candidate_mb"),
+        F.sum(F.col("fetch").cast("long")).alias("downloads"),
+        (F.sum(F.when(F.col("fetch"), F.col("size")).otherwise(0)) / F.lit(1e6)).alias("download_mb"))
+    names = figures.columns if fresh is not None else figures.columns[:2]
+    return (tagged.agg(F.count("*").alias("total_files"))
+            .select(items.select(F.count("*")).scalar().alias("items"), "total_files",
+                    figures.select(F.struct("*")).scalar().alias("f"))
+            .select("items", "total_files", *[F.col(f"f.{n}").alias(n) for n in names]))
 
 
 def request_status(candidates: DataFrame, local: DataFrame, ext: str = ".csv") -> DataFrame:

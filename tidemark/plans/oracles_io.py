@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tidemark.plans.oracles_lines import PARSED, RUNNING, SNIFF, _header_rule, part_lines
+from tidemark.plans.oracles_meta import DVARS
 from tidemark.plans.oracles_vocab import HTML_ROWS, MATCHES, TRIPLES, match_counts
 
 NUM_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -84,6 +85,11 @@ UNION ALL SELECT 'status', 'String', 0""",
     "file_names": lambda: """WITH n AS (SELECT o_orderkey, 'set' || CAST(o_orderkey % 97 AS VARCHAR) AS base,
   CASE WHEN o_orderkey % 2 = 0 THEN '_part' || CAST(o_orderkey % 13 AS VARCHAR) ELSE '' END AS part FROM orders)
 SELECT o_orderkey, base || part AS stem, '.csv' AS ext, base, base AS dataset, base || part AS own_dataset FROM n""",
+    "catalog_parts": lambda: f"""WITH {DVARS.replace("'dataset_' || lpad(CAST(p_partkey // 40 AS VARCHAR), 9, '0')",
+                                                  "'set_' || CAST(p_partkey // 120 AS VARCHAR)")
+                                         .replace("dv AS (SELECT dataset, name, dtype, min(p_partkey) AS pos FROM dv0 GROUP BY dataset, name, dtype)",
+                                                  "dv AS (SELECT dataset, name, arg_min(dtype, p_partkey) AS dtype, min(p_partkey) AS pos FROM dv0 GROUP BY dataset, name)")}
+SELECT dataset, pos, name, dtype, destination FROM cat""",
     "incremental_skip": lambda: """SELECT CAST(o_orderkey % 2 AS INTEGER) AS run, o_orderstatus, count(*) AS n,
   min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY 1, 2""",
     "chained": lambda: """SELECT o_custkey, lower(o_orderstatus) AS o_orderstatus, count(*) AS n FROM orders

@@ -191,6 +191,14 @@ def file_names(spark, sf_dir):
                     ct.dataset_of_file("stem").alias("dataset"), ct.dataset_of_file("stem", virtual=False).alias("own_dataset"))
 
 
+def catalog_parts(spark, sf_dir):
+    """CAT-1: three paged files of a dataset are one catalogue entry."""
+    v = fx.dataset_vars(spark, sf_dir)
+    n = F.regexp_extract("dataset", r"(\d+)", 1).cast("long")
+    paged = v.withColumn("dataset", F.concat(F.lit("set_"), F.floor(n / 3).cast("string"), F.lit("_part"), (n % 3 + 1).cast("string")))
+    return ct.catalog_variables(ct.group_parts(paged)).select("dataset", "pos", "name", "dtype", "destination")
+
+
 def incremental_skip(spark, sf_dir):
     """STR-1: two runs over a growing folder; the second sees only the new files."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
@@ -282,6 +290,6 @@ def round_trip_documents(spark, sf_dir):
 
 IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
-    absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, incremental_skip, chained,
+    absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
     round_trip_documents)}
