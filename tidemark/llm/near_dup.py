@@ -114,23 +114,27 @@ def signature(elements: np.ndarray, weights: np.ndarray, slots: int = SLOTS) ->
     while True:
         best = np.full(slots, np.inf)
         seed, rate, part, time, k = seeds, rates, inside, np.zeros(len(seeds)), 0
+        wide = int(min(max(np.ceil(horizon * rates.mean()), 2), 64))  # points of a process drawn at once
         while len(seed):
-            k += 1
-            first = mixed(seed + STEP * np.uint64(k))
-            time = time - np.log(((first >> S11).astype(np.float64) + 1) * 2.0 ** -53) / rate
-            live = time <= horizon
-            seed, rate, part, time, first = seed[live], rate[live], part[live], time[live], first[live]
-            second = mixed(first ^ MIX2)
-            counts = (second & np.uint64(0xFFFFFFFF)).astype(np.float64) * (rate / 2.0 ** 32) < part
-            slot = ((second >> S32) * np.uint64(slots) >> S32).astype(np.int64)
-            np.minimum.at(best, slot[counts], time[counts])
+            first = mixed(seed[:, None] + np.arange(k + 1, k + wide + 1, dtype=np.uint64) * STEP)
+            gaps = np.log(((first >> S11).astype(np.float64) + 1) * 2.0 ** -53) / -rate[:, None]
+            # summed one after the other, so a point's time does not depend on ``wide``
+            times = np.add.accumulate(np.concatenate([time[:, None], gaps], axis=1), axis=1)[:, 1:]
+            early = times <= horizon
+            of = np.nonzero(early)[0]
+            second = mixed(first[early] ^ MIX2)
+            counts = (second & np.uint64(0xFFFFFFFF)).astype(np.float64) * (rate[of] / 2.0 ** 32) < part[of]
+            slot = ((second[counts] >> S32) * np.uint64(slots) >> S32).astype(np.int64)
+            np.minimum.at(best, slot, times[early][counts])
+            live = early[:, -1]
+            seed, rate, part, time, k = seed[live], rate[live], part[live], times[live, -1], k + wide
         if best.max() <= horizon:
-            return best
+            return best.astype(np.float32)  # the last bits of a logarithm may differ between processors
         horizon *= 2
 
 
 def band_keys(sign: np.ndarray) -> np.ndarray:
-    bits = mixed(sign.view(np.uint64) + STEP).reshape(BANDS, ROWS_PER_BAND)
+    bits = mixed(sign.view(np.uint32).astype(np.uint64) + STEP).reshape(BANDS, ROWS_PER_BAND)
     factors = mixed(np.arange(1, ROWS_PER_BAND + 1, dtype=np.uint64) * MIX1) | np.uint64(1)
     return mixed((bits * factors).sum(axis=1) + np.arange(1, BANDS + 1, dtype=np.uint64) * STEP).view(np.int64)
 
@@ -171,7 +175,7 @@ def sketch(rows: DataFrame) -> DataFrame:
                     last, made = words, (None, None)
                     if words:
                         sign = signature(*bag_of(words))
-                        made = band_keys(sign), (mixed(sign.view(np.uint64)) >> np.uint64(56)).astype(np.uint8).tobytes()
+                        made = band_keys(sign), (mixed(sign.view(np.uint32).astype(np.uint64) * STEP) >> np.uint64(56)).astype(np.uint8).tobytes()
                 bands.append(made[0])
                 digests.append(made[1])
             yield pa.RecordBatch.from_arrays(
