@@ -76,6 +76,21 @@ def test_classes_of_planted_copies(spark):
     check_classes(spark.createDataFrame(planted(), "doc_id long, text string"))
 
 
+def test_large_cluster_of_unequal_copies(spark, monkeypatch):
+    """One original, copies at many distances: links that no pivot shows."""
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(5000)]
+    origin = [rng.choice(words) for _ in range(150)]
+    rows = []
+    for i in range(260):
+        copy = list(origin)
+        for at in rng.sample(range(150), rng.randint(0, 9)):
+            copy[at] = rng.choice(words)
+        rows.append((i, " ".join(copy)))
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", 40)
+    check_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_classes_of_documents_and_odd_rows(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = check_classes(docs)

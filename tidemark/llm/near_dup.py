@@ -12,13 +12,19 @@ than reading them.
 
 Signatures are cut into ``BANDS`` × ``ROWS_PER_BAND``; documents that agree in a
 band are candidates. Copies with the same words are one node before that. In a
-bucket every member meets the ``PIVOTS`` smallest members (never all pairs):
-buckets up to ``PIVOTS`` + 1 members are covered whole, larger ones are
-linked through their pivots in each of the bands they share. Candidates whose
-signatures agree in too few slots are dismissed (chance of losing a pair at
-0.8: about 1e-5), the rest is verified exactly: overlap of the two bags from
-their whole texts, 0.8 or more. Linked nodes form classes by alternating large
-and small stars; a class is named by its smallest doc_id.
+bucket every member meets the ``PIVOTS`` smallest members: buckets up to
+``PIVOTS`` + 1 members are covered whole. Candidates whose signatures agree in
+too few slots are dismissed (chance of losing a pair at 0.8: about 1e-5), the
+others are verified exactly: overlap of the two bags from their whole texts, 0.8
+or more. Linked nodes form classes by alternating large and small stars; a
+class is named by its smallest doc_id.
+
+Where many texts are alike but not all linked, pivots alone would lose links.
+So the promising pairs are joined to clusters as well, and in each cluster of
+more than ``PIVOTS`` + 1 nodes every node outside the cluster's largest class
+meets all nodes of the cluster, exactly, in blocks of about ``BLOCK_NODES``
+nodes a side (no task holds a cluster; a block hands back one link per node and
+class, never all pairs). This part grows with the square of such a cluster.
 
 Defined cases: words are runs without white space, case folded; texts under
 five words are one shingle of all their words; null, empty and blank texts
@@ -34,6 +40,7 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +54,7 @@ BANDS, ROWS_PER_BAND = 25, 5
 SLOTS = BANDS * ROWS_PER_BAND
 PIVOTS = 4                # members of a bucket that all others meet
 LEAST_EQUAL = 80          # of SLOTS that agree for a pair to be verified
+BLOCK_NODES = 512         # nodes per side of a block in which all are compared
 BROADCAST_NODES = 500_000  # 16-byte keys that may be broadcast (about 40 MB)
 
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -139,6 +147,27 @@ def band_keys(sign: np.ndarray) -> np.ndarray:
     return mixed((bits * factors).sum(axis=1) + np.arange(1, BANDS + 1, dtype=np.uint64) * STEP).view(np.int64)
 
 
+def block_links(mine: list[str], theirs: list[str], classes: np.ndarray) -> list[tuple[int, int]]:
+    """(i, j): a linked text of ``theirs`` for each text of ``mine`` and class of ``theirs``."""
+    bags = [bag_of(t) for t in theirs]
+    owner = np.repeat(np.arange(len(bags)), [len(h) for h, _ in bags])
+    hashes, weights = (np.concatenate([b[k] for b in bags]) for k in (0, 1))
+    order = np.argsort(hashes, kind="stable")
+    hashes, weights, owner = hashes[order], weights[order], owner[order]
+    totals = np.array([w.sum() for _, w in bags])
+    found = []
+    for i, text in enumerate(mine):
+        own, times = bag_of(text)
+        first, last = np.searchsorted(hashes, own, "left"), np.searchsorted(hashes, own, "right")
+        sizes = last - first
+        at = np.repeat(first - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+        shared = np.bincount(owner[at], np.minimum(weights[at], np.repeat(times, sizes)), len(bags))
+        linked = np.flatnonzero(shared >= SIMILARITY * (times.sum() + totals - shared) - 1e-9)
+        linked = linked[[similarity((own, times), bags[j]) >= SIMILARITY for j in linked]] if len(linked) else linked
+        found += [(i, int(linked[k])) for k in np.unique(classes[linked], return_index=True)[1]]
+    return found
+
+
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
     """Weighted Jaccard of two bags."""
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
@@ -211,13 +240,17 @@ def promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .mapInArrow(agreeing, "node binary, pivot binary"))
 
 
-def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The pairs whose bags overlap by ``SIMILARITY``: node, pivot, similarity."""
+def words_of_nodes(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, words) of the nodes of ``pairs``."""
     needed = staged(pairs.select("node").union(pairs.select("pivot")).distinct(), "needed")
     words = rows.select(words_of(F.col("text")).alias("words")).withColumn("node", node_of(F.col("words")))
     if needed.count() <= BROADCAST_NODES:
         needed = F.broadcast(needed)
-    texts = staged(words.join(needed, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "words")
+    return staged(words.join(needed, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "words")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose bags overlap by ``SIMILARITY``: node, pivot."""
 
     def overlapping(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, bag = None, None
@@ -226,15 +259,54 @@ def verified(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             for pivot, mine, theirs in zip(*(batch.column(c) for c in (1, 2, 3))):
                 if pivot != last:  # rows come sorted by pivot
                     last, bag = pivot, bag_of(theirs.as_py())
-                found.append(similarity(bag, bag_of(mine.as_py())))
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())],
-                                             ["node", "pivot", "similarity"])
-            yield out.filter(pa.array([x >= SIMILARITY for x in found], pa.bool_()))
+                found.append(similarity(bag, bag_of(mine.as_py())) >= SIMILARITY)
+            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["node", "pivot"])
+            yield out.filter(pa.array(found, pa.bool_()))
 
     return (pairs.join(texts.select("node", F.col("words").alias("mine")), "node")
             .join(texts.select(F.col("node").alias("pivot"), F.col("words").alias("theirs")), "pivot")
             .select("node", "pivot", "mine", "theirs")
-            .mapInArrow(overlapping, "node binary, pivot binary, similarity double"))
+            .mapInArrow(overlapping, "node binary, pivot binary"))
+
+
+def with_roots(found: DataFrame) -> DataFrame:
+    """(node, root) of ``components`` with the roots themselves."""
+    return found.union(found.select("root", "root").distinct())
+
+
+def remaining_links(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links (node, pivot) that pivots missed: in every large cluster of
+    promising pairs with several classes, the nodes outside its largest class
+    against all, block by block."""
+    cluster = with_roots(components(pairs)).withColumnRenamed("root", "cluster")
+    member = staged(cluster.join(classes, "node", "left")
+                    .select("cluster", "node", F.coalesce("root", "node").alias("class")), "clusters")
+    sizes = member.groupBy("cluster", "class").agg(F.count(F.lit(1)).alias("n"))
+    large = (sizes.groupBy("cluster").agg(
+        F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top"))
+        .where((F.col("all") > PIVOTS + 1) & (F.col("top.n") < F.col("all")))
+        .select("cluster", F.col("top.class").alias("top"), F.ceil(F.col("all") / BLOCK_NODES).cast("int").alias("their_blocks"),
+                F.ceil((F.col("all") - F.col("top.n")) / BLOCK_NODES).cast("int").alias("my_blocks")))
+    spread = staged(member.join(large, "cluster").join(texts, "node"), "spread")
+    block = F.xxhash64("node")
+    theirs = spread.select("cluster", "node", "class", "words", F.pmod(block, F.col("their_blocks")).cast("int").alias("theirs"),
+                           F.explode(F.sequence(F.lit(0), F.col("my_blocks") - 1)).alias("mine"))
+    mine = spread.where(F.col("class") != F.col("top")).select(
+        "cluster", "node", "class", "words", F.pmod(block, F.col("my_blocks")).cast("int").alias("mine"),
+        F.explode(F.sequence(F.lit(0), F.col("their_blocks") - 1)).alias("theirs"))
+
+    def compared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame({"node": [], "pivot": []})
+        number = {c: i for i, c in enumerate(sorted({bytes(c) for c in right["class"]}))}
+        classes = np.array([number[bytes(c)] for c in right["class"]])
+        pairs = [(bytes(left["node"].iloc[i]), bytes(right["node"].iloc[j]))
+                 for i, j in block_links(left["words"].tolist(), right["words"].tolist(), classes)
+                 if bytes(left["class"].iloc[i]) != bytes(right["class"].iloc[j])]
+        return pd.DataFrame({"node": [max(p) for p in pairs], "pivot": [min(p) for p in pairs]})
+
+    key = ["cluster", "mine", "theirs"]
+    return mine.groupBy(*key).cogroup(theirs.groupBy(*key)).applyInPandas(compared, "node binary, pivot binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -257,17 +329,21 @@ def components(links: DataFrame) -> DataFrame:
                               .select(F.col("pivot").alias("node"), F.col("least").alias("pivot"))).distinct(), "edges")
 
 
-def rooted(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
-    """(rows with doc_id, text_key, root; verified links)."""
+def rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text_key and root of every row (null without words)."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).cast("string").alias("text"))
     sketches = staged(sketch(rows), "sketch")
     nodes = staged(sketches.where(F.col("node").isNotNull()).groupBy("node")
                    .agg(F.first("bands").alias("bands"), F.first("digest").alias("digest")), "nodes")
     pairs = staged(promising(candidates(nodes), nodes), "pairs")
-    links = staged(verified(pairs, rows), "links")
-    found = (sketches.select("doc_id", "text_key", "node").join(components(links), "node", "left")
-             .select("doc_id", "text_key", F.coalesce("root", "node").alias("root")))
-    return found, links
+    texts = words_of_nodes(pairs, rows)
+    links = staged(verified(pairs, texts), "links")
+    classes = components(links)
+    more = staged(remaining_links(pairs, with_roots(classes), texts), "more")
+    if more.limit(1).count():
+        classes = components(classes.withColumnRenamed("root", "pivot").union(more))
+    return (sketches.select("doc_id", "text_key", "node").join(classes, "node", "left")
+            .select("doc_id", "text_key", F.coalesce("root", "node").alias("root")))
 
 
 def shared_roots(found: DataFrame, *what: Column) -> DataFrame:
@@ -281,7 +357,7 @@ def shared_roots(found: DataFrame, *what: Column) -> DataFrame:
 
 def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id, class_size, kept (its class's smallest doc_id)."""
-    found = staged(rooted(docs, doc_id, text)[0].drop("text_key"), "rooted")
+    found = staged(rooted(docs, doc_id, text).drop("text_key"), "rooted")
     classes = shared_roots(found, F.min("doc_id").alias("class_id"))
     alone = F.col("class_size").isNull()
     return (found.join(classes, "root", "left")
@@ -292,7 +368,7 @@ def near_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` (all its columns) with one document of each class: that of the smallest doc_id."""
-    found = staged(rooted(docs, doc_id, text)[0].where(F.col("root").isNotNull()), "rooted")
+    found = staged(rooted(docs, doc_id, text).where(F.col("root").isNotNull()), "rooted")
     name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
     classes = shared_roots(found, F.min(name).alias("stays"))
     own, key = free_name(docs, "near_id"), free_name(docs, "near_text_key")
