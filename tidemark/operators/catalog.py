@@ -96,9 +96,14 @@ def build_catalog(datasets: DataFrame, cat_vars: DataFrame) -> DataFrame:
     datasets = datasets.withColumn(
         "summary", F.coalesce(F.col("summary"), F.lit(NO_CATALOG_SUMMARY)) if "summary" in cols
         else F.lit(NO_CATALOG_SUMMARY))
+    # a location variable has a standard name, any other keeps its own attributes
+    location = F.col("category") == "Location"
+    fields = ["pos", "name", "destination", "data_type", "category",
+              F.when(location, F.lower("name")).alias("standard_name")]
+    if "attrs" in cat_vars.columns:  # entries, since maps have no order to sort by
+        fields.append(F.when(~location, F.map_entries("attrs")).alias("attrs"))
     nested = (cat_vars.groupBy("dataset")
-                      .agg(F.array_sort(F.collect_list(F.struct("pos", "name", "destination", "data_type",
-                                                                "category"))).alias("variables")))
+                      .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("variables")))
     kw = keywords(cat_vars)
     return datasets.join(nested, on="dataset", how="left").join(kw, on="dataset", how="left")
 

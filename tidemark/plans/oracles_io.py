@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.plans.oracles_lines import PARSED, RUNNING, SNIFF, _header_rule, part_lines
-from tidemark.plans.oracles_meta import DVARS
+from tidemark.plans.oracles_meta import DVARS, variable_units
 from tidemark.plans.oracles_vocab import HTML_ROWS, MATCHES, TRIPLES, match_counts
 
 NUM_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -90,6 +90,12 @@ SELECT o_orderkey, base || part AS stem, '.csv' AS ext, base, base AS dataset, b
                                          .replace("dv AS (SELECT dataset, name, dtype, min(p_partkey) AS pos FROM dv0 GROUP BY dataset, name, dtype)",
                                                   "dv AS (SELECT dataset, name, arg_min(dtype, p_partkey) AS dtype, min(p_partkey) AS pos FROM dv0 GROUP BY dataset, name)")}
 SELECT dataset, pos, name, dtype, destination FROM cat""",
+    "time_axis_units": lambda: f"""SELECT dataset, pos, name,
+  CASE WHEN name = 'eventDate' THEN 'days since 1970-01-01' ELSE units END AS units FROM ({variable_units()})""",
+    "catalog_attributes": lambda: f"""SELECT dataset, name,
+  CASE WHEN lower(name) IN ('altitude', 'depth', 'latitude', 'longitude') THEN lower(name) END AS standard_name,
+  CASE WHEN lower(name) NOT IN ('altitude', 'depth', 'latitude', 'longitude') THEN coalesce(units, 'none') END AS units
+FROM ({variable_units()})""",
     "incremental_skip": lambda: """SELECT CAST(o_orderkey % 2 AS INTEGER) AS run, o_orderstatus, count(*) AS n,
   min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY 1, 2""",
     "chained": lambda: """SELECT o_custkey, lower(o_orderstatus) AS o_orderstatus, count(*) AS n FROM orders

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import file_ext, file_stem, part_base
 from tidemark.operators import catalog as ct
 from tidemark.operators import coerce as co
+from tidemark.operators import metadata as md
 from tidemark.operators import vocab as vc
 from tidemark.operators.compare import reconcile
 from tidemark.plans import fixtures as fx
@@ -199,6 +200,22 @@ def catalog_parts(spark, sf_dir):
     return ct.catalog_variables(ct.group_parts(paged)).select("dataset", "pos", "name", "dtype", "destination")
 
 
+def time_axis_units(spark, sf_dir):
+    """FN-12: the units of a time axis follow its conversion mode."""
+    specs = {**co.AXIS_SPECS, "eventDate": {"destinationName": "time", "units": "UTC"}}
+    m = md.variable_metadata(fx.dataset_vars(spark, sf_dir), specs=specs, time_mode="integer")
+    return m.select("dataset", "pos", "name", "units")
+
+
+def catalog_attributes(spark, sf_dir):
+    """CAT-1: standard names of location variables, attributes of the others."""
+    v = fx.dataset_vars(spark, sf_dir)
+    attrs = md.variable_metadata(v).select("dataset", "name", F.create_map(F.lit("units"), F.coalesce("units", F.lit("none"))).alias("attrs"))
+    cat = ct.build_catalog(v.select("dataset").distinct(), ct.catalog_variables(v).join(attrs, ["dataset", "name"]))
+    return cat.select("dataset", F.explode("variables").alias("v")).select(
+        "dataset", "v.name", "v.standard_name", F.try_element_at("v.attrs", F.lit(1))["value"].alias("units"))
+
+
 def incremental_skip(spark, sf_dir):
     """STR-1: two runs over a growing folder; the second sees only the new files."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
@@ -290,6 +307,6 @@ def round_trip_documents(spark, sf_dir):
 
 IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
-    absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, incremental_skip, chained,
+    absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, time_axis_units, catalog_attributes, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
     round_trip_documents)}
