@@ -77,9 +77,11 @@ def _stats(c: str) -> list[Column]:
         F.sum(is_int.cast("long")).alias(f"i__{c}"),
         F.sum((num | special).cast("long")).alias(f"f__{c}"),
         F.max(F.length(v)).alias(f"l__{c}"),
-        # any 38 digits are exact; a longer number counts as the largest of them
-        F.max(F.when(is_int, F.coalesce(F.trim(v).try_cast("decimal(38,0)"), F.lit("9" * 38).cast("decimal(38,0)"))))
-         .alias(f"m__{c}"),
+        # up to 18 characters fit a long; any 38 digits are exact, and a
+        # longer number counts as the largest of them
+        F.greatest(F.max(F.when(is_int & (F.length(v) <= 18), F.trim(v).cast("bigint"))).cast("decimal(38,0)"),
+                   F.max(F.when(is_int & (F.length(v) > 18), F.coalesce(
+                       F.trim(v).try_cast("decimal(38,0)"), F.lit("9" * 38).cast("decimal(38,0)"))))).alias(f"m__{c}"),
     ]
 
 
