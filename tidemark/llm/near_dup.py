@@ -274,11 +274,24 @@ def with_roots(found: DataFrame) -> DataFrame:
     return found.union(found.select("root", "root").distinct())
 
 
-def remaining_links(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def two_components(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``components`` of two graphs in one run; a leading byte keeps their nodes apart."""
+    def marked(links: DataFrame, mark: bytes) -> DataFrame:
+        return links.select(*[F.concat(F.lit(mark), c).alias(c) for c in ("node", "pivot")])
+
+    def own(mark: bytes) -> DataFrame:
+        return found.where(F.substring("node", 1, 1) == F.lit(mark)).select(
+            *[F.col(c).substr(2, 16).alias(c) for c in ("node", "root")])
+
+    found = components(marked(first, b"\x00").union(marked(second, b"\x01")))
+    return own(b"\x00"), own(b"\x01")
+
+
+def remaining_links(clusters: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (node, pivot) that pivots missed: in every large cluster of
     promising pairs with several classes, the nodes outside its largest class
     against all, block by block."""
-    cluster = with_roots(components(pairs)).withColumnRenamed("root", "cluster")
+    cluster = clusters.withColumnRenamed("root", "cluster")
     member = staged(cluster.join(classes, "node", "left")
                     .select("cluster", "node", F.coalesce("root", "node").alias("class")), "clusters")
     sizes = member.groupBy("cluster", "class").agg(F.count(F.lit(1)).alias("n"))
@@ -321,7 +334,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
         least = both.groupBy("node").agg(F.min("pivot").alias("least")).withColumn("least", F.least("least", "node"))
         large = (both.join(least, "node").where(F.col("pivot") > F.col("node"))
-                 .select(F.col("pivot").alias("node"), F.col("least").alias("pivot")).distinct())
+                 .select(F.col("pivot").alias("node"), F.col("least").alias("pivot")))
         lowest = large.groupBy("node").agg(F.min("pivot").alias("least"))
         small = large.join(lowest, "node")
         edges = staged(small.select("node", F.col("least").alias("pivot"))
@@ -338,8 +351,8 @@ def rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     pairs = staged(promising(candidates(nodes), nodes), "pairs")
     texts = words_of_nodes(pairs, rows)
     links = staged(verified(pairs, texts), "links")
-    classes = components(links)
-    more = staged(remaining_links(pairs, with_roots(classes), texts), "more")
+    classes, clusters = two_components(links, pairs)
+    more = staged(remaining_links(with_roots(clusters), with_roots(classes), texts), "more")
     if more.limit(1).count():
         classes = components(classes.withColumnRenamed("root", "pivot").union(more))
     return (sketches.select("doc_id", "text_key", "node").join(classes, "node", "left")
