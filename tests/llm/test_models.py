@@ -75,6 +75,17 @@ def test_language_id_held_out_accuracy(spark):
     assert language_id.drop_unknown(docs).count() >= docs.count() - 5
 
 
+def test_long_texts_are_scored_in_slices(monkeypatch):
+    texts = ["the cat sat on the mat and the dog lay by the door " * 9, "", None, "le chat est sur la table", "12 34", "a b"]
+    codes = [language_id.grams_of(language_id.symbols_of(texts[i])) for i in (0, 3)]
+    models = language_id.Models({"en": np.unique(codes[0], return_counts=True), "fr": np.unique(codes[1], return_counts=True)})
+    whole = models.entropies(texts)
+    monkeypatch.setattr(language_id, "SCORE_AT", 37)
+    sliced = models.entropies(texts)
+    assert whole[0].tolist() == sliced[0].tolist() and np.allclose(whole[1], sliced[1])
+    assert models.decide(texts)[0].tolist() == [0, -1, -1, 1, -1, models.decide(["a b"])[0][0]]
+
+
 def test_language_id_rejects_noise(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "text", "lang")
     noise = spark.createDataFrame([(10 ** 6 + i, " ".join(["xqzvkj wwxqj zzqkx kjxqv"] * 20), None) for i in range(3)], docs.schema)
