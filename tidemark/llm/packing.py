@@ -38,7 +38,7 @@ from tidemark.session import ship_by_value
 WINDOW = 1024
 SEPARATOR = 0
 OPEN_WINDOWS = 4096   # windows that may be open at once in a task
-CACHED_CHUNKS = 300_000  # chunks of a generation; a worker remembers two (about 130 MB)
+CACHED_CHUNKS = 100_000  # chunks of a generation; a worker remembers two (about 45 MB)
 ROW_TOKENS = 1 << 20  # tokens of the pieces handed back at once, about
 
 # A chunk is an optional space and a word of plain letters before white space or a
