@@ -66,5 +66,7 @@ def received(sent: Broadcast):
     token, data = sent.value
     cache = worker_cache()
     if cache.get("received_token") != token:
+        for kept in [k for k in cache if k == "received" or isinstance(k, tuple)]:
+            cache.pop(kept)  # a worker keeps one operator's tables at a time
         cache["received_token"], cache["received"] = token, pickle.loads(data)
     return cache["received"]

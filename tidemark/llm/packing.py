@@ -39,7 +39,7 @@ WINDOW = 1024
 SEPARATOR = 0
 OPEN_WINDOWS = 4096   # windows that may be open at once in a task
 CACHED_CHUNKS = 100_000  # chunks of a generation; a worker remembers two (about 45 MB)
-ROW_TOKENS = 1 << 20  # tokens of the pieces handed back at once, about
+ROW_TOKENS = 1 << 18  # tokens of the pieces handed back at once, about
 
 # A chunk is an optional space and a word of plain letters before white space or a
 # common mark, the marks between such a word and white space, any other run
@@ -100,6 +100,8 @@ def worker_encoder(paths: tuple[str, str, str]) -> DocumentEncoder:
     """The encoder of this worker process."""
     cache = worker_cache()
     if ("encoder", paths) not in cache:
+        cache.pop("received_token", None)  # a worker keeps one operator's tables at a time
+        cache.pop("received", None)
         cache["encoder", paths] = DocumentEncoder(*paths)
     return cache["encoder", paths]
 
