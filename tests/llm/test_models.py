@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID, SF_SMALL
 from tidemark.llm import html_extract, language_id, license_scan
@@ -75,6 +76,30 @@ def test_language_id_held_out_accuracy(spark):
     assert language_id.drop_unknown(docs).count() >= docs.count() - 5
 
 
+def test_language_models_beyond_the_broadcast_size(spark, monkeypatch, odd_docs):
+    """Models kept as tables give what broadcast ones give, and a rare language keeps its n-grams."""
+    rare = [(10 ** 6 + i, "ħobż tajjeb għall-familja kollha fil-għodwa", "mt") for i in range(8)]
+    odd = odd_docs.where("length(text) < 9000 OR doc_id IS NOT NULL").select("doc_id", F.left("text", F.lit(900)).alias("text"), "lang")
+    small = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").limit(30).select("doc_id", "text", "lang")
+    docs = small.withColumn("doc_id", F.col("doc_id") + 1000).unionByName(odd).unionByName(spark.createDataFrame(rare, small.schema)).localCheckpoint()
+    want = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
+    kept = Counter(r["doc_id"] for r in language_id.drop_unknown(docs).collect())
+    monkeypatch.setattr(language_id, "MAX_GRAMS", 300)
+    models = language_id.fit(docs)
+    assert isinstance(models, language_id.Spread)
+    got = language_id.identify(docs, models).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        w = want[r["doc_id"]]
+        assert (r["lang_pred"], r["held_out"], r["rejected"]) == (w["lang_pred"], w["held_out"], w["rejected"])
+        assert abs(r["score"] - w["score"]) < 1e-9
+        assert r["cross_entropy"] is w["cross_entropy"] is None or abs(r["cross_entropy"] - w["cross_entropy"]) < 1e-9
+    assert all(want[10 ** 6 + i]["lang_pred"] == "mt" for i in range(8))
+    monkeypatch.setattr(language_id, "fit", lambda *_: models)
+    found = language_id.drop_unknown(docs)
+    assert found.columns == docs.columns and Counter(r["doc_id"] for r in found.collect()) == kept
+
+
 def test_long_texts_are_scored_in_slices(monkeypatch):
     texts = ["the cat sat on the mat and the dog lay by the door " * 9, "", None, "le chat est sur la table", "12 34", "a b"]
     codes = [language_id.grams_of(language_id.symbols_of(texts[i])) for i in (0, 3)]
