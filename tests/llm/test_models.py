@@ -157,6 +157,24 @@ def test_html_without_semantic_tags():
     assert html_extract.main_text(page) == f"Title here {PROSE} {PROSE} So."
 
 
+def test_html_article_is_read_whole():
+    """Text outside the element that holds most of the article is its own, too."""
+    menu = "<div>" + "".join(f'<div><a href="/{i}">Link number {i}</a></div>' for i in range(20)) + "</div>"
+    foot = '<div><a href="/i">Imprint</a></div>'
+    paragraph = f"<p>{PROSE}</p>"
+    long = " ".join([PROSE] * 8)
+    parts = [(f"<h1>Title</h1><div class=body>{paragraph * 2}</div>", f"Title {PROSE} {PROSE}"),
+             (f"<h1>Title</h1><section>{paragraph * 9}</section><section><h2>More</h2>{paragraph * 2}<p>End.</p></section>",
+              f"Title {' '.join([PROSE] * 9)} More {PROSE} {PROSE} End."),
+             (f"<h1>Title</h1>{paragraph}<blockquote><p>{long}</p><p>{long}</p></blockquote>{paragraph}", f"Title {PROSE} {long} {long} {PROSE}"),
+             (f"<h1>Title</h1>{paragraph}<ul>{f'<li>{long}</li>' * 5}</ul>{paragraph}", f"Title {PROSE} {' '.join([long] * 5)} {PROSE}"),
+             (f"<h1>Title</h1>{paragraph}<table>{f'<tr><td>{long}</td><td>{long}</td></tr>' * 3}</table>{paragraph}",
+              f"Title {PROSE} {' '.join([long] * 6)} {PROSE}")]
+    for inner, want in parts:
+        for tag in ("article", "main", "div"):
+            assert html_extract.main_text(f"<html><body>{menu}<{tag}>{inner}</{tag}>{foot}</body></html>") == want
+
+
 def test_html_odd_pages(spark):
     pages = [None, "", "   ", "plain text only", "<p>unclosed <b>bold", "<div", "<script>never closed", "a < b & c &amp; d &#8364;",
              "<p>" + "word " * 200_000 + "</p>", "<a href='" * 2000, "</p></div>", "<p>x</p>" * 3]

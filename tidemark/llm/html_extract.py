@@ -7,9 +7,11 @@ a node are the path's two ratios. Every node takes its path's ratios, they
 are smoothed along the page with a Gaussian window (a short heading among
 long paragraphs rises, a lone notice does not reach far) and fused by their
 product, weighed down by the share of link text. Nodes above a threshold drawn
-from the page's own mean and deviation are content. Their common container is
-then read in full: all its blocks in page order, except boilerplate elements
-(by tag, role, class or id words) and blocks whose text is nearly all links.
+from the page's own mean and deviation are content. If one article or main element
+holds them all, it is read in full; else the deepest container of most of
+them, the containers of the others, what lies between and the headings before:
+all blocks in page order, except boilerplate elements (by tag, role, class or
+id words) and blocks whose text is nearly all links.
 
 Defined cases: null and empty html give the empty text; a page without any node
 above the threshold gives the text of its whole body without boilerplate; a cut
@@ -40,6 +42,7 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
                      "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul".split())
 CLOSED_BY_SAME = frozenset("p li dt dd tr td th option optgroup".split())
+WRAPS = INLINE | CLOSED_BY_SAME | frozenset("h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl table tbody thead tfoot figure".split())
 SCOPE = frozenset("article aside body div html main nav ol section table td th ul blockquote form".split())
 # --- fixed values: what an article does not consist of ---
 SKIPPED = frozenset("head script style noscript template svg math iframe object embed canvas audio video textarea "
@@ -60,6 +63,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
+HEADING = re.compile(r"/h[1-6](?=[./]|$)")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
@@ -171,23 +175,62 @@ def content_score(nodes: list[tuple[Element, str, int, bool]]) -> np.ndarray:
     return smooth(lengths) * (1 + smooth(marks)) * plain
 
 
-def container(nodes: list[tuple[Element, str, int, bool]], chosen: np.ndarray) -> Element:
-    """The deepest element that holds ``COVER`` of the chosen nodes' text, with
-    what stands beside its last block elements inside inline ones left out."""
-    held: dict[Element, int] = {}
-    total = 0
-    for i in np.flatnonzero(chosen):
-        element, size = nodes[i][0], len(nodes[i][1].strip())
-        total += size
-        while element is not None:
-            held[element] = held.get(element, 0) + size
-            element = element.parent
-    enough = [e for e, size in held.items() if size >= COVER * total]
-    best = max(enough, key=lambda e: (e.depth, -e.number))
-    single = best
-    while best.parent is not None and (best.tag in INLINE or best.tag in CLOSED_BY_SAME or best.tag in ("h1", "h2", "h3", "pre")):
-        best = best.parent  # a lone paragraph: its surroundings hold heading and neighbours
-    return best if best.parent is not None or single is best else best
+def around(element: Element) -> Element:
+    """The article around an element, else what holds heading and neighbours of a lone paragraph, quote, list or table."""
+    for outer in ancestors(element):
+        if outer.tag in ("article", "main"):
+            return outer
+    while element.parent is not None and element.tag in WRAPS:
+        element = element.parent
+    return element
+
+
+def ancestors(element: Element | None) -> Iterator[Element]:
+    """The element itself, then those around it."""
+    while element is not None:
+        yield element
+        element = element.parent
+
+
+def held(nodes: list[tuple[Element, str, int, bool]], chosen: np.ndarray) -> np.ndarray:
+    """Which nodes are read, from the chosen ones (positions in ``nodes``)."""
+    sizes: dict[Element, int] = {}
+    for i in chosen:
+        for element in ancestors(nodes[i][0]):
+            sizes[element] = sizes.get(element, 0) + max(len(nodes[i][1].strip()), 1)
+    total = max(sizes.values())
+    common = max((e for e, size in sizes.items() if size == total), key=lambda e: e.depth)
+    inside = np.zeros(len(nodes), bool)
+    if around(common).tag in ("article", "main"):
+        whole = {around(common)}
+    else:
+        core = around(max((e for e, size in sizes.items() if size >= COVER * total), key=lambda e: (e.depth, -e.number)))
+        outer = set(ancestors(core.parent))
+        whole = {core} | ({around(nodes[i][0]) for i in chosen} - outer)
+        inside[chosen[0]:chosen[-1] + 1] = True
+    known: dict[Element, bool] = {}
+    for i, (element, *_) in enumerate(nodes):
+        if element not in known:
+            known[element] = any(e in whole for e in ancestors(element))
+        inside[i] |= known[element]
+    return inside
+
+
+def with_headings(nodes: list[tuple[Element, str, int, bool]], inside: np.ndarray) -> np.ndarray:
+    """Headings before what is read, with the lines (by whom, when) between; not past a menu."""
+    size, linked = {}, {}
+    for _, text, block, link in nodes:
+        size[block] = size.get(block, 0) + len(text.strip())
+        linked[block] = linked.get(block, 0) + len(text.strip()) * link
+    first = at = int(np.argmax(inside))
+    for i in range(at - 1, -1, -1):
+        element, text, block, _ = nodes[i]
+        if text.strip() and HEADING.search(element.path):
+            first = i
+        elif linked[block] > LINK_SHARE * size[block]:
+            break
+    inside[first:at] = True
+    return inside
 
 
 def main_text(page: str | None) -> str:
@@ -198,16 +241,11 @@ def main_text(page: str | None) -> str:
         return ""
     score = content_score(filled)
     limit = min(score.mean() + SPREAD * score.std(), score.max())
-    top = container(filled, score >= limit)
-    inside = []
-    for node in nodes:
-        element = node[0]
-        while element is not None and element is not top and element.depth > top.depth:
-            element = element.parent
-        inside.append(element is top)
+    full = np.array([i for i, n in enumerate(nodes) if n[1].strip()])
+    inside = with_headings(nodes, held(nodes, full[score >= limit]))
     blocks: dict[int, list[tuple[str, bool]]] = {}
-    for (_, text, block, link), held in zip(nodes, inside):
-        if held:
+    for (_, text, block, link), read in zip(nodes, inside):
+        if read:
             blocks.setdefault(block, []).append((text, link))
     lines = []
     for pieces in blocks.values():
