@@ -212,6 +212,26 @@ def test_licences(spark, odd_docs, no_docs):
     assert license_scan.document_licences(odd_docs).count() == odd_docs.select("doc_id").distinct().count()
 
 
+def test_licences_within_long_lines(spark):
+    """Every template inside a line of 2,000 words is found as it is alone."""
+    prose = [f"{w}{i % 7}" for i, w in enumerate("people walk along the river and talk about weather".split() * 112)]
+    templates = [(f, t) for f in license_scan.FAMILIES for t in license_scan.TEMPLATES[f]]
+    rows = []
+    for i, (_, t) in enumerate(templates):
+        at = 100 + 37 * i % 800
+        rows += [(2 * i, t), (2 * i + 1, " ".join([*prose, *prose[:at], t, *prose[at:], *prose[:100]]))]
+    rows += [(10 ** 6, " ".join(["Released under the MIT License.", *prose, "Licensed under CC BY 4.0."])),
+             (10 ** 6 + 1, " ".join([*prose, "The bar lost its liquor license.", *prose]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_scan.document_licences(docs).collect()}
+    lost = [t for i, (f, t) in enumerate(templates) if not set(got[2 * i]["licences"].split(",")) <= set(got[2 * i + 1]["licences"].split(","))]
+    assert not lost
+    extra = [(t, got[2 * i + 1]["licences"]) for i, (f, t) in enumerate(templates) if got[2 * i + 1]["licences"] not in (f, got[2 * i]["licences"])]
+    assert not extra
+    assert got[10 ** 6]["licences"] == "cc-by,mit" and got[10 ** 6]["n_licence_lines"] == 1
+    assert got[10 ** 6 + 1]["licences"] == "" and got[10 ** 6 + 1]["n_unknown_lines"] == 1
+
+
 def test_licence_scores_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     model = license_scan.train(docs)
