@@ -23,7 +23,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table of ``staged`` that no plan reads any more."""
+    spark = df.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(df._staged_path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -7,8 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (exact_dedup, html_extract, language_id, license_scan, mixing, near_dup, packing, sharding,
-                          token_counts, topk_search)
+from tidemark.llm import (exact_dedup, html_extract, importance, language_id, license_scan, mixing, near_dup, packing,
+                          pieces, sharding, token_counts, topk_search, vector_codes)
 from tidemark.session import table
 
 
@@ -56,9 +56,25 @@ def op10_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.encode_decode(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+                        F.sha2("ends", 256).alias("spans_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_exact_dedup, op3_language_id, op4_mixing, op5_html_extraction, op6_license_scan, op7_sharding,
-    op8_token_counts, op9_near_dedup, op10_topk_search)}
+    op8_token_counts, op9_near_dedup, op10_topk_search, op11_importance_resampling, op12_piece_encoding,
+    op13_vector_codes)}
 
 ORACLES = {
     "op2_exact_dedup": """
@@ -71,6 +87,8 @@ FROM (SELECT doc_id, coalesce(text, '') AS text,
              regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g') AS norm FROM documents)
 WINDOW w AS (PARTITION BY norm ORDER BY length(text) DESC, doc_id)""",
     "op4_mixing": mixing.ORACLE_SQL,
+    "op11_importance_resampling": importance.ORACLE_SQL,
+    "op13_vector_codes": vector_codes.ORACLE_SQL,
     "op10_topk_search": """
 WITH valid AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
