@@ -91,6 +91,65 @@ def test_large_cluster_of_unequal_copies(spark, monkeypatch):
     check_classes(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
+def test_buckets_whose_ends_fit_no_member(spark, monkeypatch):
+    """Linked pairs among texts that only share a passage: buckets of 6 to 50
+    members, most of them neither linked nor promising."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(20_000)]
+    rows = []
+    for size in (6, 9, 20, 50):
+        passage = [rng.choice(words) for _ in range(120)]
+        for i in range(size):
+            own = passage + [rng.choice(words) for _ in range(55)]
+            rows.append(" ".join(own))
+            if i % 3 == 0:  # linked with the one before, alike to all others
+                own[130] = rng.choice(words)
+                rows.append(" ".join(own))
+    rng.shuffle(rows)
+    monkeypatch.setattr(near_dup, "BLOCK_NODES", 7)
+    monkeypatch.setattr(near_dup, "FANOUT", 1)
+    check_classes(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string"))
+
+
+def test_first_step_meets_few(spark):
+    """Rows of the first join grow with a group of near copies, not faster, and a node has at most FANOUT pairs of its own."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(5000)]
+    origin = [rng.choice(words) for _ in range(150)]
+    rows = []
+    for i in range(400):
+        copy = list(origin)
+        for at in rng.sample(range(150), 2):
+            copy[at] = rng.choice(words)
+        rows.append((i, " ".join(copy)))
+    sketches = near_dup.sketch(spark.createDataFrame(rows, "doc_id long, text string"))
+    buckets = near_dup.bucketed(sketches.selectExpr("row AS node", "bands"))
+    assert buckets.count() <= 400 * near_dup.BANDS
+    assert 399 <= near_dup.candidates(buckets).count() <= 400 * near_dup.FANOUT
+
+
+def test_forest_joins_all_promising_classes():
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        n = 30
+        classes = rng.integers(0, 12, n)
+        agree = rng.integers(0, 125, (n, n)).clip(0, 90)
+        rows = np.arange(n)
+        found = near_dup.forest(agree, rows, rows, classes)
+        assert len(found) < len(set(classes.tolist()))
+
+        def parts(pairs):
+            name = {c: c for c in set(classes.tolist())}
+            for i, j in pairs:
+                a, b = name[int(classes[i])], name[int(classes[j])]
+                name = {c: a if x == b else x for c, x in name.items()}
+            return {frozenset(c for c in name if name[c] == x) for x in set(name.values())}
+
+        every = [(i, j) for i in range(n) for j in range(n) if agree[i, j] >= near_dup.LEAST_EQUAL and classes[i] != classes[j]]
+        assert parts(found) == parts(every)
+        assert all(agree[i, j] >= near_dup.LEAST_EQUAL and classes[i] != classes[j] for i, j in found)
+
+
 def test_classes_of_documents_and_odd_rows(spark, odd_docs, no_docs):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = check_classes(docs)

@@ -11,20 +11,25 @@ order of time and end once every slot is hit, so long texts cost little more
 than reading them.
 
 Signatures are cut into ``BANDS`` × ``ROWS_PER_BAND``; documents that agree in a
-band are candidates. Copies with the same words are one node before that. In a
-bucket every member meets the ``PIVOTS`` smallest members: buckets up to
-``PIVOTS`` + 1 members are covered whole. Candidates whose signatures agree in
-too few slots are dismissed (chance of losing a pair at 0.8: about 1e-5), the
-others are verified exactly: overlap of the two bags from their whole texts, 0.8
-or more. Linked nodes form classes by alternating large and small stars; a
-class is named by its smallest doc_id.
-
-Where many texts are alike but not all linked, pivots alone would lose links.
-So the promising pairs are joined to clusters as well, and in each cluster of
-more than ``PIVOTS`` + 1 nodes every node outside the cluster's largest class
-meets all nodes of the cluster, exactly, in blocks of about ``BLOCK_NODES``
-nodes a side (no task holds a cluster; a block hands back one link per node and
-class, never all pairs). This part grows with the square of such a cluster.
+band share a bucket. Copies with the same words are one node before that. Links
+are found in three steps, so that large groups cost little and none is lost:
+
+1. Every node meets the ``FANOUT`` of its buckets' smallest and largest nodes with
+   which it shares most buckets. Pairs whose signatures agree in too few slots are
+   dismissed (chance of losing a pair at 0.8: about 1e-5), the others are verified
+   exactly: overlap of the two bags from their whole texts, 0.8 or more.
+2. In every bucket that holds nodes of several classes, the nodes outside its
+   largest class meet all nodes of the bucket by their digests, in blocks of about
+   ``BLOCK_NODES`` nodes a side. Of the promising pairs of a block a spanning
+   forest over the classes is handed back (never more rows than nodes) and
+   verified. Buckets with the same nodes are taken once.
+3. Verified links make classes, promising pairs clusters. In a cluster of several
+   classes and more than two nodes, every node outside the cluster's largest class
+   meets all nodes of the cluster with its whole text, in blocks as well. This part
+   grows with the square of a cluster of texts that are alike but not linked.
+
+Classes are found by alternating large and small stars; a class is named by its
+smallest doc_id.
 
 Defined cases: words are runs without white space, case folded; texts under
 five words are one shingle of all their words; null, empty and blank texts
@@ -38,6 +43,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -52,10 +58,11 @@ WORDS = 5                 # words of a shingle
 SIMILARITY = 0.8          # weighted Jaccard of linked documents
 BANDS, ROWS_PER_BAND = 25, 5
 SLOTS = BANDS * ROWS_PER_BAND
-PIVOTS = 4                # members of a bucket that all others meet
+FANOUT = 4                # pairs of a node in the first step
 LEAST_EQUAL = 80          # of SLOTS that agree for a pair to be verified
 BLOCK_NODES = 512         # nodes per side of a block in which all are compared
-BROADCAST_NODES = 500_000  # 16-byte keys that may be broadcast (about 40 MB)
+BLOCK_CHARS = 4 << 20     # characters of a side of a block of whole texts, about
+BROADCAST_NODES = 500_000  # keys of at most 16 bytes that may be broadcast (about 40 MB)
 
 MIX1, MIX2, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 S30, S27, S31, S32, S11 = (np.uint64(x) for x in (30, 27, 31, 32, 11))
@@ -108,7 +115,7 @@ def blocks_of(elements: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, ..
     while len(elements):
         over = weights > low
         elements, weights = elements[over], weights[over]
-        seeds.append(mixed(elements + STEP * np.uint64(low + 1)))
+        seeds.append(mixed(elements + STEP * np.array([low + 1], np.uint64)))
         rates.append(np.full(len(elements), float(low)))
         inside.append(np.minimum(weights - low, low).astype(np.float64))
         low *= 2
@@ -188,17 +195,17 @@ def node_of(words: Column) -> Column:
 
 
 def sketch(rows: DataFrame) -> DataFrame:
-    """``rows(doc_id, text)`` → doc_id, text_key, node, bands, digest (8 bits per slot)."""
+    """``rows(doc_id, text)`` → row (a number of its own), doc_id, text_key, words_key, words, bands, digest (8 bits per slot)."""
     ship_by_value(sys.modules[__name__])
     keyed = (rows.withColumn("words", words_of(F.col("text")))
-             .select("doc_id", F.unhex(F.md5(text_or_empty(F.col("text")))).alias("text_key"),
-                     node_of(F.col("words")).alias("node"), "words"))
+             .select(F.monotonically_increasing_id().alias("row"), "doc_id", F.unhex(F.md5(text_or_empty(F.col("text")))).alias("text_key"),
+                     node_of(F.col("words")).alias("words_key"), "words"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bands, digests, last, made = [], [], None, (None, None)
-            for words in batch.column(3):
+            for words in batch.column(4):
                 words = words.as_py()
                 if words != last:  # copies often stand together
                     last, made = words, (None, None)
@@ -208,20 +215,35 @@ def sketch(rows: DataFrame) -> DataFrame:
                 bands.append(made[0])
                 digests.append(made[1])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(bands, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
-                ["doc_id", "text_key", "node", "bands", "digest"])
+                [*batch.columns, pa.array(bands, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
+                [*batch.schema.names, "bands", "digest"])
 
-    return keyed.mapInArrow(sketched, f"doc_id {id_type}, text_key binary, node binary, bands array<long>, digest binary")
+    return keyed.mapInArrow(sketched, f"row long, doc_id {id_type}, text_key binary, words_key binary, words string, "
+                                      "bands array<long>, digest binary")
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(node, pivot) once each, from ``nodes(node, bands)``."""
+def only(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` whose ``name`` is among the distinct ``keys(name)``."""
+    return df.join(F.broadcast(keys) if keys.count() <= BROADCAST_NODES else keys, name, "left_semi")
+
+
+def bucketed(nodes: DataFrame) -> DataFrame:
+    """bucket, node, low, high (its smallest and largest node) of the buckets of
+    two nodes or more, from ``nodes(node, bands)``."""
     member = nodes.select(F.explode("bands").alias("bucket"), "node")
-    order = Window.partitionBy("bucket").orderBy("node")
-    pivot = (member.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
-             .select("bucket", F.col("node").alias("pivot")))
-    return (member.join(pivot, "bucket").where(F.col("pivot") < F.col("node"))
-            .select("node", "pivot").distinct())
+    shared = (member.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+              .where(F.col("low") < F.col("high")))
+    return member.join(shared, "bucket")
+
+
+def candidates(buckets: DataFrame) -> DataFrame:
+    """(node, pivot), pivot < node, once each: every node of ``bucketed`` with the
+    ``FANOUT`` ends of its buckets that share most buckets with it."""
+    met = (buckets.select("node", F.explode(F.array("low", "high")).alias("pivot")).where(F.col("pivot") != F.col("node"))
+           .groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n")))
+    most = F.slice(F.sort_array(F.collect_list(F.struct("n", "pivot")), asc=False), 1, FANOUT)  # of 2 × BANDS at most
+    best = met.groupBy("node").agg(most.alias("best")).select("node", F.explode("best.pivot").alias("pivot"))
+    return best.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct()
 
 
 def promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -237,16 +259,14 @@ def promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["node", "pivot"]).filter(keep)
 
     return (pairs.join(mine, "node").join(theirs, "pivot").select("node", "pivot", "a", "b")
-            .mapInArrow(agreeing, "node binary, pivot binary"))
+            .mapInArrow(agreeing, "node long, pivot long"))
 
 
-def words_of_nodes(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+def texts_of(sketches: DataFrame, *pairs: DataFrame) -> DataFrame:
     """(node, words) of the nodes of ``pairs``."""
-    needed = staged(pairs.select("node").union(pairs.select("pivot")).distinct(), "needed")
-    words = rows.select(words_of(F.col("text")).alias("words")).withColumn("node", node_of(F.col("words")))
-    if needed.count() <= BROADCAST_NODES:
-        needed = F.broadcast(needed)
-    return staged(words.join(needed, "node", "left_semi").groupBy("node").agg(F.first("words").alias("words")), "words")
+    ends = [p.select(c).toDF("row") for p in pairs for c in ("node", "pivot")]
+    needed = staged(reduce(DataFrame.union, ends).distinct(), "needed")
+    return staged(only(sketches.select("row", "words"), needed, "row").withColumnRenamed("row", "node"), "words")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -266,7 +286,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return (pairs.join(texts.select("node", F.col("words").alias("mine")), "node")
             .join(texts.select(F.col("node").alias("pivot"), F.col("words").alias("theirs")), "pivot")
             .select("node", "pivot", "mine", "theirs")
-            .mapInArrow(overlapping, "node binary, pivot binary"))
+            .mapInArrow(overlapping, "node long, pivot long"))
 
 
 def with_roots(found: DataFrame) -> DataFrame:
@@ -275,51 +295,142 @@ def with_roots(found: DataFrame) -> DataFrame:
 
 
 def two_components(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``components`` of two graphs in one run; a leading byte keeps their nodes apart."""
-    def marked(links: DataFrame, mark: bytes) -> DataFrame:
-        return links.select(*[F.concat(F.lit(mark), c).alias(c) for c in ("node", "pivot")])
-
-    def own(mark: bytes) -> DataFrame:
-        return found.where(F.substring("node", 1, 1) == F.lit(mark)).select(
-            *[F.col(c).substr(2, 16).alias(c) for c in ("node", "root")])
-
-    found = components(marked(first, b"\x00").union(marked(second, b"\x01")))
-    return own(b"\x00"), own(b"\x01")
-
-
-def remaining_links(clusters: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (node, pivot) that pivots missed: in every large cluster of
-    promising pairs with several classes, the nodes outside its largest class
-    against all, block by block."""
-    cluster = clusters.withColumnRenamed("root", "cluster")
-    member = staged(cluster.join(classes, "node", "left")
-                    .select("cluster", "node", F.coalesce("root", "node").alias("class")), "clusters")
-    sizes = member.groupBy("cluster", "class").agg(F.count(F.lit(1)).alias("n"))
-    large = (sizes.groupBy("cluster").agg(
-        F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top"))
-        .where((F.col("all") > PIVOTS + 1) & (F.col("top.n") < F.col("all")))
-        .select("cluster", F.col("top.class").alias("top"), F.ceil(F.col("all") / BLOCK_NODES).cast("int").alias("their_blocks"),
-                F.ceil((F.col("all") - F.col("top.n")) / BLOCK_NODES).cast("int").alias("my_blocks")))
-    spread = staged(member.join(large, "cluster").join(texts, "node"), "spread")
-    block = F.xxhash64("node")
-    theirs = spread.select("cluster", "node", "class", "words", F.pmod(block, F.col("their_blocks")).cast("int").alias("theirs"),
-                           F.explode(F.sequence(F.lit(0), F.col("my_blocks") - 1)).alias("mine"))
-    mine = spread.where(F.col("class") != F.col("top")).select(
-        "cluster", "node", "class", "words", F.pmod(block, F.col("my_blocks")).cast("int").alias("mine"),
-        F.explode(F.sequence(F.lit(0), F.col("their_blocks") - 1)).alias("theirs"))
+    """``components`` of two graphs in one run; the lowest bit keeps their nodes apart."""
+    def marked(links: DataFrame, mark: int) -> DataFrame:
+        return links.select(*[(F.col(c) * 2 + mark).alias(c) for c in ("node", "pivot")])
+
+    def own(mark: int) -> DataFrame:
+        return found.where(F.col("node").bitwiseAND(F.lit(1)) == mark).select(
+            *[F.shiftright(c, 1).alias(c) for c in ("node", "root")])
+
+    found = components(marked(first, 0).union(marked(second, 1)))
+    return own(0), own(1)
+
+
+def forest(agree: np.ndarray, mine: np.ndarray, theirs: np.ndarray, classes: np.ndarray) -> list[tuple[int, int]]:
+    """Of the promising pairs (mine[i], theirs[j]) of different classes, those of
+    a spanning forest over the classes, best agreement first."""
+    own, other = classes[mine], classes[theirs]
+    i, j = np.nonzero((agree >= LEAST_EQUAL) & (own[:, None] != other[None, :]))
+    order = np.argsort(-agree[i, j].astype(np.int64), kind="stable")
+    kind: dict[int, int] = {}
 
-    def compared(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def top(c: int) -> int:
+        while kind.get(c, c) != c:
+            kind[c] = kind.get(kind[c], kind[c])
+            c = kind[c]
+        return c
+
+    found = []
+    _, first = np.unique(np.stack([own[i[order]], other[j[order]]]), axis=1, return_index=True)  # the best of two classes
+    for k in order[np.sort(first)]:
+        a, b = top(int(own[i[k]])), top(int(other[j[k]]))
+        if a != b:
+            kind[a] = b
+            found.append((int(mine[i[k]]), int(theirs[j[k]])))
+    return found
+
+
+def dealt(members: DataFrame, group: str, largest: DataFrame) -> DataFrame:
+    """``members(group, node, class, ...)`` of the groups in ``largest(group,
+    top, my_blocks, their_blocks)``, once per block pair: with ``own`` the nodes
+    outside the top class, without it all."""
+    block = F.xxhash64("node")
+    spread = members.join(F.broadcast(largest) if largest.count() <= BROADCAST_NODES else largest, group)
+    theirs = spread.withColumns({"own": F.lit(False), "theirs": F.pmod(block, F.col("their_blocks")).cast("int"),
+                                 "mine": F.explode(F.sequence(F.lit(0), F.col("my_blocks") - 1))})
+    mine = spread.where(F.col("class") != F.col("top")).withColumns(
+        {"own": F.lit(True), "theirs": F.explode(F.sequence(F.lit(0), F.col("their_blocks") - 1)),
+         "mine": F.pmod(block, F.col("my_blocks")).cast("int")})
+    return theirs.unionByName(mine).drop("top", "my_blocks", "their_blocks")
+
+
+def blocks(rows: Column, size: Column, per_rows: int, per_size: int) -> Column:
+    return F.greatest(F.lit(1), F.ceil(rows / per_rows), F.ceil(size / per_size)).cast("int")
+
+
+def across_classes(buckets: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Promising pairs (node, pivot) that join the classes of a bucket, from the
+    digests of all nodes of every bucket with more than one class."""
+    classed = staged(buckets.select("bucket", "node").join(classes, "node", "left")
+                     .select("bucket", "node", F.coalesce("root", "node").alias("class")), "classed")
+    # one row per class of a bucket, then per bucket; the hashes name its set of nodes
+    sizes = classed.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("a"),
+                                                   F.bit_xor(F.xxhash64(F.col("node") * 2 + 1)).alias("b"))
+    several = (sizes.groupBy("bucket").agg(F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top"),
+                                           F.count(F.lit(1)).alias("classes"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"))
+               .where("classes > 1"))
+    largest = staged(several.groupBy("all", "a", "b").agg(F.min(F.struct("bucket", "top")).alias("one")).select(
+        "one.bucket", F.col("one.top.class").alias("top"), blocks(F.col("all") - F.col("one.top.n"), F.lit(0), BLOCK_NODES, 1).alias("my_blocks"),
+        blocks(F.col("all"), F.lit(0), BLOCK_NODES, 1).alias("their_blocks")), "largest")
+    key = ["bucket", "mine", "theirs"]
+    # the digests once per node and block pair; a block pair is one run of rows in one task
+    rows = (dealt(classed, "bucket", largest).join(nodes.select("node", "digest"), "node")
+            .select(*key, "own", "node", "class", "digest").repartition(*key).sortWithinPartitions(*key))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pairs_of(table: pa.Table) -> pa.RecordBatch:
+            keys = np.stack([table.column(k).to_numpy() for k in key], axis=1)
+            own, node, kind = (table.column(k).to_numpy() for k in ("own", "node", "class"))
+            digest = np.frombuffer(b"".join(table.column("digest").to_pylist()), np.uint8).reshape(-1, SLOTS)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            found = []
+            for start, end in zip(cuts, cuts[1:]):
+                mine, theirs = (start + np.flatnonzero(own[start:end] == x) for x in (True, False))
+                if len(mine) and len(theirs):
+                    agree = np.stack([(digest[theirs] == digest[i]).sum(axis=1) for i in mine])
+                    found += [(int(node[i]), int(node[j])) for i, j in forest(agree, mine, theirs, kind)]
+            return pa.RecordBatch.from_arrays([pa.array([f(p) for p in found], pa.int64()) for f in (max, min)], ["node", "pivot"])
+
+        kept: pa.Table | None = None  # the last run may go on in the next batch
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([kept, table]) if kept is not None else table
+            if not table.num_rows:
+                continue
+            keys = np.stack([table.column(k).to_numpy() for k in key], axis=1)
+            whole = int(np.flatnonzero((keys != keys[-1]).any(axis=1))[-1:].sum() + 1) if (keys != keys[-1]).any() else 0
+            if whole:
+                yield pairs_of(table.slice(0, whole))
+            kept = table.slice(whole)
+        if kept is not None and kept.num_rows:
+            yield pairs_of(kept)
+
+    return rows.mapInArrow(compared, "node long, pivot long").distinct()
+
+
+def remaining_links(clusters: DataFrame, classes: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Links (node, pivot) not found yet: in every cluster of several classes
+    and more than two nodes, the nodes outside its largest class against all,
+    from their whole texts, block by block."""
+    members = staged(clusters.withColumnRenamed("root", "cluster").join(classes, "node", "left")
+                     .select("cluster", "node", F.coalesce("root", "node").alias("class")), "clusters")
+    sizes = members.groupBy("cluster", "class").agg(F.count(F.lit(1)).alias("n"))
+    open_ = staged(sizes.groupBy("cluster").agg(F.sum("n").alias("all"), F.max(F.struct("n", "class")).alias("top"))
+                   .where((F.col("all") > 2) & (F.col("top.n") < F.col("all"))), "open")
+    small = open_.count() <= BROADCAST_NODES
+    inside = members.join(F.broadcast(open_) if small else open_, "cluster")
+    needed = staged(inside.select(F.col("node").alias("row")), "needed")
+    texts = only(sketches.select("row", "words"), needed, "row").withColumnRenamed("row", "node")
+    spread = staged(inside.join(texts, "node").withColumn("chars", F.length("words").cast("long")), "spread")
+    largest = staged(spread.groupBy("cluster").agg(F.first("all").alias("all"), F.first("top.n").alias("n"), F.first("top.class").alias("top"),
+                                                   F.sum("chars").alias("chars"),
+                                                   F.sum(F.when(F.col("class") != F.col("top.class"), F.col("chars"))).alias("outside")).select(
+        "cluster", "top", blocks(F.col("all") - F.col("n"), F.col("outside"), BLOCK_NODES, BLOCK_CHARS).alias("my_blocks"),
+        blocks(F.col("all"), F.col("chars"), BLOCK_NODES, BLOCK_CHARS).alias("their_blocks")), "largest")
+    rows = dealt(spread.select("cluster", "node", "class", "words"), "cluster", largest)
+
+    def compared(block: pd.DataFrame) -> pd.DataFrame:
+        left, right = block[block["own"]], block[~block["own"]]
         if not len(left) or not len(right):
             return pd.DataFrame({"node": [], "pivot": []})
-        number = {c: i for i, c in enumerate(sorted({bytes(c) for c in right["class"]}))}
-        classes = np.array([number[bytes(c)] for c in right["class"]])
-        pairs = [(bytes(left["node"].iloc[i]), bytes(right["node"].iloc[j]))
-                 for i, j in block_links(left["words"].tolist(), right["words"].tolist(), classes)
-                 if bytes(left["class"].iloc[i]) != bytes(right["class"].iloc[j])]
+        kinds = right["class"].to_numpy()
+        mine, theirs, own = left["node"].to_numpy(), right["node"].to_numpy(), left["class"].to_numpy()
+        pairs = [(int(mine[i]), int(theirs[j])) for i, j in block_links(left["words"].tolist(), right["words"].tolist(), kinds)
+                 if own[i] != kinds[j]]
         return pd.DataFrame({"node": [max(p) for p in pairs], "pivot": [min(p) for p in pairs]})
 
-    key = ["cluster", "mine", "theirs"]
-    return mine.groupBy(*key).cogroup(theirs.groupBy(*key)).applyInPandas(compared, "node binary, pivot binary")
+    return rows.groupBy("cluster", "mine", "theirs").applyInPandas(compared, "node long, pivot long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -346,17 +457,25 @@ def rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, text_key and root of every row (null without words)."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).cast("string").alias("text"))
     sketches = staged(sketch(rows), "sketch")
-    nodes = staged(sketches.where(F.col("node").isNotNull()).groupBy("node")
-                   .agg(F.first("bands").alias("bands"), F.first("digest").alias("digest")), "nodes")
-    pairs = staged(promising(candidates(nodes), nodes), "pairs")
-    texts = words_of_nodes(pairs, rows)
-    links = staged(verified(pairs, texts), "links")
-    classes, clusters = two_components(links, pairs)
-    more = staged(remaining_links(with_roots(clusters), with_roots(classes), texts), "more")
-    if more.limit(1).count():
-        classes = components(classes.withColumnRenamed("root", "pivot").union(more))
-    return (sketches.select("doc_id", "text_key", "node").join(classes, "node", "left")
-            .select("doc_id", "text_key", F.coalesce("root", "node").alias("root")))
+    # one row stands for all with the same words; its number is the node
+    firsts = staged(sketches.where(F.col("words_key").isNotNull()).groupBy("words_key").agg(F.min("row").alias("row")), "firsts")
+    nodes = staged(only(sketches.select("row", "bands", "digest"), firsts.select("row"), "row").withColumnRenamed("row", "node"), "nodes")
+    buckets = staged(bucketed(nodes), "buckets")
+    pairs = staged(promising(candidates(buckets), nodes), "pairs")
+    links = staged(verified(pairs, texts_of(sketches, pairs)), "links")
+    classes = components(links)
+    across = staged(across_classes(buckets, classes, nodes), "across")
+    if across.limit(1).count():
+        new = staged(across.join(pairs, ["node", "pivot"], "left_anti"), "new")
+        linked = classes.withColumnRenamed("root", "pivot")
+        classes, clusters = two_components(linked.union(verified(new, texts_of(sketches, new))), linked.union(across))
+        more = staged(remaining_links(with_roots(clusters), with_roots(classes), sketches), "more")
+        if more.limit(1).count():
+            classes = components(classes.withColumnRenamed("root", "pivot").union(more))
+    named = (classes.join(firsts.select(F.col("row").alias("node"), "words_key"), "node")
+             .join(firsts.select(F.col("row").alias("root"), F.col("words_key").alias("root_key")), "root").select("words_key", "root_key"))
+    return (sketches.select("doc_id", "text_key", "words_key").join(named, "words_key", "left")
+            .select("doc_id", "text_key", F.coalesce("root_key", "words_key").alias("root")))
 
 
 def shared_roots(found: DataFrame, *what: Column) -> DataFrame:
