@@ -46,14 +46,15 @@ def test_ids_spans_and_texts_equal_the_library(codec, library, monkeypatch):
         assert codec.decode(found.ids) == library.decode(ids), text
 
 
-def test_words_are_forgotten_and_whole_texts_agree(codec, library, monkeypatch):
-    monkeypatch.setattr(pieces, "REMEMBERED", 7)
-    codec.words.clear()
+def test_slices_and_whole_texts_agree(codec, library, monkeypatch):
     rng = random.Random(3)
-    text = " ".join("".join(rng.choice("abcdefgé ") for _ in range(rng.randint(1, 9))) for _ in range(3000))
-    assert numbers(codec.encode(text).ids) == library.encode(text, add_bos=True, add_eos=True)
+    text = " ".join("".join(rng.choice("abcdefgé ") for _ in range(rng.randint(1, 9))) for _ in range(3000)) + " " + "x" * 900
+    want = library.encode(text, add_bos=True, add_eos=True)
+    assert numbers(codec.encode(text).ids) == want
+    monkeypatch.setattr(pieces, "SLICE", 50)
+    assert numbers(codec.encode(text).ids) == want and len(list(codec.slices(codec.normalize(text.encode())[0].decode()))) > 100
     monkeypatch.setattr(codec, "by_word", False)
-    assert numbers(codec.encode(text).ids) == library.encode(text, add_bos=True, add_eos=True)
+    assert numbers(codec.encode(text).ids) == want
 
 
 @pytest.mark.parametrize("rule", ["nmt_nfkc", "nmt_nfkc_cf", "identity"])

@@ -11,10 +11,10 @@ character (byte fallback) end where it starts, the last where it ends, as in the
 library; begin and end ids have empty spans at the ends of the text.
 
 No piece of such a vocabulary holds a word's start behind something else (this
-is checked), so no merge crosses the start of a word: words are encoded one by one,
-frequent ones remembered, and neither time nor memory of a long text grows
-faster than its length. Vocabularies of another kind are encoded text by text.
-Decoding takes the ids in stretches that begin with a word.
+is checked), so no merge crosses the start of a word: texts are encoded in slices
+that begin with a word, and neither time nor memory of a long text grows faster
+than its length. Vocabularies of another kind are encoded text by text. Decoding
+takes the ids in stretches that begin with a word.
 
 Defined cases: null text is the empty text (begin and end id alone, decoded empty);
 very long texts are read whole; null and repeated ids are rows like any other; an
@@ -39,9 +39,8 @@ from tidemark.session import ship_by_value
 
 SPACE = "▁"              # the escaped space
 SPACE_BYTES = SPACE.encode()
-WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-REMEMBERED = 100_000          # words of a generation; a worker remembers two
-LONGEST_REMEMBERED = 64       # characters
+WORD_START = re.compile(f"(?<!{SPACE}){SPACE}")
+SLICE = 1 << 16               # characters encoded at once, about
 DECODE_IDS = 1 << 16          # ids decoded at once, about
 BATCH_BYTES = 1 << 24         # of the columns handed back at once, about
 
@@ -132,7 +131,7 @@ class Normalizer:
     def mapped(self, data: bytes) -> tuple[bytes, np.ndarray]:
         """The text after the character map, and the source byte of each of its bytes."""
         raw = np.frombuffer(data, np.uint8)
-        origin = np.maximum.accumulate(np.where((raw & 0xC0) != 0x80, np.arange(len(raw)), 0))
+        origin = np.maximum.accumulate(np.where((raw & 0xC0) != 0x80, np.arange(len(raw), dtype=np.int32), np.int32(0)))
         if self.symbols is None and (self.changing is None or not self.changing.search(data)):
             return data, origin
         texts, origins, at, kept = [], [], 0, 0
@@ -143,10 +142,10 @@ class Normalizer:
                 at += len(symbol.group()) if symbol else 1 if data[at] < 0xC0 else 2 if data[at] < 0xE0 else 3 if data[at] < 0xF0 else 4
                 continue
             texts += [data[kept:at], found[1]]
-            origins += [origin[kept:at], np.full(len(found[1]), at)]
+            origins += [origin[kept:at], np.full(len(found[1]), at, np.int32)]
             at += found[0]
             kept = at
-        return b"".join([*texts, data[kept:]]), np.concatenate([*origins, origin[kept:]]).astype(np.int64)
+        return b"".join([*texts, data[kept:]]), np.concatenate([*origins, origin[kept:]])
 
     def __call__(self, data: bytes) -> tuple[bytes, np.ndarray]:
         if not data:
@@ -163,14 +162,14 @@ class Normalizer:
             text, origin = np.frombuffer(text, np.uint8)[stay].tobytes(), origin[stay]
             if not text:
                 return b"", np.array([end])
-        start = np.zeros(0, np.int64)
+        start = np.zeros(0, np.int32)
         if self.prefix:
-            start = np.repeat(origin[:1] if self.fold else np.zeros(1, np.int64), 3 if self.escape else 1)
+            start = np.repeat(origin[:1] if self.fold else np.zeros(1, np.int32), 3 if self.escape else 1)
         if self.escape:
             origin = np.repeat(origin, np.where(np.frombuffer(text, np.uint8) == 32, 3, 1))
             text = text.replace(b" ", SPACE_BYTES)
         prefix = (SPACE_BYTES if self.escape else b" ") if self.prefix else b""
-        return prefix + text, np.concatenate([start, origin, [end]])
+        return prefix + text, np.concatenate([start, origin, np.array([end], np.int32)])
 
 
 # ---- encoding and decoding ----
@@ -182,25 +181,6 @@ class Encoded:
     ends: bytes
 
 
-class WordIds(dict):
-    """normalised word → its ids as unsigned little-endian 32-bit bytes; two generations are remembered."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode, self.older = encode, {}
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.older.get(word)
-        if ids is None:
-            ids = as_words(self.encode(word))
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
-        return ids
-
-
 def as_words(ids: list[int]) -> bytes:
     return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
 
@@ -226,23 +206,25 @@ class PieceCodec:
         starts = {t.decode() for t, k in zip(texts, kinds) if k in (1, USER_DEFINED)}
         self.by_word = SPACE in starts and not any(re.search(f"[^{SPACE}]{SPACE}", t) for t in starts)
         self.starts_word = np.array([t.startswith(SPACE_BYTES) for t in texts])
-        self.words = WordIds(self.bare.encode)
+
+    def slices(self, normal: str) -> Iterator[str]:
+        """A normalised text, cut at starts of words."""
+        at = 0
+        while at < len(normal):
+            cut = WORD_START.search(normal, at + SLICE) if self.by_word else None
+            end = cut.start() if cut else len(normal)
+            yield normal[at:end]
+            at = end
 
     def encode(self, text: str) -> Encoded:
         normal, origin = self.normalize(text.encode())
-        shown = normal.decode()
-        if self.by_word:
-            words = self.words
-            ids = b"".join([words[w] for w in WORD.findall(shown)])
-        else:
-            ids = as_words(self.bare.encode(shown))
+        parts = list(self.slices(normal.decode()))
+        ids = b"".join([as_words(self.bare.encode(part)) for part in parts])
         numbers = np.frombuffer(ids, "<u4")
         lengths = self.lengths[numbers]
         if self.unknown >= 0 and (numbers == self.unknown).any():  # an unknown piece is as long as its text
-            surfaces = [p for w in (WORD.findall(shown) if self.by_word else [shown]) for p in self.bare.encode(w, out_type=str)]
-            lengths = np.array([len(p.encode()) for p in surfaces], np.int64)
-        ends = origin[np.cumsum(lengths)].astype("<u4")
-        ends = np.concatenate([[0], ends, [len(text.encode()) if len(ends) == 0 else ends[-1]]]).astype("<u4")
+            lengths = np.array([len(p.encode()) for part in parts for p in self.bare.encode(part, out_type=str)], np.int64)
+        ends = np.concatenate([[0], origin[np.cumsum(lengths)], origin[-1:]]).astype("<u4")
         return Encoded(as_words([self.begin]) + ids + as_words([self.end]), ends.tobytes())
 
     def decode(self, ids: bytes) -> str:
