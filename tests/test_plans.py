@@ -84,3 +84,40 @@ def test_wide_table_profile_and_reconcile(spark):
     other = base.withColumn("c7", F.when(F.col("row_idx") == 5, F.lit("x")).otherwise(F.col("c7")))
     e = {r["measure"]: r["count"] for r in reconcile(base, other).entries().collect()}
     assert e["non-matching of shared entries"] == 1 and e["shared (common) entries"] == 300 * n
+
+
+def test_reports_of_one_reconciliation_share_one_join(spark):
+    r = q.orders_reconciliation(spark, SF_MID)
+    assert _plan(r.paired()).count("SortMergeJoin") + _plan(r.paired()).count("BroadcastHashJoin") == 1
+    for report in (r.dims(), r.entries(), r.discrepancies(), r.by_column(), r.messages()):
+        p = _plan(report)
+        assert "Join" not in p and p.count("FileScan") == 1
+
+
+def test_hot_key_is_no_window_and_spreads(spark, monkeypatch):
+    from tidemark.operators import compare
+    n = 30_000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.lit(None)).otherwise(F.col("id")).alias("k"),
+                               F.col("id").cast("string").alias("x"))
+    want = None
+    for most in (compare.BROADCAST_KEYS, 0):  # keys sent to all tasks, or the hot ones sent and the others joined
+        monkeypatch.setattr(compare, "BROADCAST_KEYS", most)
+        r = compare.reconcile(df, df.repartition(5), on="k")
+        assert "Window" not in _plan(r.paired())
+        got = ([tuple(x) for x in r.by_column().collect()], r.counts().first()["repeated"])
+        assert want in (None, got)
+        want = got
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        rows = r.paired().groupBy(F.spark_partition_id()).count().collect()
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert max(x["count"] for x in rows) < 10_000  # of 50,000 rows in 8 parts, 40,000 of them of two hot keys
+    assert want[0][0][2] == n // 3 and want[1] == 4 * n // 3
+
+
+def test_two_keys_one_null(spark):
+    from tidemark.operators.compare import reconcile
+    left = spark.createDataFrame([(1, None, "a"), (1, None, "b"), (1, 2, "c"), (2, None, "d"), (3, 3, "e"), (3, 3, "f")], "i int, j int, x string")
+    right = spark.createDataFrame([(1, 2, "c"), (2, None, "d"), (3, 3, "e"), (4, 4, "z"), (4, 4, "z")], "i int, j int, x string")
+    r = reconcile(left, right, on=["i", "j"])
+    c = r.counts().first()
+    assert (c["o_row"], c["r_row"], c["paired"], c["repeated"]) == (6, 5, 1, 6)

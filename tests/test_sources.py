@@ -223,3 +223,66 @@ def test_standardize_to_routes_failed_runs(spark):
     back = spark.read.parquet(os.path.join(d, "bad", "part", "data"))
     assert back.count() == 200 and back.schema["p_retailprice"].metadata["units"] == "unspecified"
     assert spark.read.json(os.path.join(d, "out", "_qc")).count() == std.qc.count()
+
+
+def test_profile_state_equals_the_whole_for_any_split(spark):
+    from tidemark.operators.profile import families, profile
+    from tidemark.streaming.incremental import fold_counters
+    rows = [(str(i), None if i < 40 else str(i), "1.5" if i == 7 else "9999999999", "True" if i % 2 else None, None, str(i * 10 ** 9)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string")
+    want = {tuple(r) for r in profile(df).drop("chunk").collect()}
+    for cuts in ([60], [10, 50], [1, 7, 8, 40, 60], list(range(5, 65, 5))):
+        d, start = _scratch(), 0
+        for k, end in enumerate([*cuts, 60] if cuts[-1] != 60 else cuts):
+            for _ in range(2 if k == 1 else 1):  # a batch that is run again
+                fold_counters(spark, d, spark.createDataFrame(rows[start:end], df.schema), k)
+            start = end
+        kept = sorted(x for x in os.listdir(d) if x.startswith("batch="))
+        assert len(kept) <= 2
+        assert {tuple(r) for r in families(spark.read.parquet(os.path.join(d, kept[-1] if len(kept) == 1 else f"batch={k}"))).collect()} == want
+
+
+def test_empty_chunks_say_nothing(spark):
+    from tidemark.operators.profile import profile, reconcile_types
+    df = spark.createDataFrame([(i, str(i) if i < 10 else None, None, None if i < 10 else "True") for i in range(20)],
+                               "i long, n string, none string, b string")
+    prof = profile(df, ["n", "none", "b"], chunk=F.floor(F.col("i") / 10).cast("long"))
+    assert {(r["chunk"], r["column"]): r["family"] for r in prof.collect()} == {
+        (0, "n"): "int", (1, "n"): "empty", (0, "none"): "empty", (1, "none"): "empty", (0, "b"): "empty", (1, "b"): "bool"}
+    got = {r["column"]: (r["family"], r["chunks_disagree"]) for r in reconcile_types(prof).collect()}
+    assert got == {"n": ("int", False), "none": ("object", False), "b": ("bool", False)}
+
+
+def test_sync_of_changed_sources(spark):
+    from tidemark.streaming.incremental import sync_sources
+    src, out, state = _scratch(), os.path.join(_scratch(), "out"), os.path.join(_scratch(), "state")
+
+    def put(name, *lines):
+        os.makedirs(os.path.dirname(os.path.join(src, name)), exist_ok=True)
+        with open(os.path.join(src, name), "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+
+    def run():
+        done = sync_sources(spark, src, out, state, lambda d: d.where("value <> 'skip'"), fmt="text")
+        return ({r["source"]: r["action"] for r in done.collect()},
+                {(r["source"], r["value"]) for r in spark.read.parquet(out).collect()})
+
+    put("a b+c.txt", "1", "2")
+    put("sub/x.txt", "3")
+    put("y%20.txt", "4")
+    assert run() == ({"a b+c.txt": "new", "sub/x.txt": "new", "y%20.txt": "new"}, {("a b+c.txt", "1"), ("a b+c.txt", "2"), ("sub/x.txt", "3"), ("y%20.txt", "4")})
+    assert set(run()[0].values()) == {"same"}
+    put("a b+c.txt", "skip")       # changed, and without rows now
+    put("sub/x.txt", "3", "33")
+    os.remove(os.path.join(src, "y%20.txt"))
+    assert run() == ({"a b+c.txt": "changed", "sub/x.txt": "changed", "y%20.txt": "vanished"}, {("sub/x.txt", "3"), ("sub/x.txt", "33")})
+    assert run()[0] == {"a b+c.txt": "same", "sub/x.txt": "same"}
+
+    def broken(d):
+        raise RuntimeError("stopped")
+
+    put("z.txt", "5")
+    import pytest
+    with pytest.raises(RuntimeError):
+        sync_sources(spark, src, out, state, broken, fmt="text")
+    assert run()[0]["z.txt"] == "new"  # done again by the next run

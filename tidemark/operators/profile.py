@@ -93,6 +93,40 @@ def _family(n, b, i, f) -> Column:
              .otherwise(F.lit("object")))
 
 
+def counters(df: DataFrame, columns: list[str] | None = None, chunk: Column | None = None) -> DataFrame:
+    """What a profile is made of, per chunk and column: (chunk, column, pos,
+    non_null, bools, ints, numbers, max_len, largest). Counts add up and
+    maxima are merged, so counters of parts merge into those of the whole."""
+    cols = columns or [c for c in df.columns if c != "row_idx"]
+    ck = chunk.alias("chunk") if chunk is not None else F.lit(0).cast("long").alias("chunk")
+    flagged = text_flags(df, cols, keep=[ck])
+    wide = flagged.groupBy("chunk").agg(*[a for c in cols for a in _stats(c)])
+    rows = []
+    for pos, c in enumerate(cols):
+        n, b, i, f, l, m = (F.col(f"`{p}__{c}`") for p in "nbiflm")
+        zero = F.lit(0).cast("long")
+        rows.append(F.struct(F.lit(c).alias("column"), F.lit(pos).alias("pos"), n.alias("non_null"), F.coalesce(b, zero).alias("bools"),
+                             F.coalesce(i, zero).alias("ints"), F.coalesce(f, zero).alias("numbers"),
+                             F.coalesce(l, F.lit(0)).alias("max_len"), m.alias("largest")))
+    return wide.select("chunk", F.inline(F.array(*rows)))
+
+
+def merge_counters(parts: DataFrame) -> DataFrame:
+    """Counters of the whole from counters of its parts."""
+    total = [F.sum(c).alias(c) for c in ("non_null", "bools", "ints", "numbers")]
+    return parts.groupBy("column").agg(F.min("pos").alias("pos"), *total, F.max("max_len").alias("max_len"), F.max("largest").alias("largest"))
+
+
+def families(counted: DataFrame, int_overflow: str = "string", empty: str = "object") -> DataFrame:
+    """Profile rows from counters (further columns, such as ``chunk``, are kept)."""
+    fam = F.when(F.col("non_null") == 0, F.lit(empty)).otherwise(_family(*[F.col(c) for c in ("non_null", "bools", "ints", "numbers")]))
+    limit = INT32_MAX if int_overflow == "string" else INT64_MAX  # beyond 64 bits only text keeps the digits
+    fam = F.when((fam == "int") & (F.col("largest") > F.lit(limit)), F.lit("object")).otherwise(fam)
+    known = ("column", "pos", "non_null", "bools", "ints", "numbers", "max_len", "largest")
+    return counted.select(*[c for c in counted.columns if c not in known], "column", "pos", fam.alias("family"), "max_len",
+                          F.when(fam == "int", F.col("largest").cast("long")).alias("max_int"), "non_null")
+
+
 def profile(df: DataFrame, columns: list[str] | None = None, chunk: Column | None = None,
             int_overflow: str = "string") -> DataFrame:
     """PRF-1: (chunk, column, pos, family, max_len, max_int, non_null).
@@ -102,44 +136,33 @@ def profile(df: DataFrame, columns: list[str] | None = None, chunk: Column | Non
     every value is a number, else ``object``. An ``int`` column whose
     maximum exceeds the 32-bit range becomes ``object`` when
     ``int_overflow='string'`` (otherwise it stays ``int``, stored as long, up to
-    the 64-bit range).
+    the 64-bit range). Without any value a chunk's family is ``empty``
+    (it says nothing), a whole table's is ``object``.
     """
-    cols = columns or [c for c in df.columns if c != "row_idx"]
-    ck = chunk.alias("chunk") if chunk is not None else F.lit(0).cast("long").alias("chunk")
-    flagged = text_flags(df, cols, keep=[ck])
-    aggs = [a for c in cols for a in _stats(c)]
-    wide = flagged.groupBy("chunk").agg(*aggs)
-    rows = []
-    for pos, c in enumerate(cols):
-        n, b, i, f = (F.col(f"`{p}__{c}`") for p in "nbif")
-        fam = _family(n, b, i, f)
-        mx = F.col(f"`m__{c}`")
-        limit = INT32_MAX if int_overflow == "string" else INT64_MAX  # beyond 64 bits only text keeps the digits
-        fam = F.when((fam == "int") & (mx > F.lit(limit)), F.lit("object")).otherwise(fam)
-        rows.append(F.struct(F.lit(c).alias("column"), F.lit(pos).alias("pos"), fam.alias("family"),
-                             F.coalesce(F.col(f"`l__{c}`"), F.lit(0)).alias("max_len"),
-                             F.when(fam == "int", mx.cast("long")).alias("max_int"),
-                             n.alias("non_null")))
-    return wide.select("chunk", F.inline(F.array(*rows)))
+    return families(counters(df, columns, chunk), int_overflow, empty="object" if chunk is None else "empty")
 
 
 def reconcile_types(profiles: DataFrame) -> DataFrame:
     """PRF-2 over chunk profiles: int+float -> float, anything+object ->
     object, bool only when bool in every chunk (bool with anything else ->
     object), width = max length over all chunks; chunks that disagree are
-    flagged (WARNING)."""
-    rank = (F.when(F.col("family") == "int", 1).when(F.col("family") == "float", 2)
-             .when(F.col("family") == "object", 3).otherwise(0))
+    flagged (WARNING). Chunks without a value take no part; a column
+    without any value is ``object``."""
+    some = F.col("non_null") > 0
+    rank = F.when(some, F.when(F.col("family") == "int", 1).when(F.col("family") == "float", 2)
+                  .when(F.col("family") == "object", 3).otherwise(0))
     g = profiles.groupBy("column").agg(
         F.min("pos").alias("pos"),
         F.max(rank).alias("_r"),
-        F.sum(F.when(F.col("family") == "bool", 1).otherwise(0)).alias("_b"),
+        F.sum(F.when(some & (F.col("family") == "bool"), 1).otherwise(0)).alias("_b"),
+        F.sum(F.when(some, 1).otherwise(0)).alias("_n"),
         F.count("*").alias("chunks"),
-        F.count_distinct("family").alias("families"),
+        F.count_distinct(F.when(some, F.col("family"))).alias("families"),
         F.max("max_len").alias("max_len"),
         F.max("max_int").alias("max_int"),
         F.sum("non_null").alias("non_null"))
-    fam = (F.when(F.col("_b") == F.col("chunks"), F.lit("bool"))
+    fam = (F.when(F.col("_n") == 0, F.lit("object"))
+            .when(F.col("_b") == F.col("_n"), F.lit("bool"))
             .when(F.col("_b") > 0, F.lit("object"))
             .when(F.col("_r") == 1, F.lit("int"))
             .when(F.col("_r") == 2, F.lit("float"))

@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from tidemark.plans.oracles_lines import PARSED, RUNNING, SNIFF, _header_rule, part_lines
 from tidemark.plans.oracles_meta import DVARS, variable_units
+from tidemark.plans.oracles_profile import gaps_chunked, gaps_whole
 from tidemark.plans.oracles_vocab import HTML_ROWS, MATCHES, TRIPLES, match_counts
 
 NUM_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+
+
+def _report(name: str) -> str:
+    from tidemark.plans import oracles  # which itself collects this module's oracles
+    return getattr(oracles, name)()
+
+
 PREAMBLE = f"""
   SELECT 'part.csv' AS file, CAST(0 AS BIGINT) AS line_no, 'exported by the parts office' AS line
   UNION ALL SELECT 'part.csv', 1, 'draft'
@@ -113,6 +121,26 @@ UNION ALL SELECT CASE WHEN bad = 0 THEN 'INFO' ELSE 'WARNING' END, 'entry_agreem
   CASE WHEN bad = 0 THEN 'all shared cells agree' ELSE 'some shared cells differ even with all allowances' END FROM k
 UNION ALL SELECT 'CRITICAL', 'repeated_keys', CAST(rep AS VARCHAR) || ' rows share their key with another row and were not paired'
 FROM k WHERE rep > 0""",
+    "reconcile_hot_key": lambda: """WITH k AS (SELECT count(*) FILTER (WHERE n = 1) AS shared, count(*) FILTER (WHERE n = 1 AND event_id % 11 = 0) AS bad,
+           count(*) FILTER (WHERE n > 1) AS rep FROM (
+  SELECT event_id, count(*) OVER (PARTITION BY CASE WHEN event_id % 3 = 0 THEN -1 WHEN event_id % 3 = 1 AND event_id % 7 = 0 THEN NULL ELSE event_id END) AS n
+  FROM events))
+SELECT 'k' AS column, shared, 0 AS raw_mismatch FROM k UNION ALL SELECT 'event_type', shared, 0 FROM k
+UNION ALL SELECT 'u', shared, bad FROM k UNION ALL SELECT '(repeated)', 2 * rep, 0 FROM k""",
+    "reconcile_reports": lambda: f"""SELECT 'dims' AS report, side AS name, CAST("rows" AS BIGINT) AS n FROM ({_report('reconcile_dims')})
+UNION ALL SELECT 'entries', measure, CAST("count" AS BIGINT) FROM ({_report('reconcile_entries')})
+UNION ALL SELECT 'discrepancies', stage, CAST("count" AS BIGINT) FROM ({_report('discrepancy_reduction')})
+UNION ALL SELECT 'columns', "column", CAST(equivalent_mismatch AS BIGINT) FROM ({_report('reconcile_by_column')})
+UNION ALL SELECT 'messages', code, NULL FROM ({_report('reconcile_messages')})""",
+    "type_reconcile_gaps": lambda: gaps_chunked(),
+    "incremental_profile_gaps": lambda: gaps_whole(),
+    "changed_sources": lambda: """WITH o AS (SELECT o_orderkey, o_orderkey % 9 AS part, CASE WHEN o_orderkey % 9 = 2 THEN 'Z' ELSE o_orderstatus END AS st
+  FROM orders WHERE o_orderkey % 9 <> 5 AND NOT (o_orderkey % 9 = 2 AND o_orderkey % 2 = 1)),
+r AS (SELECT part, count(*) AS n, CASE WHEN part IN (2, 8) THEN 2 ELSE 1 END AS written_in, max(st) AS last_status, max(o_orderkey) AS last_key FROM o GROUP BY part),
+a AS (SELECT p, run, CASE WHEN run = 1 THEN 'new' WHEN run = 3 THEN 'same' WHEN p = 2 THEN 'changed' WHEN p = 5 THEN 'vanished' WHEN p = 8 THEN 'new' ELSE 'same' END AS action
+  FROM range(9) t(p), range(1, 4) s(run) WHERE NOT (p = 8 AND run = 1) AND NOT (p = 5 AND run = 3))
+SELECT 'part ' || p || '.csv' AS source, CAST(run AS INTEGER) AS run, action, n, written_in, last_status, last_key
+FROM a LEFT JOIN r ON r.part = a.p""",
     "match_special_names": lambda: f"""WITH {HTML_ROWS}, {TRIPLES},
 vars AS (SELECT CASE p_partkey % 4 WHEN 0 THEN repeat('*', CAST(p_partkey % 5 + 1 AS INTEGER))
                   WHEN 1 THEN '_' || substr(p_name, 1, 1) || '_' || substr(p_name, 2, 1)

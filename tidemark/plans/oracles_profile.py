@@ -109,6 +109,32 @@ SELECT "column", CAST(pos AS INTEGER) AS pos, family, CAST(max_len AS INTEGER) A
 FROM t"""
 
 
+_GAP = "CAST(floor(_key / 1000) AS BIGINT)"
+GAPPY = LINEITEM_TEXT + f""",
+gt AS (SELECT * REPLACE (CASE WHEN {_GAP} % 2 = 0 THEN l_linenumber END AS l_linenumber,
+                         CASE WHEN {_GAP} % 2 = 0 THEN l_discount END AS l_discount,
+                         CASE WHEN {_GAP} % 2 = 0 THEN l_isreturn END AS l_isreturn) FROM lt)"""
+
+
+def gaps_whole() -> str:
+    return column_profile().replace(LINEITEM_TEXT, GAPPY).replace("FROM lt GROUP", "FROM gt GROUP")
+
+
+def gaps_chunked() -> str:
+    return f"""WITH {GAPPY},
+s AS ({_profile_rows('gt', LT_COLS, _GAP)}),
+fam AS (SELECT *, {_FAMILY} AS family FROM s),
+g AS (
+  SELECT "column", min(pos) AS pos, count(DISTINCT family) FILTER (n > 0) AS families,
+         list_sort(list(DISTINCT family) FILTER (n > 0)) AS seen, max(coalesce(l, 0)) AS max_len,
+         max(CASE WHEN family = 'int' THEN CAST(mx AS BIGINT) END) AS max_int, sum(n) AS non_null
+  FROM fam GROUP BY "column"),
+t AS (SELECT *, CASE WHEN seen = ['bool'] THEN 'bool' WHEN seen = ['int'] THEN 'int' WHEN seen IN (['float'], ['float', 'int']) THEN 'float'
+                     ELSE 'object' END AS family FROM g)
+SELECT "column", CAST(pos AS INTEGER) AS pos, family, CAST(max_len AS INTEGER) AS max_len, CASE WHEN family = 'int' THEN max_int END AS max_int,
+       CAST(non_null AS BIGINT) AS non_null, families > 1 AS chunks_disagree FROM t"""
+
+
 def _acc_rows() -> str:
     parts = []
     for pos, c in enumerate(CT_COLS):

@@ -14,6 +14,7 @@ from tidemark.functions.text import file_ext, file_stem, part_base
 from tidemark.operators import catalog as ct
 from tidemark.operators import coerce as co
 from tidemark.operators import metadata as md
+from tidemark.operators import profile as pr
 from tidemark.operators import vocab as vc
 from tidemark.operators.compare import reconcile
 from tidemark.plans import fixtures as fx
@@ -23,7 +24,9 @@ from tidemark.sinks import writers as wr
 from tidemark.sources import archives, delimited, manifest
 from tidemark.sources.html_terms import extract_terms
 from tidemark.sources.lines import read_lines
-from tidemark.streaming.incremental import incremental_run
+from tidemark.streaming.incremental import incremental_profile, incremental_run, sync_sources
+
+GAP_ORDERS = 1000  # orders of a block without values
 
 
 def _folder(spark: SparkSession, name: str) -> str:
@@ -258,6 +261,92 @@ def repeated_key_messages(spark, sf_dir):
     return reconcile(*_lineitem_sides(spark, sf_dir), on=["l_orderkey", "l_linenumber"]).messages()
 
 
+def _event_sides(spark, sf_dir):
+    """Events keyed so that a third of all rows of both sides share one key and a seventh of another third has none."""
+    e = table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    key = F.when(n % 3 == 0, F.lit(-1)).when((n % 3 == 1) & (n % 7 == 0), F.lit(None)).otherwise(n)
+    left = e.select(key.alias("k"), "event_type", F.col("user_id").cast("string").alias("u"))
+    return left, e.select(key.alias("k"), "event_type", F.when(n % 11 == 0, F.lit("0x")).otherwise(F.col("user_id").cast("string")).alias("u"))
+
+
+def reconcile_hot_key(spark, sf_dir):
+    """JOIN-1 with one key that holds a third of all rows, and rows without a key."""
+    r = reconcile(*_event_sides(spark, sf_dir), on="k")
+    rows = r.counts().select(F.lit("(repeated)").alias("column"), F.col("repeated").alias("shared"), F.lit(0).cast("long").alias("raw_mismatch"))
+    return r.by_column().select("column", "shared", "raw_mismatch").unionByName(rows)
+
+
+def reconcile_reports(spark, sf_dir):
+    """AGG-5 to AGG-8: every summary of one reconciliation, from one join."""
+    r = reconcile(fx.orders_source(spark, sf_dir), fx.orders_revised(spark, sf_dir), on="row_idx", postfilter=True, equivalence=True)
+
+    def rows(report: str, df: DataFrame, name: str, n: str) -> DataFrame:
+        return df.select(F.lit(report).alias("report"), F.col(name).alias("name"), F.col(n).cast("long").alias("n"))
+
+    return (rows("dims", r.dims(), "side", "rows").unionByName(rows("entries", r.entries(), "measure", "count"))
+            .unionByName(rows("discrepancies", r.discrepancies(), "stage", "count"))
+            .unionByName(rows("columns", r.by_column(), "column", "equivalent_mismatch"))
+            .unionByName(r.messages().select(F.lit("messages").alias("report"), F.col("code").alias("name"), F.lit(None).cast("long").alias("n"))))
+
+
+def _gappy_lineitem(spark, sf_dir):
+    """lineitem as text, with three columns empty in every second block of orders; ``half`` tells which."""
+    li = fx.lineitem_text(spark, sf_dir)
+    half = F.floor(F.col("l_orderkey").cast("long") / GAP_ORDERS) % 2
+    gone = ("l_linenumber", "l_discount", "l_isreturn")
+    return li.select(*[F.when(half == 0, F.col(c)).alias(c) if c in gone else F.col(c) for c in li.columns], half.alias("half"))
+
+
+def type_reconcile_gaps(spark, sf_dir):
+    """PRF-1/PRF-2: chunks in which a column has no value say nothing about its type."""
+    li = _gappy_lineitem(spark, sf_dir).drop("half")
+    prof = pr.profile(li, chunk=F.floor(F.col("l_orderkey").cast("long") / GAP_ORDERS).cast("long"))
+    return pr.reconcile_types(prof).select("column", "pos", "family", "max_len", "max_int", "non_null", "chunks_disagree")
+
+
+def incremental_profile_gaps(spark, sf_dir):
+    """STR-2: a micro-batch in which three columns have no value at all."""
+    base = _folder(spark, "gaps")
+    li = _gappy_lineitem(spark, sf_dir)
+    for half in (0, 1):  # the files of a half are one micro-batch
+        li.where(F.col("half") == half).drop("half").repartition(8).write.mode("append").parquet(f"{base}/source")
+    prof = incremental_profile(spark, f"{base}/source", f"{base}/state", f"{base}/checkpoint", li.drop("half").schema,
+                               max_files_per_trigger=8)
+    return prof.select("column", "pos", "family", "max_len", "max_int", "non_null")
+
+
+def changed_sources(spark, sf_dir):
+    """STR-1: of eight sources one changes, one vanishes and one is new before
+    the second run; a third run finds nothing to do."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 9).alias("part"))
+    base, spark_path = _folder(spark, "sources"), spark._jvm.org.apache.hadoop.fs.Path
+    fs = spark_path(base).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def put(rows: DataFrame, run: int, name: str) -> None:  # one file with a name that stays
+        made = f"{base}/made/{run}-{name}"
+        rows.coalesce(1).write.csv(made)
+        file = next(f.getPath() for f in fs.listStatus(spark_path(made)) if f.getPath().getName().startswith("part-"))
+        fs.mkdirs(spark_path(f"{base}/in"))
+        fs.delete(spark_path(f"{base}/in/{name}.csv"), False)
+        fs.rename(file, spark_path(f"{base}/in/{name}.csv"))
+
+    def sync(run: int) -> DataFrame:
+        done = sync_sources(spark, f"{base}/in", f"{base}/out", f"{base}/state", lambda d: d.withColumn("run", F.lit(run)), fmt="csv", schema="o_orderkey long, o_orderstatus string, part long")
+        return done.select("source", F.lit(run).alias("run"), "action")
+
+    for k in range(8):
+        put(o.where(F.col("part") == k), 1, f"part {k}")
+    first = sync(1)
+    put(o.where((F.col("part") == 2) & (F.col("o_orderkey") % 2 == 0)).withColumn("o_orderstatus", F.lit("Z")), 2, "part 2")
+    put(o.where(F.col("part") == 8), 2, "part 8")
+    fs.delete(spark_path(f"{base}/in/part 5.csv"), False)
+    actions = first.unionByName(sync(2)).unionByName(sync(3))
+    rows = spark.read.parquet(f"{base}/out").groupBy("source").agg(
+        F.count("*").alias("n"), F.max("run").alias("written_in"), F.max("o_orderstatus").alias("last_status"), F.max("o_orderkey").alias("last_key"))
+    return actions.join(rows, "source", "left").select("source", "run", "action", "n", "written_in", "last_status", "last_key")
+
+
 def match_special_names(spark, sf_dir):
     """JOIN-6: names of special characters, short tokens and plain words."""
     p = table(spark, sf_dir, "part")
@@ -309,4 +398,4 @@ IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
     absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, time_axis_units, catalog_attributes, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
-    round_trip_documents)}
+    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources)}
