@@ -121,3 +121,20 @@ def test_two_keys_one_null(spark):
     r = reconcile(left, right, on=["i", "j"])
     c = r.counts().first()
     assert (c["o_row"], c["r_row"], c["paired"], c["repeated"]) == (6, 5, 1, 6)
+
+
+def test_graph_pattern_scans_the_triples_once(spark):
+    p = _plan(q.triple_pattern(spark, SF_MID))
+    from tidemark.operators import vocab as vc
+    t = fx.graph_triples(spark, SF_MID)
+    assert p.count("FileScan") == _plan(t).count("FileScan") and "collect_list" in _plan(vc.triple_pattern(t))
+
+
+def test_names_of_one_gram_are_never_paired(spark):
+    from tidemark.operators import vocab as vc
+    labels = spark.createDataFrame([(f"{a}red{i}", 1 + i % 2) for i in range(50) for a in "ab"], "label string, mult long")
+    names = spark.createDataFrame([("red",), ("a",), ("_R_",), ("zz",), ("reda",), ("a_red",)], "name string")
+    assert {r["name"] for r in vc._stage2_pairs(names, labels, singles=False).collect()} == {"a_red"}
+    got = {r["name"]: (r["hits"], r["labels"]) for r in vc._single_grams(names, labels, 3).collect()}
+    assert got == {"red": (150, ["ared0", "ared1", "ared1"]), "a": (75, ["ared0", "ared1", "ared1"]), "_R_": (150, ["ared0", "ared1", "ared1"])}
+    assert vc.candidate_rows(names, labels.drop("mult")).groupBy("name").count().where("name = 'red'").first()["count"] == 100

@@ -286,3 +286,46 @@ def test_sync_of_changed_sources(spark):
     with pytest.raises(RuntimeError):
         sync_sources(spark, src, out, state, broken, fmt="text")
     assert run()[0]["z.txt"] == "new"  # done again by the next run
+
+
+def test_quoted_line_breaks_are_read_by_many_tasks(spark):
+    import random
+
+    from tidemark.sources.quoted import quoted_records, read_quoted
+    rng = random.Random(2)
+    d, words = _scratch(), ["plain", '5" pipe', "", "a,b", 'say ""', "two\nlines", "\n", "\r\nx", 'q"\n"', "é\n\n\n日", "long " * 40, '"', '","']
+
+    def cell(text):
+        if rng.random() < 0.1 and "\n" not in text and "," not in text and not text.startswith('"'):
+            return text  # unquoted, a quote inside is text
+        return '"' + text.replace('"', '""') + '"'
+
+    for name, rows, end in (("a.csv", 3000, "\n"), ("b.csv", 500, "\r\n"), ("c.csv", 1, "\n")):
+        with open(os.path.join(d, name), "w", newline="") as f:
+            f.write("k,t,n,bad" + end)
+            for i in range(rows):
+                f.write(f"{i},{cell(rng.choice(words))},{rng.choice(['1.5', 'none', ''])}{end}")
+                if i % 97 == 0:
+                    f.write(end)
+    with open(os.path.join(d, "d.csv"), "w") as f:  # one cell over many splits, never closed
+        f.write("k,t,n,bad\n1,\"" + "line of a long cell\n" * 3000 + "end")
+    schema = "k int, t string, n double, bad string"
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        assert quoted_records(spark, d).select("file", "split").distinct().count() > 20
+        got = sorted(map(repr, read_quoted(spark, d, schema, bad_record="bad").drop("bad").collect()))
+        text = spark.read.schema(schema).csv(d, header=True, multiLine=True, escape='"', columnNameOfCorruptRecord="bad")
+        assert got == sorted(map(repr, text.drop("bad").collect())) and len(got) == 3502
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_state_behind_a_line():
+    from tidemark.sources.quoted import inside_after
+    for line, open_ in {'a,"b': True, '5" x,y': False, '"a""': True, '"a"": (b': True, "": False, 'a"b"c"': False, '"a"b,"': True}.items():
+        assert inside_after(line, False, ",", '"') == open_, line
+    assert inside_after("x", True, ",", '"') and not inside_after('x"', True, ",", '"') and inside_after('x"",', True, ",", '"')
+    assert inside_after('x","', True, ",", '"') and not inside_after('""', False, ",", '"') and inside_after('"""', False, ",", '"')

@@ -5,10 +5,14 @@ from __future__ import annotations
 from tidemark.plans.oracles_lines import PARSED, RUNNING, SNIFF, _header_rule, part_lines
 from tidemark.plans.oracles_meta import DVARS, variable_units
 from tidemark.plans.oracles_profile import gaps_chunked, gaps_whole
-from tidemark.plans.oracles_vocab import HTML_ROWS, MATCHES, TRIPLES, match_counts
+from tidemark.plans.oracles_vocab import HTML_ROWS, LOCAL_VOCAB, MATCHES, TRIPLES, VARIABLES, match_counts
 
 NUM_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
+SPECIAL_NAMES = """SELECT CASE p_partkey % 4 WHEN 0 THEN repeat('*', CAST(p_partkey % 5 + 1 AS INTEGER))
+                  WHEN 1 THEN '_' || substr(p_name, 1, 1) || '_' || substr(p_name, 2, 1)
+                  WHEN 2 THEN string_split(p_name, ' ')[1] || '-' ELSE 'q7' || CAST(p_partkey AS VARCHAR) END AS name,
+                0 AS dataset, 0 AS pos FROM part"""
 
 
 def _report(name: str) -> str:
@@ -142,11 +146,20 @@ a AS (SELECT p, run, CASE WHEN run = 1 THEN 'new' WHEN run = 3 THEN 'same' WHEN
 SELECT 'part ' || p || '.csv' AS source, CAST(run AS INTEGER) AS run, action, n, written_in, last_status, last_key
 FROM a LEFT JOIN r ON r.part = a.p""",
     "match_special_names": lambda: f"""WITH {HTML_ROWS}, {TRIPLES},
-vars AS (SELECT CASE p_partkey % 4 WHEN 0 THEN repeat('*', CAST(p_partkey % 5 + 1 AS INTEGER))
-                  WHEN 1 THEN '_' || substr(p_name, 1, 1) || '_' || substr(p_name, 2, 1)
-                  WHEN 2 THEN string_split(p_name, ' ')[1] || '-' ELSE 'q7' || CAST(p_partkey AS VARCHAR) END AS name,
-                0 AS dataset, 0 AS pos FROM part), {MATCHES}
+vars AS ({SPECIAL_NAMES}), {MATCHES}
 SELECT name, kind, term, hits, CAST(stage AS INTEGER) AS stage FROM m""",
+    "match_limited": lambda: f"""WITH {HTML_ROWS}, {TRIPLES},
+vars AS ({SPECIAL_NAMES} UNION ALL SELECT lower(substr(p_name, 1, 2)), 0, 0 FROM part UNION ALL SELECT substr(p_name, 1, 1), 0, 0 FROM part), {MATCHES}
+SELECT name, kind, term, hits, CAST(stage AS INTEGER) AS stage,
+  CASE WHEN regexp_matches(name, '^[^A-Za-z0-9]+$') AND stage = 2 THEN '*' ELSE array_to_string(candidates[:3], '|') END AS candidates FROM m""",
+    "revised_vocabulary": lambda: f"""WITH {LOCAL_VOCAB}, {TRIPLES}, {VARIABLES}, {MATCHES},
+hit AS (SELECT DISTINCT term AS label FROM m WHERE kind = 'fuzzy'),
+new AS (SELECT cand.* FROM hit JOIN cand USING (label))
+SELECT term, 'local' AS source, CAST(apos AS INTEGER) AS apos, attr, value FROM lv WHERE term NOT IN (SELECT label FROM hit)
+UNION ALL SELECT label, 'fuzzy', 0, 'definition', definition FROM new UNION ALL SELECT label, 'fuzzy', 1, 'details', details FROM new
+UNION ALL SELECT label, 'fuzzy', 2, 'label', label FROM new UNION ALL SELECT label, 'fuzzy', 3, 'identifier', identifier FROM new
+UNION ALL SELECT label, 'fuzzy', 4, 'section', section FROM new
+UNION ALL SELECT label, 'fuzzy', 5, 'comment', 'taken from the one vocabulary entry that fits the name' FROM new""",
     "preamble_offset": lambda: _header_rule(f"lines AS ({PREAMBLE})"),
     "preamble_cells": lambda: """SELECT p_partkey AS row_idx, CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand,
   CAST(p_size AS VARCHAR) AS p_size FROM part""",

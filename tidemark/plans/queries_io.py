@@ -347,8 +347,7 @@ def changed_sources(spark, sf_dir):
     return actions.join(rows, "source", "left").select("source", "run", "action", "n", "written_in", "last_status", "last_key")
 
 
-def match_special_names(spark, sf_dir):
-    """JOIN-6: names of special characters, short tokens and plain words."""
+def _special_names(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     word = F.try_element_at(F.split("p_name", " "), F.lit(1))
@@ -356,9 +355,30 @@ def match_special_names(spark, sf_dir):
             .when(k % 4 == 1, F.concat(F.lit("_"), F.substring("p_name", 1, 1), F.lit("_"), F.substring("p_name", 2, 1)))
             .when(k % 4 == 2, F.concat(word, F.lit("-"))).otherwise(F.concat(F.lit("q7"), k.cast("string"))))
     vocab = vc.vocab_from_attrs(extract_terms(fx.term_pages(spark, sf_dir)))
-    found = vc.match_names(p.select(name.alias("name")), vocab,
-                           vc.triple_pattern(fx.graph_triples(spark, sf_dir), require_predicate_label=True))
-    return found.select("name", "kind", "term", "hits", "stage")
+    return p.select(name.alias("name")), vocab, vc.triple_pattern(fx.graph_triples(spark, sf_dir), require_predicate_label=True)
+
+
+def match_special_names(spark, sf_dir):
+    """JOIN-6: names of special characters, short tokens and plain words."""
+    return vc.match_names(*_special_names(spark, sf_dir)).select("name", "kind", "term", "hits", "stage")
+
+
+def match_limited(spark, sf_dir):
+    """JOIN-6/WIN-6: lists of three candidates at most, hits as numbers."""
+    names, vocab, candidates = _special_names(spark, sf_dir)
+    short = table(spark, sf_dir, "part").select(F.lower(F.substring("p_name", 1, 2)).alias("name")).union(
+        table(spark, sf_dir, "part").select(F.substring("p_name", 1, 1).alias("name")))
+    return vc.match_names(names.union(short), vocab, candidates, max_candidates=3).select(
+        "name", "kind", "term", "hits", "stage", F.array_join("candidates", "|").alias("candidates"))
+
+
+def revised_vocabulary(spark, sf_dir):
+    """SNK-4: the vocabulary after matching, written as a report and reread."""
+    from tidemark.plans.queries import _candidates, _local_vocab, _matches
+    revised = vc.revised_vocabulary(_matches(spark, sf_dir), _local_vocab(spark, sf_dir), _candidates(spark, sf_dir))
+    path = _folder(spark, "vocabulary")
+    wr.write_report(revised.select("term", "source", F.posexplode("attrs").alias("apos", "attr", "value")), path)
+    return spark.read.schema("term string, source string, apos int, attr string, value string").json(path)
 
 
 def preamble_offset(spark, sf_dir):
@@ -398,4 +418,4 @@ IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
     absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, time_axis_units, catalog_attributes, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
-    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources)}
+    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary)}
