@@ -175,6 +175,70 @@ def test_html_article_is_read_whole():
             assert html_extract.main_text(f"<html><body>{menu}<{tag}>{inner}</{tag}>{foot}</body></html>") == want
 
 
+def test_html_names_and_links_of_an_article():
+    """Names that only resemble boilerplate, linked headings and lists of links below a heading are the article's own."""
+    long = " ".join([PROSE] * 3)
+    rest = f"<p>{PROSE}</p><p>{PROSE}</p>"
+    parts = [("<h1><a href=x>The linked title</a></h1>", "The linked title"),
+             (f"<section class=related-work><h2>Related work</h2><p>{PROSE}</p></section>", f"Related work {PROSE}"),
+             (f"<div class=ad-free-edition><p>{PROSE}</p></div>", PROSE), (f"<p class=notice>{long}</p>", long),
+             (f"<p><a href=x>{PROSE}</a></p>", PROSE), ("<div class='ad box'>Buy this, and that.</div>", ""), ("<div id=google-ads><p>Buy this.</p></div>", ""),
+             (f"<div class=comments-list><p>{PROSE}</p><p>{PROSE}</p></div>", ""),
+             ("<ul><li><a href=1>Share</a></li><li><a href=2>Send</a></li></ul>", ""), ("<div><a href=1>Home</a> <a href=2>News</a></div>", "")]
+    for inner, want in parts:
+        for tag in ("article", "main"):
+            got = html_extract.main_text(f"<body><nav><a href=/>x</a></nav><{tag}><p>{PROSE}</p>{inner}{rest}</{tag}></body>")
+            assert got == " ".join(x for x in (PROSE, want, PROSE, PROSE) if x), inner
+    links = "<h2>References</h2><ol><li><a href=1>First paper</a></li><li><a href=2>Second paper</a></li></ol>"
+    assert html_extract.main_text(f"<article>{rest}{links}</article>") == f"{PROSE} {PROSE} References First paper Second paper"
+
+
+def test_html_time_and_memory_of_broken_pages():
+    import time
+    import tracemalloc
+    n = 200_000
+    pages = ["<a " * n, "<a '" * n, '<a b="' * n + ">", "<a '>" * n, "<![CDATA[>" * n, "<!" * n, "</x>" * n, "<div>" * n + "x", "<div>x" * (n // 4),
+             "<b>" * n + "</i>" * n, "<p><b>" * (n // 4) + "x", "<!-- " * n, "<li><b>x" * (n // 8), "<script " * n, "<a href=x>y" * (n // 8)]
+    for page in pages:
+        start = time.perf_counter()
+        html_extract.main_text(page)
+        assert time.perf_counter() - start < 10, page[:30]
+    tracemalloc.start()
+    html_extract.main_text("<div class=abcdef>" * 30_000 + "x")
+    assert tracemalloc.get_traced_memory()[1] < 100e6
+
+
+def test_html_ratios_against_a_plain_version(spark):
+    """Scores of all nodes from whole path strings and sums over all nodes."""
+    def path_of(element):
+        return "" if element is None else path_of(element.parent) + "/" + (element.tag + "#" + str(label[element.number]))
+
+    pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect()[:30]] + [PAGE, f"<p>{PROSE}</p>", "<div><p>a.</p>b<p>c, d</p></div>" * 5]
+    for page in pages:
+        nodes, elements = html_extract.text_nodes(page)
+        nodes = [n for n in nodes if n[1].strip()]
+        if not nodes:
+            continue
+        label, seen = {}, {}
+        for e in elements:  # siblings of one tag and class share a path number below their parent's
+            label[e.number] = seen.setdefault((e.parent.path if e.parent else None, e.tag, e.path), len(seen))
+        groups = defaultdict(list)
+        for e, text, _, link in nodes:
+            groups[path_of(e)].append((text, link))
+        raw = []
+        for e, *_ in nodes:
+            g = groups[path_of(e)]
+            chars = sum(len(t.strip()) for t, _ in g)
+            raw.append((chars / len(g), sum(ch in ".,;:!?…。、，！？；：" for t, _ in g for ch in t) / len(g),
+                        1 - sum(len(t.strip()) for t, link in g if link) / chars))
+        want = []
+        for i, (_, _, plain) in enumerate(raw):
+            near = [(math.exp(-(i - j) ** 2 / (2 * html_extract.SMOOTH ** 2)), x) for j, x in enumerate(raw) if abs(i - j) <= 3 or len(raw) < 7]
+            size, marks = (sum(w * x[k] for w, x in near) / sum(w for w, _ in near) for k in (0, 1))
+            want.append(size * (1 + marks) * plain * nodes[i][0].weight)
+        assert np.allclose(html_extract.content_score(nodes), want)
+
+
 def test_html_odd_pages(spark):
     pages = [None, "", "   ", "plain text only", "<p>unclosed <b>bold", "<div", "<script>never closed", "a < b & c &amp; d &#8364;",
              "<p>" + "word " * 200_000 + "</p>", "<a href='" * 2000, "</p></div>", "<p>x</p>" * 3]
@@ -190,7 +254,7 @@ def test_html_odd_pages(spark):
 
 def test_html_pages_table(spark):
     """Title and paragraphs of the article, nothing of menu, advert and footer."""
-    for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").limit(40).collect():
+    for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect():
         body = re.search(r"<article>(.*?)(</article>|$)", r["html"], re.S)
         want = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", body.group(1))).split()) if body else ""
         got = html_extract.main_text(r["html"])

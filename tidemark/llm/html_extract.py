@@ -6,18 +6,22 @@ text are summed over its nodes; the mean length and the mean punctuation of
 a node are the path's two ratios. Every node takes its path's ratios, they
 are smoothed along the page with a Gaussian window (a short heading among
 long paragraphs rises, a lone notice does not reach far) and fused by their
-product, weighed down by the share of link text. Nodes above a threshold drawn
-from the page's own mean and deviation are content. If one article or main element
-holds them all, it is read in full; else the deepest container of most of
-them, the containers of the others, what lies between and the headings before:
-all blocks in page order, except boilerplate elements (by tag, role, class or
-id words) and blocks whose text is nearly all links.
+product, weighed down by the share of link text and by class or id names
+that boilerplate has (a feature of the score, no cut). Nodes above a threshold
+drawn from the page's own mean and deviation are content. If one article or main
+element holds them all, it is read in full; else the deepest container of most
+of them, the containers of the others, what lies between and the headings before:
+all blocks in page order, except elements that are no article by tag or role,
+elements of doubtful name whose weighed score stays below half the threshold, and
+runs of blocks that are all links, unless they stand below a heading. Headings
+stay, links or not.
 
 Defined cases: null and empty html give the empty text; a page without any node
 above the threshold gives the text of its whole body without boilerplate; a cut
-or unclosed page is read to its end; very long pages are one pass;
-repeated rows are extracted again; null page_id and url stay null; an empty
-table gives no rows; further columns are ignored.
+or unclosed page is read to its end; time and memory of a page grow with its
+length alone, however broken or deep it is; repeated rows are extracted again;
+null page_id and url stay null; an empty table gives no rows; further columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -53,77 +57,129 @@ NOISE = frozenset("ad ads adv advert adverts advertisement advertising banner br
                   "nav navbar navigation newsletter notice notices notification pagination pager paywall popup promo promotion "
                   "recommended related replies reply respond share sharing sidebar signup skip social sponsor sponsored "
                   "subscribe teaser toolbar widget widgets".split())
+# --- fixed values: words beside those above in names such as ad-box or comments-list ---
+PLAIN = frozenset("area bar block body bottom box col column container content count form global group head inner item items left "
+                  "link links list main message outer page panel post posts primary right row secondary section site slot text "
+                  "thread title top unit wrap wrapper zone".split())
 # --- parameters ---
+DOUBT = 0.125         # weight of the score below an element with such a name
+DOUBT_TEXT = 0.75     # the same where a paragraph of an article has it itself
 SMOOTH = 1.0          # nodes, deviation of the smoothing window
 SPREAD = 0.3          # the threshold is the mean plus this part of the deviation, at most the mean of long nodes
-LINK_SHARE = 0.6      # blocks with more of their text in links are menus
+LINK_SHARE = 0.6      # blocks with more of their text in links are lines of links
 COVER = 0.8           # share of the content's text that its container holds at least
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+# a quoted value ends before the next "<", so that an unclosed quote is not searched for to the end of the page
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"'<]+|\"[^\"<]*\"|'[^'<]*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+ATTRIBUTE = re.compile(r"(class|id|role|aria-hidden)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORD = re.compile(r"[a-z]+")
-HEADING = re.compile(r"/h[1-6](?=[./]|$)")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+OWN_TEXT = HEADINGS | frozenset("p blockquote pre".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？；：]")
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "noise", "number", "depth")
-
-    def __init__(self, tag, path, parent, noise, number):
-        self.tag, self.path, self.parent, self.noise, self.number = tag, path, parent, noise, number
-        self.depth = parent.depth + 1 if parent else 0
-
-
-def is_noise(tag: str, attributes: str, path: str) -> tuple[bool, str]:
-    """Is an element boilerplate by itself, and its class names for the path.
-    A header inside an article is the article's own."""
+    """An open tag: its path as a number, and what holds for all below it."""
+    __slots__ = ("tag", "path", "parent", "cut", "weight", "heading", "article", "number", "depth")
+
+    def __init__(self, tag: str, path: int, parent: Element | None, number: int):
+        self.tag, self.path, self.parent, self.number = tag, path, parent, number
+        self.cut, self.weight, self.heading, self.article, self.depth = False, 1.0, tag in HEADINGS, None, 0
+        if parent:
+            self.cut, self.weight, self.depth = parent.cut, parent.weight, parent.depth + 1
+            self.heading = self.heading or parent.heading
+            # the innermost: an article in an article is one of its own
+            self.article = self if tag in ("article", "main") else parent.article
+
+
+def doubtful(value: str) -> bool:
+    """Whether a class or id value has a name of boilerplate: its last word, or
+    one of its words beside plain ones."""
+    for name in value.split():
+        words = WORD.findall(name)
+        if words and (words[-1] in NOISE or NOISE.intersection(words) and all(w in NOISE or w in PLAIN for w in words)):
+            return True
+    return False
+
+
+def kind_of(tag: str, attributes: str, article: bool) -> tuple[bool, float, str]:
+    """Of an element inside or outside an article: is it none by tag or role, the
+    weight of its score, its class names for the path. A header inside an article is the article's own."""
     if tag in SKIPPED:
-        return True, ""
-    within = re.search(r"/(article|main)\b", path) is not None
-    label, noise = "", tag == "header" and not within
-    if attributes:
-        for name, *values in ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), "".join(values).lower()
-            if name == "class":
-                label = ".".join(sorted(value.split()))
-            if name in ("class", "id"):
-                words = NOISE.intersection(WORD.findall(value)) - ({"header"} if within else set())
-                noise = noise or bool(words) and tag not in ("body", "html", "main", "article")
-            elif name == "role":
-                noise = noise or value in ROLES
-            elif name == "aria-hidden":
-                noise = noise or value == "true"
-    return noise, label
-
-
-def text_nodes(page: str) -> list[tuple[Element, str, int, bool]]:
-    """(element, text, block number, inside a link) of a page in order."""
-    root = Element("#", "", None, False, 0)
-    stack, nodes, block, made, links = [root], [], 0, 0, 0
-    at, end = 0, len(page)
+        return True, 1.0, ""
+    label, cut, weight = "", tag == "header" and not article, 1.0
+    for name, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), "".join(values).lower()
+        if name == "class":
+            label = ".".join(sorted(value.split()))
+        if name in ("class", "id"):
+            if tag not in ("body", "html", "main", "article") and not (article and "header" in WORD.findall(value)) and doubtful(value):
+                weight = DOUBT_TEXT if article and tag in OWN_TEXT else DOUBT
+        elif name == "role":
+            cut = cut or value in ROLES
+        else:
+            cut = cut or value == "true"
+    return cut, weight, label
+
+
+Node = tuple[Element, str, int, int]  # element, text, block, number of the link it is in (0: none)
+
+
+def text_nodes(page: str) -> tuple[list[Node], list[Element]]:
+    """The text nodes of a page and its elements, in order."""
+    root = Element("#", 0, None, 0)
+    stack, nodes, elements, block = [root], [], [root], 0
+    paths: dict[tuple[int, str, str], int] = {}
+    open_tags: dict[str, int] = {}
+    links: list[int] = []  # open ones
+    at, end, last_cdata = 0, len(page), True
+
+    def close(i: int) -> None:
+        for e in stack[i:]:
+            open_tags[e.tag] -= 1
+            if e.tag == "a":
+                links.pop()
+        del stack[i:]
+
+    def text(piece: str) -> None:
+        if piece and not stack[-1].cut:
+            nodes.append((stack[-1], html_entities.unescape(piece), block, links[-1] if links else 0))
+
     while at < end:
-        m = TOKEN.match(page, at)
-        at = m.end()
-        tag = m.group(2) or m.group(5)
-        if tag is None:
-            piece = m.group()
-            if piece[0] == "<" and len(piece) > 1:
+        start = page.find("<", at)
+        if start < 0 or page.find(">", start) < 0 and not page.startswith("<!--", start):
+            text(page[at:])  # no tag ends from here on
+            break
+        text(page[at:start])
+        at = start
+        if page.startswith("<!--", at):
+            found = page.find("-->", at + 4)
+            at = found + 3 if found >= 0 else end
+            continue
+        if last_cdata and page.startswith("<![CDATA[", at):
+            found = page.find("]]>", at)
+            if found >= 0:
+                at = found + 3
                 continue
-            top = stack[-1]
-            if not top.noise:
-                nodes.append((top, html_entities.unescape(piece), block, links > 0))
+            last_cdata = False  # none ends from here on
+        if page.startswith(("<!", "<?"), at):
+            at = page.find(">", at) + 1
+            continue
+        m = TAG.match(page, at)
+        if m is None:
+            text("<")
+            at += 1
             continue
-        closing, attributes, tag = m.group(1) or m.group(4), m.group(3) or m.group(6) or "", tag.lower()
+        at = m.end()
+        closing, attributes, tag = m.group(1) or m.group(4), m.group(3) or m.group(6) or "", (m.group(2) or m.group(5)).lower()
         if tag not in INLINE and (tag not in VOID or tag in ("br", "hr")):
             block += 1
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if open_tags.get(tag) else ():
                 if stack[i].tag == tag:
-                    links -= sum(e.tag == "a" for e in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
-                if stack[i].tag in SCOPE and tag in INLINE | {"p"}:
+                if stack[i].tag in SCOPE and (tag in INLINE or tag == "p"):
                     break
             continue
         if tag in VOID:
@@ -131,35 +187,38 @@ def text_nodes(page: str) -> list[tuple[Element, str, int, bool]]:
         if tag in CLOSES_P or tag in CLOSED_BY_SAME:
             ends = {"p"} if tag in CLOSES_P else {tag}
             ends |= {"dt", "dd"} if tag in ("dt", "dd") else {"td", "th"} if tag in ("td", "th", "tr") else set()
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(open_tags.get(t) for t in ends) else ():
                 if stack[i].tag in ends:
-                    links -= sum(e.tag == "a" for e in stack[i:])
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag in SCOPE:
                     break
         parent = stack[-1]
-        noise, label = is_noise(tag, attributes, parent.path)
-        made += 1
-        stack.append(Element(tag, f"{parent.path}/{tag}" + (f".{label}" if label else ""), parent, parent.noise or noise, made))
-        links += tag == "a"
+        cut, weight, label = kind_of(tag, attributes, parent.article is not None)
+        element = Element(tag, paths.setdefault((parent.path, tag, label), len(paths) + 1), parent, len(elements))
+        element.cut, element.weight = element.cut or cut, min(element.weight, weight)
+        elements.append(element)
+        stack.append(element)
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        if tag == "a":
+            links.append(element.number)
         if tag in RAW and not attributes.endswith("/"):  # its content is text up to the end tag
-            close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            stack.pop()
-            at = close.end() if close else end
-    return nodes
+            found = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            close(len(stack) - 1)
+            at = found.end() if found else end
+    return nodes, elements
 
 
-def content_score(nodes: list[tuple[Element, str, int, bool]]) -> np.ndarray:
-    """Smoothed and fused ratios of every node's path."""
-    paths: dict[str, list[float]] = {}
+def content_score(nodes: list[Node]) -> np.ndarray:
+    """Smoothed, fused and weighed ratios of every node's path."""
+    paths: dict[int, list[float]] = {}
     for element, text, _, link in nodes:
         length = len(text.strip())
         sums = paths.setdefault(element.path, [0.0, 0.0, 0.0, 0.0])
         sums[0] += 1
         sums[1] += length
         sums[2] += len(PUNCTUATION.findall(text))
-        sums[3] += length * link
+        sums[3] += length * bool(link)
     ratio = {p: (chars / n, marks / n, 1 - linked / chars if chars else 0.0) for p, (n, chars, marks, linked) in paths.items()}
     lengths, marks, plain = np.array([ratio[e.path] for e, *_ in nodes]).T
     reach = np.arange(-3, 4)
@@ -172,60 +231,58 @@ def content_score(nodes: list[tuple[Element, str, int, bool]]) -> np.ndarray:
         far = np.exp(-0.5 * (np.subtract.outer(np.arange(len(x)), np.arange(len(x))) / SMOOTH) ** 2)
         return far @ x / far.sum(axis=1)
 
-    return smooth(lengths) * (1 + smooth(marks)) * plain
+    return smooth(lengths) * (1 + smooth(marks)) * plain * np.array([e.weight for e, *_ in nodes])
 
 
-def around(element: Element) -> Element:
+def around(element: Element, known: dict[Element, Element]) -> Element:
     """The article around an element, else what holds heading and neighbours of a lone paragraph, quote, list or table."""
-    for outer in ancestors(element):
-        if outer.tag in ("article", "main"):
-            return outer
-    while element.parent is not None and element.tag in WRAPS:
-        element = element.parent
-    return element
-
-
-def ancestors(element: Element | None) -> Iterator[Element]:
-    """The element itself, then those around it."""
-    while element is not None:
-        yield element
+    if element.article is not None:
+        return element.article
+    passed = []
+    while element.parent is not None and element.tag in WRAPS and element not in known:
+        passed.append(element)
         element = element.parent
+    top = known.get(element, element)
+    known.update((e, top) for e in passed)
+    return top
 
 
-def held(nodes: list[tuple[Element, str, int, bool]], chosen: np.ndarray) -> np.ndarray:
+def held(nodes: list[Node], elements: list[Element], chosen: np.ndarray) -> np.ndarray:
     """Which nodes are read, from the chosen ones (positions in ``nodes``)."""
-    sizes: dict[Element, int] = {}
+    sizes = [0] * len(elements)
     for i in chosen:
-        for element in ancestors(nodes[i][0]):
-            sizes[element] = sizes.get(element, 0) + max(len(nodes[i][1].strip()), 1)
-    total = max(sizes.values())
-    common = max((e for e, size in sizes.items() if size == total), key=lambda e: e.depth)
+        sizes[nodes[i][0].number] += max(len(nodes[i][1].strip()), 1)
+    for element in reversed(elements[1:]):  # children come after their parents
+        sizes[element.parent.number] += sizes[element.number]
+    total, known = sizes[0], {}
+    common = max((e for e in elements if sizes[e.number] == total), key=lambda e: e.depth)
     inside = np.zeros(len(nodes), bool)
-    if around(common).tag in ("article", "main"):
-        whole = {around(common)}
+    if around(common, known).tag in ("article", "main"):
+        whole = {around(common, known)}
     else:
-        core = around(max((e for e, size in sizes.items() if size >= COVER * total), key=lambda e: (e.depth, -e.number)))
-        outer = set(ancestors(core.parent))
-        whole = {core} | ({around(nodes[i][0]) for i in chosen} - outer)
+        core = around(max((e for e in elements if sizes[e.number] >= COVER * total), key=lambda e: (e.depth, -e.number)), known)
+        outer, element = set(), core.parent
+        while element is not None:
+            outer.add(element)
+            element = element.parent
+        whole = {core} | ({around(nodes[i][0], known) for i in chosen} - outer)
         inside[chosen[0]:chosen[-1] + 1] = True
-    known: dict[Element, bool] = {}
-    for i, (element, *_) in enumerate(nodes):
-        if element not in known:
-            known[element] = any(e in whole for e in ancestors(element))
-        inside[i] |= known[element]
-    return inside
+    read = [False] * len(elements)
+    for element in elements:
+        read[element.number] = element in whole or element.parent is not None and read[element.parent.number]
+    return inside | np.array([read[e.number] for e, *_ in nodes], bool)
 
 
-def with_headings(nodes: list[tuple[Element, str, int, bool]], inside: np.ndarray) -> np.ndarray:
-    """Headings before what is read, with the lines (by whom, when) between; not past a menu."""
+def with_headings(nodes: list[Node], inside: np.ndarray) -> np.ndarray:
+    """Headings before what is read, with the lines (by whom, when) between; not past a line of links."""
     size, linked = {}, {}
     for _, text, block, link in nodes:
         size[block] = size.get(block, 0) + len(text.strip())
-        linked[block] = linked.get(block, 0) + len(text.strip()) * link
+        linked[block] = linked.get(block, 0) + len(text.strip()) * bool(link)
     first = at = int(np.argmax(inside))
     for i in range(at - 1, -1, -1):
         element, text, block, _ = nodes[i]
-        if text.strip() and HEADING.search(element.path):
+        if text.strip() and element.heading:
             first = i
         elif linked[block] > LINK_SHARE * size[block]:
             break
@@ -233,27 +290,46 @@ def with_headings(nodes: list[tuple[Element, str, int, bool]], inside: np.ndarra
     return inside
 
 
+def without_link_runs(lines: list[tuple[str, bool, bool, int]]) -> list[str]:
+    """Lines (text, mostly links, heading, number of links) without runs of lines
+    that hold two links or more, unless the run stands below a heading."""
+    out, i, below_heading = [], 0, False
+    while i < len(lines):
+        line, linked, heading, _ = lines[i]
+        end = i + 1
+        if linked and not heading:
+            while end < len(lines) and lines[end][1] and not lines[end][2]:
+                end += 1
+            if below_heading or sum(x[3] for x in lines[i:end]) < 2:
+                out += [x[0] for x in lines[i:end]]
+        else:
+            out.append(line)
+        below_heading, i = heading, end
+    return out
+
+
 def main_text(page: str | None) -> str:
     """The article of a page as one line of text."""
-    nodes = text_nodes(page or "")
-    filled = [n for n in nodes if n[1].strip()]
-    if not filled:
+    nodes, elements = text_nodes(page or "")
+    full = [i for i, n in enumerate(nodes) if n[1].strip()]
+    if not full:
         return ""
-    score = content_score(filled)
+    score = content_score([nodes[i] for i in full])
     limit = min(score.mean() + SPREAD * score.std(), score.max())
-    full = np.array([i for i, n in enumerate(nodes) if n[1].strip()])
-    inside = with_headings(nodes, held(nodes, full[score >= limit]))
-    blocks: dict[int, list[tuple[str, bool]]] = {}
-    for (_, text, block, link), read in zip(nodes, inside):
+    inside = with_headings(nodes, held(nodes, elements, np.array(full)[score >= limit]))
+    for i, own in zip(full, score):
+        inside[i] &= nodes[i][0].weight == 1 or own >= limit / 2
+    blocks: dict[int, list[tuple[str, int, bool]]] = {}
+    for (element, text, block, link), read in zip(nodes, inside):
         if read:
-            blocks.setdefault(block, []).append((text, link))
+            blocks.setdefault(block, []).append((text, link, element.heading))
     lines = []
     for pieces in blocks.values():
-        line = " ".join("".join(t for t, _ in pieces).split())
-        linked = sum(len(t.strip()) for t, link in pieces if link)
-        if line and linked <= LINK_SHARE * len(line):
-            lines.append(line)
-    return " ".join(lines)
+        line = " ".join("".join(t for t, *_ in pieces).split())
+        if line:
+            linked = sum(len(t.strip()) for t, link, _ in pieces if link)
+            lines.append((line, linked > LINK_SHARE * len(line), any(h for *_, h in pieces), len({link for _, link, _ in pieces if link})))
+    return " ".join(without_link_runs(lines))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
