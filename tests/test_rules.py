@@ -160,3 +160,12 @@ def test_standardize_single_quotes_strings_tokens_and_times(spark):
     assert (row["obs_id"], row["n"], row["when"], row["bad_time"]) == ("3", 3, "2020-01-04T01:00:00Z", "never")
     assert {r["code"] for r in std.qc.collect()} == {"time_unparsed"}
     assert std.quoting.first()["quoting"] in ("all", "nonnumeric", "minimal")
+
+
+def test_maximal_position_precision(spark):
+    from tidemark.operators.coerce import coerce_position, position_precision
+    df = spark.createDataFrame([(0, "1.5", "7"), (1, " 2.125 ", "x.99999"), (2, "?", None), (3, "3", "8.25")], "row_idx long, a string, b string")
+    assert [r["precision"] for r in position_precision(df, ["a", "b"], "max").collect()] == [3, 2]
+    assert [r["precision"] for r in position_precision(df, ["a", "b"]).collect()] == [1, 0]
+    assert [tuple(r) for r in coerce_position(df, ["a", "b"], "max").orderBy("row_idx").collect()] == [
+        (0, 1.5, 7.0), (1, 2.125, None), (2, None, None), (3, 3.0, 8.25)]

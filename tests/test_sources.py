@@ -329,3 +329,17 @@ def test_state_behind_a_line():
         assert inside_after(line, False, ",", '"') == open_, line
     assert inside_after("x", True, ",", '"') and not inside_after('x"', True, ",", '"') and inside_after('x"",', True, ",", '"')
     assert inside_after('x","', True, ",", '"') and not inside_after('""', False, ",", '"') and inside_after('"""', False, ",", '"')
+
+
+def test_large_archives_are_error_rows(spark):
+    d = _scratch()
+    for name, n in (("small.zip", 10), ("large.zip", 50_000)):
+        with zipfile.ZipFile(os.path.join(d, name), "w") as z:
+            z.writestr("a.csv", "\n".join(str(i * 7919) for i in range(n)))
+    got = read_zip_lines(spark, d, max_bytes=10_000)
+    assert got.where("error is null").count() == 10
+    bad = bad_archives(got).collect()
+    assert len(bad) == 1 and bad[0]["archive"].endswith("large.zip") and bad[0]["error"].startswith("TooLarge")
+    plan = got.where("error is not null")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(length" in plan and "LessThanOrEqual(length" in plan  # both reach the source
+    assert read_zip_lines(spark, d).count() == 50_010

@@ -63,28 +63,37 @@ def coerce_numeric(df: DataFrame, columns: list[str] | None = None, absent: str
                        for c in df.columns])
 
 
-def position_precision(df: DataFrame, columns: list[str]) -> DataFrame:
-    """COE-2 / WIN-5: decimals of the first non-null value of each column
-    in row order (``min_by`` over ``row_idx``; one aggregate)."""
-    aggs = [F.min_by(_col(c).cast("string"), F.when(_col(c).isNotNull(), F.col("row_idx")))
-            .alias(c) for c in columns]
-    first = df.agg(*aggs)
+def _decimals(value: Column) -> Column:
+    """Digits behind the one point of a text, else 0."""
+    parts = F.split(F.coalesce(value, F.lit("")), r"\.", -1)
+    return F.when(F.size(parts) == 2, F.length(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(0))
+
+
+def position_precision(df: DataFrame, columns: list[str], precision: str = "first") -> DataFrame:
+    """COE-2 / WIN-5: (column, pos, first_value, precision), in one aggregate.
+    ``first``: the decimals of the first non-null value in row order
+    (``min_by`` over ``row_idx``); ``max``: the most decimals of any number of the column,
+    so that rounding loses no digit."""
+    aggs = []
+    for c in columns:
+        text = _col(c).cast("string")
+        aggs += [F.min_by(text, F.when(_col(c).isNotNull(), F.col("row_idx"))).alias(f"v_{c}"),
+                 F.max(F.when(number_like(text), _decimals(F.trim(text)))).alias(f"p_{c}") if precision == "max" else F.lit(None).cast("int").alias(f"p_{c}")]
+    one = df.agg(*aggs)
     rows = []
     for i, c in enumerate(columns):
-        parts = F.split(F.coalesce(F.col(f"`{c}`"), F.lit("")), r"\.", -1)
-        prec = F.when(F.size(parts) == 2, F.length(F.try_element_at(parts, F.lit(2)))).otherwise(F.lit(0))
-        rows.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"),
-                             F.col(f"`{c}`").alias("first_value"), prec.cast("int").alias("precision")))
-    return first.select(F.inline(F.array(*rows)))
+        first = F.col(f"`v_{c}`")
+        decimals = F.coalesce(F.col(f"`p_{c}`"), F.lit(0)) if precision == "max" else _decimals(first)
+        rows.append(F.struct(F.lit(c).alias("column"), F.lit(i).alias("pos"), first.alias("first_value"), decimals.cast("int").alias("precision")))
+    return one.select(F.inline(F.array(*rows)))
 
 
-def coerce_position(df: DataFrame, columns: list[str], precision: dict[str, int] | None = None
-                    ) -> DataFrame:
+def coerce_position(df: DataFrame, columns: list[str], precision: dict[str, int] | str = "first") -> DataFrame:
     """COE-2: force numeric (errors -> NULL) and round half-even to the
-    column's precision (one global value per column)."""
-    if precision is None:
+    column's precision (one global value per column: given, ``first`` or ``max``)."""
+    if isinstance(precision, str):
         precision = {r["column"]: r["precision"]
-                     for r in position_precision(df, columns).collect()}
+                     for r in position_precision(df, columns, precision).collect()}
     return df.select(*[(F.bround(parse_number(_col(c)), int(precision[c])).alias(c)
                         if c in precision else _col(c)) for c in df.columns])
 

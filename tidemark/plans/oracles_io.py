@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tidemark.plans.oracles_lines import PARSED, RUNNING, SNIFF, _header_rule, part_lines
 from tidemark.plans.oracles_meta import DVARS, variable_units
-from tidemark.plans.oracles_profile import gaps_chunked, gaps_whole
+from tidemark.plans.oracles_profile import CUSTOMER_TEXT, gaps_chunked, gaps_whole
 from tidemark.plans.oracles_vocab import HTML_ROWS, LOCAL_VOCAB, MATCHES, TRIPLES, VARIABLES, match_counts
 
 NUM_RX = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -138,6 +138,14 @@ UNION ALL SELECT 'columns', "column", CAST(equivalent_mismatch AS BIGINT) FROM (
 UNION ALL SELECT 'messages', code, NULL FROM ({_report('reconcile_messages')})""",
     "type_reconcile_gaps": lambda: gaps_chunked(),
     "incremental_profile_gaps": lambda: gaps_whole(),
+    "quoted_scan": lambda: """SELECT doc_id, sha256(CASE WHEN doc_id % 3 = 0 THEN '"' ELSE chr(39) END || text || CASE WHEN doc_id % 5 = 0 THEN '","' || chr(10)
+  ELSE chr(10) || chr(10) || '.' END) AS text_sha256, lang FROM documents""",
+    "named_pages": lambda: """SELECT 'many' AS run, 'orders' || CASE WHEN (SELECT max(o_orderkey) FROM orders) >= 1000 THEN '_part' || CAST(o_orderkey // 1000 + 1 AS VARCHAR) ELSE '' END AS dataset,
+  count(*) AS n_rows, min(o_orderkey) AS first_row, max(o_orderkey) AS last_row FROM orders GROUP BY 1, 2
+UNION ALL SELECT 'one', 'orders', count(*), min(o_orderkey), max(o_orderkey) FROM orders WHERE o_orderkey < 1000
+UNION ALL SELECT 'whole', 'orders', count(*), min(o_orderkey), max(o_orderkey) FROM orders""",
+    "round_precision_max": lambda: f"""WITH {CUSTOMER_TEXT}
+SELECT row_idx, TRY_CAST(decimalLatitude AS DOUBLE) AS decimalLatitude, TRY_CAST(decimalLongitude AS DOUBLE) AS decimalLongitude FROM ct""",
     "changed_sources": lambda: """WITH o AS (SELECT o_orderkey, o_orderkey % 9 AS part, CASE WHEN o_orderkey % 9 = 2 THEN 'Z' ELSE o_orderstatus END AS st
   FROM orders WHERE o_orderkey % 9 <> 5 AND NOT (o_orderkey % 9 = 2 AND o_orderkey % 2 = 1)),
 r AS (SELECT part, count(*) AS n, CASE WHEN part IN (2, 8) THEN 2 ELSE 1 END AS written_in, max(st) AS last_status, max(o_orderkey) AS last_key FROM o GROUP BY part),

@@ -24,6 +24,7 @@ from tidemark.sinks import writers as wr
 from tidemark.sources import archives, delimited, manifest
 from tidemark.sources.html_terms import extract_terms
 from tidemark.sources.lines import read_lines
+from tidemark.sources.quoted import read_quoted
 from tidemark.streaming.incremental import incremental_profile, incremental_run, sync_sources
 
 GAP_ORDERS = 1000  # orders of a block without values
@@ -129,6 +130,25 @@ def paged_files(spark, sf_dir):
                                    F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"))
 
 
+def named_pages(spark, sf_dir):
+    """SNK-2: written page names, with one page and with several."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("row_idx"), "o_totalprice")
+    path = _folder(spark, "named")
+    wr.write_named_pages(o, f"{path}/many", "orders", 1000)
+    wr.write_named_pages(o.where("row_idx < 1000"), f"{path}/one", "orders", 1000)
+    wr.write_named_pages(o, f"{path}/whole", "orders", None)
+    sets = [spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("run"), "dataset", "row_idx") for name in ("many", "one", "whole")]
+    return sets[0].union(sets[1]).union(sets[2]).groupBy("run", "dataset").agg(
+        F.count("*").alias("n_rows"), F.min("row_idx").alias("first_row"), F.max("row_idx").alias("last_row"))
+
+
+def round_precision_max(spark, sf_dir):
+    """COE-2: positions rounded to the most decimals of their column."""
+    df = fx.customer_text(spark, sf_dir)
+    cols = ["decimalLatitude", "decimalLongitude"]
+    return co.coerce_position(df, cols, "max").select("row_idx", *cols)
+
+
 def match_report(spark, sf_dir):
     """SNK-4: the match counts per dataset, written as a report and reread."""
     from tidemark.plans.queries import match_counts
@@ -316,6 +336,18 @@ def incremental_profile_gaps(spark, sf_dir):
     return prof.select("column", "pos", "family", "max_len", "max_int", "non_null")
 
 
+def quoted_scan(spark, sf_dir):
+    """SRC-4: documents with quotes, delimiters and line breaks in their cells, read split by split."""
+    d = table(spark, sf_dir, "documents")
+    k = F.col("doc_id")
+    text = F.concat(F.when(k % 3 == 0, F.lit('"')).otherwise(F.lit("'")), F.col("text"), F.when(k % 5 == 0, F.lit('","\n')).otherwise(F.lit("\n\n.")))
+    path = _folder(spark, "quoted")
+    (d.select(k, text.alias("text"), "lang").write.option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    got = read_quoted(spark, path, "doc_id bigint, text string, lang string")
+    return got.select("doc_id", F.sha2("text", 256).alias("text_sha256"), "lang")
+
+
 def changed_sources(spark, sf_dir):
     """STR-1: of eight sources one changes, one vanishes and one is new before
     the second run; a third run finds nothing to do."""
@@ -418,4 +450,4 @@ IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
     absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, time_axis_units, catalog_attributes, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
-    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary)}
+    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary, quoted_scan, named_pages, round_precision_max)}

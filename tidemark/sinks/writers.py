@@ -37,6 +37,17 @@ def write_paged(df: DataFrame, path: str, rows_per_file: int, row_idx: str = "ro
         .write.mode("overwrite").partitionBy("part").parquet(path)
 
 
+def write_named_pages(df: DataFrame, path: str, base_name: str, rows_per_file: int | None, row_idx: str = "row_idx") -> None:
+    """SNK-2 with names: the folder ``dataset=<base_name>_part<k>`` for page k,
+    ``dataset=<base_name>`` if there is no more than one page (or no page size)."""
+    several = bool(rows_per_file) and (df.agg(F.max(row_idx)).first()[0] or 0) >= rows_per_file
+    if not several:
+        df.withColumn("dataset", F.lit(base_name)).write.mode("overwrite").partitionBy("dataset").parquet(path)
+        return
+    name = F.concat(F.lit(f"{base_name}_part"), page_number(row_idx, rows_per_file).cast("string"))
+    df.withColumn("dataset", name).repartition("dataset").write.mode("overwrite").partitionBy("dataset").parquet(path)
+
+
 def _is_number(c: Column) -> Column:
     from tidemark.functions.numeric import NUMBER_RX
     return c.rlike(NUMBER_RX)

@@ -36,6 +36,7 @@ def _archive_lines(path: str, content: bytes, exts: tuple[str, ...], encoding: s
 
 
 BATCH_LINES = 10_000  # lines handed back at once
+MAX_ARCHIVE = 1 << 30  # bytes of an archive that one cell may hold
 
 
 def archive_lines(files: DataFrame, exts=(".csv",), encoding: str = "utf-8") -> DataFrame:
@@ -77,13 +78,18 @@ def pack_zip(texts: DataFrame, member: str) -> DataFrame:
 
 
 def read_zip_lines(spark: SparkSession, path: str, exts=(".csv",), encoding: str = "utf-8",
-                   glob: str = "*.zip") -> DataFrame:
+                   glob: str = "*.zip", max_bytes: int = MAX_ARCHIVE) -> DataFrame:
     """(archive, file, line_no, line, error) for every wanted member line;
-    a row with ``error`` set (and no line) marks a bad archive."""
+    a row with ``error`` set (and no line) marks a bad archive, or one of more
+    than ``max_bytes``, whose content is never read (it would not fit one cell)."""
     # the file source packs archives into partitions of at most
-    # maxPartitionBytes (a larger archive gets a partition of its own)
+    # maxPartitionBytes (a larger archive gets a partition of its own); the
+    # condition on the length reaches the source, which skips the content
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return archive_lines(files, exts, encoding)
+    large = files.where(F.col("length") > max_bytes).select(
+        F.col("path").alias("archive"), F.lit(None).cast("string").alias("file"), F.lit(None).cast("long").alias("line_no"),
+        F.lit(None).cast("string").alias("line"), F.concat(F.lit("TooLarge: "), F.col("length").cast("string"), F.lit(" bytes")).alias("error"))
+    return archive_lines(files.where(F.col("length") <= max_bytes), exts, encoding).unionByName(large)
 
 
 def zip_lines(zl: DataFrame) -> DataFrame:
