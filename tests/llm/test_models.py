@@ -296,6 +296,35 @@ def test_licences_within_long_lines(spark):
     assert got[10 ** 6 + 1]["licences"] == "" and got[10 ** 6 + 1]["n_unknown_lines"] == 1
 
 
+def test_wrapped_notices(spark):
+    """Every template, wrapped at every word and after every word, is found as it is on one line."""
+    templates = [(f, t) for f in license_scan.FAMILIES for t in license_scan.TEMPLATES[f]]
+    rows, of = [], {}
+    for i, (_, t) in enumerate(templates):
+        words = t.split()
+        rows.append((i, t))
+        forms = [" ".join(words[:k]) + "\n" + " ".join(words[k:]) for k in range(1, len(words))] + ["  \n ".join(words)]
+        for k, form in enumerate(forms):
+            of[1000 * (i + 1) + k] = i
+            rows.append((1000 * (i + 1) + k, f"People walk along the river.\n\nThey talk about\n{form}\nthe weather of today.\n\nSo they do."))
+    rows += [(-1, "The bar lost its\nliquor license."), (-2, "He asked for\npermission to leave."), (-3, "a\nb\n\nc")]
+    model = license_scan.train(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    got = {r["doc_id"]: r for r in license_scan.document_licences(spark.createDataFrame(rows, "doc_id long, text string"), model=model).collect()}
+    lost = [(d, got[i]["licences"], got[d]["licences"]) for d, i in of.items() if not set(got[i]["licences"].split(",")) <= set(got[d]["licences"].split(","))]
+    assert not lost
+    assert all(got[i]["licences"] for i in range(len(templates)))
+    assert [got[d]["licences"] for d in (-1, -2, -3)] == ["", "", ""]
+
+
+def test_strangers_are_kept_apart():
+    model = license_scan.Classifier(["Some ordinary line about nothing.", "Ask for permission before you enter the room."])
+    for line in license_scan.ORDINARY:
+        words = license_scan.tokens_of(line)
+        chance = model._softmax(model._scores(*model._sparse([(words, 0)]), 1))[0]
+        assert chance[:-1].max() < model.threshold
+    assert license_scan.confirmed("GNU Affero General Public") and not license_scan.confirmed("The bar lost its liquor license.")
+
+
 def test_licence_scores_equal_brute_force(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
     model = license_scan.train(docs)

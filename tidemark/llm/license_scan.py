@@ -1,17 +1,19 @@
 """Licence scans by a trained paragraph classifier (operator 6, DataFrame
 functions only on the main path).
 
-A paragraph is a line; in one of more than ``LONG`` words, every stretch of
-about a template's length around a cue is one, too. Lines with a cue word (one that every template of ours
-holds, too; a line without any could not be confirmed) become sparse sets of
-word uni- and bigrams. A softmax regression over these, one class per licence
-family and one for ``unknown``, is trained on the driver from the templates
-below, broken into parts and with words left out, against ordinary sentences
-about rights and the cue-free lines of about ``SAMPLE_TEXTS`` texts (4 times as
-many at most). The threshold
-on the family's probability is calibrated on kept-back examples so that no
-``unknown`` one passes. A prediction counts only if a template of the
-predicted family confirms it: the words' bigrams overlap by ``CONFIRM``.
+A paragraph is a line, or a run of lines between blank ones read as one line. In
+lines of more than ``LONG`` words, every stretch of about a template's length
+around a cue is one, too; in runs of lines, every such stretch that crosses a line
+break, so that a notice is found however it is wrapped. Cues are words of which
+every template holds one: where none stands, every template lacks a part.
+Paragraphs become sparse sets of word uni- and bigrams. A softmax regression over
+these, one class per licence family and one for ``unknown``, is trained on the
+driver from the templates below, broken into parts and with words left out,
+against ordinary sentences about rights and lines of about ``SAMPLE_TEXTS`` texts
+(4 times as many at most) that no template confirms. Every fifth of these strangers is kept apart before anything is
+repeated, and the threshold on the family's probability is calibrated so that none
+of them passes. A prediction counts only if a template of the predicted family
+confirms it: the words' bigrams overlap by ``CONFIRM``.
 
 On the main path distinct lines are scored, so a licence line that a third of
 all documents share is scored once: its n-grams are exploded, joined with the
@@ -30,6 +32,7 @@ from __future__ import annotations
 import json
 import random
 import re
+import zlib
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +40,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import quoted, staged, text_or_empty
 
-CUE = r"(?i)licen[cs]e|copyright|redistribut|permission|warrant|public domain|all rights reserved|spdx|creative commons|\bcc[ -](by|0)|\bgpl|\blgpl|\bagpl"
+CUE = r"(?i)licen[cs]e|copyright|redistribut|permission|warrant|public\s+domain|all\s+rights\s+reserved|spdx|creative\s+commons|\bcc0\b|\bcc[\s-](by|0)|\bgpl|\blgpl|\bagpl"
+BLANK = r"\n[ \t\r]*\n"   # between runs of lines
 TOKEN = r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 CONFIRM = 0.6          # least overlap of bigrams with a template
 LONG = 50              # words above which a line is read in stretches, too
@@ -120,8 +124,8 @@ def grams(words: list[str]) -> list[str]:
     return sorted({*words, *pairs_of(words)})
 
 
-def examples(lines: list[str], seed: int = 11) -> list[tuple[list[str], int]]:
-    """(words, class number) of templates, parts of them and unknown lines."""
+def examples(strangers: list[str], seed: int = 11) -> list[tuple[list[str], int]]:
+    """(words, class number) of templates, parts of them and unknown lines (own sentences six times)."""
     rng, out = random.Random(seed), []
     for number, family in enumerate(FAMILIES):
         for template in TEMPLATES[family]:
@@ -131,9 +135,9 @@ def examples(lines: list[str], seed: int = 11) -> list[tuple[list[str], int]]:
                 kept = [w for w in words if rng.random() > 0.12]
                 if len(kept) >= 2:
                     out.append((kept, number))
-    for line in [*ORDINARY * 6, *lines]:
+    for line in strangers:
         if words := tokens_of(line):
-            out.append((words, len(FAMILIES)))
+            out += [(words, len(FAMILIES))] * (6 if line in ORDINARY else 1)
     rng.shuffle(out)
     return out
 
@@ -142,10 +146,12 @@ class Classifier:
     """Softmax regression over n-gram sets, each of length one."""
 
     def __init__(self, lines: list[str]):
-        data = examples(lines)
-        held, learned = data[::5], [x for i, x in enumerate(data) if i % 5]
-        # weights for the n-grams of the built-in texts; any other n-gram has weight 0
-        known = [t for family in FAMILIES for t in TEMPLATES[family]] + ORDINARY
+        strangers = sorted({*ORDINARY, *lines}, key=lambda x: zlib.crc32(x.encode()))
+        kept_apart, own = strangers[::5], [x for i, x in enumerate(strangers) if i % 5]
+        learned = examples(own)
+        held = [(words, len(FAMILIES)) for x in kept_apart if (words := tokens_of(x))]
+        # weights for the n-grams of the built-in texts it learns from; any other n-gram has weight 0
+        known = [t for family in FAMILIES for t in TEMPLATES[family]] + [x for x in ORDINARY if x in own]
         vocabulary = sorted({g for line in known for g in grams(tokens_of(line))})
         self.column = {g: i for i, g in enumerate(vocabulary)}
         self.weights = np.zeros((len(vocabulary), len(CLASSES)))
@@ -166,10 +172,9 @@ class Classifier:
             self.bias -= RATE * error.sum(axis=0)
         self.weights, self.bias = self.weights.round(6), self.bias.round(6)
         rows, cols, values = self._sparse(held)
-        chance = self._softmax(self._scores(rows, cols, values, len(held)))
-        strangers = chance[[c == len(FAMILIES) for _, c in held], :len(FAMILIES)]
-        # above what any kept-back unknown example reaches
-        self.threshold = float(min(max(0.5, strangers.max(initial=0.0) + 0.01), 0.9))
+        chance = self._softmax(self._scores(rows, cols, values, len(held)))[:, :len(FAMILIES)]
+        # above what any stranger kept apart reaches
+        self.threshold = float(min(max(0.5, chance.max(initial=0.0) + 0.01), 0.9))
 
     def _sparse(self, data):
         rows, cols, values = [], [], []
@@ -195,15 +200,21 @@ class Classifier:
         return e / e.sum(axis=1, keepdims=True)
 
 
+def confirmed(line: str) -> bool:
+    """Whether any template confirms a line."""
+    own = set(pairs_of(words := tokens_of(line)) or words)
+    return any(len(own & set(t)) >= CONFIRM * min(len(own), len(t)) for family in FAMILIES for template in TEMPLATES[family]
+               if own and (t := pairs_of(tokens_of(template)) or tokens_of(template)))
+
+
 def train(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Classifier:
-    """Fit on the templates and the cue-free lines of about SAMPLE_TEXTS texts,
-    those whose row hash falls into one of many classes."""
+    """Fit on the templates and the lines that no template confirms of about
+    SAMPLE_TEXTS texts, those whose row hash falls into one of many classes."""
     classes = max(1, docs.count() // SAMPLE_TEXTS)
     sample = (docs.select(quoted(doc_id).alias("d"), quoted(text).cast("string").alias("t")).where(F.col("t").isNotNull())
               .where(F.pmod(F.xxhash64("d", "t"), F.lit(classes)) == 0).limit(4 * SAMPLE_TEXTS)
-              .select(F.explode(F.split("t", "\n")).alias("line"))
-              .where((F.trim("line") != "") & ~F.col("line").rlike(CUE)))
-    return Classifier([r["line"] for r in sample.collect()])
+              .select(F.explode(F.split("t", "\n")).alias("line")).where(F.trim("line") != ""))
+    return Classifier([r["line"] for r in sample.collect() if not confirmed(r["line"])])
 
 
 # ---- the main path ----
@@ -256,8 +267,9 @@ def classify_lines(lines: DataFrame, model: Classifier) -> DataFrame:
             .select("line", F.when(sure, F.col("predicted")).otherwise("unknown").alias("family"), "probability", "overlap", "covered", "shared"))
 
 
-def _stretches(words: str) -> Column:
-    """(cue, line): per cue of a long line the stretches of words around it, every quarter of their length, as texts."""
+def _stretches(words: str, lines: str | None = None) -> Column:
+    """(cue, line): per cue of a long line the stretches of words around it, every
+    quarter of their length, as texts; with the words' ``lines`` only those that cross a line break."""
     n = F.size(words)
 
     def has_cue(at: Column, length: int) -> Column:
@@ -266,8 +278,10 @@ def _stretches(words: str) -> Column:
     def around(i: Column, length: int) -> Column:
         step = max(1, length // 4)
         first = F.greatest(F.ceil((i + 1 - length) / step).cast("int"), F.lit(0))
-        return F.transform(F.sequence(first, F.floor(i / step).cast("int")),
-                           lambda k: F.struct(i.alias("cue"), F.concat_ws(" ", F.slice(words, k * step + 1, F.lit(length))).alias("line")))
+        starts = F.sequence(first, F.floor(i / step).cast("int"))
+        if lines:
+            starts = F.filter(starts, lambda k: F.get(F.col(lines), k * step) < F.get(F.col(lines), F.least(k * step + length, n) - 1))
+        return F.transform(starts, lambda k: F.struct(i.alias("cue"), F.concat_ws(" ", F.slice(words, k * step + 1, F.lit(length))).alias("line")))
 
     cues = F.filter(F.sequence(F.lit(0), n - 1), lambda i: has_cue(i, 3) & ~has_cue(i + 1, 2))
     return F.flatten(F.transform(cues, lambda i: F.concat(*[around(i, length) for length in STRETCHES])))
@@ -300,9 +314,28 @@ def scan(docs: DataFrame, model: Classifier | None = None, doc_id: str = "doc_id
         F.coalesce("best", F.lit(True)).alias("best"))
 
 
-def document_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def wrapped(docs: DataFrame, model: Classifier, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, paragraph (number of the run of lines), family, overlap): confirmed
+    notices that cross line breaks, once per paragraph and family."""
+    runs = staged(docs.select(quoted(doc_id).alias("doc_id"), F.posexplode(F.split(text_or_empty(quoted(text)), BLANK)).alias("paragraph", "run"))
+                  .where(F.contains("run", F.lit("\n")) & F.col("run").rlike(CUE)).withColumn("key", F.md5(F.col("run").cast("binary"))), "runs")
+    by_line = F.transform(F.split("run", "\n"), lambda line, i: F.transform(_tokens(line), lambda w: F.struct(w.alias("w"), i.alias("l"))))
+    parts = staged(runs.select("key", "run").distinct().withColumn("all", F.flatten(by_line)).where(F.size("all") > 0)
+                   .select("key", F.transform("all", lambda x: x["w"]).alias("words"), F.transform("all", lambda x: x["l"]).alias("lines"))
+                   .select("key", F.explode(_stretches("words", "lines")).alias("part")).select("key", "part.cue", "part.line"), "parts")
+    sure = (F.col("family") != "unknown") & (F.col("covered") >= CONFIRM)
+    # of the stretches around a cue the one that shares most with its family's templates counts
+    found = (parts.join(classify_lines(parts.select("line").distinct(), model).where(sure), "line").groupBy("key", "cue")
+             .agg(F.max(F.struct("shared", "probability", "overlap", "family")).alias("b"))
+             .groupBy("key", "b.family").agg(F.max("b.overlap").alias("overlap")))
+    return runs.join(found, "key").select("doc_id", "paragraph", "family", "overlap")
+
+
+def document_licences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", model: Classifier | None = None) -> DataFrame:
     """One row per doc_id: licences (families, sorted, by comma), n_licence_lines, n_unknown_lines, best_overlap."""
-    found = scan(docs, None, doc_id, text).select("doc_id", "family", "overlap", "best")
+    model = model or train(docs, doc_id, text)
+    found = scan(docs, model, doc_id, text).select("doc_id", "family", "overlap", "best").unionByName(
+        wrapped(docs, model, doc_id, text).select("doc_id", "family", "overlap", F.lit(False).alias("best")))
     every = docs.select(quoted(doc_id).alias("doc_id"), F.lit(None).cast("string").alias("family"), F.lit(None).cast("double").alias("overlap"), F.lit(True).alias("best"))
     known = F.col("family") != "unknown"
     return (found.unionByName(every).groupBy("doc_id")
