@@ -122,8 +122,8 @@ def test_first_step_meets_few(spark):
         for at in rng.sample(range(150), 2):
             copy[at] = rng.choice(words)
         rows.append((i, " ".join(copy)))
-    sketches = near_dup.sketch(spark.createDataFrame(rows, "doc_id long, text string"))
-    buckets = near_dup.bucketed(sketches.selectExpr("row AS node", "bands"))
+    nodes = near_dup.sketch(near_dup.worded(spark.createDataFrame(rows, "doc_id long, text string")))
+    buckets = near_dup.bucketed(nodes)
     assert buckets.count() <= 400 * near_dup.BANDS
     assert 399 <= near_dup.candidates(buckets).count() <= 400 * near_dup.FANOUT
 

@@ -194,32 +194,29 @@ def node_of(words: Column) -> Column:
     return F.when(words != "", F.unhex(F.md5(words)))
 
 
-def sketch(rows: DataFrame) -> DataFrame:
-    """``rows(doc_id, text)`` → row (a number of its own), doc_id, text_key, words_key, words, bands, digest (8 bits per slot)."""
+def worded(rows: DataFrame) -> DataFrame:
+    """``rows(doc_id, text)`` → row (a number of its own), doc_id, text_key, words_key, words."""
+    return (rows.withColumn("words", words_of(F.col("text")))
+            .select(F.monotonically_increasing_id().alias("row"), "doc_id", F.unhex(F.md5(text_or_empty(F.col("text")))).alias("text_key"),
+                    node_of(F.col("words")).alias("words_key"), "words"))
+
+
+def sketch(texts: DataFrame) -> DataFrame:
+    """``texts(row, words)`` → node (the row), bands, digest (8 bits per slot)."""
     ship_by_value(sys.modules[__name__])
-    keyed = (rows.withColumn("words", words_of(F.col("text")))
-             .select(F.monotonically_increasing_id().alias("row"), "doc_id", F.unhex(F.md5(text_or_empty(F.col("text")))).alias("text_key"),
-                     node_of(F.col("words")).alias("words_key"), "words"))
-    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bands, digests, last, made = [], [], None, (None, None)
-            for words in batch.column(4):
-                words = words.as_py()
-                if words != last:  # copies often stand together
-                    last, made = words, (None, None)
-                    if words:
-                        sign = signature(*bag_of(words))
-                        made = band_keys(sign), (mixed(sign.view(np.uint32).astype(np.uint64) * STEP) >> np.uint64(56)).astype(np.uint8).tobytes()
-                bands.append(made[0])
-                digests.append(made[1])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(bands, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
-                [*batch.schema.names, "bands", "digest"])
-
-    return keyed.mapInArrow(sketched, f"row long, doc_id {id_type}, text_key binary, words_key binary, words string, "
-                                      "bands array<long>, digest binary")
+            bands, digests = [], []
+            for words in batch.column(1):
+                sign = signature(*bag_of(words.as_py()))
+                bands.append(band_keys(sign))
+                digests.append((mixed(sign.view(np.uint32).astype(np.uint64) * STEP) >> np.uint64(56)).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bands, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
+                                             ["node", "bands", "digest"])
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
+
+    return texts.select("row", "words").mapInArrow(sketched, "node long, bands array<long>, digest binary")
 
 
 def only(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
@@ -262,11 +259,11 @@ def promising(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
             .mapInArrow(agreeing, "node long, pivot long"))
 
 
-def texts_of(sketches: DataFrame, *pairs: DataFrame) -> DataFrame:
+def texts_of(texts: DataFrame, *pairs: DataFrame) -> DataFrame:
     """(node, words) of the nodes of ``pairs``."""
     ends = [p.select(c).toDF("row") for p in pairs for c in ("node", "pivot")]
     needed = staged(reduce(DataFrame.union, ends).distinct(), "needed")
-    return staged(only(sketches.select("row", "words"), needed, "row").withColumnRenamed("row", "node"), "words")
+    return staged(only(texts.select("row", "words"), needed, "row").withColumnRenamed("row", "node"), "words")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -399,7 +396,7 @@ def across_classes(buckets: DataFrame, classes: DataFrame, nodes: DataFrame) ->
     return rows.mapInArrow(compared, "node long, pivot long").distinct()
 
 
-def remaining_links(clusters: DataFrame, classes: DataFrame, sketches: DataFrame) -> DataFrame:
+def remaining_links(clusters: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links (node, pivot) not found yet: in every cluster of several classes
     and more than two nodes, the nodes outside its largest class against all,
     from their whole texts, block by block."""
@@ -411,8 +408,8 @@ def remaining_links(clusters: DataFrame, classes: DataFrame, sketches: DataFrame
     small = open_.count() <= BROADCAST_NODES
     inside = members.join(F.broadcast(open_) if small else open_, "cluster")
     needed = staged(inside.select(F.col("node").alias("row")), "needed")
-    texts = only(sketches.select("row", "words"), needed, "row").withColumnRenamed("row", "node")
-    spread = staged(inside.join(texts, "node").withColumn("chars", F.length("words").cast("long")), "spread")
+    words = only(texts.select("row", "words"), needed, "row").withColumnRenamed("row", "node")
+    spread = staged(inside.join(words, "node").withColumn("chars", F.length("words").cast("long")), "spread")
     largest = staged(spread.groupBy("cluster").agg(F.first("all").alias("all"), F.first("top.n").alias("n"), F.first("top.class").alias("top"),
                                                    F.sum("chars").alias("chars"),
                                                    F.sum(F.when(F.col("class") != F.col("top.class"), F.col("chars"))).alias("outside")).select(
@@ -456,25 +453,25 @@ def components(links: DataFrame) -> DataFrame:
 def rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, text_key and root of every row (null without words)."""
     rows = docs.select(quoted(doc_id).alias("doc_id"), quoted(text).cast("string").alias("text"))
-    sketches = staged(sketch(rows), "sketch")
+    texts = staged(worded(rows), "texts")
     # one row stands for all with the same words; its number is the node
-    firsts = staged(sketches.where(F.col("words_key").isNotNull()).groupBy("words_key").agg(F.min("row").alias("row")), "firsts")
-    nodes = staged(only(sketches.select("row", "bands", "digest"), firsts.select("row"), "row").withColumnRenamed("row", "node"), "nodes")
+    firsts = staged(texts.where(F.col("words_key").isNotNull()).groupBy("words_key").agg(F.min("row").alias("row")), "firsts")
+    nodes = staged(sketch(only(texts.select("row", "words"), firsts.select("row"), "row")), "nodes")
     buckets = staged(bucketed(nodes), "buckets")
     pairs = staged(promising(candidates(buckets), nodes), "pairs")
-    links = staged(verified(pairs, texts_of(sketches, pairs)), "links")
+    links = staged(verified(pairs, texts_of(texts, pairs)), "links")
     classes = components(links)
     across = staged(across_classes(buckets, classes, nodes), "across")
     if across.limit(1).count():
         new = staged(across.join(pairs, ["node", "pivot"], "left_anti"), "new")
         linked = classes.withColumnRenamed("root", "pivot")
-        classes, clusters = two_components(linked.union(verified(new, texts_of(sketches, new))), linked.union(across))
-        more = staged(remaining_links(with_roots(clusters), with_roots(classes), sketches), "more")
+        classes, clusters = two_components(linked.union(verified(new, texts_of(texts, new))), linked.union(across))
+        more = staged(remaining_links(with_roots(clusters), with_roots(classes), texts), "more")
         if more.limit(1).count():
             classes = components(classes.withColumnRenamed("root", "pivot").union(more))
     named = (classes.join(firsts.select(F.col("row").alias("node"), "words_key"), "node")
              .join(firsts.select(F.col("row").alias("root"), F.col("words_key").alias("root_key")), "root").select("words_key", "root_key"))
-    return (sketches.select("doc_id", "text_key", "words_key").join(named, "words_key", "left")
+    return (texts.select("doc_id", "text_key", "words_key").join(named, "words_key", "left")
             .select("doc_id", "text_key", F.coalesce("root_key", "words_key").alias("root")))
 
 
