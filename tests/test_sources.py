@@ -3,17 +3,20 @@
 import io
 import json
 import os
+import random
 import tempfile
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import structure
 from tidemark.plans import fixtures as fx
 from tidemark.plans.standardize import round_trip, standardize, standardize_sampled
 from tidemark.sinks.writers import csv_lines, route_by_verdict, size_compare, write_csv, write_paged
 from tidemark.sources.archives import bad_archives, read_zip_lines, zip_lines
 from tidemark.sources.delimited import cells_table, read_parts, read_table
-from tidemark.sources.lines import read_lines
+from tidemark.sources.lines import header_rows, read_lines
 from tidemark.sources.manifest import read_manifest, read_vocab
 from tidemark.streaming.incremental import incremental_run
 from tests.conftest import SF_SMALL
@@ -39,6 +42,55 @@ def test_read_lines_numbering_over_many_splits(spark):
     assert got == {i: f"row {i}," + "x" * (i % 17) for i in range(20000)}
 
 
+def _text_scans(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("FileScan text")
+
+
+def test_lines_are_counted_once_then_read_by_one_scan(spark):
+    d = _scratch()
+    rng = random.Random(3)
+    quoted = [("\"a\"", "x,y", "'b'", "it's", "", "\"c")[rng.randrange(6)] + f",{i}" for i in range(6000)]
+    plain = [f'"n{i}",{i},it\'s' for i in range(6000)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        for name, rows, scans in (("plain", plain, 1), ("quoted", quoted, 2)):
+            path = os.path.join(d, name + ".csv")
+            with open(path, "w") as f:
+                f.write("'k',v\n" + "\n".join(rows) + "\n")
+            for limit in (0, 1000):
+                lines = read_lines(spark, path, broadcast_limit=limit)
+                header = header_rows(lines)
+                assert [r["line"] for r in header.collect()] == ["'k',v"] and _text_scans(header) == 0
+                styled = structure.styled_rows(lines)
+                assert _text_scans(styled) == scans
+                got = {r["row_idx"]: r["quote"] for r in styled.where("line like '%\"%' or line like \"%'%\"").collect()}
+                balance, want = 0, {}
+                for i, row in enumerate(rows):
+                    balance += row.count('"') - row.count("'")
+                    if '"' in row or "'" in row:
+                        want[i] = '"' if balance >= 0 else "'"
+                assert got == want
+                full = structure.parsed_rows(lines, full_style=True).select("row_idx", "quote").collect()
+                assert len(full) == len(rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_changed_splits_are_an_error(spark):
+    d = _scratch()
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("\n".join(f"row {i}" for i in range(5000)) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    lines = read_lines(spark, os.path.join(d, "a.csv"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        with pytest.raises(Exception, match="changed while they were read"):
+            lines.select("line_no").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
 def test_read_lines_across_files_in_name_order(spark):
     d = _scratch()
     for name, rows in (("p0.txt", ["h"]), ("p1.txt", ["a", "b"]), ("p2.txt", ["c"])):

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import ustrip
@@ -100,6 +100,8 @@ def styled_rows(lines: DataFrame, block_col: str | None = None) -> DataFrame:
     line text is shuffled."""
     d = data_rows(lines)
     hasq = (F.instr("line", '"') > 0) | (F.instr("line", "'") > 0)
+    if "quote_style" in d.columns:
+        return _styled_by_split(d, hasq)
     q = running_sum(d.where(hasq), ["file"], "line_no", {"balance": quote_diff("line")},
                     block_col=block_col)
     q = q.withColumn("quote", F.when(F.col("balance") >= 0, F.lit('"')).otherwise(F.lit("'")))
@@ -107,12 +109,31 @@ def styled_rows(lines: DataFrame, block_col: str | None = None) -> DataFrame:
     return q.unionByName(nq)
 
 
+def _styled_by_split(d: DataFrame, turning: Column) -> DataFrame:
+    """Data rows of ``read_lines`` with their quote style: splits whose
+    totals decide it need nothing more (and no second scan, unless some
+    split is undecided); the ``turning`` rows of the others take a running
+    sum inside their split, on from the balance before it."""
+    known = d.withColumn("balance", F.lit(None).cast("long"))
+    if "balance_before" not in d.columns:
+        return known.withColumnRenamed("quote_style", "quote")
+    open_ = F.col("quote_style").isNull() & turning
+    w = Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    summed = (d.where(open_).withColumn("balance", F.col("balance_before") + F.sum(quote_diff("line")).over(w))
+              .withColumn("quote", F.when(F.col("balance") >= 0, F.lit('"')).otherwise(F.lit("'"))))
+    known = known.where(~open_).withColumn("quote", F.coalesce("quote_style", F.lit('"')))
+    return summed.unionByName(known).drop("quote_style", "balance_before")
+
+
 def parsed_rows(lines: DataFrame, block_col: str | None = None, full_style: bool = False,
                 header: tuple[str, list[str]] | None = None) -> DataFrame:
     """Data rows with quote style, cells and width. ``full_style`` gives
     every row its running style (needed when the style is written out,
     as in delimiter normalisation); otherwise only quoted rows need it."""
-    styled = running_quote_style(lines, block_col) if full_style else styled_rows(lines, block_col)
+    if full_style and "quote_style" in lines.columns:
+        styled = _styled_by_split(data_rows(lines), F.lit(True))
+    else:
+        styled = running_quote_style(lines, block_col) if full_style else styled_rows(lines, block_col)
     r = with_header(styled, lines, header)
     return (r.withColumn("cells", split_cells("line", F.col("delim"), F.col("quote")))
              .withColumn("width", F.size("cells")))

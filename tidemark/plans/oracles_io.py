@@ -171,6 +171,12 @@ UNION ALL SELECT label, 'fuzzy', 5, 'comment', 'taken from the one vocabulary en
     "preamble_offset": lambda: _header_rule(f"lines AS ({PREAMBLE})"),
     "preamble_cells": lambda: """SELECT p_partkey AS row_idx, CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand,
   CAST(p_size AS VARCHAR) AS p_size FROM part""",
+    "file_headers": lambda: """SELECT layout, delim, 'p_partkey,the name,p_size,remark' AS labels, count(*) AS n_rows,
+  CAST(sum(strlen(CAST(p_partkey AS VARCHAR)) + strlen(p_name) + strlen(CAST(p_size AS VARCHAR)) + 7) AS BIGINT) AS n_bytes
+FROM part, (VALUES ('pipe', '|'), ('semicolon', ';'), ('tab', chr(9))) AS d(layout, delim) GROUP BY layout, delim""",
+    "file_standardize": lambda: """SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_idx, c_custkey AS key,
+  CASE WHEN c_custkey % 3 = 0 THEN c_name || ' "the first"' WHEN c_custkey % 4 = 1 THEN c_name || ', d''Or et d''Argent' ELSE c_name END AS name,
+  CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance, chr(39) AS mark FROM customer""",
     "bad_bytes": lambda: """SELECT CAST(p_partkey AS VARCHAR) || ',c' || CASE WHEN p_partkey % 3 = 0 THEN chr(65533) ELSE 'é' END AS line FROM part""",
     "round_trip_documents": lambda: """WITH n AS (SELECT count(*) AS shared FROM documents)
 SELECT 'doc_id' AS column, 0 AS pos, shared, 0 AS raw_mismatch, 0 AS filtered_mismatch, 0 AS equivalent_mismatch FROM n

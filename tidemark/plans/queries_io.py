@@ -23,7 +23,7 @@ from tidemark.session import checkpoint_dir, table
 from tidemark.sinks import writers as wr
 from tidemark.sources import archives, delimited, manifest
 from tidemark.sources.html_terms import extract_terms
-from tidemark.sources.lines import read_lines
+from tidemark.sources.lines import data_rows, read_lines, sniff_header
 from tidemark.sources.quoted import read_quoted
 from tidemark.streaming.incremental import incremental_profile, incremental_run, sync_sources
 
@@ -436,6 +436,36 @@ def bad_bytes(spark, sf_dir):
     return read_lines(spark, path).select("line")
 
 
+def file_headers(spark, sf_dir):
+    """SRC-1/2: delimiter, labels and rows of files written with three
+    delimiters, many files each; headers are read from the files themselves."""
+    p = table(spark, sf_dir, "part")
+    base = _folder(spark, "headers")
+    layouts = {"pipe": "|", "semicolon": ";", "tab": "\t"}
+    for name, sep in layouts.items():
+        (p.select("p_partkey", F.col("p_name").alias("the name"), "p_size", F.lit("it's").alias("remark")).repartition(3, "p_partkey")
+         .write.option("header", True).option("sep", sep).csv(f"{base}/{name}"))
+    lines = read_lines(spark, [f"{base}/{name}" for name in layouts])
+    layout = F.regexp_extract("file", r"/([a-z]+)/[^/]*$", 1).alias("layout")
+    heads = sniff_header(lines).select(layout, "delim", F.array_join("labels", ",").alias("labels")).distinct()
+    rows = data_rows(lines).groupBy(layout).agg(F.count("*").alias("n_rows"), F.sum(F.octet_length("line")).alias("n_bytes"))
+    return heads.join(rows, "layout")
+
+
+def file_standardize(spark, sf_dir):
+    """PIPE-1 from real files: customers exported in parts, all cells quoted,
+    with quotes, apostrophes and commas inside."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    name = (F.when(k % 3 == 0, F.concat("c_name", F.lit(' "the first"'))).when(k % 4 == 1, F.concat("c_name", F.lit(", d'Or et d'Argent")))
+            .otherwise(F.col("c_name")))
+    path = _folder(spark, "files")
+    wr.write_csv(c.select(k.alias("row_idx"), k.cast("string").alias("key"), name.alias("name"),
+                          fx.money(F.col("c_acctbal")).alias("balance"), F.lit("'").alias("mark")), path, quoting="all")
+    std = sd.standardize(read_lines(spark, path, across_files=True))
+    return std.table
+
+
 def round_trip_documents(spark, sf_dir):
     """PIPE-4 on whole texts with quotes, apostrophes and line breaks."""
     d = table(spark, sf_dir, "documents")
@@ -450,4 +480,4 @@ IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
     absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, time_axis_units, catalog_attributes, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
-    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary, quoted_scan, named_pages, round_precision_max)}
+    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary, quoted_scan, named_pages, round_precision_max, file_headers, file_standardize)}

@@ -5,8 +5,9 @@
 aggregate pass computes the column profile, the numeric acceptance counts
 and the first value of each position axis for all columns together (a
 one-row result, fetched to fix the static schema); the second pass is the
-typed projection, evaluated lazily by the caller's write. (A pass over
-``read_lines`` numbers the lines, which itself reads the files twice.)
+typed projection, evaluated lazily by the caller's write. Lines of
+``read_lines`` were counted once before; from then on a pass over them is
+one scan of the files, and their headers are none.
 """
 
 from __future__ import annotations

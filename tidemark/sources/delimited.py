@@ -154,6 +154,7 @@ def guess_header_offset(lines: DataFrame, window: int = 500) -> DataFrame:
 def skip_preamble(lines: DataFrame, offsets: DataFrame) -> DataFrame:
     """Lines renumbered so that each file's guessed header is its line 0;
     the lines before it go. ``offsets`` has one row per file."""
-    return (lines.join(offsets.select("file", "header_line"), "file")
+    return (lines.drop("is_header", "quote_style", "balance_before")  # of the first lines, no longer the headers
+            .join(offsets.select("file", "header_line"), "file")
             .withColumn("line_no", F.col("line_no") - F.col("header_line")).where(F.col("line_no") >= 0)
             .drop("header_line"))

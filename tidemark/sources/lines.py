@@ -1,7 +1,9 @@
 """Line scans of delimited text (SRC-1) and header sniffing (SRC-2).
 
 Data model: ``lines(file STRING, line_no LONG, line STRING)``; line 0 of
-every file is its header, data row ``row_idx = line_no - 1``.
+every file is its header, data row ``row_idx = line_no - 1``. Lines of
+``read_lines`` also say which rows are headers and what is known of their
+quote style; tables made otherwise need not.
 """
 
 from __future__ import annotations
@@ -10,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import strip_quotes, ustrip
+from tidemark.session import written
 
 # Candidate delimiters in priority order (first wins ties).
 DELIMITERS = [",", "|", ";", "\t"]
 
 
-SPLIT_BROADCAST_LIMIT = 100_000  # split rows that may be broadcast (about 20 MB)
+SPLIT_BROADCAST_LIMIT = 1_000_000  # split rows that may be broadcast (about 200 MB)
 
 
 def read_lines(spark: SparkSession, path, encoding: str | None = None,
@@ -24,12 +27,21 @@ def read_lines(spark: SparkSession, path, encoding: str | None = None,
 
     Numbering is two-phase (S1): each file split is read by one task in
     order, so a line's position inside its split is its id minus the
-    smallest id of the split; splits are ordered by (file, start offset)
-    and their line counts give the offsets (a table with one row per
-    split, the only place a window runs over everything). With
-    ``across_files`` the numbering continues over the files of ``path``
-    in name order (a multi-part export is one table), ``file`` = ``path``.
-    Undecodable bytes become U+FFFD (``errors='replace'``).
+    smallest id of the split. ONE counting pass, run here, writes the split
+    table (:func:`split_table`); after that a line is read with its number
+    in one scan, and headers come from the split table alone: they are a
+    branch of their own (``is_header``), so Catalyst drops the text's scan
+    from a plan that asks for headers only, and the headers from the rest.
+    ``quote_style`` is the running quote style (WIN-1) of all rows of a
+    split whose totals decide it; only if some split is undecided there is a
+    ``balance_before`` to go on from. With ``across_files`` the numbering
+    continues over the files of ``path`` in name order (a multi-part export
+    is one table), ``file`` = ``path``. Undecodable bytes become U+FFFD
+    (``errors='replace'``).
+
+    A line whose split is not in the table or whose position is beyond its
+    count (files or split sizes changed in between) is an error, never a
+    wrong number.
     """
     reader = spark.read.format("text").option("recursiveFileLookup", across_files)
     if encoding:
@@ -39,64 +51,82 @@ def read_lines(spark: SparkSession, path, encoding: str | None = None,
            .select(F.col("_metadata.file_path").alias("file"),
                    F.col("_metadata.file_block_start").alias("split"),
                    F.monotonically_increasing_id().alias("_id"),
-                   F.col("value").alias("line")))
-    splits = raw.groupBy("file", "split").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
-    if across_files:
-        w = Window.orderBy("file", "split").rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        w = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    offs = splits.select("file", "split", "_first",
-                         F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # The split table has one row per split; its size is bounded before
-    # any job runs (file count and total bytes from the file listing, the
-    # split size Spark will use), and within the limit it is broadcast, so
-    # the lines themselves are never shuffled to get their numbers. The
-    # ids stay consistent because both sides come from the same scan of
-    # the same query.
-    if _split_bound(spark, raw) <= broadcast_limit:
-        offs = F.broadcast(offs)
+                   F.make_valid_utf8("value").alias("line")))
+    table = written(split_table(raw, across_files), "splits")
+    n_splits, undecided = table.agg(F.count("*"), F.count_if(F.col("quote_style").isNull())).first()
+    side = table.drop("head")
+    # one row per split, counted above: within the limit it is broadcast, so
+    # the lines themselves are never shuffled to get their numbers
+    if n_splits <= broadcast_limit:
+        side = F.broadcast(side)
+    extra = ["quote_style", "balance_before"] if undecided else ["quote_style"]
+    at = F.col("_id") - F.col("_first")
+    stale = F.col("_off").isNull() | (at < 0) | (at >= F.col("_n"))
+    number = (F.when(stale, F.raise_error(F.lit("the files or their splits changed while they were read")).cast("long"))
+              .otherwise(F.col("_off") + at))
+    headers = table.where(F.col("_off") == 0).select(
+        "file", F.lit(0).cast("long").alias("line_no"), F.col("head").alias("line"),
+        F.col("_off").alias("split"), F.lit(True).alias("is_header"), *extra)
     # ``split`` becomes the first line number of the split: a bounded
     # block key that orders like the lines themselves
-    out = (raw.join(offs, on=["file", "split"])
-              .select("file", (F.col("_off") + F.col("_id") - F.col("_first")).alias("line_no"),
-                      F.make_valid_utf8("line").alias("line"), F.col("_off").alias("split")))
+    data = (raw.join(side, on=["file", "split"], how="left")
+            .where(F.coalesce((F.col("_off") > 0) | (F.col("_id") != F.col("_first")), F.lit(True)))
+            .select("file", number.alias("line_no"), "line", F.col("_off").alias("split"),
+                    F.lit(False).alias("is_header"), *extra))
+    out = headers.unionByName(data)
     if across_files:
         name = paths[0] if len(paths) == 1 else ",".join(paths)
         out = out.withColumn("file", F.lit(name))
     return out
 
 
-def _split_bound(spark: SparkSession, df: DataFrame) -> int:
-    """Upper bound of the number of file splits of ``df``'s scan, computed
-    like Spark's file-partition planning from the listing alone."""
-    files = len(df.inputFiles())
-    total = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    conf = spark.conf
-    max_bytes = _bytes(conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    open_cost = _bytes(conf.get("spark.sql.files.openCostInBytes", "4m"))
-    par = max(1, spark.sparkContext.defaultParallelism)
-    per_core = (total + files * open_cost) // par
-    split = max(1, min(max_bytes, max(open_cost, per_core)))
-    return files + total // split + 1
-
-
-def _bytes(v: str) -> int:
-    v = str(v).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    for suffix in ("kb", "mb", "gb", "tb", "b"):
-        if v.endswith(suffix):
-            v = v[: -len(suffix)] + (suffix[0] if suffix != "b" else "")
-            break
-    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+def split_table(raw: DataFrame, across_files: bool = False) -> DataFrame:
+    """One row per file split of ``raw(file, split, _id, line)``: its rows
+    ``_n``, smallest id ``_first``, first line number ``_off``, the header
+    line (``head``, where the split starts with one), the quote balance of
+    the data rows before it, and the quote style that all its data rows
+    have, if the rows that lower (or raise) the balance cannot turn it."""
+    def turn(text):  # double quotes less single quotes
+        return F.length(F.replace(text, F.lit("'"), F.lit(""))) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+
+    def down(text):
+        return F.least(turn(text), F.lit(0)).cast("long")
+
+    def up(text):
+        return F.greatest(turn(text), F.lit(0)).cast("long")
+
+    # the set (of at most one value) makes this one hash aggregate of objects:
+    # with the header line alone Spark would sort all lines by split
+    per = raw.groupBy("file", "split").agg(
+        F.count("*").alias("_n"), F.min("_id").alias("_first"),
+        F.min_by(F.when(F.col("split") == 0, F.col("line")), "_id").alias("_line"),
+        F.sum(down("line")).alias("_down"), F.sum(up("line")).alias("_up"),
+        F.collect_set(F.when(turn("line") != 0, True)).alias("_turns"))
+    w = (Window.orderBy("file", "split") if across_files else Window.partitionBy("file").orderBy("split")
+         ).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    per = (per.withColumn("head", F.when(F.col("_off") == 0, F.col("_line")))
+           .withColumn("_down", F.col("_down") - F.coalesce(down("head"), F.lit(0)))
+           .withColumn("_up", F.col("_up") - F.coalesce(up("head"), F.lit(0)))
+           .withColumn("balance_before", F.coalesce(F.sum(F.col("_down") + F.col("_up")).over(w), F.lit(0))))
+    before = F.col("balance_before")
+    style = (F.when(F.size("_turns") == 0, F.when(before >= 0, F.lit('"')).otherwise(F.lit("'")))
+             .when(before + F.col("_down") >= 0, F.lit('"'))
+             .when(before + F.col("_up") < 0, F.lit("'")))
+    return per.select("file", "split", "_n", "_first", "_off", "head", "balance_before", style.alias("quote_style"))
 
 
 def data_rows(lines: DataFrame) -> DataFrame:
     """Data lines with their 0-based ``row_idx``."""
-    return lines.where(F.col("line_no") > 0).withColumn("row_idx", F.col("line_no") - 1)
+    if "is_header" in lines.columns:
+        lines = lines.where(~F.col("is_header")).drop("is_header")
+    else:
+        lines = lines.where(F.col("line_no") > 0)
+    return lines.withColumn("row_idx", F.col("line_no") - 1)
 
 
 def header_rows(lines: DataFrame) -> DataFrame:
-    return lines.where(F.col("line_no") == 0)
+    return lines.where(F.col("is_header") if "is_header" in lines.columns else F.col("line_no") == 0)
 
 
 def sniff_header(lines: DataFrame) -> DataFrame:
