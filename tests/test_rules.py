@@ -9,6 +9,7 @@ from tidemark.functions.numeric import equivalent
 from tidemark.functions.text import clean_label, title_label, ustrip, wrap_text
 from tidemark.operators import structure as st
 from tidemark.operators.compare import reconcile
+from tidemark.operators.rules import first_rule
 from tidemark.sources.lines import sniff_header
 
 
@@ -169,3 +170,26 @@ def test_maximal_position_precision(spark):
     assert [r["precision"] for r in position_precision(df, ["a", "b"]).collect()] == [1, 0]
     assert [tuple(r) for r in coerce_position(df, ["a", "b"], "max").orderBy("row_idx").collect()] == [
         (0, 1.5, 7.0), (1, 2.125, None), (2, None, None), (3, 3.0, 8.25)]
+
+
+def test_first_of_a_hundred_thousand_rules(spark):
+    rules = spark.range(100_000).select((F.lit(100_000) - F.col("id")).alias("ord"), F.concat(F.lit("T"), F.col("id"), F.lit("e")).alias("term"))
+    texts = [("x t7e and t99999e",), ("T12E",), ("none",), ("",), (None,), ("x t7e and t99999e",)]
+    df = spark.createDataFrame(texts, "label string")
+    got = sorted(first_rule(df, "label", rules, "hit").collect(), key=str)
+    want = {"x t7e and t99999e": "t99999e", "T12E": "t12e", "none": None, "": None, None: None}
+    assert len(got) == 6 and all(r["hit"] == want[r["label"]] for r in got)
+
+
+def test_rules_equal_brute_force(spark):
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("aBc") for _ in range(n))
+    rules = [(rng.randrange(20), word(rng.randrange(5)) if i % 9 else None) for i in range(40)]
+    texts = [word(rng.randrange(9)) for _ in range(80)] + [None]
+    for given in (rules, [r for r in rules if r[1]], []):
+        df = spark.createDataFrame(given, "ord int, term string")
+        got = first_rule(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string"), "t", df, "hit").collect()
+        for r in got:
+            hits = [(o, t.lower()) for o, t in given if t is not None and r["t"] is not None and t.lower() in r["t"].lower()]
+            assert r["hit"] == (min(hits)[1] if hits else None)
+        assert len(got) == len(texts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.plans.oracles_manifest import FILES
 from tidemark.plans.oracles_lines import PARSED, RUNNING, SNIFF, _header_rule, part_lines
 from tidemark.plans.oracles_meta import DVARS, variable_units
 from tidemark.plans.oracles_profile import CUSTOMER_TEXT, gaps_chunked, gaps_whole
@@ -177,6 +178,25 @@ FROM part, (VALUES ('pipe', '|'), ('semicolon', ';'), ('tab', chr(9))) AS d(layo
     "file_standardize": lambda: """SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_idx, c_custkey AS key,
   CASE WHEN c_custkey % 3 = 0 THEN c_name || ' "the first"' WHEN c_custkey % 4 = 1 THEN c_name || ', d''Or et d''Argent' ELSE c_name END AS name,
   CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS balance, chr(39) AS mark FROM customer""",
+    "rule_units": lambda: """WITH r AS (SELECT p_partkey * 7919 % 1000003 AS ord, lower(substr(p_name, 2 + p_partkey % 3, 5 + p_partkey % 4)) AS term,
+  'u' || p_partkey AS unit FROM part),
+f AS (SELECT n.p_name, (SELECT min(struct_pack(ord := ord, term := term, unit := unit)) FROM r WHERE contains(lower(n.p_name), r.term)) AS rule
+  FROM (SELECT DISTINCT p_name FROM part) n)
+SELECT p_partkey, upper(p_name) AS name, rule.unit AS unit FROM part JOIN f USING (p_name)""",
+    "rule_files": lambda: f"""WITH {FILES},
+r AS (SELECT o_orderkey * 7919 % 1000003 AS ord, 'occurrence_' || (o_orderkey // 50) AS term FROM orders WHERE o_orderkey % 50 = 0),
+k AS (SELECT count(*) FILTER (WHERE o_orderkey % 100 = 0) > 0 AS has_title, count(*) FILTER (WHERE o_orderkey % 100 = 50) > 0 AS has_ext FROM orders),
+nt AS (SELECT n.name, arg_min(r.term, struct_pack(ord := ord, term := r.term)) AS t FROM (SELECT DISTINCT name FROM mf) n
+  JOIN r ON contains(lower(n.name), r.term) GROUP BY n.name),
+g AS (SELECT mf.item_id, mf.file_pos, mf.name, mf.stem,
+  CASE WHEN has_title AND contains(lower(title), 'core:occurrence') THEN 'core:occurrence data'
+       WHEN has_ext AND contains(lower(mf.name), '.zip') THEN nt.t || ' data' END AS dftype FROM k, mf LEFT JOIN nt ON nt.name = mf.name)
+SELECT *, dftype IS NOT NULL AS passes FROM g""",
+    "rule_directives": lambda: """WITH l AS (SELECT p_partkey, CASE WHEN p_partkey % 90 = 0 THEN 'Altitude' ELSE p_name || '_' || p_brand END AS label FROM part),
+r AS (SELECT p_partkey % 20 AS kind, lower(substr(p_name, 3, 6)) AS term FROM part WHERE p_partkey % 20 < 2)
+SELECT p_partkey, label, CASE WHEN lower(label) = 'altitude' THEN 'position'
+  WHEN EXISTS (SELECT 1 FROM r WHERE kind = 0 AND contains(lower(label), term)) THEN 'numeric'
+  WHEN EXISTS (SELECT 1 FROM r WHERE kind = 1 AND contains(lower(label), term)) THEN 'string' ELSE 'none' END AS directive FROM l""",
     "bad_bytes": lambda: """SELECT CAST(p_partkey AS VARCHAR) || ',c' || CASE WHEN p_partkey % 3 = 0 THEN chr(65533) ELSE 'é' END AS line FROM part""",
     "round_trip_documents": lambda: """WITH n AS (SELECT count(*) AS shared FROM documents)
 SELECT 'doc_id' AS column, 0 AS pos, shared, 0 AS raw_mismatch, 0 AS filtered_mismatch, 0 AS equivalent_mismatch FROM n

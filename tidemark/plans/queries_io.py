@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import file_ext, file_stem, part_base
 from tidemark.operators import catalog as ct
 from tidemark.operators import coerce as co
+from tidemark.operators import manifest as mf
 from tidemark.operators import metadata as md
 from tidemark.operators import profile as pr
 from tidemark.operators import vocab as vc
@@ -466,6 +467,36 @@ def file_standardize(spark, sf_dir):
     return std.table
 
 
+def rule_units(spark, sf_dir):
+    """JOIN-13 with one rule per part: stretches of the names, in a mixed order."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    rules = p.select((k * 7919 % 1000003).alias("ord"), F.col("p_name").substr((2 + k % 3).cast("int"), (5 + k % 4).cast("int")).alias("term"),
+                     F.concat(F.lit("u"), k.cast("string")).alias("unit"))
+    return md.units_by_rules(p.select("p_partkey", F.upper("p_name").alias("name")), rules)
+
+
+def rule_files(spark, sf_dir):
+    """PRJ-6 with one name term per 50th order."""
+    o = table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 0)
+    k = F.col("o_orderkey")
+    rules = (o.select(F.lit("name").alias("kind"), (k * 7919 % 1000003).alias("ord"), F.concat(F.lit("Occurrence_"), (k / 50).cast("long").cast("string")).alias("term"))
+             .unionByName(o.select(F.when(k % 100 == 0, F.lit("title")).otherwise(F.lit("ftype_req")).alias("kind"), k.alias("ord"),
+                                   F.when(k % 100 == 0, F.lit("Core:occurrence")).otherwise(F.lit(".zip")).alias("term"))))
+    tagged = mf.tag_files_by_rules(fx.manifest_files(spark, sf_dir), rules)
+    return tagged.select("item_id", "file_pos", "name", "stem", "dftype", "passes")
+
+
+def rule_directives(spark, sf_dir):
+    """PRJ-7 with terms taken from the parts' own names."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    rules = p.where(k % 20 < 2).select(F.when(k % 20 == 0, F.lit("numeric")).otherwise(F.lit("string")).alias("kind"), k.alias("ord"),
+                                       F.col("p_name").substr(3, 6).alias("term"))
+    labels = p.select("p_partkey", F.when(k % 90 == 0, F.lit("Altitude")).otherwise(F.concat_ws("_", "p_name", "p_brand")).alias("label"))
+    return co.directives_by_rules(labels, rules)
+
+
 def round_trip_documents(spark, sf_dir):
     """PIPE-4 on whole texts with quotes, apostrophes and line breaks."""
     d = table(spark, sf_dir, "documents")
@@ -480,4 +511,5 @@ IO_QUERIES = {f.__name__: f for f in (
     typed_scan, zip_scan, manifest_scan, vocab_scan, part_concat, dataset_attributes, paged_files, match_report, quarantine,
     absent_filled, sampled_limit, sampled_late_cells, sampled_losses, file_names, catalog_parts, time_axis_units, catalog_attributes, incremental_skip, chained,
     reconcile_repeated_keys, repeated_key_messages, match_special_names, preamble_offset, preamble_cells, bad_bytes,
-    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary, quoted_scan, named_pages, round_precision_max, file_headers, file_standardize)}
+    round_trip_documents, reconcile_hot_key, reconcile_reports, type_reconcile_gaps, incremental_profile_gaps, changed_sources, match_limited, revised_vocabulary, quoted_scan, named_pages, round_precision_max, file_headers, file_standardize,
+    rule_units, rule_files, rule_directives)}
