@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import quoted, shuffle_partitions, text_or_empty
+from tidemark.llm.common import free_name, quoted, shuffle_partitions, text_or_empty
 from tidemark.session import ship_by_value
 
 BLOCK_ROWS = 65_536  # rows of a numbering block, about
@@ -81,10 +81,13 @@ def assign_shards(docs: DataFrame, shards: int = 16, doc_id: str = "doc_id", tex
                     (F.col("offset") + F.col("in_block")).alias("slot"), "grown_shard"))
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = 16, doc_id: str = "doc_id") -> None:
+def write_shards(docs: DataFrame, path: str, shards: int = 16, doc_id: str = "doc_id") -> str:
     """The rows themselves, one folder per shard. A shard is written by many
-    tasks (salted), so no task holds a whole shard."""
+    tasks (salted), so no task holds a whole shard. Returns the name of the
+    folders' column: ``shard``, or a free name where the documents have one."""
     parts = max(1, shuffle_partitions(docs.sparkSession) // shards)
-    (docs.withColumn("shard", shard_of(quoted(doc_id), shards))
-     .repartition("shard", F.pmod(F.xxhash64(quoted(doc_id)), F.lit(parts)))
-     .write.partitionBy("shard").parquet(path))
+    name = free_name(docs, "shard")
+    (docs.withColumn(name, shard_of(quoted(doc_id), shards))
+     .repartition(name, F.pmod(F.xxhash64(quoted(doc_id)), F.lit(parts)))
+     .write.partitionBy(name).parquet(path))
+    return name
