@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tidemark.llm import exact_dedup, mixing, sharding
@@ -86,6 +87,26 @@ def test_mixing_matches_brute_force(spark):
     assert keys == sorted(keys) and len(set(keys)) == len(keys)
 
 
+def test_mixing_draws_tiny_sources_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(1, "x" * 10, "tiny", 0), (1, "y" * 10, "tiny", 0), (None, "z", None, 0), (2, "z", None, 1)]
+        + [(10 + i, "w" * 100_000, "large", 2) for i in range(10)], "doc_id long, text string, source string, copies int")
+    weights = {"tiny": 1.0, "large": 1.0}
+    got = mixing.replicate(docs, weights).groupBy("doc_id", "source", "text").agg(
+        F.count("*").alias("n"), F.countDistinct("copy").alias("kinds"), F.max("copy").alias("last"), F.max("copies_").alias("all")).collect()
+    tiny = [r for r in got if r["source"] == "tiny"]
+    assert len(tiny) == 2 and len({r["n"] for r in tiny}) == 1  # rows that repeat a doc_id share its draw
+    assert all(r["n"] == r["kinds"] == r["last"] == r["all"] for r in got)
+    rate = 0.5 * (2 * 11 + 2 * 2 + 10 * 100_001) / 22
+    parts = math.ceil(rate / mixing.PART_RATE)
+    assert parts > 10 * mixing.ROW_PARTS
+    draws = [int(hashlib.md5(f"17|1|{j}".encode()).hexdigest()[:13], 16) / 16 ** 13 for j in range(1, parts + 1)]
+    assert tiny[0]["n"] == sum(brute_poisson(u, rate / parts) for u in draws)
+    whole = {(r["shuffle_key"], r["text"]) for r in mixing.replicate(docs).collect()}
+    monkeypatch.setattr(mixing, "ROW_PARTS", 1 << 20)
+    assert whole == {(r["shuffle_key"], r["text"]) for r in mixing.replicate(docs).collect()}
+
+
 def test_mixing_high_rates_and_odd_rows(spark, odd_docs, no_docs):
     many = spark.createDataFrame([(i, "x" * 10, "small" if i < 5 else "large") for i in range(3000)],
                                  "doc_id long, text string, source string")
@@ -129,5 +150,9 @@ def test_shards(spark, odd_docs, no_docs):
 
 
 def test_write_shards(spark, odd_docs, tmp_path):
-    sharding.write_shards(odd_docs.drop("shard"), str(tmp_path / "out"))
+    assert sharding.write_shards(odd_docs.drop("shard"), str(tmp_path / "out")) == "shard"
     assert spark.read.parquet(str(tmp_path / "out")).count() == odd_docs.count()
+    named = odd_docs.drop("shard").withColumn("Shard", F.lit("kept"))
+    name = sharding.write_shards(named, str(tmp_path / "named"))
+    again = spark.read.parquet(str(tmp_path / "named"))
+    assert name not in named.columns and again.where("Shard = 'kept'").count() == odd_docs.count()

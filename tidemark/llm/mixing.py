@@ -8,8 +8,14 @@ no task needs to know another's rows. The copies are then ordered by a hash of
 (seed, doc_id, copy), a global shuffle that is repeatable too.
 
 Rates above ``PART_RATE`` are drawn as a sum of Poisson parts (exact, and the
-cumulative table of a part stays short). The per-source table is joined by
-broadcast only below ``BROADCAST_SOURCES`` rows, else by a shuffled join.
+cumulative table of a part stays short). A source whose rate needs more than
+``ROW_PARTS`` parts is drawn in blocks of so many: the draws hang on doc_id and
+source alone, so each block is drawn once per pair by a task of its own, running
+sums over a pair's blocks number the copies, and every (document, block) is
+dealt to the tasks before its copies are made: however tiny a source is beside
+the whole, no row or task makes more than a block's copies at once. The
+per-source table is joined by broadcast only below ``BROADCAST_SOURCES`` rows,
+else by a shuffled join.
 
 Defined cases: null source is a source of its own; a document's size is its
 UTF-8 bytes plus 1 (null text: 0 bytes), so a source of empty texts has a
@@ -22,12 +28,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import free_name, quoted, staged, text_or_empty
 
 PART_RATE = 64.0           # largest rate drawn by one inversion
+ROW_PARTS = 16             # parts drawn, and their copies made, from one row
 BROADCAST_SOURCES = 50_000  # sources that may be broadcast (about 40 MB)
 DIGITS = 13                # hexadecimal digits (52 bits) of a uniform number
 
@@ -73,25 +80,50 @@ def replicate(docs: DataFrame, weights: Mapping[str, float] | None = None, seed:
               doc_id: str = "doc_id", source: str = "source", text: str = "text",
               extras: bool = True) -> DataFrame:
     """Each document as often as its draw says, globally shuffled. With
-    ``extras`` the columns rate, copies, copy (from 1) and shuffle_key (hex)
-    follow those of ``docs``."""
+    ``extras`` the columns rate, copies, copy (64 bits, from 1) and shuffle_key
+    (hex) follow those of ``docs``."""
     rates = source_rates(docs, weights, source, text)
-    names = {n: free_name(docs, n) for n in ("rate", "copies", "copy", "shuffle_key", "mix_source", "mix_cdf", "mix_parts")}
-    rate, copies, copy, key, src, cdf, parts = (names[n] for n in (
-        "rate", "copies", "copy", "shuffle_key", "mix_source", "mix_cdf", "mix_parts"))
+    names = {n: free_name(docs, n) for n in (
+        "rate", "copies", "copy", "shuffle_key", "mix_source", "mix_cdf", "mix_parts", "mix_id", "mix_block", "mix_before", "mix_here")}
+    rate, copies, copy, key, src, cdf, parts, did, block, before, here = names.values()
     table = (rates.select(F.col("source").alias(src), F.col("rate").alias(rate),
-                          F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).cast("int").alias(parts))
+                          F.greatest(F.ceil(F.col("rate") / PART_RATE), F.lit(1)).alias(parts))
              .withColumn(cdf, _cumulative(F.col(rate) / F.col(parts))))
-    if rates.count() <= BROADCAST_SOURCES:
-        table = F.broadcast(table)
-    drawn = F.aggregate(
-        F.sequence(F.lit(1), F.col(parts)), F.lit(0),
-        lambda n, j: n + F.size(F.filter(F.col(cdf), lambda c: c <= uniform(F.lit(seed), quoted(doc_id), j))))
-    spread = (docs.join(table, quoted(source).eqNullSafe(F.col(src)))
-              .withColumn(copies, drawn).where(F.col(copies) > 0)
-              .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
-              .withColumn(key, F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(quoted(doc_id).cast("string"), F.lit("null")),
-                                                 F.lit("copy"), F.col(copy)))))
+    n_sources, most = rates.agg(F.count("*"), F.max("rate")).first()
+
+    def joined(rows: DataFrame, source_col: Column, wanted: Column) -> DataFrame:
+        side = table.where(wanted)
+        return rows.join(F.broadcast(side) if n_sources <= BROADCAST_SOURCES else side, source_col.eqNullSafe(F.col(src)))
+
+    def drawn(of: Column, first: Column, last: Column) -> Column:
+        return F.aggregate(
+            F.sequence(first, last), F.lit(0).cast("long"),
+            lambda n, j: n + F.size(F.filter(F.col(cdf), lambda c: c <= uniform(F.lit(seed), of, j))))
+
+    one_row = F.col(parts) <= ROW_PARTS
+    spread = (joined(docs, quoted(source), one_row)
+              .withColumn(copies, drawn(quoted(doc_id), F.lit(1).cast("long"), F.col(parts))).where(F.col(copies) > 0)
+              .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))))
+    if most is not None and most > PART_RATE * ROW_PARTS:
+        # a pair (doc_id, source) has one row per block here, without its text
+        pairs = joined(docs.select(quoted(doc_id).alias(did), quoted(source).alias("_source")), F.col("_source"), ~one_row)
+        pairs = pairs.dropDuplicates([did, src])
+        blocks = (pairs.select(did, src, rate, cdf, parts, F.explode(F.sequence(
+                      F.lit(0).cast("long"), F.floor((F.col(parts) - 1) / ROW_PARTS))).alias(block))
+                  .repartition(did, src, block)
+                  .withColumn(here, drawn(F.col(did), F.col(block) * ROW_PARTS + 1,
+                                          F.least((F.col(block) + 1) * ROW_PARTS, F.col(parts)))))
+        pair = Window.partitionBy(did, src)
+        blocks = (blocks.withColumn(before, F.sum(here).over(pair.orderBy(block)) - F.col(here))
+                  .withColumn(copies, F.sum(here).over(pair)).where(F.col(here) > 0)
+                  .select(did, src, rate, copies, block, before, here))
+        dealt = (docs.join(blocks, quoted(doc_id).eqNullSafe(F.col(did)) & quoted(source).eqNullSafe(F.col(src)))
+                 .repartition(did, src, block)
+                 .withColumn(copy, F.explode(F.sequence(F.col(before) + 1, F.col(before) + F.col(here)))))
+        kept = [*[quoted(c) for c in docs.columns], rate, copies, copy]
+        spread = spread.select(*kept).union(dealt.select(*kept))
+    spread = spread.withColumn(key, F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(quoted(doc_id).cast("string"), F.lit("null")),
+                                                      F.lit("copy"), F.col(copy))))
     shuffled = spread.orderBy(key)
     return shuffled.select(*[quoted(c) for c in docs.columns], *([rate, copies, copy, key] if extras else []))
 

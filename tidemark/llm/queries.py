@@ -28,7 +28,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.replicate(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "source", F.round("rate", 6).alias("rate"), "copies", "copy", "shuffle_key",
+    return mixed.select("doc_id", "source", F.round("rate", 6).alias("rate"), F.col("copies").cast("int").alias("copies"),
+                        F.col("copy").cast("int").alias("copy"), "shuffle_key",
                         F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_bytes"))
 
 
