@@ -72,3 +72,25 @@ def test_bounds_hold():
     for q, (scores, ids) in enumerate(search.best):
         found[q] = list(zip(scores.tolist(), ids.tolist()))
         assert found[q] == sorted(zip(exact[q].tolist(), range(1000, 1050)), key=lambda x: (-x[0], x[1]))[:5]
+
+
+def test_blocks_are_released(spark, monkeypatch):
+    live, most = [0], [0]
+    make = spark.sparkContext.broadcast
+
+    def counted(value):
+        sent = make(value)
+        live[0] += 1
+        most[0] = max(most[0], live[0])
+        free = sent.destroy
+
+        def destroy(*args):
+            live[0] -= 1
+            free(*args)
+        sent.destroy = destroy
+        return sent
+
+    monkeypatch.setattr(topk_search, "BLOCK_VALUES", 200)
+    monkeypatch.setattr(spark.sparkContext, "broadcast", counted)
+    rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").limit(400)
+    assert topk_search.top_k(rows).count() > 0 and most[0] == 1 and live[0] == 0

@@ -14,15 +14,22 @@ from pyspark.sql import functions as F
 from tidemark.session import checkpoint_dir
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder of ``spark.checkpoint.dir``
-    and read it back: lineage ends there, and the files outlive executors.
-    They go when the driver's JVM ends."""
-    spark = df.sparkSession
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new folder below ``spark.checkpoint.dir`` that goes when the driver's JVM ends."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def staged(df: DataFrame, label: str, *parts: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder of ``spark.checkpoint.dir``
+    (a folder per value of the columns ``parts``) and read it back: lineage
+    ends there, and the files outlive executors. They go when the driver's JVM
+    ends."""
+    spark = df.sparkSession
+    path = staged_path(spark, label)
+    (df.repartition(*parts).write.partitionBy(*parts) if parts else df.write).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

@@ -9,11 +9,12 @@ the coarse to the fine bound as long as it can still reach the query's k-th best
 exact score, and only survivors get their exact integer inner product. Bounds
 are widened by the rounding error of their arithmetic, so nothing is lost.
 
-Queries are taken in blocks of at most ``BLOCK_VALUES`` components, the proven
-size of what is sent to the tasks at once; every block meets all rows where
-they lie, without a shuffle of the candidates. A task keeps k rows per query
-over all its batches, and the tasks' rows meet in one window per query, whose
-partial limit runs before the shuffle.
+Queries are written once, in blocks of at most ``BLOCK_VALUES`` components, the
+proven size of what the driver and the tasks hold at once: a block is fetched,
+sent to the tasks, searched, its rows written, and released before the next
+one. Every block meets all rows where they lie, without a shuffle of the
+candidates. A task keeps k rows per query over all its batches, and the tasks'
+rows meet in one window per query, whose partial limit runs before the shuffle.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components
 (and rows without an id) take no part; only vectors of the same length meet;
@@ -29,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import quoted
+from tidemark.llm.common import quoted, staged, staged_path
 from tidemark.session import ship_by_value
 
 SCALE = 1024.0
@@ -115,13 +117,12 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_
     ship_by_value(sys.modules[__name__])
     spark = vectors.sparkSession
     rows = usable(vectors, vec_id, embedding)
-    asking = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x"))
+    asking = staged(rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("x").alias("x")), "queries")
     n, values = asking.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("x")), F.lit(0))).first()
     blocks = max(1, -(-values // BLOCK_VALUES))
     schema = "query_id long, vec_id long, score long"
 
-    def search(block: int) -> DataFrame:
-        part = asking if blocks == 1 else asking.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block)
+    def search(part: DataFrame) -> tuple[DataFrame, Broadcast]:
         groups: dict[int, list[tuple[int, np.ndarray]]] = {}
         for r in part.collect() if n else []:  # at most about BLOCK_VALUES components
             groups.setdefault(len(r["x"]), []).append((r["vec_id"], np.array(r["x"])))
@@ -146,11 +147,19 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, vec_id: str = "vec_
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (q, i, s)],
                                                      ["query_id", "vec_id", "score"])
 
-        return rows.mapInArrow(searched, schema)
-
-    found = search(0)
-    for block in range(1, blocks):
-        found = found.unionByName(search(block))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+        best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        found = (rows.mapInArrow(searched, schema)
+                 .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+                 .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
+        return found, sent
+
+    if blocks == 1:
+        return search(asking)[0]
+    # a query lies in one block, so each block's rows are final; a block whose job fails adds none
+    asking = staged(asking.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")), "query-blocks", "block")
+    path = staged_path(spark, "found")
+    for block in range(blocks):
+        found, sent = search(asking.where(F.col("block") == block).drop("block"))
+        found.write.mode("append").parquet(path)
+        sent.destroy()
+    return spark.read.schema(found.schema).parquet(path)
