@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF_MID, SF_SMALL
 from tidemark.llm import html_extract, language_id, license_scan
+from tidemark.session import cut_lineage
 
 
 def brute_kneser_ney(texts):
@@ -81,7 +82,7 @@ def test_language_models_beyond_the_broadcast_size(spark, monkeypatch, odd_docs)
     rare = [(10 ** 6 + i, "ħobż tajjeb għall-familja kollha fil-għodwa", "mt") for i in range(8)]
     odd = odd_docs.where("length(text) < 9000 OR doc_id IS NOT NULL").select("doc_id", F.left("text", F.lit(900)).alias("text"), "lang")
     small = spark.read.parquet(f"{SF_SMALL}/documents.parquet").orderBy("doc_id").limit(30).select("doc_id", "text", "lang")
-    docs = small.withColumn("doc_id", F.col("doc_id") + 1000).unionByName(odd).unionByName(spark.createDataFrame(rare, small.schema)).localCheckpoint()
+    docs = cut_lineage(small.withColumn("doc_id", F.col("doc_id") + 1000).unionByName(odd).unionByName(spark.createDataFrame(rare, small.schema)))
     want = {r["doc_id"]: r for r in language_id.identify(docs).collect()}
     kept = Counter(r["doc_id"] for r in language_id.drop_unknown(docs).collect())
     monkeypatch.setattr(language_id, "MAX_GRAMS", 300)
