@@ -193,3 +193,24 @@ def test_rules_equal_brute_force(spark):
             hits = [(o, t.lower()) for o, t in given if t is not None and r["t"] is not None and t.lower() in r["t"].lower()]
             assert r["hit"] == (min(hits)[1] if hits else None)
         assert len(got) == len(texts)
+
+
+def test_rules_of_all_kinds_in_one_join(spark, monkeypatch):
+    """Substrings meet the terms in the task that cuts them; beyond the broadcast size the result is the same."""
+    from tidemark.operators import rules as ru
+    from tidemark.operators.manifest import tag_files_by_rules
+    rules = spark.createDataFrame([("name", 2, "Occ"), ("name", 1, "cc_2"), ("title", 5, "core"), ("title", 9, None), ("ftype_req", 1, ".zip"), ("other", 0, "o")],
+                                  "kind string, ord int, term string")
+    files = spark.createDataFrame([("i", 1, "occ_1.zip", None), ("i", 1, "occ_1.zip", None), ("i", 2, "occ_2.zip", "a"), ("j", 3, "occ_2.csv", None),
+                                   ("j", 4, "x.csv", "Dwc:Core"), ("j", 5, None, None), (None, None, "Q.ZIP", None)],
+                                  "item_id string, file_pos int, name string, title string")
+    want = [("x.csv", "core data"), ("Q.ZIP", None), ("occ_1.zip", "occ data"), ("occ_1.zip", "occ data"), ("occ_2.csv", None), ("occ_2.zip", "cc_2 data"), (None, None)]
+    for most in (ru.BROADCAST_TERMS, 2):
+        monkeypatch.setattr(ru, "BROADCAST_TERMS", most)
+        tagged = tag_files_by_rules(files, rules)
+        assert sorted(((r["name"], r["dftype"]) for r in tagged.collect()), key=str) == sorted(want, key=str)
+        assert tagged.columns == [*files.columns, "stem", "dftype", "passes"]
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        if most > 2:  # files and their distinct texts are shuffled, no substrings
+            assert not any("_term" in x and "_text_" in x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+            assert sum("Exchange hashpartitioning(_text_" in x for x in plan.splitlines()) <= 2

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.numeric import NUMBER_RX, number_like, parse_number
 from tidemark.functions.text import ustrip
 from tidemark.functions.time import OUT_FORMAT, days_since_epoch, format_iso, to_utc
-from tidemark.operators.rules import contains_rule, kind
+from tidemark.operators.rules import first_rules
 
 # Name rules. Axis specs are keyed by lower-case label.
 AXIS_SPECS = {
@@ -169,9 +169,8 @@ def column_directives(labels: DataFrame, axis_specs: dict | None = None,
 def directives_by_rules(labels: DataFrame, rules: DataFrame, axis_specs: dict | None = None) -> DataFrame:
     """PRJ-7 with the rules as a table ``(kind, ord, term)`` of any size;
     kinds are ``numeric`` and ``string``."""
-    found = contains_rule(contains_rule(labels, "label", kind(rules, "numeric"), "_numeric"),
-                          "label", kind(rules, "string"), "_string")
+    found = first_rules(labels, {"_numeric": ("label", "numeric"), "_string": ("label", "string")}, rules)
     axis = F.lower("label").isin(list((axis_specs or AXIS_SPECS).keys()))
-    d = (F.when(axis, F.lit("position")).when(F.col("_numeric"), F.lit("numeric"))
-          .when(F.col("_string"), F.lit("string")).otherwise(F.lit("none")))
+    d = (F.when(axis, F.lit("position")).when(F.col("_numeric").isNotNull(), F.lit("numeric"))
+          .when(F.col("_string").isNotNull(), F.lit("string")).otherwise(F.lit("none")))
     return found.withColumn("directive", d).drop("_numeric", "_string")

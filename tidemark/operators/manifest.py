@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import contains_any, first_contained
 from tidemark.functions.time import format_iso, parse_iso
-from tidemark.operators.rules import contains_rule, first_rule, kind, tag
+from tidemark.operators.rules import first_rules, tag
 
 # Default search terms (lower-cased when used).
 FILE_SEARCH = {
@@ -51,10 +51,8 @@ def tag_files(files: DataFrame, search: dict | None = None) -> DataFrame:
 def tag_files_by_rules(files: DataFrame, rules: DataFrame) -> DataFrame:
     """PRJ-6 / S4 with the search terms as a table ``(kind, ord, term)`` of
     any size; kinds are ``title``, ``name`` and ``ftype_req``."""
-    found = first_rule(files, "title", kind(rules, "title"), "_title")
-    found = first_rule(found, "name", kind(rules, "name"), "_name")
-    found = contains_rule(found, "name", kind(rules, "ftype_req"), "_ext")
-    dftype = F.when(F.col("_title").isNotNull(), tag(F.col("_title"))).when(F.col("_ext"), tag(F.col("_name")))
+    found = first_rules(files, {"_title": ("title", "title"), "_name": ("name", "name"), "_ext": ("name", "ftype_req")}, rules)
+    dftype = F.when(F.col("_title").isNotNull(), tag(F.col("_title"))).when(F.col("_ext").isNotNull(), tag(F.col("_name")))
     return (found.withColumn("stem", F.substring_index("name", ".", 1)).withColumn("dftype", dftype)
             .withColumn("passes", F.col("dftype").isNotNull()).drop("_title", "_name", "_ext"))
 
