@@ -77,6 +77,29 @@ def test_language_id_held_out_accuracy(spark):
     assert language_id.drop_unknown(docs).count() >= docs.count() - 5
 
 
+def test_language_id_is_calibrated_on_all_training_rows(spark):
+    """Means, excess and temperature come from every training row, judged by the model of the other half."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).alias("half")
+    rows = docs.where((language_id.remainder(F.col("doc_id")) != 2) & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang", half).collect()
+    names = sorted({r["lang"] for r in rows})
+    own, sizes, truth, entropies = [], [], [], []
+    for h in (0, 1):
+        codes = {name: [language_id.grams_of(language_id.symbols_of(r["text"])) for r in rows if r["lang"] == name and r["half"] != h] for name in names}
+        models = language_id.Models({name: np.unique(np.concatenate(c), return_counts=True) for name, c in codes.items()})
+        mine = [r for r in rows if r["half"] == h]
+        size, entropy = models.entropies([r["text"] for r in mine])
+        sizes.append(size), entropies.append(entropy), truth.append([names.index(r["lang"]) for r in mine])
+    sizes, truth, entropy = np.concatenate(sizes), np.concatenate(truth), np.concatenate(entropies)
+    own = entropy[np.arange(len(truth)), truth]
+    means = np.bincount(truth, own * sizes) / np.bincount(truth, sizes)
+    excess = ((own - means[truth]) * np.sqrt(np.minimum(sizes, language_id.STEADY))).max()
+    fit = [np.log(np.exp(-t * (entropy - own[:, None])).sum(axis=1)).mean() for t in language_id.TEMPERATURES]
+    got = language_id.fit(docs)
+    assert got.names == names and np.allclose(got.mean, means) and np.isclose(got.excess, max(excess, 1.0))
+    assert got.temperature == language_id.TEMPERATURES[int(np.argmin(fit))]
+
+
 def test_language_models_beyond_the_broadcast_size(spark, monkeypatch, odd_docs):
     """Models kept as tables give what broadcast ones give, and a rare language keeps its n-grams."""
     rare = [(10 ** 6 + i, "ħobż tajjeb għall-familja kollha fil-għodwa", "mt") for i in range(8)]

@@ -14,15 +14,16 @@ checkpoint folder (``Spread``): counts, totals, kinds and discounts are
 aggregations over all counts, the most frequent n-grams' log probabilities are
 broadcast, all other n-grams of a text meet theirs in a join. No n-gram is left out.
 
-Rejection is calibrated on a bounded sample of training rows that a second model,
-of the other half of the training rows, has not seen: a text is rejected if its
-cross-entropy lies above its language's mean by ``MARGIN`` times what the
-sample shows (as a multiple of 1/sqrt(characters), of ``STEADY`` at most). The same
-sample calibrates the temperature of the score.
+Rejection is calibrated on all training rows, each judged by a model that has not
+seen it, that of the other half of the training rows: a text is rejected if its
+cross-entropy lies above its language's mean by ``MARGIN`` times what these rows
+show (as a multiple of 1/sqrt(characters), of ``STEADY`` at most). The same
+rows calibrate the temperature of the score. Their figures stay a table; means,
+maximum and fit are aggregations.
 
 Characters: letters in lower case, all else is one blank between words; letters
 beyond the basic plane share 4,096 symbols. Parameters: ``MAX_GRAMS`` bounds what
-is broadcast, ``SAMPLE_ROWS`` the calibration rows. Counts cover all training rows.
+is broadcast. Counts and calibration cover all training rows.
 
 Defined cases: null texts and texts without a letter are ``und`` (score 0,
 rejected); rows without lang are not learned from; without any training row
@@ -36,6 +37,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,9 +49,9 @@ from tidemark.session import ship_by_value
 
 ORDER = 4
 MAX_GRAMS = 2_000_000   # (language, n-gram) rows up to which the whole model is broadcast
-SAMPLE_ROWS = 4_000     # rows of the calibration sample, about
 STEADY = 1_000          # characters beyond which a text's cross-entropy varies no less
-MARGIN = 2.0            # times the largest excess of the calibration sample
+MARGIN = 2.0            # times the largest excess of the training rows
+TEMPERATURES = [0.5, 1, 2, 4, 8, 16, 32, 64]
 BLANK = 32
 COUNT_AT = 250_000      # n-grams that wait in a task per language and half
 SCORE_AT = 300_000      # characters scored at once in a task
@@ -159,14 +161,28 @@ class Calibrated:
         none = sizes == 0
         return np.where(none, -1, best), np.where(none, 0.0, score), least, rejected | none
 
-    def calibrate(self, sizes: np.ndarray, truth: np.ndarray, entropy: np.ndarray) -> None:
-        own = entropy[np.arange(len(truth)), truth]
-        means = np.bincount(truth, own * sizes, len(self.names)) / np.maximum(np.bincount(truth, sizes, len(self.names)), 1)
-        self.mean = np.where(means > 0, means, own.mean())
-        self.excess = max(float(((own - self.mean[truth]) * np.sqrt(np.minimum(sizes, STEADY))).max()), 1.0)
-        grid = [0.5, 1, 2, 4, 8, 16, 32, 64]
-        fit = [(-t * own - np.log(np.exp(-t * (entropy - own[:, None])).sum(axis=1)) + t * own).mean() for t in grid]
-        self.temperature = float(grid[int(np.argmax(fit))])
+    def calibrate(self, judged: DataFrame) -> None:
+        """From ``judged(number, size, entropy)``: language, symbols scored and cross-entropy per
+        language (null where the model has none) of texts that the scoring model has not seen."""
+        own, size = F.get("entropy", F.col("number")), F.col("size").cast("double")
+        known = judged.where("size > 0").select("number", size.alias("size"), own.alias("own"), "entropy")
+
+        def loss(t: float) -> Column:  # of the true language, at temperature t
+            others = F.transform("entropy", lambda e: F.coalesce(F.exp((e - F.col("own")) * F.lit(-float(t))), F.lit(0.0)))
+            return F.log(F.aggregate(others, F.lit(0.0), lambda a, b: a + b))
+
+        totals = known.groupBy("number").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("own").alias("all_own"), F.sum("size").alias("symbols"), F.sum(F.col("own") * F.col("size")).alias("weighted"),
+            F.array(*[F.sum(loss(t)) for t in TEMPERATURES]).alias("losses")).collect()  # one row per language
+        if not totals:
+            return
+        plain = sum(r["all_own"] for r in totals) / sum(r["n"] for r in totals)
+        means = {r["number"]: r["weighted"] / r["symbols"] for r in totals}
+        self.mean = np.array([m if (m := means.get(i, 0.0)) > 0 else plain for i in range(len(self.names))])
+        mean = F.get(F.array(*[F.lit(float(m)) for m in self.mean]), F.col("number"))
+        excess = known.agg(F.max((F.col("own") - mean) * F.sqrt(F.least("size", F.lit(float(STEADY)))))).first()[0]
+        self.excess = max(float(excess), 1.0)
+        self.temperature = float(TEMPERATURES[int(np.argmin([sum(r["losses"][i] for r in totals) for i in range(len(TEMPERATURES))]))])
 
 
 class Models(Calibrated):
@@ -450,27 +466,31 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     models = _models(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     if models is None:
         return None
-    half = _models(counts.where("half = 0").select("lang", "gram", "n"))
-    if half is not None:
-        # about SAMPLE_ROWS of the other half's rows (3/8 of all), by a hash; only their figures come to the driver
-        classes = max(1, docs.count() * 3 // 8 // SAMPLE_ROWS)
-        sample = (training.where((F.col("half") == 1) & F.col("lang").isin(*half.names))
-                  .where(F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(classes)) == 0).select("lang", "text"))
-        judged = _entropies(sample, half)
-        known = [r for r in judged if r["size"] > 0]
-        if known:
-            number = {name: i for i, name in enumerate(models.names)}
-            entropy = np.full((len(known), len(models.names)), np.inf)
-            entropy[:, [number[name] for name in half.names]] = [r["entropy"] for r in known]
-            models.calibrate(np.array([r["size"] for r in known]), np.array([number[r["lang"]] for r in known]), entropy)
+    judged = []
+    for own in (0, 1):  # every training row, by the model of the half it is not in
+        other = _models(counts.where(F.col("half") != own).select("lang", "gram", "n"))
+        if other is not None:
+            rows = training.where((F.col("half") == own) & F.col("lang").isin(*other.names)).select("lang", "text")
+            judged.append(staged(_numbered(_entropies(rows, other), other.names, models.names), "judged"))
+    if judged:
+        models.calibrate(reduce(DataFrame.unionByName, judged))
     return models
 
 
-def _entropies(sample: DataFrame, models: Models | Spread) -> list:
+def _numbered(judged: DataFrame, own: list[str], names: list[str]) -> DataFrame:
+    """(number, size, entropy) among ``names`` of ``judged(lang, size, entropy)`` among the names ``own``."""
+    at = {name: i for i, name in enumerate(own)}
+    wide = F.array(*[F.get("entropy", F.lit(at[name])) if name in at else F.lit(None).cast("double") for name in names])
+    number = F.array_position(F.array(*[F.lit(name) for name in names]), F.col("lang")).cast("int") - 1
+    return judged.select(number.alias("number"), "size", wide.alias("entropy"))
+
+
+def _entropies(rows: DataFrame, models: Models | Spread) -> DataFrame:
+    """(lang, size, entropy) of every row of ``rows(lang, text)``."""
     if isinstance(models, Spread):
-        keyed = sample.withColumn("key", _text_key(F.col("text")))
-        return keyed.select("key", "lang").join(models.entropies(keyed), "key").select("lang", "size", "entropy").collect()
-    sent = send(sample.sparkSession, models)
+        keyed = rows.withColumn("key", _text_key(F.col("text")))
+        return keyed.select("key", "lang").join(models.entropies(keyed), "key").select("lang", "size", "entropy")
+    sent = send(rows.sparkSession, models)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -478,7 +498,7 @@ def _entropies(sample: DataFrame, models: Models | Spread) -> list:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array(list(entropy), pa.list_(pa.float64()))],
                                              ["lang", "size", "entropy"])
 
-    return sample.mapInArrow(judged, "lang string, size long, entropy array<double>").collect()
+    return rows.mapInArrow(judged, "lang string, size long, entropy array<double>")
 
 
 def identify(docs: DataFrame, models: Models | Spread | None = None, doc_id: str = "doc_id", text: str = "text",
