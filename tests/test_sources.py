@@ -395,3 +395,30 @@ def test_large_archives_are_error_rows(spark):
     plan = got.where("error is not null")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(length" in plan and "LessThanOrEqual(length" in plan  # both reach the source
     assert read_zip_lines(spark, d).count() == 50_010
+
+
+def test_records_with_line_breaks_are_handed_back_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.sources import quoted
+    lines = [x for i in range(200) for x in (f'{i},"' + "x" * 300, "y" * 300, 'z"')]
+    batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(lines)), pa.array([0] * len(lines)), pa.array(lines), pa.array([False] * len(lines))],
+                                       ["file", "split", "line", "inside"])
+    monkeypatch.setattr(quoted, "BATCH_CHARS", 2_000)
+    got = list(quoted.cut_records(iter([batch]), ",", '"'))
+    assert max(sum(len(r) for r in b.column(4).to_pylist()) for b in got) < 4_000
+    assert [r for b in got for r in b.column(4).to_pylist()] == ["\n".join(lines[i:i + 3]) for i in range(0, len(lines), 3)]
+    assert [p for b in got for p in b.column(2).to_pylist()] == list(range(200))
+
+
+def test_term_rows_are_handed_back_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+
+    from tidemark.sources import html_terms
+    page = "<table>" + "".join(f'<tr><td><a name="t{i}">Term Name: dwc:t{i}</a></td></tr><tr><td>Definition:</td><td>d{i}</td></tr>' for i in range(50)) + "</table>"
+    batch = pa.RecordBatch.from_arrays([pa.array([*range(99), None]), pa.array([page] * 98 + [None, page])], ["page_id", "html"])
+    monkeypatch.setattr(html_terms, "ROWS_AT_ONCE", 120)
+    got = list(html_terms.term_rows(iter([batch])))
+    assert max(b.num_rows for b in got) <= 170
+    rows = [tuple(r.values()) for b in got for r in b.to_pylist()]
+    assert rows == [(p, i, 0, f"t{i}", "definition", f"d{i} ") for p in [*range(98), None] for i in range(50)]

@@ -84,41 +84,43 @@ def split_starts(lines: DataFrame, delim: str, quote: str) -> DataFrame:
     return counted.select("file", "split", (state % 2 == 1).alias("inside"))
 
 
+def cut_records(batches: Iterator[pa.RecordBatch], delim: str, quote: str) -> Iterator[pa.RecordBatch]:
+    """(file, split, pos, kind, record) of the lines (file, split, line, inside) of a task, in batches of
+    about ``BATCH_CHARS`` characters, line breaks in cells included."""
+    names = ["file", "split", "pos", "kind", "record"]
+    out: list[tuple] = []
+    held: list[str] = []
+    at, inside, kind, pos, size = None, False, "whole", 0, 0
+    for batch in batches:
+        for file, split, line, start in zip(*(c.to_pylist() for c in batch.columns)):
+            if (file, split) != at:
+                if held:
+                    out.append((*at, pos, "tail" if kind == "tail" else "head", "\n".join(held)))
+                at, inside, held, pos = (file, split), start, [], 0
+                kind = "tail" if start else "whole"  # lines of a record that starts before
+            held.append(line)
+            size += len(line) + 1
+            inside = inside_after(line, inside, delim, quote) if quote in line else inside
+            if not inside:
+                out.append((file, split, pos, "end" if kind == "tail" else "whole", "\n".join(held)))
+                held, kind, pos = [], "whole", pos + 1
+                if size >= BATCH_CHARS:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names)
+                    out, size = [], 0
+    if held:
+        out.append((*at, pos, "tail" if kind == "tail" else "head", "\n".join(held)))
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names)
+
+
 def quoted_records(spark: SparkSession, path, delim: str = ",", quote: str = '"') -> DataFrame:
     """(file, split, pos, record): the records of the files of ``path``, in the
     order of (file, split, pos); a record lies where it starts."""
     ship_by_value(sys.modules[__name__])
     lines = _lines(spark, path)
     starts = F.broadcast(split_starts(lines, delim, quote))  # one row per split of the file listing
-    names = ["file", "split", "pos", "kind", "record"]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        held: list[str] = []
-        at, inside, kind, pos, size = None, False, "whole", 0, 0
-        for batch in batches:
-            for file, split, line, start in zip(*(c.to_pylist() for c in batch.columns)):
-                if (file, split) != at:
-                    if held:
-                        out.append((*at, pos, "tail" if kind == "tail" else "head", "\n".join(held)))
-                    at, inside, held, pos = (file, split), start, [], 0
-                    kind = "tail" if start else "whole"  # lines of a record that starts before
-                held.append(line)
-                inside = inside_after(line, inside, delim, quote) if quote in line else inside
-                if not inside:
-                    out.append((file, split, pos, "end" if kind == "tail" else "whole", "\n".join(held)))
-                    size += len(line)
-                    held, kind, pos = [], "whole", pos + 1
-            if size >= BATCH_CHARS:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names)
-                out, size = [], 0
-        if held:
-            out.append((*at, pos, "tail" if kind == "tail" else "head", "\n".join(held)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*out)], names)
-
     pieces = (lines.join(starts, ["file", "split"]).select("file", "split", "line", "inside")
-              .mapInArrow(cut, "file string, split long, pos long, kind string, record string"))
+              .mapInArrow(lambda batches: cut_records(batches, delim, quote), "file string, split long, pos long, kind string, record string"))
     # pieces of records that cross splits: those from a head up to the next one belong together
     torn = pieces.where("kind <> 'whole'")
     upto = Window.partitionBy("file").orderBy("split", "pos")
