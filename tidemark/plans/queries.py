@@ -315,16 +315,18 @@ def strip_html(spark, sf_dir):
 def dataset_metadata(spark, sf_dir):
     tagged = _tagged(spark, sf_dir)
     files = fx.manifest_files(spark, sf_dir)
-    cands = mf.candidates(tagged).select("item_id", F.col("stem").alias("dataset"), "dftype",
-                                              mf.source_name(F.col("name")).alias("src_file"))
+    # only what is used below goes through the shuffles, and the item texts are joined last
+    passing = tagged.select("item_id", "stem", "file_pos", "name", "dftype", "passes")
+    cands = mf.candidates(passing).select("item_id", F.col("stem").alias("dataset"), "dftype",
+                                          mf.source_name(F.col("name")).alias("src_file"))
     items = fx.manifest_items(spark, sf_dir)
     by_file = mf.dates_by_file(files)   # one pass over the files for both dates
     file_start = by_file.select("item_id", "src_file", F.coalesce(
         format_iso("file_uploaded"), F.lit(md.NO_TIME))
         .alias("file_start"))
-    ds = (mf.attach_items(cands, items)
-            .join(mf.item_start_dates(by_file), "item_id")
-            .join(file_start, ["item_id", "src_file"], "left"))
+    dated = (cands.join(file_start, ["item_id", "src_file"], "left").drop("src_file")
+                  .join(mf.item_start_dates(by_file), "item_id"))
+    ds = mf.attach_items(dated, items)
     return md.dataset_metadata(ds, now=F.lit(RUN_TIME))
 
 
