@@ -138,3 +138,17 @@ def test_names_of_one_gram_are_never_paired(spark):
     got = {r["name"]: (r["hits"], r["labels"]) for r in vc._single_grams(names, labels, 3).collect()}
     assert got == {"red": (150, ["ared0", "ared1", "ared1"]), "a": (75, ["ared0", "ared1", "ared1"]), "_R_": (150, ["ared0", "ared1", "ared1"])}
     assert vc.candidate_rows(names, labels.drop("mult")).groupBy("name").count().where("name = 'red'").first()["count"] == 100
+
+
+def test_dataset_metadata_shuffles_only_what_it_uses(spark):
+    plan = q.dataset_metadata(spark, SF_MID)._jdf.queryExecution().optimizedPlan().toString()
+    assert "example.org/files" not in plan  # the files' URLs
+    assert "example.org/items" in plan
+
+
+def test_counters_of_a_whole_table_need_no_shuffle_by_key(spark):
+    from tidemark.operators.profile import counters, profile
+    df = spark.createDataFrame([("1", None), ("2.5", "x")], "a string, b string")
+    assert "hashpartitioning" not in counters(df)._jdf.queryExecution().executedPlan().toString()
+    assert {(r["column"], r["family"], r["non_null"]) for r in profile(df).collect()} == {("a", "float", 2), ("b", "object", 1)}
+    assert profile(df.where("false")).count() == 0

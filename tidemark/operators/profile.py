@@ -100,7 +100,11 @@ def counters(df: DataFrame, columns: list[str] | None = None, chunk: Column | No
     cols = columns or [c for c in df.columns if c != "row_idx"]
     ck = chunk.alias("chunk") if chunk is not None else F.lit(0).cast("long").alias("chunk")
     flagged = text_flags(df, cols, keep=[ck])
-    wide = flagged.groupBy("chunk").agg(*[a for c in cols for a in _stats(c)])
+    stats = [a for c in cols for a in _stats(c)]
+    if chunk is None:  # one group, gathered without a shuffle by key; no row without input
+        wide = flagged.agg(F.min("chunk").alias("chunk"), *stats).where(F.col("chunk").isNotNull())
+    else:
+        wide = flagged.groupBy("chunk").agg(*stats)
     rows = []
     for pos, c in enumerate(cols):
         n, b, i, f, l, m = (F.col(f"`{p}__{c}`") for p in "nbiflm")

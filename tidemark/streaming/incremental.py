@@ -152,8 +152,8 @@ def fold_counters(spark: SparkSession, state_dir: str, batch: DataFrame, batch_i
     own = counters(batch, cols).drop("chunk")
     before = posixpath.join(state_dir, f"batch={batch_id - 1}")
     if batch_id > 0 and _exists(spark, before):
-        own = own.unionByName(spark.read.parquet(before))
-    merge_counters(own).coalesce(1).write.mode("overwrite").parquet(posixpath.join(state_dir, f"batch={batch_id}"))  # one row per column
+        own = own.unionByName(spark.read.schema(own.schema).parquet(before))
+    merge_counters(own.coalesce(1)).write.mode("overwrite").parquet(posixpath.join(state_dir, f"batch={batch_id}"))  # one row per column
     _remove(spark, posixpath.join(state_dir, f"batch={batch_id - 2}"))
 
 
