@@ -193,3 +193,29 @@ def test_components_of_a_long_path(spark):
     links = [(max(a, b), min(a, b)) for a, b in zip(nodes, nodes[1:])]
     got = near_dup.components(spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in links], "node binary, pivot binary")).collect()
     assert len(got) == 119 and {bytes(r["root"]) for r in got} == {min(nodes)}
+
+
+def test_components_of_many_graphs_and_rounds_few(spark, monkeypatch):
+    """Classes of random graphs against a plain version; a round joins three times, and edges that are stars take none."""
+    plans, staged = [], near_dup.staged
+    monkeypatch.setattr(near_dup, "staged", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or staged(df, label))
+    rng = random.Random(9)
+    pairs = {(max(p), min(p)) for p in ((rng.randrange(b, b + 40), rng.randrange(b, b + 40)) for b in range(0, 2000, 40) for _ in range(b // 40)) if p[0] != p[1]}
+    root = {x: x for p in pairs for x in p}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in pairs:
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    want = {(x, top(x)) for x in root if top(x) != x}
+    found = near_dup.components(spark.createDataFrame(sorted(pairs), "node long, pivot long"))
+    assert sorted(found.collect()) == sorted(want)
+    assert len(plans) > 1 and all(p.count("Join ") <= 3 for p in plans[1:])
+    plans.clear()
+    again = near_dup.components(found.withColumnRenamed("root", "pivot"))
+    assert sorted(again.collect()) == sorted(want) and len(plans) == 1
+    assert near_dup.components(found.where("false").withColumnRenamed("root", "pivot")).count() == 0 and len(plans) == 2

@@ -430,24 +430,34 @@ def remaining_links(clusters: DataFrame, classes: DataFrame, texts: DataFrame) -
     return rows.groupBy("cluster", "mine", "theirs").applyInPandas(compared, "node long, pivot long")
 
 
+def open_ends(edges: DataFrame) -> int:
+    """Nodes that keep ``edges(node, pivot)`` from being stars: those with
+    several pivots, or with one while they are a pivot themselves."""
+    ends = edges.select(F.inline(F.array(F.struct(F.col("node").alias("end"), F.lit(1).alias("below")),
+                                         F.struct(F.col("pivot").alias("end"), F.lit(0).alias("below")))))
+    return (ends.groupBy("end").agg(F.sum("below").alias("n"), F.min("below").alias("least"))
+            .where(F.col("n") > F.col("least")).agg(F.count(F.lit(1))).first()[0])
+
+
+def stars(edges: DataFrame) -> DataFrame:
+    """One large and one small star of ``edges(node, pivot)``, pivot < node. The
+    least neighbour of a pivot is its own least pivot, or itself, so edges are read one way only."""
+    least = edges.groupBy(F.col("node").alias("pivot")).agg(F.min("pivot").alias("least"))
+    large = edges.join(least, "pivot", "left").select("node", F.coalesce("least", "pivot").alias("pivot"))
+    small = large.join(large.groupBy("node").agg(F.min("pivot").alias("least")), "node")
+    below = F.struct("node", F.col("least").alias("pivot"))
+    beside = F.struct(F.col("pivot").alias("node"), F.col("least").alias("pivot"))
+    return small.select(F.inline(F.when(F.col("pivot") == F.col("least"), F.array(below)).otherwise(F.array(below, beside)))).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every linked node but the roots, from ``links(node,
-    pivot)`` with pivot < node: alternating large and small stars."""
-    edges, seen = staged(links.select("node", "pivot").distinct(), "edges"), None
-    while True:
-        state = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("node", "pivot"))).first()
-        if state == seen or not state[0]:
-            return edges.withColumnRenamed("pivot", "root")
-        seen = state
-        both = edges.unionByName(edges.select(F.col("pivot").alias("node"), F.col("node").alias("pivot")))
-        least = both.groupBy("node").agg(F.min("pivot").alias("least")).withColumn("least", F.least("least", "node"))
-        large = (both.join(least, "node").where(F.col("pivot") > F.col("node"))
-                 .select(F.col("pivot").alias("node"), F.col("least").alias("pivot")))
-        lowest = large.groupBy("node").agg(F.min("pivot").alias("least"))
-        small = large.join(lowest, "node")
-        edges = staged(small.select("node", F.col("least").alias("pivot"))
-                       .union(small.where(F.col("pivot") != F.col("least"))
-                              .select(F.col("pivot").alias("node"), F.col("least").alias("pivot"))).distinct(), "edges")
+    pivot)`` with pivot < node: alternating large and small stars. Rounds cost the
+    driver plans, stages and broadcasts, so none is run once the edges are stars."""
+    edges = staged(links.select("node", "pivot").distinct(), "edges")
+    while open_ends(edges):
+        edges = staged(stars(edges), "edges")
+    return edges.withColumnRenamed("pivot", "root")
 
 
 def rooted(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
